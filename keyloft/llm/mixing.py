@@ -15,6 +15,7 @@ from .common import WORD, Scratch, join_small, load, ranked
 MOST = 3  # a source's target stops at so many times its size
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 SEED = "mix-1"
+TURNS = 32
 
 
 def n_words(text: Column) -> Column:
@@ -59,24 +60,54 @@ def targets(sized: DataFrame, scratch: Scratch) -> DataFrame:
     return by.select("source", "source_size", target.alias("target"))
 
 
-def mix(sized: DataFrame, scratch: Scratch) -> DataFrame:
-    """sized (with source, size and draw `u`) plus source_size, target and copies (0 to 3).
+def _fraction(rate: Column) -> Column:
+    return rate - F.floor(rate)
 
-    Nulls: a null source is a source, a null text has size 0. Equal rows get equal copies. A source
-    of size 0 has target 0 and no copies. An empty table gives an empty result.
+
+def _turned(u: Column, k: Column) -> Column:
+    """The draw under the k-th of TURNS seeds: the first draw, turned round."""
+    return (u + k / F.lit(float(TURNS))) % F.lit(1.0)
+
+
+def plan(sized: DataFrame, scratch: Scratch) -> DataFrame:
+    """source, source_size, target, rate, turn: one row per source, from columns source, size and u (the draw).
+
+    Of TURNS seeds a source uses the one whose draws take the words nearest to its target; all are
+    summed in one aggregation. This keeps sources of few or very unequal documents near the target.
     """
-    rated = join_small(sized, targets(sized, scratch), ["source"], F.xxhash64("u"))
+    goal = scratch.write(targets(sized, scratch), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = (F.col("u") < rate - F.floor(rate)).cast("int")
-    return rated.withColumn("copies", (F.floor(rate) + extra).cast("int"))
+    goal = goal.withColumn("rate", rate)
+    taken = lambda k: F.sum(F.when(_turned(F.col("u"), F.lit(k)) < _fraction(F.col("rate")), F.col("size")).otherwise(F.lit(0)))
+    rated = join_small(sized.select("source", "size", "u"), goal, ["source"], F.xxhash64("u"))
+    sums = rated.groupBy("source").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("rate").alias("rate"),
+        F.array(*map(taken, range(TURNS))).alias("sums"),
+    )
+    off = F.transform("sums", lambda x: F.abs(F.col("target") - F.floor("rate") * F.col("source_size") - x))
+    return scratch.write(
+        sums.withColumn("off", off).select("source", "source_size", "target", "rate", (F.array_position("off", F.array_min("off")) - 1).cast("int").alias("turn")),
+        "plan",
+    )
+
+
+def mix(docs: DataFrame, planned: DataFrame) -> DataFrame:
+    """docs (with source and u) plus the plan of their source and copies (0 to 3).
+
+    Nulls: a null source is a source, a null text has size 0. Rows that are equal in all columns get
+    equal copies. A source of size 0 has target 0 and no copies. An empty table gives an empty one.
+    """
+    rated = join_small(docs, planned, ["source"], F.xxhash64("u"))
+    extra = (_turned(F.col("u"), F.col("turn")) < _fraction(F.col("rate"))).cast("int")
+    return rated.withColumn("copies", (F.floor("rate") + extra).cast("int"))
 
 
 def emit(docs: DataFrame) -> DataFrame:
     """The mixed corpus: the rows of docs, each as often as the mix takes it, with its columns."""
-    rec = docs.select(
-        "source", F.struct("*").alias("rec"), n_words(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("u")
-    )
-    mixed = mix(rec, Scratch(docs.sparkSession, "mix")).where("copies > 0")
+    scratch = Scratch(docs.sparkSession, "mix")
+    u = draw(F.col("doc_id"), F.col("text")).alias("u")
+    sized = scratch.write(docs.select("source", n_words(F.col("text")).alias("size"), u), "sized")
+    mixed = mix(docs.select("source", u, F.struct("*").alias("rec")), plan(sized, scratch)).where("copies > 0")
     return mixed.select("rec", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("rec.*")
 
 
@@ -87,6 +118,6 @@ def op4_mix(spark, sf_dir: str) -> DataFrame:
         docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("u")),
         "sized",
     )
-    return mix(sized, scratch).select(
+    return mix(sized, plan(sized, scratch)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
     )
