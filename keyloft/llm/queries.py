@@ -8,9 +8,10 @@ from .mixing import op4_mix
 from .quality import op7_quality
 from .sharding import op5_shard
 from .simhash import op3_simhash
+from .substrings import op9_substrings
 from .tokens import op1_tokens
 from .warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_tokens, op2_decontaminate, op3_simhash, op4_mix, op5_shard, op6_warc, op7_quality, op8_licenses)}
+QUERIES = {f.__name__: f for f in (op1_tokens, op2_decontaminate, op3_simhash, op4_mix, op5_shard, op6_warc, op7_quality, op8_licenses, op9_substrings)}
 
 ORACLES: dict[str, str] = {}
