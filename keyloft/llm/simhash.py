@@ -65,7 +65,7 @@ def _planes(fp: np.ndarray, block: np.ndarray, slot: np.ndarray, blocks: int) ->
     """planes[b, i]: bit i of the fingerprints of block b, one per slot; used[b]: the slots in use."""
     bits = np.zeros((blocks, 64, 64), np.uint8)  # block, slot, bit
     bits[block, slot] = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    planes = np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view("<u8")[:, :, 0]
+    planes = np.ascontiguousarray(np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]
     used = np.zeros(blocks, np.uint64)
     np.bitwise_or.at(used, block, np.uint64(1) << slot.astype(np.uint64))
     return planes, used
