@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op2_decontaminate
 from .licenses import op8_licenses
+from .lm import op10_lm
 from .mixing import op4_mix
 from .quality import op7_quality
 from .sharding import op5_shard
@@ -12,6 +13,6 @@ from .substrings import op9_substrings
 from .tokens import op1_tokens
 from .warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_tokens, op2_decontaminate, op3_simhash, op4_mix, op5_shard, op6_warc, op7_quality, op8_licenses, op9_substrings)}
+QUERIES = {f.__name__: f for f in (op1_tokens, op2_decontaminate, op3_simhash, op4_mix, op5_shard, op6_warc, op7_quality, op8_licenses, op9_substrings, op10_lm)}
 
 ORACLES: dict[str, str] = {}
