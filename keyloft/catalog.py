@@ -1,6 +1,548 @@
-"""All queries of the engine by name, and the SQL that checks them."""
+"""All queries of the engine by name, each over whole tables, and the SQL that checks them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import codecs
+from .operators import batch, checkpoint, count, errors, merge, ring, select
+from .plans import load, mapping, unload
+from .schema import TableSpec
+from .scratch import Scratch
+from .sources import csv, files, json
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+ORDERS = TableSpec(("o_orderkey",), types={"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "text", "o_totalprice": "double", "o_orderdate": "timestamp", "o_orderpriority": "text"})
+EVENTS = TableSpec(("user_id",), (("ts", "asc"),), types={"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "text", "value": "double", "props": "text"})
+CUSTOMER = TableSpec(("c_custkey",), types={"c_custkey": "bigint", "c_name": "text", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "text"})
+
+HOSTS = ("host1", "host2", "host3", "host4")
+RING = ring.even_ring(8, HOSTS, 3)
+
+
+def query(sql: str | None = None):
+    """Register a query of (spark, table reader) under its function's name, with the SQL for its rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _token_sql(key: str) -> str:
+    return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT)"
+
+
+_ORDER_TOKEN = _token_sql("CAST(o_orderkey AS VARCHAR)")
+_RANGE_COUNTS = f"SELECT {_ORDER_TOKEN} >> 57 AS r, count(*) AS n FROM orders GROUP BY 1"
+_SUM = "CAST(sum(n) AS BIGINT)"
+
+# counting
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def count_global(t):
+    return count.count_global(t("lineitem"))
+
+
+@query(f"""
+WITH c AS ({_RANGE_COUNTS}), i AS (SELECT CAST(range AS INTEGER) AS i FROM range(8)),
+f AS (SELECT i.i AS range_id, coalesce(c.n, 0) AS n FROM i LEFT JOIN c ON c.r = i.i)
+SELECT range_id, range_id * 144115188075855872 - 1 AS start, (range_id + 1) * 144115188075855872 - 1 AS "end", n,
+round(CAST(n AS DOUBLE) * 100.0 / (SELECT sum(n) FROM f), 2) AS pct FROM f""")
+def count_ranges(t):
+    return count.count_ranges(t("orders"), ["o_orderkey"], RING)
+
+
+@query(f"""
+WITH c AS ({_RANGE_COUNTS}), h AS (SELECT 'host' || CAST((r + k.range) % 4 + 1 AS VARCHAR) AS host, n FROM c, range(3) k)
+SELECT host, {_SUM} AS n, round(CAST(sum(n) AS DOUBLE) * 100.0 / (SELECT sum(n) FROM c), 2) AS pct FROM h GROUP BY host""")
+def count_hosts(t):
+    return count.count_hosts(t("orders"), ["o_orderkey"], RING)
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS pk, count(*) AS n, round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM orders), 2) AS pct
+FROM orders GROUP BY o_custkey ORDER BY n DESC, pk LIMIT 10""")
+def count_partitions(t):
+    return count.count_partitions(t("orders"), ["o_custkey"], 10)
+
+
+@query("""
+SELECT replace(l_returnflag || '|' || l_linestatus || '|' || CAST(l_suppkey AS VARCHAR), ' ', '_') AS pk, count(*) AS n,
+round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM lineitem), 2) AS pct FROM lineitem
+GROUP BY l_returnflag, l_linestatus, l_suppkey ORDER BY n DESC, pk LIMIT 10""")
+def count_partitions_composite(t):
+    return count.count_partitions(t("lineitem"), ["l_returnflag", "l_linestatus", "l_suppkey"], 10)
+
+
+@query("SELECT count(*) AS n FROM (SELECT 1 FROM lineitem LIMIT 1000)")
+def count_with_limit(t):
+    return count.count(t("lineitem").limit(1000), ["global"], custom_query=True)["global"]
+
+
+@query("SELECT count(*) AS n FROM (SELECT user_id, event_type FROM events GROUP BY 1, 2)")
+def count_grouped(t):
+    return count.count_global(t("events").groupBy("user_id", "event_type").agg(F.count("*")))
+
+
+# mapping
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_name AS name_again FROM customer")
+def unload_rename(t):
+    return mapping.unload_map(t("customer"), 'id = c_custkey, name = c_name, "name_again" : c_name')
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def unload_exclude(t):
+    return mapping.unload_map(t("customer"), "*=[-c_acctbal, -c_mktsegment]")
+
+
+@query("SELECT c_custkey, c_name AS label, c_nationkey, c_acctbal FROM customer")
+def unload_override(t):
+    return mapping.unload_map(t("customer"), "*=-c_mktsegment, label = c_name")
+
+
+@query("SELECT c_custkey, CAST(42 AS INTEGER) AS answer, 'x' AS tag FROM customer")
+def unload_literal(t):
+    return mapping.unload_map(t("customer"), "c_custkey, answer = (int)42, tag = 'x'")
+
+
+@query("SELECT count(c_custkey) AS n, max(c_acctbal) AS most, min(c_acctbal) AS least FROM customer")
+def unload_function(t):
+    return mapping.unload_map(t("customer"), "n = count(c_custkey), most = max(c_acctbal), least = min(c_acctbal)")
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS millis FROM events")
+def unload_nested_function(t):
+    return mapping.unload_map(t("events"), "event_id, millis = toUnixTimestamp(toTimestamp(ts))")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def load_simple_list(t):
+    pairs = mapping.resolve(mapping.parse("c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"), list("01234"), list(CUSTOMER.types), by_index=True)
+    mapping.check_load(pairs, list(CUSTOMER.types), CUSTOMER.primary_key)
+    records = t("customer").toDF(*"01234")
+    return records.select(*(c.alias(n) for n, c in mapping.load_columns(pairs, records.columns).items()))
+
+
+# predicates
+
+
+@query("""SELECT o_orderkey, o_totalprice FROM orders
+WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderpriority <> '5-LOW'""")
+def where_and_in(t):
+    return select.where(
+        t("orders"), F.col("o_orderstatus").isin("F", "O"), F.col("o_totalprice") > 200000,
+        F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"), F.col("o_orderpriority") != "5-LOW",
+    ).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE (l_orderkey, l_linenumber) > (7000, 3)")
+def tuple_compare(t):
+    return select.where(t("lineitem"), select.compare_tuple(["l_orderkey", "l_linenumber"], ">", [7000, 3])).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE (l_linenumber, l_returnflag) IN ((1, 'A'), (2, 'R'))")
+def tuple_in(t):
+    return select.where(t("lineitem"), select.tuple_in(["l_linenumber", "l_returnflag"], [(1, "A"), (2, "R")])).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE list_contains(string_split(p_name, ' '), 'red')")
+def contains(t):
+    words = t("part").withColumn("words", F.split("p_name", " "))
+    return select.where(words, select.contains("words", "red")).select("p_partkey", "p_name")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'small%' AND p_name IS NOT NULL")
+def like(t):
+    return select.where(t("part"), F.col("p_name").like("small%"), F.col("p_name").isNotNull()).select("p_partkey", "p_name")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50")
+def map_entry(t):
+    df = t("events").withColumn("m", codecs.map_of(F.col("props"), "string", "bigint"))
+    return select.where(df, select.contains_key("m", "k"), select.entry("m", "k") >= 50).select("event_id", select.entry("m", "k").alias("k"))
+
+
+@query(f"SELECT o_orderkey, {_ORDER_TOKEN} AS token FROM orders WHERE {_ORDER_TOKEN} > 144115188075855871 AND {_ORDER_TOKEN} <= 432345564227567615")
+def token_range(t):
+    df = t("orders").withColumn("token", ring.token(F.col("o_orderkey")))
+    return select.where(df, F.col("token") > (1 << 57) - 1, F.col("token") <= 3 * (1 << 57) - 1).select("o_orderkey", "token")
+
+
+@query("""SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r <= 3""")
+def per_partition_limit(t):
+    spec = TableSpec(("user_id",), (("ts", "asc"), ("event_id", "asc")))
+    return select.per_partition_limit(t("events"), spec, 3).select("user_id", "event_id")
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def distinct_keys(t):
+    return select.distinct_partitions(t("events"), EVENTS)
+
+
+@query("SELECT user_id, count(*) AS n, min(value) AS low, max(value) AS high, round(sum(value), 2) AS total, round(avg(value), 4) AS mean FROM events GROUP BY user_id")
+def group_by_pk(t):
+    return t("events").groupBy("user_id").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.round(F.sum("value"), 2).alias("total"), F.round(F.avg("value"), 4).alias("mean")
+    )
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def order_by_limit(t):
+    return t("orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20).select("o_orderkey", "o_totalprice")
+
+
+@query("""
+WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0),
+d AS (SELECT vec_id, list_sum(list_transform(list_zip(CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])), lambda z: z[1] * z[2])) AS s FROM embeddings, q)
+SELECT vec_id, round((1.0 + s) / 2, 6) AS similarity FROM d ORDER BY (1.0 + s) / 2 DESC, vec_id LIMIT 10""")
+def ann_topk(t):
+    e = t("embeddings")
+    vector = e.where("vec_id = 0").select("embedding").first().embedding
+    return select.nearest(e, "embedding", vector, 10, "vec_id", "dot_product").select("vec_id", F.round("similarity", 6).alias("similarity"))
+
+
+# conversions
+
+_NUMBER_TEXT = """CASE l_linenumber % 6 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 1 THEN '  ' || CAST(l_partkey AS VARCHAR) || '.50'
+WHEN 2 THEN CAST(l_suppkey + 1 AS VARCHAR) || ',234.5' WHEN 3 THEN 'x' || CAST(l_partkey AS VARCHAR) WHEN 4 THEN 'TRUE' ELSE '' END"""
+
+
+def _number_text():
+    part, supp = F.col("l_partkey").cast("string"), (F.col("l_suppkey") + 1).cast("string")
+    kind = F.col("l_linenumber") % 6
+    return (
+        F.when(kind == 0, part).when(kind == 1, F.concat(F.lit("  "), part, F.lit(".50"))).when(kind == 2, F.concat(supp, F.lit(",234.5")))
+        .when(kind == 3, F.concat(F.lit("x"), part)).when(kind == 4, F.lit("TRUE")).otherwise(F.lit(""))
+    )
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_linenumber % 6 WHEN 0 THEN CAST(l_partkey AS DOUBLE) WHEN 1 THEN l_partkey + 0.5e0
+WHEN 2 THEN CASE WHEN l_suppkey + 1 < 1000 THEN (l_suppkey + 1) * 1000 + 234.5e0 END WHEN 4 THEN 1e0 END AS number FROM lineitem""")
+def parse_numbers(t):
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", codecs.number(_number_text()).cast("double").alias("number"))
+
+
+@query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN floor(l_quantity) = l_quantity AND l_quantity <= 127 THEN CAST(l_quantity AS TINYINT) END AS small,
+CASE WHEN floor(l_extendedprice) = l_extendedprice AND l_extendedprice <= 32767 THEN CAST(l_extendedprice AS SMALLINT) END AS price FROM lineitem""")
+def narrow_reject(t):
+    dec = lambda c: codecs.plain_number(F.col(c).cast("string"))
+    return t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", codecs.narrow(dec("l_quantity"), "tinyint").alias("small"), codecs.narrow(dec("l_extendedprice"), "smallint").alias("price"))
+
+
+@query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(least(greatest(floor(CAST(l_extendedprice AS DECIMAL(18,2))), -32768), 32767) AS SMALLINT) AS price,
+CAST(least(greatest(ceil(CAST(-l_extendedprice AS DECIMAL(18,2))), -32768), 32767) AS SMALLINT) AS minus FROM lineitem""")
+def narrow_truncate(t):
+    dec = lambda c: codecs.plain_number(c.cast("string"))
+    cut = lambda c: codecs.narrow(dec(c), "smallint", "truncate", "down")
+    return t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cut(F.col("l_extendedprice")).alias("price"), cut(-F.col("l_extendedprice")).alias("minus"))
+
+
+@query("""
+WITH v AS (SELECT event_id, CAST(event_id % 2001 - 1000 AS BIGINT) AS h FROM events),
+f AS (SELECT event_id, h, CAST(floor(CAST(h AS DOUBLE) / 2) AS BIGINT) AS low FROM v)
+SELECT event_id, low AS "floor", low + h - 2 * low AS "ceiling", CASE WHEN h < 0 THEN low ELSE low + h - 2 * low END AS "up",
+CASE WHEN h < 0 THEN low + h - 2 * low ELSE low END AS "down", CASE WHEN h < 0 THEN low ELSE low + h - 2 * low END AS half_up,
+CASE WHEN h < 0 THEN low + h - 2 * low ELSE low END AS half_down, CASE WHEN h % 2 = 0 THEN low WHEN low % 2 = 0 THEN low ELSE low + 1 END AS half_even,
+CASE WHEN h % 2 = 0 THEN low END AS "unnecessary" FROM f""")
+def round_modes(t):
+    half = ((F.col("event_id") % 2001 - 1000) / 2).cast("decimal(20,1)")
+    modes = ("floor", "ceiling", "up", "down", "half_up", "half_down", "half_even", "unnecessary")
+    return t("events").select("event_id", *(codecs.rounded(half, m).cast("long").alias(m) for m in modes))
+
+
+_WORDS = ("yes", "No", "TRUE", "f", "1", "0", "maybe", "")
+
+
+@query(f"""
+WITH w AS (SELECT o_orderkey, ({list(_WORDS)!r})[CAST(o_orderkey % 8 AS INTEGER) + 1] AS w FROM orders)
+SELECT o_orderkey, CASE WHEN lower(w) IN ('1', 'y', 't', 'yes', 'true') THEN TRUE WHEN lower(w) IN ('0', 'n', 'f', 'no', 'false') THEN FALSE END AS b,
+CASE WHEN lower(w) IN ('1', 'y', 't', 'yes', 'true') THEN '1' WHEN lower(w) IN ('0', 'n', 'f', 'no', 'false') THEN '0' END AS text FROM w""")
+def bool_words(t):
+    word = F.element_at(F.array(*map(F.lit, _WORDS)), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return t("orders").select("o_orderkey", codecs.boolean(word).alias("b")).withColumn("text", codecs.format_boolean(F.col("b")))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED') THEN o_orderpriority END AS v, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, 'NULL') AS out FROM orders")
+def null_strings(t):
+    settings = codecs.Settings(null_strings=("NULL",))
+    return t("orders").select(
+        "o_orderkey", codecs.null_strings(F.col("o_orderpriority"), ("5-LOW", "4-NOT SPECIFIED")).alias("v"), codecs.encode(codecs.null_strings(F.col("o_orderstatus"), ("P",)), "text", settings).alias("out")
+    )
+
+
+@query("SELECT doc_id, '0x' || lower(hex(encode(text))) AS h, base64(encode(text)) AS b, TRUE AS same FROM documents")
+def blob_roundtrip(t):
+    data = F.encode("text", "UTF-8")
+    h, b = codecs.format_blob(data, "hex"), codecs.format_blob(data)
+    same = (codecs.blob(h) == data) & (codecs.blob(b) == data)
+    return t("documents").select("doc_id", h.alias("h"), F.replace(b, F.lit("\r\n"), F.lit("")).alias("b"), same.alias("same"))
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) AS BIGINT) AS micros, CAST(epoch_us(ts) // 1000 AS BIGINT) - 946684800000 AS millis_2000, CAST(floor(epoch_us(ts) / 86400000000.0) AS BIGINT) AS days, TRUE AS back FROM events")
+def ts_units(t):
+    ts = F.col("ts").cast("timestamp")
+    back = codecs.from_units(codecs.units_since_epoch(ts, codecs.Settings(unit="microseconds")), codecs.Settings(unit="microseconds")) == ts
+    return t("events").select(
+        "event_id", codecs.writetime(ts).alias("micros"), codecs.units_since_epoch(ts, codecs.Settings(epoch="2000-01-01T00:00:00Z")).alias("millis_2000"),
+        codecs.units_since_epoch(ts, codecs.Settings(unit="days")).alias("days"), back.alias("back"),
+    )
+
+
+@query("""SELECT o_orderkey, CAST(epoch_us(o_orderdate) AS BIGINT) AS bare, CAST(epoch_us(o_orderdate) AS BIGINT) + 61200000000 + 720000000 AS timed,
+CAST(epoch_us(o_orderdate) AS BIGINT) + 54000000000 + 720000000 AS zoned, CAST(NULL AS BIGINT) AS bad FROM orders""")
+def parse_timestamps(t):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    at = lambda text: codecs.writetime(codecs.timestamp(text))
+    return t("orders").select(
+        "o_orderkey", at(day).alias("bare"), at(F.concat(day, F.lit(" 17:12"))).alias("timed"), at(F.concat(day, F.lit("T17:12:00+0200"))).alias("zoned"), at(F.concat(day, F.lit(" 25:00"))).alias("bad")
+    )
+
+
+_TICKS = "lpad(lower(printf('%x', CAST(epoch_us(ts) * 10 + 122192928000000000 AS BIGINT))), 15, '0')"
+
+
+def _timeuuid_sql(node: str) -> str:
+    return f"SELECT event_id, substr({_TICKS}, 8, 8) || '-' || substr({_TICKS}, 4, 4) || '-1' || substr({_TICKS}, 1, 3) || '-{node}' AS u, TRUE AS back FROM events"
+
+
+@query(_timeuuid_sql("8080-808080808080"))
+def timeuuid_min(t):
+    u = codecs.timeuuid(F.col("ts").cast("timestamp"), "min")
+    return t("events").select("event_id", u.alias("u"), (codecs.timeuuid_time(u) == F.col("ts").cast("timestamp")).alias("back"))
+
+
+@query(_timeuuid_sql("7f7f-7f7f7f7f7f7f"))
+def timeuuid_max(t):
+    u = codecs.timeuuid(F.col("ts").cast("timestamp"), "max")
+    return t("events").select("event_id", u.alias("u"), (codecs.timeuuid_time(u) == F.col("ts").cast("timestamp")).alias("back"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 1 AS n, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS text FROM events")
+def json_map(t):
+    m = codecs.map_of(F.col("props"), "string", "bigint")
+    return t("events").select("event_id", m["k"].alias("k"), F.size(m).alias("n"), codecs.format_collection(m).alias("text"))
+
+
+@query("SELECT event_id, event_id AS a, event_type AS b, value AS c, TRUE AS short_is_null FROM events")
+def json_tuple(t):
+    text = F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit(', "'), F.col("event_type"), F.lit('", '), F.col("value").cast("string"), F.lit("]"))
+    v = codecs.tuple_of(text, ["bigint", "string", "double"])
+    short = codecs.tuple_of(F.col("event_id").cast("string"), ["bigint", "string"])
+    return t("events").select("event_id", v["_1"].alias("a"), v["_2"].alias("b"), v["_3"].alias("c"), short.isNull().alias("short_is_null"))
+
+
+@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_partkey AS first, CAST(3 AS INTEGER) AS n, CASE WHEN l_partkey = l_suppkey THEN 1 ELSE 2 END AS distinct_n FROM lineitem")
+def json_list_set(t):
+    text = F.concat_ws(",", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    items, members = codecs.list_of(text, "bigint"), codecs.set_of(text, "bigint")
+    return t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", items[0].alias("first"), F.size(items).alias("n"), F.size(members).alias("distinct_n"))
+
+
+@query("SELECT c_custkey, c_name AS by_name, c_name AS by_place, c_nationkey AS nation FROM customer")
+def json_udt(t):
+    named = F.to_json(F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")))
+    placed = F.concat(F.lit('["'), F.col("c_name"), F.lit('",'), F.col("c_nationkey").cast("string"), F.lit("]"))
+    fields = {"name": "string", "nation": "int"}
+    return t("customer").select("c_custkey", codecs.udt_of(named, fields)["name"].alias("by_name"), codecs.udt_of(placed, fields)["name"].alias("by_place"), codecs.udt_of(placed, fields)["nation"].alias("nation"))
+
+
+@query("SELECT event_id, CAST(14 AS INTEGER) AS months, CAST(user_id % 30 AS INTEGER) AS days, user_id * 3600000000000 AS nanos FROM events")
+def durations(t):
+    d = codecs.duration(F.concat(F.lit("1y2mo"), (F.col("user_id") % 30).cast("string"), F.lit("d"), F.col("user_id").cast("string"), F.lit("h")))
+    return t("events").select("event_id", d["months"].alias("months"), d["days"].alias("days"), d["nanos"].alias("nanos"))
+
+
+@query("SELECT event_id, CASE WHEN user_id < 256 THEN '10.0.' || CAST(event_id % 256 AS VARCHAR) || '.' || CAST(user_id AS VARCHAR) END AS ip FROM events")
+def inet(t):
+    return t("events").select("event_id", codecs.inet(F.concat_ws(".", F.lit("10"), F.lit("0"), (F.col("event_id") % 256).cast("string"), F.col("user_id").cast("string"))).alias("ip"))
+
+
+# writes
+
+_WRITES = "SELECT user_id % 500 AS k, event_id AS pos, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS v, event_type AS e FROM events"
+_KEYED = TableSpec(("k",), types={"k": "bigint", "v": "double", "e": "text"})
+
+
+def _writes(t):
+    return t("events").select((F.col("user_id") % 500).alias("k"), F.col("event_id").alias("pos"), F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("v"), F.col("event_type").alias("e"))
+
+
+@query(f"SELECT k, max_by(v, pos) FILTER (WHERE v IS NOT NULL) AS v, max_by(e, pos) AS e FROM ({_WRITES}) GROUP BY k")
+def upsert_last_write(t):
+    return merge.last_writes(_writes(t), _KEYED, ["pos"], ["v", "e"])
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 THEN -1.0 WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_totalprice END AS erased,
+CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 THEN -1.0 ELSE o_totalprice END AS kept FROM orders""")
+def null_to_unset(t):
+    current = t("orders").select("o_orderkey", "o_totalprice")
+    writes = current.where("o_orderkey % 2 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.lit(-1.0)).alias("o_totalprice"))
+    kept = merge.upsert(current, writes, ORDERS, ["o_totalprice"]).withColumnRenamed("o_totalprice", "kept")
+    return merge.upsert(current, writes, ORDERS, ["o_totalprice"], null_to_unset=False).withColumnRenamed("o_totalprice", "erased").join(kept, "o_orderkey")
+
+
+@query(f"""
+WITH w AS ({_WRITES}), x AS (SELECT *, 1000 - pos % 7 AS tv, pos AS te FROM w)
+SELECT k, max_by(coalesce(v, -1), tv * 100000000 + pos) AS v, max_by(e, te * 100000000 + pos) AS e FROM x GROUP BY k""")
+def cell_timestamps(t):
+    w = _writes(t).withColumns({"writetime(v)": 1000 - F.col("pos") % 7, "writetime(e)": F.col("pos"), "v": F.coalesce("v", F.lit(-1.0))})
+    return merge.last_cells(w, _KEYED, ["v", "e"], "pos")
+
+
+@query("SELECT user_id AS k, CAST(sum(event_id % 10) + user_id AS BIGINT) AS c FROM events GROUP BY user_id")
+def counter_sum(t):
+    spec = TableSpec(("k",), types={"k": "bigint", "c": "counter"})
+    events = t("events").select(F.col("user_id").alias("k"), (F.col("event_id") % 10).alias("c"))
+    current = events.select("k", F.col("k").alias("c")).distinct()
+    return merge.increment(current, events, spec, ["c"])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal < 0)")
+def delete_rows(t):
+    gone = t("customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return merge.delete(t("orders"), gone, ["o_custkey"]).select("o_orderkey", "o_custkey")
+
+
+_TRIES = "SELECT o_orderkey * 2 AS o_orderkey FROM orders"
+
+
+@query(f"SELECT t.o_orderkey, c.o_orderkey IS NULL AS inserted FROM ({_TRIES}) t LEFT JOIN orders c USING (o_orderkey)")
+def insert_if_not_exists(t):
+    tries = t("orders").select((F.col("o_orderkey") * 2).alias("o_orderkey"))
+    new, refused = merge.insert_if_absent(t("orders"), tries, ORDERS)
+    return new.withColumn("inserted", F.lit(True)).unionByName(refused.withColumn("inserted", F.lit(False)))
+
+
+@query(f"SELECT t.o_orderkey, coalesce(c.o_orderstatus = 'F', FALSE) AS applied FROM ({_TRIES}) t LEFT JOIN orders c USING (o_orderkey)")
+def update_if(t):
+    tries = t("orders").select((F.col("o_orderkey") * 2).alias("o_orderkey"))
+    done, refused = merge.update_if(t("orders"), tries, ORDERS, "o_orderstatus", F.lit("F"))
+    return done.withColumn("applied", F.lit(True)).unionByName(refused.withColumn("applied", F.lit(False)))
+
+
+@query("SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id) AS top FROM events")
+def static_column(t):
+    spec = TableSpec(("user_id",), (("event_id", "asc"),), static=frozenset({"top"}))
+    rows = t("events").select("user_id", "event_id", F.lit(None).cast("double").alias("top"))
+    writes = t("events").select("user_id", F.col("value").alias("top"), F.col("value").alias("at"))
+    return merge.upsert_static(rows, writes, spec, ["top"], ["at"])
+
+
+@query("SELECT p_partkey, list_sort(list_distinct(list_concat(string_split(p_name, ' '), ['red', 'new']))) AS tags, CAST(2 AS INTEGER) AS m FROM part")
+def collection_updates(t):
+    tags = merge.add(F.split("p_name", " "), F.array(F.lit("red"), F.lit("new")))
+    m = merge.put(F.create_map(F.lit("a"), F.lit(1)), F.create_map(F.lit("a"), F.lit(2)))
+    return t("part").select("p_partkey", tags.alias("tags"), m["a"].alias("m"))
+
+
+# batches, errors, checkpoints
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // 3 AS b FROM lineitem),
+s AS (SELECT count(*) AS size FROM r GROUP BY l_orderkey, b) SELECT size, count(*) AS n FROM s GROUP BY size""")
+def batch_sizes(t):
+    return batch.batch_sizes(t("lineitem"), ["l_orderkey"], ["l_linenumber"], 3)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST((row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // 4 AS BIGINT) AS batch FROM lineitem""")
+def batch_rows(t):
+    return batch.by_rows(t("lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], 4).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "batch")
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 20) AS errors, round(count(*) FILTER (WHERE value > 20) * 100.0 / count(*), 2) AS pct FROM events GROUP BY event_type")
+def error_ratio(t):
+    return errors.error_ratio(t("events"), F.col("value") > 20, "event_type")
+
+
+_GAPS = "SELECT event_type, event_id, event_id - row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS g FROM events"
+
+
+@query(f"SELECT event_type, min(event_id) AS first, max(event_id) AS last FROM ({_GAPS}) GROUP BY event_type, g")
+def checkpoint_ranges(t):
+    return checkpoint.position_ranges(t("events"), "event_type", "event_id")
+
+
+@query("SELECT event_type, event_id FROM events WHERE value > 20")
+def replay(t):
+    e = t("events")
+    done = checkpoint.checkpoint(e.withColumn("failed", F.col("value") > 20), "event_type", "event_id", "failed")
+    return checkpoint.replay(e.select("event_type", "event_id"), done, "retry", resource="event_type", position="event_id")
+
+
+# rings
+
+
+@query("SELECT CAST(i.range AS INTEGER) AS range_id, i.range * 36028797018963968 - 1 AS start, (i.range + 1) * 36028797018963968 - 1 AS \"end\", CAST(36028797018963968 AS BIGINT) AS size FROM range(32) i")
+def split_ring(t):
+    parts = ring.split(RING, 32)
+    ring.check(parts)
+    frame = ring.frame(t("nation").sparkSession, parts)
+    return frame.select("range_id", "start", "end", (F.col("end") - F.col("start")).alias("size"))
+
+
+@query("SELECT CAST(i.range AS INTEGER) AS range_id, i.range * 288230376151711744 - 1 AS start, (i.range + 1) * 288230376151711744 - 1 AS \"end\" FROM range(4) i")
+def cluster_ring(t):
+    whole = [ring.Range(r.start, r.end, HOSTS) for r in ring.split(RING, 32)]
+    return ring.frame(t("nation").sparkSession, ring.cluster(whole, 4)).select("range_id", "start", "end")
+
+
+# whole runs
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment FROM customer")
+def unload_load_csv(t):
+    """Unload to delimited files, load them into an empty table."""
+    table = t("customer").withColumn("c_mktsegment", codecs.null_strings(F.col("c_mktsegment"), ("BUILDING",)))
+    path = Scratch(table.sparkSession, "csv").path("customer")
+    form = csv.Csv(multi_line=False)
+    csv.write(unload.records(table, CUSTOMER), path, form)
+    records = csv.read(table.sparkSession, files.Files((path,)), form)
+    return load.load(records, table.limit(0), CUSTOMER)[0]
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events")
+def unload_load_json(t):
+    """Unload to documents, read them back, load into a table by user and event."""
+    spec = TableSpec(("user_id",), (("event_id", "asc"),), types={"event_id": "bigint", "user_id": "bigint", "ts": "timestamp", "event_type": "text", "value": "double"})
+    table = t("events").drop("props").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = Scratch(table.sparkSession, "json").path("events")
+    json.write(unload.documents(table.withColumn("ts", codecs.writetime(F.col("ts")))), path)
+    schema = table.withColumn("ts", F.lit(0).cast("long")).schema
+    records = json.read(table.sparkSession, files.Files((path,)), schema, json.Json(decimals=False))
+    back = records.withColumn("ts", F.date_format(codecs.from_writetime(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    loaded = load.load(back, table.limit(0), spec)[0]
+    return loaded.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("""
+SELECT 'good' AS outcome, count(*) AS n FROM orders WHERE o_orderkey % 10 <> 0
+UNION ALL SELECT 'can''t convert o_totalprice' AS outcome, count(*) AS n FROM orders WHERE o_orderkey % 10 = 0""")
+def load_errors(t):
+    """Bad records go aside and don't reach the table."""
+    records = t("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.lit("?")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"))
+    rows = load.bind(records, ORDERS)
+    good, bad = errors.route(rows)
+    return good.agg(F.lit("good").alias("outcome"), F.count("*").alias("n")).unionByName(bad.groupBy(F.col("_error").alias("outcome")).agg(F.count("*").alias("n")))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, length(CAST(l_orderkey AS VARCHAR)) + length(l_returnflag) + length(CAST(l_quantity AS VARCHAR)) AS bytes FROM lineitem""")
+def row_sizes(t):
+    size = codecs.row_size(F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_quantity")).cast("long")
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", size.alias("bytes"))
