@@ -1,14 +1,14 @@
-"""What the operators of this folder share: scratch tables, ranks, bounded joins, word bytes."""
+"""What the operators of this folder share: ranks, bounded joins, word bytes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 #: Words are runs of anything but ASCII white space; `bytes.split()` cuts at exactly these six bytes.
 SPACE = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACE}]+"
@@ -19,41 +19,6 @@ ALNUM = bytes(
     for b in range(256)
 )
 
-_own_folder: list[str] = []
-
-
-class Scratch:
-    """A new folder for intermediate tables under spark.checkpoint.dir, which all executors share.
-
-    Tables written there cut lineage and outlive lost executors. Only a local session, as in tests,
-    may leave spark.checkpoint.dir unset; it then gets a temporary folder.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            if not _own_folder:
-                _own_folder.append(tempfile.mkdtemp(prefix="keyloft-"))
-            base = "file://" + _own_folder[0]
-        self.spark, self.root = spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """Write df as Parquet (zstd) and return the table read back."""
-        df.write.options(**{"compression": "zstd", **options}).parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, name: str) -> None:
-        """Delete a table that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def ranked(df: DataFrame, order: Sequence[Column], scratch: Scratch, name: str) -> DataFrame:
     """df with a gapless `rank` from 0 in the given order, without sorting everything in one task.
 
@@ -92,5 +57,8 @@ def join_small(left: DataFrame, small: DataFrame, keys: Sequence[str], spread: C
     return left.join(right, on, "left").drop(*drop, "_salt", "_rsalt")
 
 
+__all__ = ["ALNUM", "SPACE", "WORD", "Scratch", "join_small", "load", "ranked"]
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

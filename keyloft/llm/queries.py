@@ -15,4 +15,34 @@ from .warc import op6_warc
 
 QUERIES = {f.__name__: f for f in (op1_tokens, op2_decontaminate, op3_simhash, op4_mix, op5_shard, op6_warc, op7_quality, op8_licenses, op9_substrings, op10_lm)}
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# lower() would also change letters beyond ASCII
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Operators that aren't here need hashes, a tokenizer, sketches or rules that SQL lacks; tests/llm has brute-force versions.
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(i) WHERE len(w) > 0),
+m AS (SELECT DISTINCT m FROM bw),
+dw AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM d, m, unnest(range(1, len(w) - m + 2)) t(i)),
+h AS (SELECT doc_id, dw.m, i, item_id FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM h, unnest(range(0, m)) t(k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS xs FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(xs, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN n ON d.doc_id = n.doc_id""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS b FROM pages), q AS (SELECT *, octet_length(b) AS n, sha256(b) AS s, min(page_id) OVER (PARTITION BY sha256(b)) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, s AS payload_digest, CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to, coalesce(url, '') AS url, CAST(CASE WHEN n >= 100 AND page_id <> f THEN 0 ELSE n END AS BIGINT) AS content_length FROM q""",
+    "op9_substrings": f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM w, unnest(range(1, len(w) - 48)) t(i)),
+f AS (SELECT h, min(doc_id) AS m FROM g GROUP BY h),
+c AS (SELECT DISTINCT doc_id, i + k AS p FROM g JOIN f USING (h), unnest(range(0, 50)) t(k) WHERE m < doc_id),
+x AS (SELECT doc_id, p, w[p] AS word FROM w, unnest(range(1, len(w) + 1)) t(p)),
+k AS (SELECT x.doc_id, count(c.p) AS n_removed, string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE c.p IS NULL) AS kept FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.p = c.p GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
+}
