@@ -112,7 +112,7 @@ def _counting(vocabulary: str):
         sp = sentencepiece.SentencePieceProcessor(model_file=_path(vocabulary))
         total = np.zeros(sp.get_piece_size())
         for batch in batches:
-            words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
+            words = [w.decode("utf-8", "replace") for w in batch.column("word").to_numpy(zero_copy_only=False).tolist()]
             pieces = sp.encode(words, num_threads=1) if words else []
             n = np.array(list(map(len, pieces)), np.int64)
             ids = np.fromiter(chain.from_iterable(pieces), np.int64, int(n.sum()))
@@ -169,7 +169,7 @@ def _scoring(logs: dict[bytes, float], base_of: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, c = batch.column("word"), batch.column("c").to_numpy()
-            score = [lattice(w, logs, longest) / math.log(10) for w in words.to_pylist()]
+            score = [lattice(w, logs, longest) / math.log(10) for w in words.to_numpy(zero_copy_only=False).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [words, pa.array(c > 0), pa.array(np.log10(c + ADD) - down), pa.array(score, pa.float64())], ["word", "known", "base", "lat"]
             )
