@@ -155,8 +155,8 @@ def lattice(word: bytes, logs: dict[bytes, float], longest: int) -> float:
             p = get(s[i:j])
             if p is not None:
                 terms.append(alpha[i] + p)
-        top = max(terms)
-        alpha.append(top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 else top)
+        top = max(terms, default=-math.inf)
+        alpha.append(top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 and top > -math.inf else top)
     return alpha[-1]
 
 

@@ -115,10 +115,10 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     def merged(keys: list[str], tag: str) -> DataFrame:
         agg = parts.groupBy(*keys).agg(F.sum("n").alias(f"n{tag}"), *(F.kll_merge_agg_double(r).alias(f"{r}{tag}") for r in RATES))
         return agg.select(
-            *keys, f"n{tag}", *(_quartile(F.col(f"{r}{tag}"), q).alias(f"{r}_{k}{tag}") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75)))
+            *keys, f"n{tag}", *(_quartile(F.col(f"n{tag}"), F.col(f"{r}{tag}"), q).alias(f"{r}_{k}{tag}") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75)))
         )
 
-    groups = parts.select("lang", "source", F.col("n").alias("n0"), *(_quartile(F.col(r), q).alias(f"{r}_{k}0") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75))))
+    groups = parts.select("lang", "source", F.col("n").alias("n0"), *(_quartile(F.col("n"), F.col(r), q).alias(f"{r}_{k}0") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75))))
     # a group all of whose documents fail has no sketch; its documents are rejected anyway
     table = join_small(groups, merged(["lang"], "1"), ["lang"], F.xxhash64("source")).crossJoin(F.broadcast(merged([], "2")))
 
@@ -133,8 +133,9 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     return table.select("lang", "source", *high, *low)
 
 
-def _quartile(sketch: Column, q: float) -> Column:
-    return F.kll_sketch_get_quantile_double(sketch, F.lit(q))
+def _quartile(n: Column, sketch: Column, q: float) -> Column:
+    """A quantile of a sketch of n values; null of none."""
+    return F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q)))
 
 
 def judged(measured: DataFrame, scratch: Scratch) -> DataFrame:

@@ -1,0 +1,405 @@
+"""Each operator against the plain version, on rows with nulls, blanks, long texts, ties and repeats, and on empty tables."""
+
+import random
+from collections import defaultdict
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from keyloft.llm import decontaminate, licenses, lm, mixing, quality, sharding, simhash, substrings, tokens, warc
+from keyloft.llm.common import Scratch, join_hot, join_small, ranked
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, n_words long, key string, fp string, copies int, rec int"
+
+
+def sentence(rnd, n, vocabulary=400):
+    return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
+
+
+def make_docs():
+    """Rows with nulls in every column, copies, near copies, shared passages and columns whose names operators use."""
+    rnd = random.Random(7)
+    passage, other = sentence(rnd, 80), sentence(rnd, 60)
+    texts = [sentence(rnd, rnd.randrange(1, 200)) for _ in range(30)]
+    texts += [texts[3], texts[3], texts[4] + " tail", texts[5].upper(), sentence(rnd, 40) + " " + passage, passage + " " + sentence(rnd, 30), passage]
+    texts += [other + "\n" + other, sentence(rnd, 20) + "\t" + other + " " + sentence(rnd, 5)]
+    texts += [None, "", " \n\t", "one", "two words", "the " * 300, "a b " * 200, "x" * 30_000, sentence(rnd, 20_000), "été Été ÉTÉ naïve ﬁ  a b", "Σ ΑΣ. İ"]
+    texts += ["Licensed under the Apache License, Version 2.0. MIT License", "cc by cc by-nc 4.0", "GNU General Public License v3 or later", "###*** $$$ %%% &&& |x| <b> " * 6]
+    texts += [sentence(rnd, 25) + " " + ITEMS[0]["text"] + " " + sentence(rnd, 9), "foo bar baz", "a foo bar baz foo bar baz b", ITEMS[3]["text"][:-4]]
+    rows = [(i, t, rnd.choice(["en", "de", None]), rnd.choice(["src0", "src0", "src1", "é", "", None]), len(t or ""), 1, 2, "k", "f", 9, None) for i, t in enumerate(texts)]
+    rows += [(None, texts[0], None, None, None, None, None, None, None, None, None), (None, None) + (None,) * 9]
+    rows += [rows[2], rows[2], rows[30], (2, "another text with the same id", "en", "src0", 1, 1, 1, "", "", 1, 1)]
+    rnd.shuffle(rows)
+    return rows
+
+
+def items():
+    rnd = random.Random(11)
+    long = [{"item_id": i, "text": sentence(rnd, n)} for i, n in enumerate((30, 10, 11, 12))]
+    return [*long, {"item_id": 10, "text": long[0]["text"]}, {"item_id": 5, "text": "Foo, bar; BAZ"}, {"item_id": 6, "text": None}, {"item_id": 7, "text": ""}, {"item_id": None, "text": "naïve"}][:8]
+
+
+ITEMS = items()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(make_docs(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [r.asDict() for r in docs.collect()]
+
+
+@pytest.fixture(scope="module")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def same(df, columns, expected):
+    got = [tuple(r[c] for c in columns) for r in df.select(*columns).collect()]
+    key = lambda x: tuple(map(repr, x))
+    assert sorted(got, key=key) == sorted(expected, key=key)
+
+
+def test_tokens(spark, docs, rows, no_docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    expected = brute.tokens(rows, Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY)))
+    same(tokens.tokenize(docs), ["doc_id", "start", "n_tokens", "ids_crc32"], expected)
+    assert tokens.tokenize(no_docs).count() == 0
+
+
+def test_token_file_reads(spark, docs, rows):
+    path = Scratch(spark, "t").path("file")
+    tokens.write_tokens(docs, path)
+    some = tokens.read_tokens(spark, path, first=10, last=12)
+    assert sorted(r.doc_id for r in some.collect()) == [10, 11, 12]
+    all_ = {(r.doc_id, r.start) for r in tokens.read_documents(spark, path).collect()}
+    assert {(r.doc_id, r.start) for r in some.collect()} <= all_
+    assert "tokens:array" not in str(tokens.read_documents(spark, path)._jdf.queryExecution().executedPlan())
+
+
+def test_encoder_equals_tokenizer_on_any_text():
+    import public_tokenizers
+    import pyarrow as pa
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    whole, encode = Tokenizer.from_file(path), tokens.WordEncoder(path)
+    special = st.sampled_from(["<|endoftext|>", "don't", "İ", "é", " ́", "Straße...", "\x1c", " ", "ABC###", "x<|startoftext|>y", "ﬁ", "１２", "漢字。"])
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.one_of(st.text(max_size=12), special, st.sampled_from([" ", "\n", "\t "])), max_size=12).map("".join))
+    def check(text):
+        ids, n = encode(pa.array([text, "again " + text]))
+        assert list(ids[: n[0]]) == whole.encode(text, add_special_tokens=False).ids
+        assert list(ids[n[0] :]) == whole.encode("again " + text, add_special_tokens=False).ids
+
+    check()
+
+
+@pytest.mark.parametrize("bound", [decontaminate.BOUND, 0])
+def test_contamination(spark, docs, rows, no_docs, bound):
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    it = spark.createDataFrame([tuple(i.values()) for i in ITEMS], "item_id long, text string")
+    found = decontaminate.contamination(docs.select(F.struct("doc_id").alias("key"), "text"), it, Scratch(spark, "t"), bound)
+    expected = brute.contamination(rows, ITEMS)
+    assert sum(e[-1] for e in expected) >= 4
+    same(found.select("key.doc_id", *columns[1:]), columns, expected)
+    none = decontaminate.contamination(docs.select(F.struct("doc_id").alias("key"), "text"), it.limit(0), Scratch(spark, "t"), bound)
+    assert none.where("contaminated or n_items > 0").isEmpty() and none.count() == len(rows)
+    clean = decontaminate.clean(docs, it)
+    assert clean.columns == docs.columns and clean.count() == sum(not e[-1] for e in expected)
+    assert decontaminate.clean(no_docs, it).count() == 0
+
+
+def test_winnowing_finds_every_shared_span():
+    import numpy as np
+
+    rnd = random.Random(5)
+    for _ in range(300):
+        span = [rnd.getrandbits(64) for _ in range(10)]
+        a = [rnd.getrandbits(64) for _ in range(rnd.randrange(20))] + span + [rnd.getrandbits(64) for _ in range(rnd.randrange(20))]
+        prints = [set(fp.tolist()) for h in (a, span) for _, _, fp in decontaminate.fingerprints(np.array(h, np.uint64), [])]
+        assert prints[0] & prints[1]
+
+
+def test_simhash(spark, docs, rows, no_docs):
+    found = simhash.grouped(docs.select(F.struct("doc_id").alias("key"), "text"), Scratch(spark, "t"))
+    expected = brute.components(rows)
+    found = found.select("key.doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    same(found, ["doc_id", "fingerprint", "component_id"], expected)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for _, _, c in expected if c is not None})
+    assert simhash.keep_one(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("tile", [simhash.TILE, 16])
+def test_links_of_dense_and_random_fingerprints(spark, monkeypatch, tile):
+    """All links of fingerprints near one centre and of far ones, whole and in tiles."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rnd = random.Random(3)
+    centre = rnd.getrandbits(64)
+    near = {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(0, 7))) for _ in range(300)}
+    every = sorted(near | {rnd.getrandbits(64) for _ in range(300)} | {0, 7, (1 << 64) - 1})
+    up = {x: x for x in every}
+
+    def root(up, x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, x in enumerate(every):
+        for y in every[:i]:
+            if (x ^ y).bit_count() <= 3:
+                up[max(root(up, x), root(up, y))] = min(root(up, x), root(up, y))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([(signed(x),) for x in every], "fp long")
+    links = simhash.links(df, Scratch(spark, "t")).collect()
+    got = {x: x for x in every}
+    for a, b in links:
+        a, b = a % (1 << 64), b % (1 << 64)
+        assert (a ^ b).bit_count() <= 3
+        ra, rb = root(got, a), root(got, b)
+        got[max(ra, rb)] = min(ra, rb)
+    assert {x: root(got, x) for x in every} == {x: root(up, x) for x in every}
+
+
+def test_components_of_chains_and_stars(spark):
+    from keyloft.llm.components import components
+
+    chain = [(i, i + 1) for i in range(60)]
+    star = [(100, 100 + i) for i in range(1, 200)]
+    df = spark.createDataFrame(chain + star + [(7, 7), (1000, 999)], "a long, b long")
+    roots = dict(components(df, Scratch(spark, "t")).collect())
+    assert {roots[i] for i in range(61)} == {0} and {roots[i] for i in range(100, 300)} == {100} and roots[1000] == roots[999] == 999
+
+
+def test_mixing(spark, docs, rows, no_docs):
+    sized = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"), mixing.draw(F.col("doc_id"), F.col("text")).alias("u"))
+    runs = [mixing.mix(sized, mixing.plan(sized, Scratch(spark, "t"))).collect() for _ in range(2)]
+    assert sorted(map(repr, runs[0])) == sorted(map(repr, runs[1]))
+    sizes = defaultdict(int)
+    for d in rows:
+        sizes[d["source"]] += len(brute.words(d["text"]))
+    goal, taken, largest = brute.targets(sizes), defaultdict(int), defaultdict(int)
+    for r in runs[0]:
+        assert r.source_size == sizes[r.source] and abs(r.target - goal[r.source]) < 1e-6 and 0 <= r.copies <= 3
+        taken[r.source] += r.size * r.copies
+        largest[r.source] = max(largest[r.source], r.size)
+    for s in sizes:
+        assert abs(taken[s] - goal[s]) <= max(largest[s], 0.05 * goal[s])
+    out = mixing.emit(docs)
+    assert out.columns == docs.columns and out.count() == sum(r.copies for r in runs[0])
+    assert mixing.emit(no_docs).count() == 0
+
+
+def test_many_sources_go_by_shuffle(spark, monkeypatch):
+    left = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(spark.sql("select null, -1L"))
+    for bound in (100, 3):
+        got = join_small(left.union(spark.sql("select null, 5000L")), small, ["k"], F.col("id"), bound)
+        assert got.count() == 1001 and got.where("v = k * 2").count() == 800 and got.where("v = -1").count() == 1
+
+
+def test_join_hot_equals_join(spark):
+    left = spark.range(5000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 100).alias("k"), "id")
+    right = left.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") + 1)
+    got = join_hot(left, right, ["k"], Scratch(spark, "t"), "hot", hot=1000)
+    assert got.count() == 5000 and got.where("v <> k + 1").isEmpty()
+
+
+def test_ranked(spark):
+    df = spark.createDataFrame([(x,) for x in ["b", "a", None, "é", "z"]], "s string")
+    got = {r.s: r["rank"] for r in ranked(df, [F.col("s").asc_nulls_last()], Scratch(spark, "t"), "r").collect()}
+    assert got == {"a": 0, "b": 1, "z": 2, "é": 3, None: 4}
+
+
+def test_sharding(spark, docs, rows):
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slotted = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), sharding.slot_of(F.col("doc_id"), text).alias("virtual_slot"))
+    size, n = sharding.slot_loads(slotted)
+    got = sharding.place(slotted, sharding.assign(size, 8), n, ["doc_id", "text_crc32"]).collect()
+    assert len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(8))
+
+
+def test_slot_map_versions(spark):
+    rnd = random.Random(1)
+    size = [rnd.randrange(1000) for _ in range(4096)]
+    first = sharding.assign(size, 8)
+    load = lambda m, k: [sum(s for s, x in zip(size, m) if x == i) for i in range(k)]
+    assert max(load(first, 8)) - min(load(first, 8)) <= 1000
+    grown = sharding.rebalance(first, size, 9)
+    assert max(load(grown, 9)) <= 1.02 * sum(size) / 9
+    assert all(b == 8 for a, b in zip(first, grown) if a != b)  # moves only fill the new shard
+    path = Scratch(spark, "t").path("map")
+    sharding.write_map(spark, first, 1, path)
+    sharding.write_map(spark, grown, 2, path)
+    assert sharding.read_map(spark, 1, path) == first and sharding.read_map(spark, 2, path) == grown
+
+
+def test_quality(spark, docs, rows, no_docs):
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = quality.measures(docs)
+    same(got.select("rec.doc_id", *columns), ["doc_id", *columns], [(d["doc_id"], *brute.quality(d["text"])) for d in rows])
+    kept = quality.keep(docs)
+    assert kept.columns == docs.columns
+    assert not [r for r in kept.collect() if brute.quality(r.text)[-1]]
+    assert quality.keep(no_docs).count() == 0
+
+
+def test_quality_rejects_outliers_and_keeps_clean_groups(spark):
+    rnd = random.Random(2)
+    clean = [(i, sentence(rnd, 100), "en", f"s{i % 3}") for i in range(300)]
+    noisy = [(1000 + i, " ".join(f"w{j}***" for j in range(60)), "en", "s0") for i in range(10)]
+    kept = {r.doc_id for r in quality.keep(spark.createDataFrame(clean + noisy, "doc_id long, text string, lang string, source string")).collect()}
+    assert kept == {d[0] for d in clean}
+
+
+def test_warc(spark):
+    page = "<html>" + "p" * 200
+    pages = [(1, "u1", page), (2, "u2\r\nx: y", page), (3, None, None), (4, "u4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", "WARC-Type: revisit\r\n\r\n" + "é" * 100), (None, "n", page), (8, "u8", page + "x"), (8, "u8", page + "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    scratch = Scratch(spark, "t")
+    warc.write_archive(df, scratch)
+    archive = warc.read_archive(spark, scratch)
+    expected = brute.warc([dict(zip(("page_id", "url", "html"), p)) for p in pages])
+    same(warc.read_records(archive), ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"], expected)
+    records = [bytes(r.record) for r in warc.record_bytes(archive).collect()]
+    for r in records:
+        head, _, block = r.partition(b"\r\n\r\n")
+        length = int(head.split(b"Content-Length: ")[1].split(b"\r\n")[0])
+        assert len(block) == length + 4 and block.endswith(b"\r\n\r\n") and b"\r\nx: y" not in head
+    stored = spark.read.parquet(scratch.path("payloads"))
+    assert stored.count() == stored.select("digest").distinct().count() == len({(p[2] or "") for p in pages})
+    empty = Scratch(spark, "t")
+    warc.write_archive(df.limit(0), empty)
+    assert warc.read_archive(spark, empty).count() == 0
+
+
+def test_damaged_payload_is_found(spark):
+    scratch = Scratch(spark, "t")
+    warc.write_archive(spark.createDataFrame([(1, "u", "x" * 200)], "page_id long, url string, html string"), scratch)
+    bad = spark.read.parquet(scratch.path("payloads")).withColumn("payload", F.lit(b"other"))
+    bad.write.parquet(scratch.path("bad"))
+    scratch.drop("payloads")
+    spark.read.parquet(scratch.path("bad")).write.parquet(scratch.path("payloads"))
+    with pytest.raises(Exception, match="damaged payload"):
+        warc.read_archive(spark, scratch).collect()
+
+
+def test_licenses(spark, docs, rows, no_docs):
+    got = licenses.scan(docs.select(F.struct("doc_id").alias("key"), "text")).select("key.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    same(got, got.columns[:6], [(d["doc_id"], *brute.licenses(d["text"])) for d in rows])
+    for r in got.collect():
+        assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+    assert licenses.scan(no_docs.select(F.struct("doc_id").alias("key"), "text")).count() == 0
+
+
+def test_license_rules():
+    s = licenses.Scanner()
+    assert len(s.rules) > 300
+    for r in s.rules:
+        assert r.keyword.split()[0][:5] in r.pattern.replace("(?:", "").replace("?", "") or r.keyword in ("as is",), r
+    find = lambda text: [(x[0], x[3]) for x in s.scan(f" {' '.join(brute.alnum(text))} ")]
+    assert find("Licensed under the Apache License, Version 2.0.") == [("apache", 1.0)]
+    assert find("Licensed under CC BY-NC 4.0.") == [("cc-by-nc", 1.0)]
+    assert [x for x, _ in find("GNU Lesser General Public License v2.1 or later")] == ["lgpl"]
+    assert [x for x, _ in find("SPDX-License-Identifier: MIT License and BSD 3-Clause License")] == ["mit", "bsd-3-clause"]
+    assert find("mit der Lizenz permit licensee") == []
+
+
+def test_license_suppression_equals_plain_rule():
+    """What stands: by priority, then length; nothing inside or around what stands."""
+    rnd = random.Random(4)
+    rules = [licenses.Rule(f"r{i}", "a", " ".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 5))), rnd.randrange(3), 0.5) for i in range(30)]
+    s = licenses.Scanner(rules)
+    for _ in range(200):
+        text = f" {' '.join(rnd.choice('abc') for _ in range(rnd.randrange(1, 30)))} "
+        raw = sorted((s.rules[i].priority, m.start() - m.end(), i, m.start(), m.end()) for i in s.candidates(text) for m in s.compiled[i].finditer(text))
+        stands = []
+        for _, _, i, a, b in raw:
+            if not any((x <= a and b <= y) or (a <= x and y <= b) for x, y, _ in stands):
+                stands.append((a, b, i))
+        expected = [(s.rules[i].label, text.count(" ", 0, a) - 1, text.count(" ", 0, b)) for a, b, i in sorted(stands)]
+        assert [x[:3] for x in s.scan(text)] == expected
+
+
+@pytest.mark.parametrize("bound", [substrings.BOUND, 0])
+def test_substrings(spark, docs, rows, no_docs, bound):
+    found, cut = substrings.dedup(docs, Scratch(spark, "t"), bound)
+    expected = brute.substrings(rows)
+    assert sum(0 < e[2] < e[1] for e in expected) >= 2
+    same(found, ["doc_id", "n_words", "n_removed", "kept_sha256"], expected)
+    assert substrings.dedup(no_docs, Scratch(spark, "t"))[0].count() == 0
+
+
+def test_equal_windows_have_equal_keys():
+    import numpy as np
+
+    rnd, hashes = random.Random(1), substrings._Hashes()
+    names = [b"v%d" % i for i in range(25)]
+    for _ in range(150):
+        few = names[: rnd.choice([1, 2, 3, 25])]
+        core = [rnd.choice(few) for _ in range(rnd.choice([50, 55, 90]))]
+        around = lambda: [rnd.choice(names) for _ in range(rnd.randrange(30))]
+        a, b = around(), around()
+        texts = [around(), a + core + around(), around(), b + core + around()][rnd.randrange(2) :]
+        keys = []
+        for w, (first, last, key) in zip(texts, substrings._keyed(texts, hashes)):
+            full = np.empty(max(0, len(w) - 49), np.uint64)
+            for x, y, k in zip(first, last, key):
+                full[x : y + 1] = k
+            keys.append(full)
+        n = len(core) - 49
+        assert (keys[-3][len(a) : len(a) + n] == keys[-1][len(b) : len(b) + n]).all()
+
+
+def test_scores(spark, docs, rows, no_docs):
+    got = lm.score(docs, Scratch(spark, "t")).collect()
+    key = lambda r: (repr(r[0]), r[2], round(r[5], 6))
+    expected = sorted(brute.base_scores(rows), key=key)
+    got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got), key=key)
+    assert [g[:5] for g in got] == [e[:5] for e in expected]
+    for g, e in zip(got, expected):
+        assert abs(g[5] - e[5]) < 1e-6 * max(1, abs(e[5])) and g[6] < 0
+    assert lm.score(no_docs, Scratch(spark, "t")).count() == 0
+
+
+def test_scores_without_training_rows(spark):
+    held = next(i for i in range(100) if brute.held_out(i))
+    r = lm.score(spark.createDataFrame([(held, "some words")], "doc_id long, text string"), Scratch(spark, "t")).first()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and abs(r.base_score) < 1e-9
+
+
+def test_lattice_sums_all_segmentations():
+    import math
+
+    logs = {k: math.log(p) for k, p in {lm.MARK: 0.1, lm.MARK + b"a": 0.2, b"a": 0.1, b"b": 0.1, b"ab": 0.05, lm.MARK + b"ab": 0.01}.items()}
+    expected = 0.01 + 0.2 * 0.1 + 0.1 * 0.05 + 0.1 * 0.1 * 0.1
+    assert abs(math.exp(lm.lattice(b"ab", logs, 5)) - expected) < 1e-12
+
+
+def test_lattice_prefers_real_words(spark, docs):
+    counts = {}
+    logs, _ = lm.weights(counts, 1)
+    longest = max(map(len, logs))
+    assert all(lm.lattice(w, logs, longest) > -1e9 for w in (b"", b"x" * 2000, "漢字".encode(), bytes([255])))
+    assert abs(sum(math_exp(v) for v in logs.values()) + math_exp(lm.weights(counts, 1)[1]) - 1) < 1e-6
+
+
+def math_exp(x):
+    import math
+
+    return math.exp(x)
