@@ -17,7 +17,7 @@ NATIVE = {
     "date": T.DateType(),
     "decimal": T.DecimalType(38, 10),
     "double": T.DoubleType(),
-    "duration": T.StructType.fromDDL("months int, days int, nanos long"),
+    "duration": T.StructType([T.StructField("months", T.IntegerType()), T.StructField("days", T.IntegerType()), T.StructField("nanos", T.LongType())]),
     "float": T.FloatType(),
     "inet": T.StringType(),
     "int": T.IntegerType(),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import NATIVE, Files, check_target, numbered, take, whole_files
+from .files import NATIVE, Files, check_target, numbered, take, whole_files, with_error
 
 #: Stands for null while reading, so that empty fields aren't.
 _NO_VALUE = "\x01"
@@ -77,7 +77,7 @@ def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, mo
     options = form.options() | files.options() | {"columnNameOfCorruptRecord": "_corrupt", "enforceSchema": "true"}
     df = spark.read.schema(schema).options(**options).csv(paths)
     df = df.withColumn("_resource", F.col("_metadata.file_path"))
-    df = df.withColumn("_error", F.when(F.col("_corrupt").isNotNull(), F.concat(F.lit("unreadable: "), F.col("_corrupt")))).drop("_corrupt")
+    df = with_error(df, "_corrupt", names[0]) if names else df.withColumn("_error", F.col("_corrupt")).drop("_corrupt")
     if positions or skip or most is not None:
         df = take(numbered(df), skip, most)
     return df

@@ -64,6 +64,16 @@ def whole_files(spark: SparkSession, files: Files) -> DataFrame:
     return raw.mapInPandas(run, "_resource string, content string")
 
 
+def with_error(df: DataFrame, corrupt: str, field: str) -> DataFrame:
+    """df with _error in place of the reader's column of unreadable records.
+
+    Spark refuses to read that column alone, so an empty piece of another field goes with it.
+    """
+    nothing = F.left(F.coalesce(F.col(f"`{field}`").cast("string"), F.lit("")), F.lit(0))
+    text = F.concat(F.lit("unreadable: "), F.col(corrupt), nothing)
+    return df.withColumn("_error", F.when(F.col(corrupt).isNotNull(), text)).drop(corrupt)
+
+
 def numbered(df: DataFrame, resource: str = "_resource") -> DataFrame:
     """df plus _position, from 1 within each file, in reading order.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .files import Files, check_target, numbered, take, whole_files
+from .files import Files, check_target, numbered, take, whole_files, with_error
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ def read(spark: SparkSession, files: Files, schema: StructType, form: Json = Jso
     else:
         options = form.options() | files.options() | {"multiLine": str(form.mode == "single_document").lower()}
         df = spark.read.schema(wide).options(**options).json(files.all_paths(spark)).withColumn("_resource", F.col("_metadata.file_path"))
-    df = df.withColumn("_error", F.when(F.col("_corrupt").isNotNull(), F.concat(F.lit("unreadable: "), F.col("_corrupt")))).drop("_corrupt")
+    df = with_error(df, "_corrupt", schema.names[0])
     return take(numbered(df), skip, most) if skip or most is not None else df
 
 
