@@ -26,7 +26,7 @@ END = 2
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
 #: Words whose ids a worker remembers at most; it forgets all when there are more.
-REMEMBER = 400_000
+REMEMBER = 300_000
 STEP = 4 << 20  # bytes of text worked on at a time
 
 #: ASCII marks without the apostrophe (part of contractions), '<' and '|' and '>' (part of special tokens).
@@ -49,13 +49,28 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
         self.known: dict[str, bytes] = {"": b""}
+        #: ids that end a word, by the vocabulary's suffix
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBER:
-            self.known = {"": b""}
-        for w, e in zip(words, self.encode(words, add_special_tokens=False)):
+        """Encode words of letters many at a time: each is one word to the tokenizer, so its last id alone ends a word."""
+        letters = [w for w in words if w.isalpha()]
+        lines = [letters[i : i + 1000] for i in range(0, len(letters), 1000)]
+        for line, e in zip(lines, self.encode([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) == len(line):
+                data = ids.tobytes()
+                at = 0
+                for w, to in zip(line, stops.tolist()):
+                    self.known[w] = data[at:to]
+                    at = to
+        rest = [w for w in words if w not in self.known]
+        for w, e in zip(rest, self.encode(rest, add_special_tokens=False) if rest else ()):
             self.known[w] = array("I", e.ids).tobytes()
 
     def _ids(self, words: pa.Array) -> list[bytes]:
@@ -65,19 +80,17 @@ class WordEncoder:
         plain = pc.and_(pc.match_substring_regex(words, _PLAIN), pc.match_substring_regex(base, _LATIN))
         base = pc.if_else(plain, base, words)
         tail = pc.if_else(plain, pc.utf8_slice_codeunits(low, 0), "")
-        base, tail = base.to_pylist(), tail.to_pylist()
+        base, tail = (x.to_numpy(zero_copy_only=False).tolist() for x in (base, tail))
         tail = [t[len(b) :] if t else "" for b, t in zip(base, tail)]
         get = self.known.get
         found, ends = list(map(get, base)), list(map(get, tail))
         new = {w for w, x in zip(base, found) if x is None}
         new.update(t for t, x in zip(tail, ends) if x is None)
         if new:
-            before = len(self.known)
+            if len(self.known) + len(new) > REMEMBER:  # forget all, and learn all of this batch
+                self.known = {"": b""}
+                new = {*base, *tail} - self.known.keys()
             self._learn(list(new))
-            if len(self.known) < before + len(new):  # it forgot; nothing of this batch may be missing
-                lost = (set(base) | set(tail)) - self.known.keys()
-                for w, e in zip(lost, self.encode(list(lost), add_special_tokens=False)):
-                    self.known[w] = array("I", e.ids).tobytes()
             get = self.known.__getitem__
             found, ends = list(map(get, base)), list(map(get, tail))
         return [a + b for a, b in zip(found, ends)]
