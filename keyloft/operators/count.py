@@ -54,9 +54,12 @@ def render_key(key: Sequence[str]) -> Column:
 
 
 def count_partitions(df: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:
-    """pk, n, pct of the n partitions with the most rows; ties by key."""
+    """pk, n, pct of the n partitions with the most rows; ties by key.
+
+    The total is summed from the same partial counts, whose shuffle Spark uses again, so rows are read once.
+    """
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("total")))
+    total = F.broadcast(counts.agg(F.sum("n").alias("total")))
     top = counts.withColumn("pk", render_key(key)).orderBy(F.desc("n"), "pk").limit(n)
     return top.crossJoin(total).select("pk", "n", percent(F.col("n"), F.col("total")).alias("pct"))
 
