@@ -215,10 +215,6 @@ def ann_topk(t):
 
 # conversions
 
-_NUMBER_TEXT = """CASE l_linenumber % 6 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 1 THEN '  ' || CAST(l_partkey AS VARCHAR) || '.50'
-WHEN 2 THEN CAST(l_suppkey + 1 AS VARCHAR) || ',234.5' WHEN 3 THEN 'x' || CAST(l_partkey AS VARCHAR) WHEN 4 THEN 'TRUE' ELSE '' END"""
-
-
 def _number_text():
     part, supp = F.col("l_partkey").cast("string"), (F.col("l_suppkey") + 1).cast("string")
     kind = F.col("l_linenumber") % 6

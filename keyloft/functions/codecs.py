@@ -40,7 +40,7 @@ class Settings:
     null_strings: tuple[str, ...] = ()
     overflow: str = "reject"  # or truncate
     rounding: str = "unnecessary"
-    timestamp_pattern: str | None = None  # None: the CQL form
+    timestamp_pattern: str | None = None  # None: a date, then perhaps a time and a zone
     date_pattern: str = "yyyy-MM-dd"
     time_zone: str = "UTC"
     unit: str = "milliseconds"
