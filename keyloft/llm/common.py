@@ -57,7 +57,21 @@ def join_small(left: DataFrame, small: DataFrame, keys: Sequence[str], spread: C
     return left.join(right, on, "left").drop(*drop, "_salt", "_rsalt")
 
 
-__all__ = ["ALNUM", "SPACE", "WORD", "Scratch", "join_small", "load", "ranked"]
+def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Scratch, name: str, hot: int = 4096, most: int = 20_000) -> DataFrame:
+    """Inner join; right has one row for each key, with `n`, the number of left's rows that have it.
+
+    The keys with the most rows, each above `hot`, are broadcast: `most` rows at most. What remains
+    is shuffled; a key that isn't among them has less than one in `most` of left's rows.
+    """
+    top = scratch.write(right.where(F.col("n") > hot).orderBy(F.desc("n"), *keys).limit(most), name)
+    if top.isEmpty():
+        return left.join(right.drop("n"), list(keys))
+    known = F.broadcast(top.select(*keys))
+    rest = left.join(known, list(keys), "left_anti").join(right.drop("n"), list(keys))
+    return left.join(F.broadcast(top.drop("n")), list(keys)).unionByName(rest)
+
+
+__all__ = ["ALNUM", "SPACE", "WORD", "Scratch", "join_hot", "join_small", "load", "ranked"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -30,7 +30,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         up = e.select(F.col("v").alias("u"), F.col("u").alias("x"), F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int").alias("s"))  # x > u
         dealt = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        large = up.join(dealt, ["u", "s"]).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = up.join(dealt, ["u", "s"]).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v")  # a row for each link at most
         # small star: neighbours below a node, and the node, go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u")

@@ -144,32 +144,57 @@ def weights(counts: dict[int, int], ends: int, vocabulary: str = VOCABULARY) ->
     return {k: math.log(v) - total for k, v in held.items()}, math.log(ends + ADD) - total
 
 
-def lattice(word: bytes, logs: dict[bytes, float], longest: int) -> float:
-    """The natural log of the summed probabilities of all segmentations of a word."""
+def prefixes(logs: dict[bytes, float]) -> dict[bytes, float | None]:
+    """The pieces with their log probabilities, and with None all beginnings of pieces that are none."""
+    out: dict[bytes, float | None] = {}
+    for piece in logs:
+        for i in range(1, len(piece)):
+            out.setdefault(piece[:i])
+    return out | logs
+
+
+_NONE = object()
+
+
+def lattice(word: bytes, pieces: dict[bytes, float | None]) -> float:
+    """The natural log of the summed probabilities of all segmentations of a word; `pieces` from prefixes().
+
+    Forward recursion: the paths into each place are summed, and go on by every piece that begins there.
+    """
     s = MARK + word
-    get, exp, log = logs.get, math.exp, math.log
-    alpha = [0.0]
-    for j in range(1, len(s) + 1):
-        terms = []
-        for i in range(max(0, j - longest), j):
-            p = get(s[i:j])
+    n, get, exp, log = len(s), pieces.get, math.exp, math.log
+    into: list[list[float]] = [[] for _ in range(n + 1)]
+    into[0].append(0.0)
+    alpha = -math.inf
+    for i in range(n + 1):
+        paths = into[i]
+        if not paths:
+            alpha = -math.inf
+            continue
+        if len(paths) == 1:
+            alpha = paths[0]
+        else:
+            top = max(paths)
+            alpha = top + log(sum([exp(x - top) for x in paths]))
+        for j in range(i + 1, n + 1):
+            p = get(s[i:j], _NONE)
+            if p is _NONE:
+                break
             if p is not None:
-                terms.append(alpha[i] + p)
-        top = max(terms, default=-math.inf)
-        alpha.append(top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 and top > -math.inf else top)
-    return alpha[-1]
+                into[j].append(alpha + p)
+    return alpha
 
 
 def _scoring(logs: dict[bytes, float], base_of: tuple[int, int]):
     """Log10 scores of distinct words: by their counts, and by their lattices."""
-    longest = max(map(len, logs))
+    pieces = prefixes(logs)
     n, v = base_of
     down = math.log10(n + ADD * (v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, c = batch.column("word"), batch.column("c").to_numpy()
-            score = [lattice(w, logs, longest) / math.log(10) for w in words.to_numpy(zero_copy_only=False).tolist()]
+            score = [lattice(w, pieces) / math.log(10) for w in words.to_numpy(zero_copy_only=False).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [words, pa.array(c > 0), pa.array(np.log10(c + ADD) - down), pa.array(score, pa.float64())], ["word", "known", "base", "lat"]
             )
@@ -220,7 +245,9 @@ def score(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, folds
     # as many rows as the vocabulary has pieces at most
     pieces = counted.where("c > 0").mapInArrow(_counting(vocabulary), "piece int, n long").groupBy("piece").agg(F.sum("n")).collect()
     logs, end = weights({i: x for i, x in pieces}, trained, vocabulary)
-    scored = scratch.write(counted.repartition("word").mapInArrow(_scoring(logs, (n, v)), "word binary, known boolean, base double, lat double"), "scored")
+    # an own number of tasks: the rows are few bytes but much work
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = scratch.write(counted.repartition(tasks, "word").mapInArrow(_scoring(logs, (n, v)), "word binary, known boolean, base double, lat double"), "scored")
     looked = entries.select("chunk", "word", "at").join(scored, "word").select(F.col("chunk").alias("in_chunk"), "at", "known", "base", "lat")
     rows = parts.where("word is null").select("chunk", "doc_id", "held_out", "n_tokens", "ids", "counts")
     ending = (trained > 0, math.log10(trained + ADD) - math.log10(n + ADD * (v + 1)), end / math.log(10))

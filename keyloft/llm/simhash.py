@@ -256,15 +256,18 @@ def _dealt_join(left: DataFrame, right: DataFrame, key: str = "root", salts: int
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with their columns, that have the smallest doc_id of their component; of equal rows one."""
+    """The rows of docs, with their columns, that have the smallest doc_id of their component; of equal ids one row.
+
+    Rows get a number with which they are stored; all grouping is over numbers, and the texts are
+    moved once, at the end.
+    """
     scratch = Scratch(docs.sparkSession, "simhash")
-    found = grouped(docs.select(F.struct("*").alias("key"), "text"), scratch)
+    stored = scratch.write(docs.select(F.struct("*").alias("rec")).withColumn("n", F.monotonically_increasing_id()), "stored")
+    key = F.struct("n", F.col("rec.doc_id").alias("doc_id"), F.crc32("rec.text").alias("crc")).alias("key")
+    found = grouped(stored.select(key, F.col("rec.text").alias("text")), scratch)
     first = found.where(F.col("key.doc_id").eqNullSafe(F.col("component_id")))
-    # several rows may have that id; their fingerprints break the tie
-    first = first.select("key", "component_id", F.struct("fp", F.crc32("key.text")).alias("t"), F.monotonically_increasing_id().alias("n"))
-    first = scratch.write(first, "first")
-    one = first.groupBy("component_id").agg(F.min(F.struct("t", "n")).alias("m")).select(F.col("m.n").alias("n"))
-    return first.join(one, "n").select("key.*")
+    one = first.groupBy("component_id").agg(F.min(F.struct("fp", "key.crc", "key.n")).alias("m")).select(F.col("m.n").alias("n"))
+    return stored.join(one, "n", "left_semi").select("rec.*")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Scratch, load
+from .common import Scratch, join_hot, load
 
 WINDOW = 50
 STOP = 6  # a symbol of so many words is final
 ROUNDS = 7
 BATCH_WORDS = 400_000
 #: Keys of candidate documents are broadcast, to spare other texts a shuffle, up to so many.
-BOUND = 2_000_000
+BOUND = 500_000
 _REMEMBER = 300_000
 _U = np.uint64
 _FAR = 1 << 40
@@ -313,9 +313,12 @@ def dedup(docs: DataFrame, scratch: Scratch, bound: int = BOUND) -> tuple[DataFr
         parsed.where(F.col("n_words") >= WINDOW).select("doc", "id", "spans").dropDuplicates(["doc", "id"]).join(lead, ["doc", "id"]).select("doc", "id", F.inline("spans")), "spans"
     )
 
-    shared = spans.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("key")
-    ranges = spans.join(shared, "key").groupBy("doc", "id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    shared = spans.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a < b")
+    shared = scratch.write(shared.select("key", "n"), "shared")
+    ranges = join_hot(spans, shared, ["key"], scratch, "hot_keys").groupBy("doc", "id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     ranges = scratch.write(ranges, "ranges")
+    for name in ("parsed", "spans", "shared"):
+        scratch.drop(name)
     texts = keyed.select("doc", "id", "text")
     keys = ranges.select(F.xxhash64("doc", "id").alias("k")).distinct()
     if keys.limit(bound + 1).count() <= bound:
@@ -323,9 +326,13 @@ def dedup(docs: DataFrame, scratch: Scratch, bound: int = BOUND) -> tuple[DataFr
     some = scratch.write(texts.dropDuplicates(["doc", "id"]).join(ranges, ["doc", "id"]), "some")
 
     windows = scratch.write(some.mapInArrow(_candidates, "h1 long, h2 long, doc long, id long, at int"), "windows")
-    least = windows.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
-    gone = windows.join(least, ["h1", "h2"]).where("doc > least").select("doc", "id", "at")
+    scratch.drop("ranges")
+    least = windows.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n")).where("least < most")
+    least = scratch.write(least.drop("most"), "least")
+    gone = join_hot(windows, least, ["h1", "h2"], scratch, "hot_windows").where("doc > least").select("doc", "id", "at")
     starts = scratch.write(gone.groupBy("doc", "id").agg(F.collect_list("at").alias("starts")), "starts")
+    for name in ("windows", "least"):
+        scratch.drop(name)
     cut = scratch.write(
         some.select("doc", "id", "text").join(starts, ["doc", "id"]).mapInArrow(_cut, "doc long, id long, n_removed long, cut_sha string, kept binary"), "cut"
     )

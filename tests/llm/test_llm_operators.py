@@ -388,14 +388,15 @@ def test_lattice_sums_all_segmentations():
 
     logs = {k: math.log(p) for k, p in {lm.MARK: 0.1, lm.MARK + b"a": 0.2, b"a": 0.1, b"b": 0.1, b"ab": 0.05, lm.MARK + b"ab": 0.01}.items()}
     expected = 0.01 + 0.2 * 0.1 + 0.1 * 0.05 + 0.1 * 0.1 * 0.1
-    assert abs(math.exp(lm.lattice(b"ab", logs, 5)) - expected) < 1e-12
+    assert abs(math.exp(lm.lattice(b"ab", lm.prefixes(logs))) - expected) < 1e-12
 
 
 def test_lattice_prefers_real_words(spark, docs):
     counts = {}
     logs, _ = lm.weights(counts, 1)
-    longest = max(map(len, logs))
-    assert all(lm.lattice(w, logs, longest) > -1e9 for w in (b"", b"x" * 2000, "漢字".encode(), bytes([255])))
+    assert lm.lattice(b"z", lm.prefixes({b"a": -1.0})) == -float("inf")
+    pieces = lm.prefixes(logs)
+    assert all(lm.lattice(w, pieces) > -1e9 for w in (b"", b"x" * 2000, "漢字".encode(), bytes([255])))
     assert abs(sum(math_exp(v) for v in logs.values()) + math_exp(lm.weights(counts, 1)[1]) - 1) < 1e-6
 
 
