@@ -33,7 +33,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         large = up.join(dealt, ["u", "s"]).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v")  # a row for each link at most
         # small star: neighbours below a node, and the node, go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u")
+        dealt = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        moved = large.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(dealt, ["u", "s"])  # a node may have many below it
         small = (
             moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
