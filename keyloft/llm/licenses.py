@@ -43,11 +43,11 @@ class Rule:
 #: A version's words are those of its number: 2.0 is "2 0", v3 is "v3".
 FAMILIES = [
     ("gpl", "gnu", r"gnu (?:general public license|gpl)", "1 0|2 0|2|3 0|3|v1|v2|v3"),
-    ("gpl", "gpl", r"gplv?", "1 0|2 0|2|3 0|3|v2|v3"),
+    ("gpl", "gpl", r"gplv?", "1 0|1|2 0|2|3 0|3|v1|v2|v2 0|v3|v3 0"),
     ("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public license", "2 0|2 1|2|3 0|3|v2 1|v3"),
-    ("lgpl", "lgpl", r"lgplv?", "2 0|2 1|2|3 0|3|v3"),
+    ("lgpl", "lgpl", r"lgplv?", "2 0|2 1|2|3 0|3|v2|v2 0|v2 1|v3|v3 0"),
     ("agpl", "affero", r"(?:gnu )?affero general public license", "1 0|3 0|3|v3"),
-    ("agpl", "agpl", r"agplv?", "1 0|3 0|3|v3"),
+    ("agpl", "agpl", r"agplv?", "1 0|1|3 0|3|v1|v3|v3 0"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation license", "1 1|1 2|1 3"),
     ("apache", "apache", r"apache (?:software )?license", "1 0|1 1|2 0|2|v2"),
     ("mit", "mit", r"mit license", ""),
@@ -122,6 +122,77 @@ FAMILIES = [
     ("cc-by", "creative commons", r"creative commons attribution", "3 0|4 0"),
 ]
 
+#: Short names as SPDX has them, as words: label, keyword, the id without version, its versions (empty: none),
+#: and whether the id says by itself that a license is meant. The others, such as "mit", which is also a
+#: German word, count only where the text calls them a license or beside another id.
+IDS = [
+    ("mit", "mit", "mit", "", False),
+    ("mit-0", "mit 0", "mit 0", "", False),
+    ("apache", "apache", "apache", "1 0|1 1|2 0|2", True),
+    ("bsd", "bsd", "bsd", "", False),
+    ("bsd-2-clause", "bsd 2 clause", "bsd 2 clause", "", True),
+    ("bsd-3-clause", "bsd 3 clause", "bsd 3 clause", "", True),
+    ("bsd-4-clause", "bsd 4 clause", "bsd 4 clause", "", True),
+    ("0bsd", "0bsd", "0bsd", "", True),
+    ("isc", "isc", "isc", "", False),
+    ("mpl", "mpl", "mpl", "1 0|1 1|2 0|2", True),
+    ("epl", "epl", "epl", "1 0|2 0", False),
+    ("cddl", "cddl", "cddl", "1 0|1 1", True),
+    ("cpl", "cpl", "cpl", "1 0", False),
+    ("eupl", "eupl", "eupl", "1 0|1 1|1 2", True),
+    ("artistic", "artistic", "artistic", "1 0|2 0", True),
+    ("boost", "bsl", "bsl", "1 0", True),
+    ("bsl", "busl", "busl", "1 1", True),
+    ("zlib", "zlib", "zlib", "", False),
+    ("libpng", "libpng", "libpng", "2 0", False),
+    ("unlicense", "unlicense", "unlicense", "", True),
+    ("wtfpl", "wtfpl", "wtfpl", "", True),
+    ("x11", "x11", "x11", "", False),
+    ("python", "python", "python", "2 0", False),
+    ("python", "psf", "psf", "2 0", True),
+    ("ruby", "ruby", "ruby", "", False),
+    ("php", "php", "php", "3 0|3 01", False),
+    ("postgresql", "postgresql", "postgresql", "", False),
+    ("openssl", "openssl", "openssl", "", False),
+    ("openldap", "oldap", "oldap", "2 7|2 8", True),
+    ("w3c", "w3c", "w3c", "", False),
+    ("ofl", "ofl", "ofl", "1 0|1 1", True),
+    ("odbl", "odbl", "odbl", "1 0", True),
+    ("odc-by", "odc by", "odc by", "1 0", True),
+    ("pddl", "pddl", "pddl", "1 0", True),
+    ("ms-pl", "ms pl", "ms pl", "", True),
+    ("ms-rl", "ms rl", "ms rl", "", True),
+    ("ibm-pl", "ipl", "ipl", "1 0", False),
+    ("apsl", "apsl", "apsl", "1 0|1 1|1 2|2 0", True),
+    ("intel", "intel", "intel", "", False),
+    ("ncsa", "ncsa", "ncsa", "", False),
+    ("afl", "afl", "afl", "1 1|1 2|2 0|2 1|3 0", False),
+    ("osl", "osl", "osl", "1 0|1 1|2 0|2 1|3 0", True),
+    ("upl", "upl", "upl", "1 0", True),
+    ("sspl", "sspl", "sspl", "1 0|1", True),
+    ("elastic", "elastic", "elastic", "2 0", False),
+    ("gfdl", "gfdl", "gfdl", "1 1|1 2|1 3", True),
+    ("qpl", "qpl", "qpl", "1 0", True),
+    ("nasa", "nasa", "nasa", "1 3", False),
+    ("json", "json", "json", "", False),
+    ("vim", "vim", "vim", "", False),
+    ("curl", "curl", "curl", "", False),
+    ("ecl", "ecl", "ecl", "1 0|2 0", True),
+    ("cecill", "cecill", "cecill", "", True),
+    ("mulan", "mulanpsl", "mulanpsl", "1 0|2 0", True),
+    ("openrail", "openrail", "(?:bigscience |creativeml )?openrail(?: ?[ms])?", "", True),
+]
+
+#: Addresses of licenses as words: label, keyword, what follows, versions.
+ADDRESSES = [
+    ("apache", "apache org", "apache org licenses license", "1 0|1 1|2 0"),
+    *((f"cc-{kind}", "creativecommons", f"creativecommons org licenses {kind.replace('-', ' ')}", "1 0|2 0|2 5|3 0|4 0")
+      for kind in ("by-nc-nd", "by-nc-sa", "by-nc", "by-nd", "by-sa", "by")),
+    ("cc-by-nc-nd", "creativecommons", "creativecommons org licenses by nd nc", "1 0"),
+    ("cc0", "creativecommons", "creativecommons org publicdomain zero", "1 0"),
+    ("public-domain", "creativecommons", "creativecommons org (?:publicdomain mark|licenses publicdomain)", "1 0"),
+]
+
 #: Sentences and marks that name no license by version: label, keyword, pattern, score.
 TEXTS = [
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
@@ -147,9 +218,56 @@ FORMS = [
     ("", "", 0.7),
 ]
 
+#: Where any id is a license's: what stands before it, the keyword (empty: the id's), and the score.
+ID_FORMS = [
+    (FORMS[0][0], "", 1.0),
+    (FORMS[1][0], "spdx", 1.0),
+    (r"opensource org licenses? ", "opensource", 1.0),
+]
+
+#: Ids that are also names of languages, tools or firms: "released under ..." says too little of them.
+NAMES = {"python", "ruby", "php", "postgresql", "openssl", "w3c", "intel", "elastic", "nasa", "json", "vim", "curl"}
+
+#: Abbreviations that a version follows with or without a space, and a v or not: gplv3, gpl 3 0, lgplv2 1.
+JOINED = {"gplv?", "lgplv?", "agplv?"}
+
+
+def _beside(name: str) -> str:
+    """An id that says nothing by itself, where an expression joins it to one that does, or to one with the SPDX mark."""
+    clear, vague = [], []
+    for _, _, n, versions, alone in IDS:
+        if "(" not in n:
+            (clear if alone else vague).extend(f"{n} {v}" if v else n for v in versions.split("|"))
+    clear += [f"{n} {v}{x}" for n in ("gpl", "lgpl", "agpl") for v in ("2 0", "2 1", "3 0") for x in ("", " only", " or later")]
+    before = [f" {x}" for x in clear] + [f"identifier {x}" for x in vague]
+    return f"(?={name} )(?:{'|'.join(f'(?<={x} {op} )' for x in before for op in ('or', 'and'))}|(?={name} (?:or|and) (?:{'|'.join(clear)}) )){name}"
+
+
+def _id_rules() -> list[Rule]:
+    """The ids in each form and, if they say enough, alone; priorities as those of the families' forms."""
+    rules = []
+    for label, word, name, versions, alone in IDS:
+        word = word if versions or "(" in name else f" {word} "
+        full = f"{name} ?v?(?:{versions})" if versions else name
+        for before, keyword, score in ID_FORMS:
+            if before == FORMS[0][0] and name in NAMES:
+                continue
+            if versions:
+                rules.append(Rule(label, keyword or word, before + full, 2, score))
+            rules.append(Rule(label, keyword or word, before + name, 3, score * 0.9))
+        if not alone:
+            rules.append(Rule(label, word, _beside(f"{name} (?:{versions})" if versions else name), 6, 0.7))
+        elif versions:
+            # alone, a version has two numbers: "apache 2" may be the server
+            dotted = "|".join(v for v in versions.split("|") if " " in v)
+            rules.append(Rule(label, word, f"{name}(?: |v| v)(?:{dotted})", 6, 0.7))
+        else:
+            rules.append(Rule(label, word, name, 7, 0.63))
+    return rules
+
 
 def build_rules() -> list[Rule]:
-    """All rules in their order: each family in each form, with a version and without, then the texts.
+    """All rules in their order: each family in each form, with a version and without, then the ids, the addresses and the texts.
 
     Priority 0 is tried and kept first. A form with a version goes before the same without.
     """
@@ -158,8 +276,14 @@ def build_rules() -> list[Rule]:
         for i, (before, after, score) in enumerate(FORMS):
             if versions:
                 v = f"(?: license)?(?: version)? (?:{versions})"
+                if name in JOINED:
+                    v = f"(?:{v}|(?:{versions}))"
                 rules.append(Rule(label, keyword, before + name + v + after, 2 * i, score))
             rules.append(Rule(label, keyword, before + name + after, 2 * i + 1, score * 0.9))
+    rules += _id_rules()
+    for label, keyword, name, versions in ADDRESSES:
+        rules.append(Rule(label, keyword, f"{name} (?:{versions})", 2, 1.0))
+        rules.append(Rule(label, keyword, name, 3, 0.9))
     rules += [Rule(label, keyword, pattern, 2 if score > 0.8 else 9, score) for label, keyword, pattern, score in TEXTS]
     return rules
 

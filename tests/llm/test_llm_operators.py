@@ -320,6 +320,25 @@ def test_license_rules():
     assert find("mit der Lizenz permit licensee") == []
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        *((x, "gpl") for x in ("GPLv3", "gplv2+", "Licensed under GPLv3", "GPL3", "GNU GPLv3", "SPDX-License-Identifier: GPL-2.0-or-later")),
+        ("LGPLv3", "lgpl"), ("LGPLv2.1 or later", "lgpl"), ("AGPLv3", "agpl"), ("Licensed under MIT", "mit"), ("MPLv2.0", "mpl"),
+        *((f"// SPDX-License-Identifier: {x}", y) for x, y in {
+            "MIT": "mit", "MIT-0": "mit-0", "Apache-2.0": "apache", "BSD-2-Clause": "bsd-2-clause", "BSD-3-Clause": "bsd-3-clause", "MPL-2.0": "mpl", "ISC": "isc",
+            "EPL-2.0": "epl", "Zlib": "zlib", "BSL-1.0": "boost", "CC-BY-SA-4.0": "cc-by,cc-by-sa", "CC0-1.0": "cc0", "MIT OR Apache-2.0": "apache,mit", "(MIT AND ISC)": "isc,mit",
+        }.items()),
+        ('license = "Apache-2.0 OR MIT"', "apache,mit"), ("https://opensource.org/licenses/MIT", "mit"), ("http://www.apache.org/licenses/LICENSE-2.0", "apache"),
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa"), ("http://creativecommons.org/licenses/by/3.0/us/", "cc-by"),
+        ("https://creativecommons.org/publicdomain/zero/1.0/", "cc0"),
+        ("mit der Lizenz oder mit Python 2.0 and vim", ""), ("Harvard or MIT", ""), ("an Apache 2 server, EPL 2-0", ""), ("released under JSON", ""),
+    ],
+)
+def test_license_marks(text, labels):
+    assert licenses.scan_text(licenses.Scanner(), text.encode())["labels"] == labels
+
+
 def test_license_suppression_equals_plain_rule():
     """What stands: by priority, then length; nothing inside or around what stands."""
     rnd = random.Random(4)
