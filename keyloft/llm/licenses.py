@@ -30,7 +30,10 @@ BASE = {
 
 @dataclass(frozen=True)
 class Rule:
-    """A signature: `pattern` over lower-cased words parted by single spaces, tried if `keyword` occurs."""
+    """A signature: `pattern` over lower-cased words parted by single spaces, tried if `keyword` occurs.
+
+    Every text that the pattern matches has the keyword, whichever alternative it takes.
+    """
 
     label: str
     keyword: str
@@ -44,7 +47,8 @@ class Rule:
 FAMILIES = [
     ("gpl", "gnu", r"gnu (?:general public license|gpl)", "1 0|2 0|2|3 0|3|v1|v2|v3"),
     ("gpl", "gpl", r"gplv?", "1 0|1|2 0|2|3 0|3|v1|v2|v2 0|v3|v3 0"),
-    ("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public license", "2 0|2 1|2|3 0|3|v2 1|v3"),
+    ("lgpl", "lesser", r"(?:gnu )?lesser general public license", "2 0|2 1|2|3 0|3|v2 1|v3"),
+    ("lgpl", "library general", r"(?:gnu )?library general public license", "2 0|2 1|2|3 0|3|v2|v2 0|v2 1|v3"),
     ("lgpl", "lgpl", r"lgplv?", "2 0|2 1|2|3 0|3|v2|v2 0|v2 1|v3|v3 0"),
     ("agpl", "affero", r"(?:gnu )?affero general public license", "1 0|3 0|3|v3"),
     ("agpl", "agpl", r"agplv?", "1 0|1|3 0|3|v1|v3|v3 0"),

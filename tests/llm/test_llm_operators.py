@@ -1,6 +1,7 @@
 """Each operator against the plain version, on rows with nulls, blanks, long texts, ties and repeats, and on empty tables."""
 
 import random
+import re
 from collections import defaultdict
 
 import brute
@@ -339,6 +340,41 @@ def test_license_marks(text, labels):
     assert licenses.scan_text(licenses.Scanner(), text.encode())["labels"] == labels
 
 
+def spellings(tree):
+    """What a parsed pattern can match, each optional part left out and put in once, a class by its first letter."""
+    out = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "NOT_LITERAL":
+            some = ["x"]
+        elif name == "IN":
+            some = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])]
+        elif name == "BRANCH":
+            some = [x for branch in arg[1] for x in spellings(branch)]
+        elif name == "SUBPATTERN":
+            some = spellings(arg[-1])
+        elif name == "MAX_REPEAT":
+            some = ([""] if arg[0] == 0 else []) + spellings(arg[2])
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+            some = [""]
+        out = [a + b for a in out for b in dict.fromkeys(some)]
+    return out
+
+
+def test_every_alternative_of_a_rule_has_its_keyword():
+    for r in licenses.Scanner().rules:
+        for x in spellings(re._parser.parse(r.pattern)):
+            assert r.keyword in f" {x} ", (r.label, x)
+
+
+@pytest.mark.parametrize("text", ["GNU Library General Public License", "under the terms of the GNU Library General Public License, version 2", "Library General Public License v2 or later"])
+def test_library_license_needs_no_other_keyword(text):
+    assert "lgpl" in licenses.scan_text(licenses.Scanner(), text.encode())["labels"].split(",")
+
+
 def test_license_suppression_equals_plain_rule():
     """What stands: by priority, then length; nothing inside or around what stands."""
     rnd = random.Random(4)
