@@ -229,9 +229,9 @@ def links(fingerprints: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """docs (key struct with doc_id, text) as key, fp, component_id.
+    """docs (key struct with doc_id, text) as key, fp, root, component_id.
 
-    component_id is the smallest doc_id of all documents reachable over links of near fingerprints.
+    root is the component's own number, whatever its ids; component_id is the smallest doc_id of all documents reachable over links of near fingerprints.
     Null or empty texts and those without words have fingerprint zero, which links like any other.
     A null doc_id is never a component's id unless its component has no other.
     """
@@ -244,13 +244,13 @@ def grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.write(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = scratch.write(_dealt_join(rooted, ids), "ids")
-    return _dealt_join(prints, by_fp, "fp").select("key", "fp", "component_id")
+    by_fp = scratch.write(_dealt_join(rooted, ids).select("fp", "root", "component_id"), "ids")
+    return _dealt_join(prints, by_fp, "fp").select("key", "fp", "root", "component_id")
 
 
 def _dealt_join(left: DataFrame, right: DataFrame, key: str = "root", salts: int = 16) -> DataFrame:
     """left join right on key, a hot key's rows dealt over tasks; right has one row for each key."""
-    right = right.select(key, "component_id").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = F.xxhash64("key.doc_id") if key == "fp" else F.xxhash64("fp")
     return left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int")).join(right, [key, "_salt"]).drop("_salt")
 
@@ -258,6 +258,8 @@ def _dealt_join(left: DataFrame, right: DataFrame, key: str = "root", salts: int
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, with their columns, that have the smallest doc_id of their component; of equal ids one row.
 
+    A null is no id, and equals none: a component without ids keeps one row of its own.
+
     Rows get a number with which they are stored; all grouping is over numbers, and the texts are
     moved once, at the end.
     """
@@ -266,7 +268,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key = F.struct("n", F.col("rec.doc_id").alias("doc_id"), F.crc32("rec.text").alias("crc")).alias("key")
     found = grouped(stored.select(key, F.col("rec.text").alias("text")), scratch)
     first = found.where(F.col("key.doc_id").eqNullSafe(F.col("component_id")))
-    one = first.groupBy("component_id").agg(F.min(F.struct("fp", "key.crc", "key.n")).alias("m")).select(F.col("m.n").alias("n"))
+    apart = F.when(F.col("component_id").isNull(), F.col("root"))
+    one = first.groupBy("component_id", apart.alias("apart")).agg(F.min(F.struct("fp", "key.crc", "key.n")).alias("m")).select(F.col("m.n").alias("n"))
     return stored.join(one, "n", "left_semi").select("rec.*")
 
 

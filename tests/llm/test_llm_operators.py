@@ -142,6 +142,17 @@ def test_simhash(spark, docs, rows, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def test_texts_without_ids_are_kept_by_component(spark):
+    """Unrelated texts whose ids are null all stay; of copies of one, and of those of a text with an id, one row each."""
+    rnd = random.Random(8)
+    texts = [sentence(rnd, 100) for _ in range(40)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (None, texts[1]), (5, texts[1]), (6, texts[1]), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text or "") for r in simhash.keep_one(docs).collect()]
+    expected = [(None if t != texts[1] else 5, t) for t in texts] + [(None, "")]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("tile", [simhash.TILE, 16])
 def test_links_of_dense_and_random_fingerprints(spark, monkeypatch, tile):
     """All links of fingerprints near one centre and of far ones, whole and in tiles."""
