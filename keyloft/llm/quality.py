@@ -3,7 +3,7 @@
 Each document gets its measures from its own text. Mergeable quantile sketches (KLL) of the rates
 are kept per language and source, merged per language and overall, and give fences: upper quartile
 plus a multiple of the interquartile range, never tighter than a fixed slack. The fences are joined
-back to the documents.
+back to the documents. What a source may set for itself is bounded by what the others have.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ HIGH = {"symbol_rate": (0.05, 3.0), "dup_line_rate": (0.4, 3.0), "word_length":
 #: rate: (least slack below the lower quartile, multiple)
 LOW = {"word_length": (3.5, 6.0)}
 
+#: rate: how many times the least of its language's, all rows' and the usual group's upper fence a group's own may be.
+#: Word lengths differ by script and aren't bounded.
+BOUND = {"symbol_rate": 4.0, "dup_line_rate": 1.5}
+
 
 def _let(value: Column, f) -> Column:
     """f(value) with value worked out once a row."""
@@ -104,7 +108,9 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     """lang, source and an upper (lower) fence for each rate: one row per group (null is a group).
 
     Documents that fail the base rules don't count. Sketches of (lang, source) are written once and
-    merged upwards for groups under LEAST_ROWS rows.
+    merged upwards for groups under LEAST_ROWS rows, and for the bounds. The usual group's fence is
+    the lower median of those of groups with LEAST_ROWS rows, each counting once, so that one large
+    source of junk doesn't move it as it moves its language's.
     """
     ok = measured.where(~F.col("base_failed"))
     # a hot group's rows meet only as partial sketches
@@ -119,17 +125,28 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
         )
 
     groups = parts.select("lang", "source", F.col("n").alias("n0"), *(_quartile(F.col("n"), F.col(r), q).alias(f"{r}_{k}0") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75))))
+    def upper(r: str, of) -> Column:
+        least, times = HIGH[r]
+        return of(f"{r}_hi") + F.greatest(F.lit(least), times * (of(f"{r}_hi") - of(f"{r}_lo")))
+
+    at = lambda tag: lambda name: F.col(f"{name}{tag}")
+    usual = groups.where(F.col("n0") >= LEAST_ROWS).agg(*(F.percentile_approx(upper(r, at("0")), 0.5, 10_000).alias(f"{r}_usual") for r in BOUND))
     # a group all of whose documents fail has no sketch; its documents are rejected anyway
-    table = join_small(groups, merged(["lang"], "1"), ["lang"], F.xxhash64("source")).crossJoin(F.broadcast(merged([], "2")))
+    table = join_small(groups, merged(["lang"], "1"), ["lang"], F.xxhash64("source")).crossJoin(F.broadcast(merged([], "2"))).crossJoin(F.broadcast(usual))
 
     def pick(name: str) -> Column:
         return (
             F.when(F.col("n0") >= LEAST_ROWS, F.col(f"{name}0")).when(F.col("n1") >= LEAST_ROWS, F.col(f"{name}1")).otherwise(F.col(f"{name}2"))
         )
 
-    spread = {r: pick(f"{r}_hi") - pick(f"{r}_lo") for r in RATES}
-    high = [(pick(f"{r}_hi") + F.greatest(F.lit(a), b * spread[r])).alias(f"{r}_max") for r, (a, b) in HIGH.items()]
-    low = [(pick(f"{r}_lo") - F.greatest(F.lit(a), b * spread[r])).alias(f"{r}_min") for r, (a, b) in LOW.items()]
+    def bounded(r: str) -> Column:
+        if r not in BOUND:
+            return upper(r, pick)
+        language = F.when(F.col("n1") >= LEAST_ROWS, upper(r, at("1")))
+        return F.least(upper(r, pick), BOUND[r] * F.least(language, upper(r, at("2")), F.col(f"{r}_usual")))
+
+    high = [bounded(r).alias(f"{r}_max") for r in HIGH]
+    low = [(pick(f"{r}_lo") - F.greatest(F.lit(a), b * (pick(f"{r}_hi") - pick(f"{r}_lo")))).alias(f"{r}_min") for r, (a, b) in LOW.items()]
     return table.select("lang", "source", *high, *low)
 
 

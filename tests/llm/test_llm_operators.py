@@ -279,6 +279,29 @@ def test_quality_rejects_outliers_and_keeps_clean_groups(spark):
     assert kept == {d[0] for d in clean}
 
 
+@pytest.mark.parametrize("share", [0.4, 0.9])
+@pytest.mark.parametrize("n", [60, 400])  # under LEAST_ROWS, and more rows than all sources of the language
+@pytest.mark.parametrize("kind", ["symbols", "lines"])
+def test_quality_rejects_a_source_of_junk(spark, share, n, kind):
+    rnd = random.Random(12)
+    line = lambda: sentence(rnd, 3)
+    # few lines many times, but no five words often enough for the base rules to see them
+    junk = {"symbols": lambda: " ".join(f"w{j} *#*" for j in range(60)), "lines": lambda: "\n".join(["a b"] * 6 + ["x y z w"] + [sentence(rnd, 60)])}[kind]
+    clean = [(i, sentence(rnd, 100) + "\n" + line(), "en", f"s{i % 2}") for i in range(300)]
+    mixed = [(1000 + i, junk() if i < share * n else sentence(rnd, 100) + "\n" + line(), "en", "junk") for i in range(n)]
+    kept = {r.doc_id for r in quality.keep(spark.createDataFrame(clean + mixed, "doc_id long, text string, lang string, source string")).collect()}
+    assert kept == {d[0] for d in clean} | {d[0] for i, d in enumerate(mixed) if i >= share * n}
+
+
+def test_quality_keeps_a_source_with_more_symbols_than_others(spark):
+    """Tables or code: symbols above the others' fence, but within the bound, are the source's own usage."""
+    rnd = random.Random(13)
+    plain = [(i, sentence(rnd, 100), "en", f"s{i % 2}") for i in range(300)]
+    tables = [(1000 + i, " ".join(f"w{rnd.randrange(400)}" + " |" * (j % 3 == 0) for j in range(100)), "en", "tables") for i in range(150)]
+    kept = quality.keep(spark.createDataFrame(plain + tables, "doc_id long, text string, lang string, source string"))
+    assert kept.count() == 450
+
+
 def test_warc(spark):
     page = "<html>" + "p" * 200
     pages = [(1, "u1", page), (2, "u2\r\nx: y", page), (3, None, None), (4, "u4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", "WARC-Type: revisit\r\n\r\n" + "é" * 100), (None, "n", page), (8, "u8", page + "x"), (8, "u8", page + "x")]
