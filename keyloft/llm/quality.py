@@ -1,29 +1,43 @@
 """Quality rules with adaptive thresholds, with DataFrame functions only.
 
-Each document gets its measures from its own text. Mergeable quantile sketches (KLL) of the rates
-are kept per language and source, merged per language and overall, and give fences: upper quartile
-plus a multiple of the interquartile range, never tighter than a fixed slack. The fences are joined
-back to the documents. What a source may set for itself is bounded by what the others have.
+Each document gets its measures from its own text. Of each rate, every language and source keeps a
+mergeable quantile sketch: counts in bins whose edges grow by a fixed factor, so that a quantile is
+right within half a step, merging is adding, and any order and partitioning gives the same sketch.
+Their quantiles, drawn towards those of the usual source of the language and of all where a source
+has few rows, give each source its fences, which are joined back to the documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, WORD, Scratch, join_small, load
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-LEAST_ROWS = 100  # a group with fewer rows uses the fences of its language, then those of all rows
-#: rate: (least slack above the upper quartile, multiple of the interquartile range)
-HIGH = {"symbol_rate": (0.05, 3.0), "dup_line_rate": (0.4, 3.0), "word_length": (5.0, 6.0)}
-#: rate: (least slack below the lower quartile, multiple)
-LOW = {"word_length": (3.5, 6.0)}
-
-#: rate: how many times the least of its language's, all rows' and the usual group's upper fence a group's own may be.
-#: Word lengths differ by script and aren't bounded.
-BOUND = {"symbol_rate": 4.0, "dup_line_rate": 1.5}
+STEP = 1.005  # a bin's upper edge over its lower one
+TINY = 1e-6  # values up to it share the lowest bin
+TAILS = (0.25, 0.5, 0.75)
+#: A fence lies so many times as far from the median as the quartile on its side.
+REACH = 8.0
+#: Rows at which a source's own quantiles weigh half as much as they ever do.
+PRIOR = 50
+#: The most that a source's own quantiles weigh. As (1 - OWN) * REACH is over 1, the usual source's median is
+#: never outside a fence, even of a source that is mostly junk.
+OWN = 0.8
+#: rate: where both quartiles are zero, as most texts have none, the fence is this.
+LEAST = {"symbol_rate": 0.02, "dup_line_rate": 0.1, "word_length": 0.0}
+#: rate: how many times the usual source's upper fence a source's own may be.
+BOUND = {"symbol_rate": 5.0, "dup_line_rate": 2.0, "word_length": 1.25}
+#: Only this rate has a lower fence.
+LOW = ("word_length",)
+RATES = tuple(LEAST)
+_BLANKS = "\t\n\x0b\x0c\r"
+_Z = 1.645  # dup_line_rate: the least rate that so few lines prove, one-sided at 95 %
 
 
 def _let(value: Column, f) -> Column:
@@ -31,42 +45,33 @@ def _let(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def _repeated(words: Column) -> Column:
-    """Words that lie in a window of five consecutive words found twice or more in the array.
+def _windows(words: Column) -> Column:
+    """A hash for each window of five consecutive words."""
+    shifted = [F.slice(words, k + 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0))) for k in range(WINDOW)]
+    return F.transform(F.arrays_zip(*(x.alias(f"w{k}") for k, x in enumerate(shifted))), lambda x: F.xxhash64(x))
 
-    Windows are hashed, the (hash, place) pairs sorted, and a window counts if a neighbour in that
-    order has its hash. The places of those windows, sorted again, give the words they cover.
-    """
-    size = F.size(words)
 
-    def windows(w: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
-            lambda i: F.struct(
-                F.xxhash64(*(F.get(w, i + (k - 1)) for k in range(WINDOW))).alias("h"), i.alias("i")
-            ),
-        )
+def _covered(hashes: Column) -> Column:
+    """Words that lie in a window found twice or more, from the windows' hashes.
+
+    The (hash, place) pairs are sorted, and a window counts if a neighbour in that order has its
+    hash. The places of those windows, sorted again, give the words they cover.
+    """
 
     def places(s: Column) -> Column:
-        same = lambda a, b: F.get(s, a)["h"] == F.get(s, b)["h"]
-        hit = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1),
-            lambda j: ((j > 0) & same(j, j - 1)) | ((j < F.size(s) - 1) & same(j, j + 1)),
-        )
-        return F.array_sort(F.transform(hit, lambda j: F.get(s, j)["i"]))
-
-    def covered(p: Column) -> Column:
-        step = F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW))))
+        hit = F.filter(s, lambda x, j: ((j > 0) & (F.get(s, j - 1)["h"] == x["h"])) | F.coalesce(F.get(s, j + 1)["h"] == x["h"], F.lit(False)))
+        return F.sort_array(F.transform(hit, lambda x: x["i"]))
+
+    def cover(p: Column) -> Column:
+        step = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda x, y: F.least(F.lit(WINDOW), F.coalesce(y - x, F.lit(WINDOW))))
         return F.aggregate(step, F.lit(0), lambda a, b: a + b)
 
-    some = _let(F.array_sort(windows(words)), lambda s: _let(places(s), covered))
-    return F.when(size > WINDOW, some).otherwise(F.lit(0)).cast("long")
+    return _let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), lambda s: _let(places(s), cover))
 
 
 def _words(text: Column) -> Column:
     """The words of a text without null; no words give an empty array."""
-    bare = F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SPACE}]+"))
+    return F.array_remove(F.split(F.translate(text, _BLANKS, " " * len(_BLANKS)), " "), "")
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -82,12 +87,15 @@ def measures(docs: DataFrame) -> DataFrame:
     m = rec.select(
         "rec",
         long(F.size("w"), "n_words"),
-        long(F.length(F.regexp_replace("t", f"[{SPACE}]+", "")), "word_chars"),
+        long(F.length(F.array_join("w", "")), "word_chars"),
         long(F.length(F.regexp_replace("t", f"[^{SYMBOLS}]+", "")), "n_symbols"),
         lines.alias("lines"),
-        _repeated(F.col("w")).alias("n_repeat_words"),
-    ).select(
-        "rec", "n_words", "word_chars", "n_symbols", "n_repeat_words", F.size("lines").alias("n_lines"),
+        _windows(F.col("w")).alias("h"),
+    )
+    # most texts repeat no window, and need no sorting
+    repeated = F.when(F.size(F.array_distinct("h")) == F.size("h"), F.lit(0)).otherwise(_covered(F.col("h")))
+    m = m.select(
+        "rec", "n_words", "word_chars", "n_symbols", long(repeated, "n_repeat_words"), long(F.size("lines"), "n_lines"),
         long(F.size("lines") - F.size(F.array_distinct("lines")), "n_dup_lines"),
     )
     some = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
@@ -95,79 +103,125 @@ def measures(docs: DataFrame) -> DataFrame:
         {
             "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
             "symbol_rate": some("n_symbols", "word_chars"),
-            "dup_line_rate": some("n_dup_lines", "n_lines"),
+            "dup_line_rate": _proven(F.col("n_dup_lines"), F.col("n_lines")),
             "word_length": some("word_chars", "n_words"),
         }
     ).drop("n_lines")
 
 
-RATES = ("symbol_rate", "dup_line_rate", "word_length")
+def _proven(k: Column, n: Column) -> Column:
+    """The lower end of Wilson's interval for k of n: one repeated line of three says less than a third."""
+    p, z2 = k / n, _Z * _Z
+    low = (p + z2 / (2 * n) - _Z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return F.when((n > 0) & (k > 0), F.greatest(low, F.lit(0.0))).when(n > 0, F.lit(0.0))
 
 
-def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
-    """lang, source and an upper (lower) fence for each rate: one row per group (null is a group).
+def _bin(value: Column) -> Column:
+    """The bin of a value: 0 up to TINY, then one for each STEP."""
+    return F.when(value > TINY, F.ceil(F.log(value / TINY) / math.log(STEP)).cast("int")).otherwise(F.lit(0))
+
+
+def _value(bin_: Column) -> Column:
+    """The upper edge of a bin."""
+    return F.when(bin_ > 0, TINY * F.pow(F.lit(STEP), bin_)).otherwise(F.lit(0.0))
+
 
-    Documents that fail the base rules don't count. Sketches of (lang, source) are written once and
-    merged upwards for groups under LEAST_ROWS rows, and for the bounds. The usual group's fence is
-    the lower median of those of groups with LEAST_ROWS rows, each counting once, so that one large
-    source of junk doesn't move it as it moves its language's.
+def quantiles(sketch: DataFrame, keys: Sequence[str], at: Sequence[float]) -> DataFrame:
+    """keys, n and q0, q1, ...: the value at each share of a sketch (keys, bin, n), a row for each key.
+
+    A key's rows are its bins, a few thousand at most however many values it has seen.
     """
-    ok = measured.where(~F.col("base_failed"))
-    # a hot group's rows meet only as partial sketches
-    parts = scratch.write(
-        ok.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(r).alias(r) for r in RATES)), "sketches"
-    )
+    seen = Window.partitionBy(*keys).orderBy("bin")
+    sums = sketch.withColumns({"below": F.sum("n").over(seen), "all": F.sum("n").over(Window.partitionBy(*keys))})
+    picks = [F.min(F.when(F.col("below") >= q * F.col("all"), F.col("bin"))) for q in at]
+    return sums.groupBy(*keys).agg(F.max("all").alias("n"), *(_value(p).alias(f"q{i}") for i, p in enumerate(picks)))
+
 
-    def merged(keys: list[str], tag: str) -> DataFrame:
-        agg = parts.groupBy(*keys).agg(F.sum("n").alias(f"n{tag}"), *(F.kll_merge_agg_double(r).alias(f"{r}{tag}") for r in RATES))
-        return agg.select(
-            *keys, f"n{tag}", *(_quartile(F.col(f"n{tag}"), F.col(f"{r}{tag}"), q).alias(f"{r}_{k}{tag}") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75)))
-        )
+def _merged(sketch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return sketch.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
 
-    groups = parts.select("lang", "source", F.col("n").alias("n0"), *(_quartile(F.col("n"), F.col(r), q).alias(f"{r}_{k}0") for r in RATES for k, q in (("lo", 0.25), ("hi", 0.75))))
-    def upper(r: str, of) -> Column:
-        least, times = HIGH[r]
-        return of(f"{r}_hi") + F.greatest(F.lit(least), times * (of(f"{r}_hi") - of(f"{r}_lo")))
 
-    at = lambda tag: lambda name: F.col(f"{name}{tag}")
-    usual = groups.where(F.col("n0") >= LEAST_ROWS).agg(*(F.percentile_approx(upper(r, at("0")), 0.5, 10_000).alias(f"{r}_usual") for r in BOUND))
-    # a group all of whose documents fail has no sketch; its documents are rejected anyway
-    table = join_small(groups, merged(["lang"], "1"), ["lang"], F.xxhash64("source")).crossJoin(F.broadcast(merged([], "2"))).crossJoin(F.broadcast(usual))
+def sketches(measured: DataFrame) -> DataFrame:
+    """lang, source, rate, bin, n from the rows that pass the base rules; a hot group's rows meet as partial counts."""
+    values = F.array(*(F.struct(F.lit(r).alias("rate"), _bin(F.col(r)).alias("bin")) for r in RATES))
+    rows = measured.where(~F.col("base_failed")).select("lang", "source", F.inline(values), F.lit(1).alias("n"))
+    return _merged(rows, ["lang", "source", "rate"])
 
-    def pick(name: str) -> Column:
-        return (
-            F.when(F.col("n0") >= LEAST_ROWS, F.col(f"{name}0")).when(F.col("n1") >= LEAST_ROWS, F.col(f"{name}1")).otherwise(F.col(f"{name}2"))
-        )
 
-    def bounded(r: str) -> Column:
-        if r not in BOUND:
-            return upper(r, pick)
-        language = F.when(F.col("n1") >= LEAST_ROWS, upper(r, at("1")))
-        return F.least(upper(r, pick), BOUND[r] * F.least(language, upper(r, at("2")), F.col(f"{r}_usual")))
+_STATS = ("low", "middle", "high")
 
-    high = [bounded(r).alias(f"{r}_max") for r in HIGH]
-    low = [(pick(f"{r}_lo") - F.greatest(F.lit(a), b * (pick(f"{r}_hi") - pick(f"{r}_lo")))).alias(f"{r}_min") for r, (a, b) in LOW.items()]
-    return table.select("lang", "source", *high, *low)
 
+def _usual(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The usual source of each key: the median of its sources' quartiles, and the rows behind it.
+
+    A source counts by its rows up to PRIOR, so that neither a large source of junk nor many with
+    few rows move it much.
+    """
+    stats = F.array(*(F.struct(F.lit(s).alias("stat"), _bin(F.col(s)).alias("bin")) for s in _STATS))
+    sketch = _merged(groups.select(*keys, "rate", F.inline(stats), F.least("n", F.lit(PRIOR)).alias("n")), [*keys, "rate", "stat"])
+    found = quantiles(sketch, [*keys, "rate", "stat"], [0.5])
+    return found.groupBy(*keys, "rate").agg(F.max("n").alias("n"), *(F.max(F.when(F.col("stat") == s, F.col("q0"))).alias(s) for s in _STATS))
+
+
+def _drawn(n: Column, own, above) -> dict[str, Column]:
+    """Quartiles of a mix of n rows of their own and PRIOR, or more for OWN's sake, of the ones above.
+
+    The mix is wider than both by the distance of their medians.
+    """
+    w = OWN * n / (n + F.lit(float(PRIOR)))
+    mix = lambda a, b: w * a + (1 - w) * b
+    middle, apart = mix(own("middle"), above("middle")), (1 - w) * F.abs(own("middle") - above("middle"))
+    spread = lambda of, s: F.abs(of(s) - of("middle"))
+    wide = {s: mix(spread(own, s), spread(above, s)) + apart for s in ("low", "high")}
+    return {"low": middle - wide["low"], "middle": middle, "high": middle + wide["high"]}
 
-def _quartile(n: Column, sketch: Column, q: float) -> Column:
-    """A quantile of a sketch of n values; null of none."""
-    return F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q)))
+
+def _upper(of) -> Column:
+    return of("middle") + REACH * (of("high") - of("middle"))
+
+
+def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
+    """lang, source and an upper (lower) fence for each rate: one row per group (null is a group).
+
+    Documents that fail the base rules don't count. A group all of whose documents fail has none;
+    they are rejected anyway.
+    """
+    sketch = scratch.write(sketches(measured), "sketches")
+    groups = quantiles(sketch, ["lang", "source", "rate"], TAILS).toDF("lang", "source", "rate", "n", *_STATS)
+    groups = scratch.write(groups, "groups")
+    tagged = lambda df, tag: df.toDF(*(c if c in ("lang", "rate") else f"{c}{tag}" for c in df.columns))
+    langs = join_small(_usual(groups, ["lang"]), tagged(_usual(groups, []), "_all"), ["rate"], F.xxhash64("lang"))
+    drawn = _drawn(F.col("n"), F.col, lambda s: F.col(f"{s}_all"))
+    langs = scratch.write(langs.select("lang", "rate", *(drawn[s].alias(f"{s}_lang") for s in _STATS)), "langs")
+    table = join_small(groups, langs, ["lang", "rate"], F.xxhash64("source"))
+    above = lambda s: F.col(f"{s}_lang")
+    drawn = _drawn(F.col("n"), F.col, above)
+    by_rate = lambda values: F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[F.col("rate")]
+    least, bound = by_rate(LEAST), by_rate(BOUND)
+    high = F.least(F.greatest(_upper(drawn.get), least), bound * F.greatest(_upper(above), least))
+    low = drawn["middle"] - REACH * (drawn["middle"] - drawn["low"])
+    table = table.select("lang", "source", "rate", high.alias("high"), low.alias("low"))
+    pick = lambda r, c: F.max(F.when(F.col("rate") == r, F.col(c)))
+    return table.groupBy("lang", "source").agg(*(pick(r, "high").alias(f"{r}_max") for r in RATES), *(pick(r, "low").alias(f"{r}_min") for r in LOW))
 
 
 def judged(measured: DataFrame, scratch: Scratch) -> DataFrame:
-    """measured (with lang and source) plus kept: neither base_failed nor outside a fence of its group."""
-    table = join_small(measured, fences(measured, scratch), ["lang", "source"], F.xxhash64("n_words", "word_chars"))
+    """measured (with lang and source) plus its group's fences and kept: neither base_failed nor outside one."""
+    joined = join_small(measured, fences(measured, scratch), ["lang", "source"], F.xxhash64("n_words", "word_chars"))
     outside = F.lit(False)
-    for r in HIGH:
+    for r in RATES:
         outside = outside | F.coalesce(F.col(r) > F.col(f"{r}_max"), F.lit(False))
     for r in LOW:
         outside = outside | F.coalesce(F.col(r) < F.col(f"{r}_min"), F.lit(False))
-    return table.withColumn("kept", ~F.col("base_failed") & ~outside)
+    return joined.withColumn("kept", ~F.col("base_failed") & ~outside)
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with their columns, that the rules keep. Equal rows share their fate."""
+    """The rows of docs, with their columns, that the rules keep.
+
+    Equal rows share their fate, and order and partitioning have no part in it. A null or empty text
+    is rejected; a null lang or source is a group like any other; an empty table stays empty.
+    """
     scratch = Scratch(docs.sparkSession, "quality")
     m = scratch.write(measures(docs), "measured").withColumns({"lang": F.col("rec.lang"), "source": F.col("rec.source")})
     return judged(m, scratch).where("kept").select("rec.*")
@@ -178,5 +232,6 @@ def op7_quality(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     m = measures(docs).select(F.col("rec.doc_id").alias("doc_id"), F.col("rec.lang").alias("lang"), F.col("rec.source").alias("source"), F.col("*")).drop("rec")
     return judged(scratch.write(m, "measured"), scratch).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "symbol_rate", "symbol_rate_max",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *RATES, *(f"{r}_max" for r in RATES), *(f"{r}_min" for r in LOW),
     )

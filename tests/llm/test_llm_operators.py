@@ -302,6 +302,25 @@ def test_quality_keeps_a_source_with_more_symbols_than_others(spark):
     assert kept.count() == 450
 
 
+def test_a_source_moves_its_own_fences_alone(spark):
+    """Longer words in one source move its fences and no other's; a second run and another partitioning give the same."""
+    rnd = random.Random(14)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n + rnd.randrange(3)))
+    text = lambda n: " ".join(word(n) for _ in range(60))
+    base = [(i, text(4), "en", f"s{i % 5}") for i in range(500)]
+    moved = [(i, text(5) if s == "s3" else t, lang, s) for i, t, lang, s in base]
+
+    def fences(rows, parts):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(parts)
+        m = quality.measures(df).select("rec.lang", "rec.source", "*").drop("rec")
+        return {r.source: (r.word_length_min, r.word_length_max) for r in quality.fences(m, Scratch(spark, "t")).collect()}
+
+    a, b = fences(base, 2), fences(moved, 3)
+    assert a == fences(base, 5)
+    assert b["s3"][1] > a["s3"][1] + 1
+    assert all(abs(b[s][0] - a[s][0]) < 0.1 and abs(b[s][1] - a[s][1]) < 0.1 for s in ("s0", "s1", "s2", "s4"))
+
+
 def test_warc(spark):
     page = "<html>" + "p" * 200
     pages = [(1, "u1", page), (2, "u2\r\nx: y", page), (3, None, None), (4, "u4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", "WARC-Type: revisit\r\n\r\n" + "é" * 100), (None, "n", page), (8, "u8", page + "x"), (8, "u8", page + "x")]

@@ -1,9 +1,9 @@
 """The pipeline against the plain versions of its stages, and over rows with nulls, blanks and repeats."""
 
-from collections import Counter
+import math
+from collections import Counter, defaultdict
 
 import brute
-import numpy as np
 from pyspark.sql import functions as F
 from test_llm_operators import SCHEMA, make_docs
 
@@ -13,33 +13,68 @@ from keyloft.llm.common import Scratch
 
 
 def kept_by_quality(rows):
-    """The verdicts by exact quartiles."""
+    """The verdicts by plain sorted values, each known up to its bin."""
+
+    def edge(x):
+        return quality.TINY * quality.STEP ** math.ceil(math.log(x / quality.TINY) / math.log(quality.STEP)) if x > quality.TINY else 0.0
+
+    def quantile(values, q):
+        """values: (value, weight)."""
+        values, below = sorted((edge(v), w) for v, w in values), 0
+        total = sum(w for _, w in values)
+        for v, w in values:
+            below += w
+            if below >= q * total:
+                return v
+
+    def proven(k, n):
+        z = 1.645
+        return max(0.0, (k / n + z * z / 2 / n - z * math.sqrt(k / n * (1 - k / n) / n + z * z / 4 / n / n)) / (1 + z * z / n)) if k else 0.0
 
     def rates(r):
         n, chars, symbols, dups, _, failed = brute.quality(r["text"])
         lines = sum(1 for x in (r["text"] or "").split("\n") if brute.WORDS.search(x))
-        return failed, (symbols / max(chars, 1), dups / max(lines, 1), chars / max(n, 1))
+        return failed, {"symbol_rate": symbols / max(chars, 1), "dup_line_rate": proven(dups, max(lines, 1)), "word_length": chars / max(n, 1)}
+
+    def usual(groups):
+        """(rows, quartiles) of the median source of (rows, quartiles)."""
+        weight = lambda n: min(n, quality.PRIOR)
+        return sum(weight(n) for n, _ in groups), [quantile([(t[i], weight(n)) for n, t in groups], 0.5) for i in range(3)]
+
+    def drawn(n, own, above):
+        w = quality.OWN * n / (n + quality.PRIOR)
+        middle, apart = w * own[1] + (1 - w) * above[1], (1 - w) * abs(own[1] - above[1])
+        wide = [w * abs(own[i] - own[1]) + (1 - w) * abs(above[i] - above[1]) + apart for i in (0, 2)]
+        return middle - wide[0], middle, middle + wide[1]
 
     measured = [(r, *rates(r)) for r in rows]
-    sound = [(r, x) for r, failed, x in measured if not failed]
-
-    def fence(r):
-        for same in (lambda o: (o["lang"], o["source"]) == (r["lang"], r["source"]), lambda o: o["lang"] == r["lang"], lambda o: True):
-            group = [x for o, x in sound if same(o)]
-            if len(group) >= quality.LEAST_ROWS:
-                break
-        low, high = np.quantile(group, [0.25, 0.75], axis=0, method="inverted_cdf")
-        most = [h + max(a, b * (h - lo)) for (a, b), lo, h in zip(quality.HIGH.values(), low, high)]
-        a, b = quality.LOW["word_length"]
-        return most, low[2] - max(a, b * (high[2] - low[2]))
-
-    out = []
-    for r, failed, x in measured:
-        if not failed:
-            most, least = fence(r)
-            if all(v <= m for v, m in zip(x, most)) and x[2] >= least:
-                out.append(r)
-    return out
+    outside = set()
+    for rate in quality.RATES:
+        values = defaultdict(list)
+        for r, failed, x in measured:
+            if not failed:
+                values[r["lang"], r["source"]].append((x[rate], 1))
+        groups = {g: (len(v), [quantile(v, q) for q in quality.TAILS]) for g, v in values.items()}
+        everywhere = usual(list(groups.values()))[1] if groups else None
+        for i, (r, failed, x) in enumerate(measured):
+            if not failed:
+                above = drawn(*usual([t for g, t in groups.items() if g[0] == r["lang"]]), everywhere)
+                low, middle, high = drawn(*groups[r["lang"], r["source"]], above)
+                least = quality.LEAST[rate]
+                upper = lambda t: max(t[1] + quality.REACH * (t[2] - t[1]), least)
+                most = min(upper((low, middle, high)), quality.BOUND[rate] * upper(above))
+                if x[rate] > most or (rate in quality.LOW and x[rate] < middle - quality.REACH * (middle - low)):
+                    outside.add(i)
+    return [r for i, (r, failed, _) in enumerate(measured) if not failed and i not in outside]
+
+
+def test_quality_equals_plain_verdicts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    expected = sorted(r["doc_id"] for r in kept_by_quality(rows))
+    assert 0.5 * len(rows) < len(expected) < sum(not brute.quality(r["text"])[-1] for r in rows)
+    for parts in (1, 7):
+        assert sorted(r.doc_id for r in quality.keep(docs.repartition(parts)).collect()) == expected
 
 
 def test_run_equals_plain_stages(spark, sf_dir):
