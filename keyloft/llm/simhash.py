@@ -255,10 +255,13 @@ def _dealt_join(left: DataFrame, right: DataFrame, key: str = "root", salts: int
     return left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int")).join(right, [key, "_salt"]).drop("_salt")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with their columns, that have the smallest doc_id of their component; of equal ids one row.
+def keep_one(docs: DataFrame, by: str = "component_id") -> DataFrame:
+    """The rows of docs, with their columns, that have the smallest doc_id of their component.
 
-    A null is no id, and equals none: a component without ids keeps one row of its own.
+    by "root": one row for each component, whatever its ids, so that of different texts that share a
+    doc_id each keeps a row. by "component_id": rows with equal ids count as one document, and one
+    row is left for each id. Either way a null is no id and equals none: a component without ids
+    keeps one row of its own. Of equal rows one stays; an empty table stays empty.
 
     Rows get a number with which they are stored; all grouping is over numbers, and the texts are
     moved once, at the end.
@@ -268,7 +271,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key = F.struct("n", F.col("rec.doc_id").alias("doc_id"), F.crc32("rec.text").alias("crc")).alias("key")
     found = grouped(stored.select(key, F.col("rec.text").alias("text")), scratch)
     first = found.where(F.col("key.doc_id").eqNullSafe(F.col("component_id")))
-    apart = F.when(F.col("component_id").isNull(), F.col("root"))
+    apart = F.col("root") if by == "root" else F.when(F.col("component_id").isNull(), F.col("root"))
     one = first.groupBy("component_id", apart.alias("apart")).agg(F.min(F.struct("fp", "key.crc", "key.n")).alias("m")).select(F.col("m.n").alias("n"))
     return stored.join(one, "n", "left_semi").select("rec.*")
 

@@ -153,6 +153,33 @@ def test_texts_without_ids_are_kept_by_component(spark):
     assert sorted(kept, key=repr) == sorted(expected, key=repr)
 
 
+def test_one_row_of_each_component_is_kept(spark, docs, rows):
+    """Null ids, repeated ids with different texts and equal rows, against all pairs: each component keeps one row, of its smallest id."""
+    prints = [brute.simhash(r["text"]) for r in rows]
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                up[root(i)] = root(j)
+    groups = defaultdict(list)
+    for i, r in enumerate(rows):
+        groups[root(i)].append(r)
+    kept = simhash.keep_one(docs, by="root").collect()
+    assert len(kept) == len(groups) and sum(r.doc_id == 2 for r in kept) == 2
+    low = lambda rs: min((r["doc_id"] for r in rs if r["doc_id"] is not None), default=None)
+    assert sorted((r.doc_id for r in kept), key=repr) == sorted(map(low, groups.values()), key=repr)
+    texts = [{r["text"] for r in rs if r["doc_id"] == low(rs)} for rs in groups.values()]
+    for r in kept:
+        texts.remove(next(t for t in texts if r.text in t))
+    assert not texts
+
+
 @pytest.mark.parametrize("tile", [simhash.TILE, 16])
 def test_links_of_dense_and_random_fingerprints(spark, monkeypatch, tile):
     """All links of fingerprints near one centre and of far ones, whole and in tiles."""
