@@ -77,20 +77,29 @@ def read_map(spark: SparkSession, version: int, path: str) -> list[int]:
     return [shard for _, shard in sorted(rows)]
 
 
+def even(slots: int, shards: int) -> list[int]:
+    """The map of a data set without rows yet: slots dealt in turn."""
+    return [v % shards for v in range(slots)]
+
+
 def place(slotted: DataFrame, shard_of: list[int], rows: list[int], order: list[str]) -> DataFrame:
     """slotted plus shard and slot: the place of a record in its shard, gapless from 0.
 
     Each virtual slot's records follow one another by `order`, slots by number, so only a window
-    within a virtual slot is needed; the starts come from the slots' row counts.
+    within a virtual slot is needed; the starts come from the slots' row counts. Rows that are equal
+    in all columns are counted before, so that many of them don't meet in one task.
     """
     spark, starts, at = slotted.sparkSession, [], {}
     for v, shard in enumerate(shard_of):
         starts.append((v, shard, at.get(shard, 0)))
         at[shard] = at.get(shard, 0) + rows[v]
     table = spark.createDataFrame(starts, "virtual_slot int, shard int, _start long")
-    inside = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(*order)) - 1
-    placed = slotted.withColumn("_inside", inside).join(F.broadcast(table), "virtual_slot")
-    return placed.withColumn("slot", (F.col("_start") + F.col("_inside")).cast("long")).drop("_start", "_inside")
+    equal = slotted.groupBy(*slotted.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    before = Window.partitionBy("virtual_slot").orderBy(*order, *(c for c in slotted.columns if c not in order)).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    placed = equal.withColumn("_inside", inside).join(F.broadcast(table), "virtual_slot")
+    placed = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    return placed.withColumn("slot", (F.col("_start") + F.col("_inside") + F.col("_copy")).cast("long")).drop("_start", "_inside", "_copies", "_copy")
 
 
 def write_shards(docs: DataFrame, shard_of: list[int], path: str) -> None:
@@ -100,19 +109,31 @@ def write_shards(docs: DataFrame, shard_of: list[int], path: str) -> None:
     slotted.join(F.broadcast(table), "_v").drop("_v").write.partitionBy("shard").parquet(path)
 
 
-def op5_shard(spark, sf_dir: str, shards: int = 8) -> DataFrame:
-    """Null text: size 1, crc32 of no bytes. Equal rows share a virtual slot and get places of their own."""
-    scratch, text = Scratch(spark, "op5"), F.coalesce(F.col("text"), F.lit(""))
-    slotted = scratch.write(
-        load(spark, sf_dir, "documents").select(
-            "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-            slot_of(F.col("doc_id"), text).alias("virtual_slot"),
-        ),
-        "slotted",
-    )
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32, virtual_slot of each row; a null text has size 1 and the crc32 of no bytes."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), slot_of(F.col("doc_id"), text).alias("virtual_slot")
+    )
+
+
+def shard(docs: DataFrame, scratch: Scratch, shards: int = 8) -> DataFrame:
+    """docs (doc_id, text) as doc_id, size, text_crc32, virtual_slot, shard and slot, by the law `bytes`.
+
+    Version 1 of the map deals slots in turn, before any bytes are known; the first rebalancing
+    edits it by the bytes that the slots have got, and the rows are placed by version 2. Equal rows
+    share a virtual slot and get places of their own. An empty table gives an empty one.
+    """
+    spark, path = docs.sparkSession, scratch.path("map")
+    slotted = scratch.write(sized(docs), "slotted")
     size, rows = slot_loads(slotted)
-    write_map(spark, assign(size, shards), 1, scratch.path("map"))
-    placed = place(slotted, read_map(spark, 1, scratch.path("map")), rows, ["doc_id", "text_crc32", "size"])
+    write_map(spark, even(SLOTS, shards), 1, path)
+    write_map(spark, rebalance(read_map(spark, 1, path), size, shards, slack=0.0), 2, path)
+    return place(slotted, read_map(spark, 2, path), rows, ["doc_id", "text_crc32", "size"])
+
+
+def op5_shard(spark, sf_dir: str, shards: int = 8) -> DataFrame:
+    placed = shard(load(spark, sf_dir, "documents"), Scratch(spark, "op5"), shards)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
