@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, load
+from .common import Scratch, join_hot, load
 
 LEAST = 100  # payloads of fewer bytes are never revisits
 #: A payload with more records than this is dealt, with its records, over several tasks on reading.
@@ -55,14 +55,15 @@ def write_archive(pages: DataFrame, scratch: Scratch) -> None:
     key = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row", "same")
     firsts = index.groupBy("digest").agg(F.min(key).alias("f"), F.count("*").alias("copies"))
     fan = F.ceil(F.col("copies") / F.lit(FAN)).cast("int").alias("fan")
-    firsts = scratch.write(firsts.select("digest", F.col("f.page_id").alias("first_id"), F.col("f.row").alias("first_row"), F.col("f.same").alias("same"), fan), "firsts")
+    firsts = scratch.write(firsts.select("digest", F.col("f.page_id").alias("first_id"), F.col("f.row").alias("first_row"), F.col("f.same").alias("same"), fan, F.col("copies").alias("n")), "firsts")
 
-    # narrow rows; both sides are plain shuffles, so Spark splits the task of a digest with many records
-    typed = index.drop("same").join(firsts.drop("same"), "digest")
+    # narrow rows; the few digests with many records each are broadcast
+    typed = join_hot(index.drop("same"), firsts.drop("same"), ["digest"], scratch, "hot")
     kind = F.when((F.col("n_bytes") >= LEAST) & (F.col("row") != F.col("first_row")), "revisit").otherwise("response")
     headers = typed.withColumn("kind", kind).select("digest", _header(F.col("kind")).alias("header"), F.pmod("row", F.col("fan")).cast("int").alias("part"))
     headers.write.option("compression", "zstd").parquet(scratch.path("headers"))
-    one = named.select(same, "payload").join(firsts.select("same", "digest", "fan"), "same")
+    # the digest keeps records apart whose hashes clash
+    one = named.select(same, "digest", "payload").join(firsts.select("same", "digest", "fan"), ["same", "digest"])
     if not index.groupBy("same").count().where("count > 1").isEmpty():  # rows repeated with id and address
         one = one.dropDuplicates(["digest"])
     one.select("digest", "payload", "fan").write.option("compression", "zstd").parquet(scratch.path("payloads"))
