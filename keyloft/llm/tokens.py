@@ -171,13 +171,13 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end:
 
     Columns: part and seq (the file part and the place in it; together the order), doc_id,
     part_start (ids of the part before this document), n_tokens, tokens. Documents are in ascending
-    doc_id order over all parts, null ids last, equal ids by their texts. A null or empty text has
+    doc_id order over all parts, null ids last, equal ids by the crc32 of their texts, then the texts. A null or empty text has
     the end id alone. An empty table gives a file without rows.
     """
     order = [F.col("doc_id").asc_nulls_last(), F.col("h")]
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("h", F.crc32("text"))
-    sorted_ = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    sorted_ = keyed.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     schema = "part int, seq long, doc_id long, part_start long, n_tokens long, tokens array<int>"
     sorted_.mapInArrow(_encoding(vocabulary, end), schema).write.options(
         **{
