@@ -252,6 +252,9 @@ def score(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, folds
     rows = parts.where("word is null").select("chunk", "doc_id", "held_out", "n_tokens", "ids", "counts")
     ending = (trained > 0, math.log10(trained + ADD) - math.log10(n + ADD * (v + 1)), end / math.log(10))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    # as many tasks as chunks, so that a task has a few of them however many there are
+    chunks = max(1, parts.select("chunk").distinct().count())
+    rows, looked = rows.repartition(chunks, "chunk"), looked.repartition(chunks, "in_chunk")
     found = rows.groupBy("chunk").cogroup(looked.groupBy("in_chunk")).applyInArrow(_adding(ending), schema)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
