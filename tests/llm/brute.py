@@ -166,3 +166,45 @@ def base_scores(docs):
             counts.update(t)
     n, v = sum(counts.values()), len(counts)
     return [(i, held_out(i), len(t), sum(counts[x] > 0 for x in t), n, sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t)) for i, t in rows]
+
+
+def shards(docs):
+    """doc_id, size, text_crc32 of each row."""
+    return [(d["doc_id"], len((d["text"] or "").encode()) + 1, zlib.crc32((d["text"] or "").encode())) for d in docs]
+
+
+def lattice_scores(docs, model):
+    """doc_id and the log10 probability of each text: every way to cut every word into pieces, added up piece by piece."""
+    import functools
+
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    data = lambda i: bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).encode()
+    usable = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+    counts, ends = Counter(), 0
+    for d in docs:
+        if not held_out(d["doc_id"]):
+            ends += 1
+            for w in words(lower(d["text"])):
+                counts.update(sp.encode(w))
+    weight = defaultdict(float)
+    for i in usable:
+        weight[data(i)] += counts[i] + 0.1
+    total = math.fsum(weight.values()) + ends + 0.1
+    longest = max(map(len, weight))
+
+    @functools.cache
+    def word(text):
+        # shares of the paths into each place, scaled down step by step so that long words don't vanish
+        s, into, log = "▁".encode() + text, {0: 1.0}, 0.0
+        for i in range(len(s)):
+            here = into.pop(i, 0.0)
+            for k in range(1, min(longest, len(s) - i) + 1):
+                if s[i : i + k] in weight:
+                    into[i + k] = into.get(i + k, 0.0) + here * weight[s[i : i + k]] / total
+            top = max(into.values())
+            into, log = {k: v / top for k, v in into.items()}, log + math.log10(top)
+        return log + math.log10(into[len(s)])
+
+    return [(d["doc_id"], math.fsum(word(w.encode()) for w in words(lower(d["text"]))) + math.log10((ends + 0.1) / total)) for d in docs]

@@ -2,7 +2,7 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import brute
 import pytest
@@ -273,6 +273,28 @@ def test_sharding(spark, docs, rows):
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(8))
 
 
+def test_shards_equal_plain_sizes(spark, docs, rows, no_docs, monkeypatch):
+    """Sizes, digests, gapless places, near equal bytes, the edited map, and the same again on a rerun; many equal rows too."""
+    more = docs.unionByName(spark.range(500).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema)))
+    for df, expected in ((docs, brute.shards(rows)), (more, brute.shards(rows + [{"doc_id": None, "text": None}] * 500))):
+        scratch = Scratch(spark, "t")
+        runs = [sharding.shard(x, s).select("doc_id", "size", "text_crc32", "virtual_slot", "shard", "slot").collect() for x, s in ((df, scratch), (df.repartition(5), Scratch(spark, "t")))]
+        assert sorted(runs[0], key=repr) == sorted(runs[1], key=repr)
+        assert sorted((tuple(r)[:3] for r in runs[0]), key=repr) == sorted(expected, key=repr)
+        held, places, slots = defaultdict(int), defaultdict(list), defaultdict(int)
+        for r in runs[0]:
+            held[r.shard] += r.size
+            slots[r.virtual_slot] += r.size
+            places[r.shard].append(r.slot)
+        assert all(sorted(p) == list(range(len(p))) for p in places.values()) and set(places) <= set(range(8))
+        bytes_ = [held[s] for s in range(8)]
+        assert max(bytes_) - min(bytes_) <= max(slots.values())
+        one, two = (sharding.read_map(spark, v, scratch.path("map")) for v in (1, 2))
+        assert one == sharding.even(sharding.SLOTS, 8) and one != two
+        assert {(r.virtual_slot, r.shard) for r in runs[0]} <= set(enumerate(two))
+    assert sharding.shard(no_docs, Scratch(spark, "t")).count() == 0
+
+
 def test_slot_map_versions(spark):
     rnd = random.Random(1)
     size = [rnd.randrange(1000) for _ in range(4096)]
@@ -512,6 +534,14 @@ def test_scores(spark, docs, rows, no_docs):
     assert lm.score(no_docs, Scratch(spark, "t")).count() == 0
 
 
+def test_lattice_scores_equal_all_cuts(spark, docs, rows):
+    got = sorted(((r.doc_id, r.score) for r in lm.score(docs, Scratch(spark, "t")).collect()), key=repr)
+    expected = sorted(brute.lattice_scores(rows, lm._path(lm.VOCABULARY)), key=repr)
+    round_ = lambda rs: sorted((repr(i), round(x, 4)) for i, x in rs)
+    for (i, x), (j, y) in zip(round_(got), round_(expected)):
+        assert i == j and abs(x - y) <= 1e-6 * max(1, abs(y)) + 1e-3
+
+
 def test_scores_without_training_rows(spark):
     held = next(i for i in range(100) if brute.held_out(i))
     r = lm.score(spark.createDataFrame([(held, "some words")], "doc_id long, text string"), Scratch(spark, "t")).first()
@@ -539,3 +569,58 @@ def math_exp(x):
     import math
 
     return math.exp(x)
+
+
+TABLES = ("documents", "benchmark", "pages")
+
+
+@pytest.mark.parametrize("name", ["op1_tokens", "op2_decontaminate", "op3_simhash", "op4_mix", "op5_shard", "op6_warc", "op7_quality", "op8_licenses", "op9_substrings", "op10_lm"])
+def test_query(spark, sf_dir, name):
+    """Each query by its name over its whole table: columns, types and rows against the plain version or SQL."""
+    from keyloft.llm import queries
+
+    table = "pages" if name == "op6_warc" else "documents"
+    rows = [r.asDict() for r in spark.read.parquet(f"{sf_dir}/{table}.parquet").collect()]
+    out = queries.QUERIES[name](spark, sf_dir)
+    got = [r.asDict() for r in out.collect()]
+    assert len(got) == len(rows)
+    if sql := queries.ORACLES.get(name):
+        import duckdb
+
+        con = duckdb.connect()
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        cursor = con.execute(sql)
+        columns = [d[0] for d in cursor.description]
+        assert sorted(columns) == sorted(out.columns)
+        assert sorted((repr([r[c] for c in columns]) for r in got)) == sorted(repr(list(r)) for r in cursor.fetchall())
+    by = {r["page_id" if table == "pages" else "doc_id"]: r for r in got}
+    check = lambda expected, columns: [tuple(by[e[0]][c] for c in columns) for e in expected] == [tuple(e) for e in expected]
+    if name == "op1_tokens":
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        assert check(brute.tokens(rows, Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))), ["doc_id", "start", "n_tokens", "ids_crc32"])
+    elif name == "op3_simhash":
+        assert check(brute.components(rows), ["doc_id", "fingerprint", "component_id"])
+    elif name == "op4_mix":
+        sizes = Counter()
+        for r in rows:
+            sizes[r["source"]] += len(brute.words(r["text"]))
+        goal, taken = brute.targets(sizes), Counter()
+        for r in rows:
+            g = by[r["doc_id"]]
+            assert g["size"] == len(brute.words(r["text"])) and g["source_size"] == sizes[r["source"]] and abs(g["target"] - goal[r["source"]]) < 1e-6 and g["taken"] <= 3 * g["size"]
+            taken[r["source"]] += g["taken"]
+        assert all(abs(taken[s] - goal[s]) <= 0.2 * goal[s] for s in sizes)
+    elif name == "op5_shard":
+        assert check(brute.shards(rows), ["doc_id", "size", "text_crc32"]) and {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
+    elif name == "op7_quality":
+        assert check([(r["doc_id"], *brute.quality(r["text"])) for r in rows], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"])
+        assert not any(r["kept"] and r["base_failed"] for r in got)
+    elif name == "op8_licenses":
+        assert check([(r["doc_id"], *brute.licenses(r["text"])) for r in rows], ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"])
+    elif name == "op10_lm":
+        for e in brute.base_scores(rows):
+            g = by[e[0]]
+            assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == e[1:5] and abs(g["base_score"] - e[5]) < 1e-6 * abs(e[5])
