@@ -1,9 +1,10 @@
 """Benchmark decontamination by winnowed fingerprints.
 
 Of every WIDTH consecutive hashes of GRAM words the smallest is kept, in documents and items alike,
-so any shared span of GRAM + WIDTH - 1 = 10 words shares a kept fingerprint. Fingerprints are joined
-and each match is extended word by word inside the 10-word windows that hold it. Items of fewer than
-10 words have one window, their whole; for them all hashes of that many words are kept.
+so any shared span of GRAM + WIDTH - 1 = 10 words shares a kept fingerprint. Fingerprints are joined,
+and each match is extended to the 10-word windows that hold it: those whose words, as 128 bits of
+hash, are an item's are hits. Items of fewer than 10 words have one window, their whole; for them all
+hashes of that many words are kept.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ WIDTH = SPAN - GRAM + 1
 #: The benchmark's fingerprints are sent to all tasks while they have so many rows at most.
 BOUND = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 _REMEMBER = 300_000
 
 
@@ -50,14 +52,14 @@ def word_list(text: bytes | None) -> list[bytes]:
     return text.translate(ALNUM).split() if text else []
 
 
-def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
+def gram_hashes(h: np.ndarray, k: int, base: np.uint64 = _BASE) -> np.ndarray:
     """A hash of each k consecutive words, from the words' hashes."""
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     g = h[:n].copy()
     for j in range(1, k):
-        g *= _BASE
+        g *= base
         g += h[j : j + n]
     g ^= np.uint64(k * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
     g *= np.uint64(0xFF51AFD7ED558CCD)
@@ -94,15 +96,17 @@ def fingerprints(h: np.ndarray, short: list[int]) -> Iterator[tuple[int, np.ndar
         yield SPAN + m, np.arange(len(g)), g ^ np.uint64(0x5851F42D4C957F2D)
 
 
-def _around(words: list[bytes], at: int, kind: int) -> tuple[bytes, int]:
-    """The words in which every window that holds the fingerprint lies, and its place in them."""
-    if kind > SPAN:
-        return b" ".join(words[at : at + kind - SPAN]), 0
-    a = max(0, at - (SPAN - GRAM))
-    return b" ".join(words[a : at + SPAN]), at - a
+def windows_at(h: np.ndarray, kind: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, and two hashes each, of the windows that hold a fingerprint at one of the places."""
+    span = SPAN if kind <= SPAN else kind - SPAN
+    back = SPAN - GRAM if kind <= SPAN else 0
+    starts = np.unique((places[:, None] - np.arange(back + 1)).ravel())
+    starts = starts[(starts >= 0) & (starts <= len(h) - span)]
+    return starts, gram_hashes(h, span)[starts], gram_hashes(h, span, _OTHER)[starts]
 
 
 def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item_id, kind, fp, h1, h2: each kept fingerprint with each window that holds it."""
     hashes = _Hashes()
     for batch in batches:
         out = []
@@ -110,123 +114,140 @@ def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = word_list(text)
             n = len(words)
             if n:
-                short = [n] if n < SPAN else []
-                for kind, at, fp in fingerprints(hashes(words), short):
+                h = hashes(words)
+                for kind, at, fp in fingerprints(h, [n] if n < SPAN else []):
                     for p, f in zip(at.tolist(), fp.view(np.int64).tolist()):
-                        near, shift = _around(words, p, kind)
-                        out.append((item, kind, f, near, shift))
+                        _, one, two = windows_at(h, kind, np.array([p]))
+                        out += [(item, kind, f, a, b) for a, b in zip(one.view(np.int64).tolist(), two.view(np.int64).tolist())]
         cols = list(zip(*out)) if out else [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.int32())],
-            ["item_id", "kind", "fp", "item_near", "item_shift"],
+            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["item_id", "kind", "fp", "h1", "h2"]
         )
 
 
-def _doc_prints(short: list[int], wanted: np.ndarray | None):
-    """Each document with its fingerprints; `wanted`, if given, holds all of the benchmark's, sorted."""
+_WINDOWS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]))
+_PLACES = pa.list_(pa.struct([("kind", pa.int32()), ("fp", pa.int64())]))
+
+
+def _rows(h: np.ndarray, kind: int, places: np.ndarray) -> list[dict]:
+    starts, one, two = windows_at(h, kind, places)
+    return [{"kind": kind, "start": s, "h1": a, "h2": b} for s, a, b in zip(starts.tolist(), one.view(np.int64).tolist(), two.view(np.int64).tolist())]
+
+
+def _among(fp: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of fp are in wanted, which is sorted."""
+    fp = fp.view(np.int64)
+    return wanted[np.minimum(np.searchsorted(wanted, fp), len(wanted) - 1)] == fp if len(wanted) else np.zeros(len(fp), bool)
+
+
+def _doc_windows(short: list[int], wanted: np.ndarray):
+    """Each document with the windows that hold one of the benchmark's fingerprints, all of which are in `wanted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        found_type = pa.list_(pa.struct([("kind", pa.int32()), ("fp", pa.int64()), ("place", pa.int32()), ("near", pa.binary()), ("shift", pa.int32())]))
         for batch in batches:
             n_words, found = [], []
             for text in batch.column("text").to_pylist():
                 words = word_list(text)
                 n_words.append(len(words))
                 rows: list[dict] = []
-                for kind, at, fp in fingerprints(hashes(words), short) if words else ():
-                    fp = fp.view(np.int64)
-                    if wanted is not None:
-                        i = np.searchsorted(wanted, fp)
-                        hit = wanted[np.minimum(i, len(wanted) - 1)] == fp if len(wanted) else np.zeros(len(fp), bool)
-                        at, fp = at[hit], fp[hit]
-                    for p, f in zip(at.tolist(), fp.tolist()):
-                        near, shift = _around(words, p, kind)
-                        rows.append({"kind": kind, "fp": f, "place": p, "near": near, "shift": shift})
+                if words:
+                    h = hashes(words)
+                    for kind, at, fp in fingerprints(h, short):
+                        hit = at[_among(fp, wanted)]
+                        rows += _rows(h, kind, hit) if len(hit) else []
                 found.append(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(n_words, pa.int64()), pa.array(found, found_type)], ["key", "n_words", "found"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n_words, pa.int64()), pa.array(found, _WINDOWS)], ["key", "n_words", "found"])
+
+    return run
+
+
+def _doc_prints(short: list[int]):
+    """Each document with its distinct fingerprints."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            n_words, prints = [], []
+            for text in batch.column("text").to_pylist():
+                words = word_list(text)
+                n_words.append(len(words))
+                prints.append([{"kind": k, "fp": f} for k, _, fp in fingerprints(hashes(words), short) for f in np.unique(fp.view(np.int64)).tolist()] if words else [])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n_words, pa.int64()), pa.array(prints, _PLACES)], ["row", "n_words", "prints"])
 
     return run
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grow each match of fingerprints over equal words; keep those that reach a whole window."""
+def _matched_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of documents that hold one of their matched fingerprints."""
+    hashes = _Hashes()
     for batch in batches:
-        c = {n: batch.column(n).to_pylist() for n in ("row", "place", "kind", "near", "shift", "item_near", "item_shift", "near_id")}
-        out = []
-        for row, place, kind, near, shift, other, other_shift, near_id in zip(*c.values()):
-            if kind > SPAN:
-                if near == other:
-                    out.append((row, place, place + kind - SPAN, near_id))
-                continue
-            d, e = near.split(b" "), other.split(b" ")
-            a, b = shift, other_shift
-            while a and b and d[a - 1] == e[b - 1]:
-                a, b = a - 1, b - 1
-            to, b = shift, other_shift
-            while to < len(d) and b < len(e) and d[to] == e[b]:
-                to, b = to + 1, b + 1
-            if to - a >= SPAN:
-                out.append((row, place - shift + a, place - shift + to, near_id))
-        cols = list(zip(*out)) if out else [[]] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())],
-            ["row", "start", "stop", "near_id"],
-        )
+        found = []
+        for text, matched in zip(batch.column("text").to_pylist(), batch.column("matched").to_pylist()):
+            h, rows = hashes(word_list(text)), []
+            for kind in sorted({m["kind"] for m in matched}):
+                wanted = np.array(sorted(m["fp"] for m in matched if m["kind"] == kind), np.int64)
+                for k, at, fp in fingerprints(h, [kind - SPAN] if kind > SPAN else []):
+                    if k == kind:
+                        rows += _rows(h, kind, at[_among(fp, wanted)])
+            found.append(rows)
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, _WINDOWS)], ["row", "found"])
+
+
+def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
+    """Inner join on keys; right has one row for each, and a hot key's rows of left, which have `row`, are dealt over tasks."""
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")).join(right, [*keys, "salt"]).drop("salt")
 
 
 def hits(docs: DataFrame, items: DataFrame, scratch: Scratch, bound: int = BOUND) -> tuple[DataFrame, DataFrame]:
     """(documents, hits) for docs (key struct, text) and items (item_id, text).
 
     documents: row (a number given here), key, n_words. hits: row, intervals (array of start and
-    stop words, each within an item's windows), items (ids with an occurring window, as strings).
+    stop words, each an item's window), items (ids with an occurring window, as strings).
+
+    While the benchmark has `bound` fingerprints at most, tasks look their documents' fingerprints
+    up in all of them; beyond that the two sides are joined by shuffle, and only the documents with
+    matches are read again for their windows.
     """
     prints = scratch.write(
-        items.select(F.col("item_id").cast("string"), F.col("text").cast("binary").alias("text"))
-        .mapInArrow(_item_prints, "item_id string, kind int, fp long, item_near binary, item_shift int"),
-        "prints",
-    )
-    # equal surroundings are compared once, however many items share them
-    near = scratch.write(
-        prints.groupBy("kind", "fp", "item_near", "item_shift").agg(F.min("item_id").alias("one")).withColumn("near_id", F.monotonically_increasing_id()), "near"
+        items.select(F.col("item_id").cast("string"), F.col("text").cast("binary").alias("text")).mapInArrow(_item_prints, "item_id string, kind int, fp long, h1 long, h2 long"), "prints"
     )
-    short = sorted(k - SPAN for (k,) in near.where(F.col("kind") > SPAN).select("kind").distinct().collect())
-    small = near.limit(bound + 1).count() <= bound
-    wanted = None
-    if small:
-        wanted = np.array([f for (f,) in near.select("fp").distinct().collect()], np.int64)
-        wanted.sort()
-    made = StructType.fromDDL("n_words long, found array<struct<kind: int, fp: long, place: int, near: binary, shift: int>>")
-    schema = StructType([*docs.select("key").schema, *made])
-    seen = scratch.write(
-        docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_doc_prints(short, wanted), schema)
-        .withColumn("row", F.monotonically_increasing_id()),
-        "documents",
-    )
-    found = seen.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    right = near.select("kind", "fp", "item_near", "item_shift", "near_id")
+    # windows with the same items share a set, so a stock phrase of many items is one row for each document
+    windows = prints.groupBy("kind", "h1", "h2").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    windows = scratch.write(windows.withColumn("set", F.xxhash64("items")), "windows")
+    short = sorted(k - SPAN for (k,) in windows.where(F.col("kind") > SPAN).select("kind").distinct().collect())
+    kept = prints.select("kind", "fp").distinct()
+    small = kept.limit(bound + 1).count() <= bound
+    array = "array<struct<kind: int, start: int, h1: long, h2: long>>"
     if small:
-        matched = found.join(F.broadcast(right), ["kind", "fp"])
-    else:  # a common fingerprint's documents are dealt over sixteen tasks
-        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-        matched = found.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(16)).cast("int")).join(right, ["kind", "fp", "salt"])
-    spans = scratch.write(
-        matched.select("row", "place", "kind", "near", "shift", "item_near", "item_shift", "near_id")
-        .mapInArrow(_extend, "row long, start int, stop int, near_id long"),
-        "spans",
-    )
+        wanted = np.array(sorted(f for (f,) in kept.select("fp").distinct().collect()), np.int64)
+        schema = StructType([*docs.select("key").schema, *StructType.fromDDL(f"n_words long, found {array}")])
+        seen = scratch.write(
+            docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_doc_windows(short, wanted), schema).withColumn("row", F.monotonically_increasing_id()), "documents"
+        )
+        found = seen.select("row", "found")
+    else:
+        stored = scratch.write(docs.select("key", F.col("text").cast("binary").alias("text")).withColumn("row", F.monotonically_increasing_id()), "stored")
+        counted = scratch.write(stored.select("row", "text").mapInArrow(_doc_prints(short), "row long, n_words long, prints array<struct<kind: int, fp: long>>"), "fingerprints")
+        seen = stored.select("row", "key").join(counted.select("row", "n_words"), "row")
+        matched = _salted_join(counted.select("row", F.inline("prints")), kept, ["kind", "fp"])
+        matched = matched.groupBy("row").agg(F.collect_list(F.struct("kind", "fp")).alias("matched"))
+        found = scratch.write(stored.select("row", "text").join(matched, "row").mapInArrow(_matched_windows, f"row long, found {array}"), "found")
+    rows, right = found.select("row", F.inline("found")), windows.select("kind", "h1", "h2", "set")
+    if windows.limit(bound + 1).count() <= bound:
+        joined = rows.join(F.broadcast(right), ["kind", "h1", "h2"])
+    else:
+        joined = _salted_join(rows, right, ["kind", "h1", "h2"])
+    span = F.when(F.col("kind") > SPAN, F.col("kind") - SPAN).otherwise(F.lit(SPAN))
+    spans = scratch.write(joined.select("row", "start", (F.col("start") + span).alias("stop"), "set"), "spans")
     # distinct first: what meets for a document is bounded by its own length and its items
     intervals = spans.select("row", F.struct("start", "stop").alias("i")).distinct().groupBy("row").agg(F.collect_list("i").alias("intervals"))
-    owners = (
-        near.select("kind", "fp", "item_near", "item_shift", "near_id")
-        .join(prints, ["kind", "fp", "item_near", "item_shift"]).select("near_id", "item_id").distinct()
-    )
+    owners = windows.select("set", F.explode("items").alias("item_id")).distinct()
     owners = F.broadcast(owners) if owners.limit(bound + 1).count() <= bound else owners
-    named = spans.select("row", "near_id").distinct().join(owners, "near_id").select("row", "item_id").distinct()
+    named = spans.select("row", "set").distinct().join(owners, "set").select("row", "item_id").distinct()
     items_of = named.groupBy("row").agg(F.collect_list("item_id").alias("items"))
-    return seen.select("row", "key", "n_words"), intervals.join(items_of, "row")
+    return seen.select("row", "key", "n_words"), intervals.join(items_of, "row", "left")
 
 
 def _covered(intervals):
@@ -248,7 +269,7 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, bound: in
     """docs' columns key, and n_words, n_hit, n_items, items_sha256, contaminated for every row.
 
     A null or empty text has no words and no hits. Without items nothing is hit; the digest is that
-    of no bytes. Equal rows each get a row.
+    of no bytes. An item without id hits, but has no name to list. Equal rows each get a row.
     """
     seen, hit = hits(docs, items, scratch, bound)
     full = seen.join(hit, "row", "left")
@@ -261,10 +282,15 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, bound: in
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, with their columns, that no window of an item occurs in."""
+    """The rows of docs, with their columns, that no window of an item occurs in.
+
+    A text without words stays; equal rows share their fate; an empty table stays empty. Texts go
+    through the scan once, and the other columns not at all.
+    """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    keyed = docs.select(F.struct("*").alias("key"), "text")
-    return contamination(keyed, items, scratch).where(~F.col("contaminated")).select("key.*")
+    stored = scratch.write(docs.select(F.struct("*").alias("rec")).withColumn("n", F.monotonically_increasing_id()), "stored_rows")
+    found = contamination(stored.select(F.struct("n").alias("key"), F.col("rec.text").alias("text")), items, scratch)
+    return stored.join(found.where("contaminated").select("key.n"), "n", "left_anti").select("rec.*")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
