@@ -29,7 +29,7 @@ from .common import Scratch, join_hot, load
 WINDOW = 50
 STOP = 6  # a symbol of so many words is final
 ROUNDS = 7
-BATCH_WORDS = 400_000
+BATCH_WORDS = 200_000
 #: Keys of candidate documents are broadcast, to spare other texts a shuffle, up to so many.
 BOUND = 500_000
 _REMEMBER = 300_000
@@ -215,14 +215,15 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
     kind = pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
     for batch in batches:
-        rows = [t.split() if t else [] for t in batch.column("text").to_pylist()]
+        texts = batch.column("text")
         at = 0
-        while at < len(rows):
-            to, n = at, 0
-            while to < len(rows) and (to == at or n + len(rows[to]) <= BATCH_WORDS):
-                n += len(rows[to]) + 1
+        while at < len(texts):
+            # only so many words at a time are cut apart
+            part, n, to = [], 0, at
+            while to < len(texts) and (to == at or n < BATCH_WORDS):
+                part.append((texts[to].as_py() or b"").split())
+                n += len(part[-1]) + 1
                 to += 1
-            part = rows[at:to]
             first, last, key = zip(*_keyed(part, hashes))
             offsets = np.concatenate([[0], np.cumsum(list(map(len, key)))]).astype(np.int32)
             struct = pa.StructArray.from_arrays(
@@ -248,8 +249,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["h1", "h2", "doc", "id", "at"]
     for batch in batches:
         docs, ids = batch.column("doc").to_pylist(), batch.column("id").to_pylist()
-        for i, (text, spans) in enumerate(zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist())):
-            one, two = window_hashes(hashes(text.split()))
+        for i, (text, spans) in enumerate(zip(batch.column("text"), batch.column("ranges"))):
+            spans = spans.as_py()
+            one, two = window_hashes(hashes(text.as_py().split()))
             at = np.unique(np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spans]))
             for a in range(0, len(at), 100_000):
                 p = at[a : a + 100_000]
