@@ -16,6 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import ALNUM, load
 
@@ -197,21 +198,191 @@ ADDRESSES = [
     ("public-domain", "creativecommons", "creativecommons org (?:publicdomain mark|licenses publicdomain)", "1 0"),
 ]
 
-#: Sentences and marks that name no license by version: label, keyword, pattern, score.
+#: Hand-written signatures of notices: sentences by which files say what they are under. Label, words.
+NOTICES = [
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "this file is part of a program that is free software under the gnu general public license"),
+    ("gpl", "you should have received a copy of the gnu general public license along with"),
+    ("gpl", "either version 2 of the license or at your option any later version"),
+    ("gpl", "either version 3 of the license or at your option any later version"),
+    ("gpl", "see the gnu general public license for more details"),
+    ("gpl", "may be used under the terms of the gnu general public license"),
+    ("gpl", "is distributed under the terms of the gnu general public license"),
+    ("gpl", "licensed under the gnu gpl"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu library general public license"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with"),
+    ("lgpl", "see the gnu lesser general public license for more details"),
+    ("lgpl", "see the gnu library general public license for more details"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with"),
+    ("agpl", "see the gnu affero general public license for more details"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts"),
+    ("gfdl", "a copy of the license is included in the section entitled gnu free documentation license"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+    ("apache", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache", "this product includes software developed by the apache software foundation"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "the contents of this file are subject to the mozilla public license version"),
+    ("mpl", "alternatively the contents of this file may be used under the terms of the mpl"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "are made available under the terms of the eclipse public license"),
+    ("edl", "are made available under the terms of the eclipse distribution license"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cddl", "you can obtain a copy of the license at usr src opensolaris license"),
+    ("cpl", "are made available under the terms of the common public license"),
+    ("eupl", "licensed under the eupl version"),
+    ("eupl", "you may not use this work except in compliance with the licence"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("boost", "see accompanying file license 1 0 txt or copy at"),
+    ("bsd", "use of this source code is governed by a bsd style license"),
+    ("bsd", "redistributable under the terms of the bsd license"),
+    ("bsd-3-clause", "use of this source code is governed by a bsd 3 clause license"),
+    ("mit", "use of this source code is governed by an mit style license"),
+    ("mit", "this software is released under the mit license"),
+    ("mit", "this project is licensed under the terms of the mit license"),
+    ("mit", "distributed under the mit software license"),
+    ("artistic", "you can redistribute it and or modify it under the same terms as perl itself"),
+    ("artistic", "this library is free software you may distribute under the terms of the artistic license"),
+    ("artistic", "under the terms of either the gnu general public license or the artistic license"),
+    ("afl", "licensed under the academic free license version"),
+    ("osl", "licensed under the open software license version"),
+    ("ofl", "this font software is licensed under the sil open font license"),
+    ("cc-by", "this work is licensed under a creative commons attribution license"),
+    ("cc-by", "to view a copy of this license visit http creativecommons org licenses by"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
+    ("cc0", "has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    ("odbl", "this database is made available under the open database license"),
+    ("odbl", "any rights in individual contents of the database are licensed under the database contents license"),
+    ("pddl", "is made available under the public domain dedication and license"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("beerware", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("public-domain", "this file has been put into the public domain"),
+    ("public-domain", "this software is in the public domain"),
+    ("public-domain", "the author disclaims copyright to this source code"),
+    ("public-domain", "the author hereby disclaims copyright"),
+    ("public-domain", "has been released into the public domain by its author"),
+    ("public-domain", "is a work of the united states government and is not subject to copyright protection"),
+    ("proprietary", "this software is proprietary and confidential"),
+    ("proprietary", "unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "contains confidential and proprietary information"),
+    ("proprietary", "all rights reserved no part of this"),
+    ("proprietary", "may not be reproduced in any form without the prior written permission"),
+    ("proprietary", "this source code is the confidential property of"),
+    ("unknown", "see the license file for the terms"),
+    ("unknown", "see the file license for copying permission"),
+    ("unknown", "see the file copying for copying conditions"),
+    ("unknown", "is subject to the terms and conditions of the license"),
+]
+
+#: Hand-written signatures of license bodies: grants, conditions and disclaimers. Label, words.
+BODIES = [
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("x11", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization"),
+    ("ncsa", "to deal with the software without restriction including without limitation the rights"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("bsd", "this software is provided by the regents and contributors as is"),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("apache", "terms and conditions for use reproduction and distribution 1 definitions license shall mean"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache", "you must give any other recipients of the work or derivative works a copy of this license"),
+    ("apache", "if the work includes a notice text file as part of its distribution"),
+    ("gpl", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", "you may copy and distribute verbatim copies of the program s source code as you receive it in any medium"),
+    ("gpl", "you must cause any work that you distribute or publish that in whole or in part contains or is derived from the program"),
+    ("gpl", "to convey a work means any kind of propagation that enables other parties to make or receive copies"),
+    ("lgpl", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("lgpl", "a program that contains no derivative of any portion of the library but is designed to work with the library"),
+    ("lgpl", "this license the lesser general public license applies to some specially designated software packages"),
+    ("agpl", "if you modify the program your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("agpl", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("gfdl", "the purpose of this license is to make a manual textbook or other functional and useful document free"),
+    ("mpl", "covered software is provided under this license on an as is basis without warranty of any kind"),
+    ("mpl", "modifications means any of the following any file in source code form that results from an addition to deletion from or modification of the contents of covered software"),
+    ("mpl", "you must inform recipients that the source code form of the covered software is governed by the terms of this license"),
+    ("epl", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cpl", "the accompanying program is provided under the terms of this common public license"),
+    ("cddl", "covered software is provided under this license on an as is basis without warranty of any kind either expressed or implied including without limitation warranties that the covered software is free of defects"),
+    ("eupl", "this european union public licence the eupl applies to the work"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed preamble this license establishes"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("boost", "must be included in all copies of the software in whole or in part and all derivative works of the software unless such copies or derivative works are solely in the form of machine executable object code"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("libpng", "the png reference library is supplied as is"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", "we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors"),
+    ("python", "psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("python", "this license agreement is between the python software foundation"),
+    ("php", "products derived from this software may not be called php"),
+    ("php", "this product includes php software freely available from"),
+    ("ruby", "you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("openssl", "the names openssl toolkit and openssl project must not be used to endorse or promote products"),
+    ("openldap", "the openldap public license version 2 8"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("w3c", "permission to copy modify and distribute this software and its documentation with or without modification for any purpose and without fee or royalty is hereby granted"),
+    ("curl", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("json", "the software shall be used for good not evil"),
+    ("vim", "if you distribute a modified version of vim you are encouraged to send the maintainer a copy"),
+    ("ofl", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("ofl", "neither the font software nor any of its individual components in original or modified versions may be sold by itself"),
+    ("odbl", "the database directive grants legal protection to databases"),
+    ("cc-by", "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution 4 0 international public license"),
+    ("cc-by-sa", "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution sharealike 4 0 international public license"),
+    ("cc-by-nc", "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution noncommercial 4 0 international public license"),
+    ("cc0", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders all of affirmer s copyright and related rights"),
+    ("ms-pl", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("ms-rl", "for any file you distribute that contains code from the software you must provide recipients the source code to that file along with a copy of this license"),
+    ("apsl", "this file contains original code and or modifications of original code as defined in and that are subject to the apple public source license"),
+    ("ecl", "this educational community license version 2 0 is derived from the apache license"),
+    ("afl", "this academic free license the license applies to any original work of authorship"),
+    ("osl", "this open software license the license applies to any original work of authorship"),
+    ("upl", "subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data"),
+    ("bsl", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("bsl", "effective on the change date or the fourth anniversary of the first publicly available distribution"),
+    ("sspl", "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic", "you may not provide the software to third parties as a hosted or managed service"),
+    ("polyform", "the licensor grants you a copyright license for the software to do everything you might do with the software that would otherwise infringe"),
+    ("openrail", "you agree not to use the model or derivatives of the model"),
+    ("llama", "you are granted a non exclusive worldwide non transferable and royalty free limited license under meta s intellectual property"),
+    ("qpl", "you may copy and distribute modified versions of the software provided that patches are distributed"),
+    ("nasa", "this open source agreement agreement defines the rights of use reproduction distribution modification and redistribution"),
+    ("cecill", "this agreement is a free software license agreement that is the result of discussions between its authors"),
+    ("mulan", "your reproduction use modification and distribution of the software shall be subject to mulan psl"),
+]
+
+#: Shorter phrases, whose places may differ a little: label, keyword, pattern, score.
 TEXTS = [
-    ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
-    ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose", 0.95),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms", 0.9),
-    ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain", 0.95),
-    ("gpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu general public license", 0.95),
-    ("lgpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", 0.95),
-    ("zlib", "as is", r"provided as is without any express or implied warranty in no event will the authors", 0.8),
-    ("public-domain", "public domain", r"(?:released|placed|dedicated|is) (?:in|into|to|in to) the public domain", 0.8),
-    ("proprietary", "all rights reserved", r"all rights reserved", 0.5),
-    ("proprietary", "confidential", r"proprietary and confidential", 0.8),
-    ("unknown", "licen", r"licen[cs]ed under(?: the)?", 0.3),
-    ("unknown", "licen", r"released under (?:the|a) [^ ]+ licen[cs]e", 0.3),
-    ("unknown", "terms of use", r"terms of use", 0.3),
+    ("public-domain", "public domain", r"(?:released|placed|dedicated) (?:in|into|to|in to) the public domain", 0.8),
+    ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)", 0.8),
+    ("unknown", "licen", r"licen[cs]ed under the terms of", 0.3),
+    ("unknown", "licen", r"released under (?:the|a) [^ ]+ (?:open source |free |public )?licen[cs]e", 0.3),
+    ("unknown", "licen", r"(?:distributed|available) under (?:the|a) [^ ]+ licen[cs]e", 0.3),
 ]
 
 #: Ways in which a family's name is used, best first: what stands before it, after it, and the score.
@@ -229,6 +400,9 @@ ID_FORMS = [
     (r"opensource org licenses? ", "opensource", 1.0),
 ]
 
+#: A signature's keyword is so many of its first words: rare enough together to gate it, and in every match.
+GATE = 4
+
 #: Ids that are also names of languages, tools or firms: "released under ..." says too little of them.
 NAMES = {"python", "ruby", "php", "postgresql", "openssl", "w3c", "intel", "elastic", "nasa", "json", "vim", "curl"}
 
@@ -271,7 +445,7 @@ def _id_rules() -> list[Rule]:
 
 
 def build_rules() -> list[Rule]:
-    """All rules in their order: each family in each form, with a version and without, then the ids, the addresses and the texts.
+    """All rules in their order: each family in each form, with a version and without, then the ids, the addresses, notices and bodies.
 
     Priority 0 is tried and kept first. A form with a version goes before the same without.
     """
@@ -283,12 +457,15 @@ def build_rules() -> list[Rule]:
                 if name in JOINED:
                     v = f"(?:{v}|(?:{versions}))"
                 rules.append(Rule(label, keyword, before + name + v + after, 2 * i, score))
-            rules.append(Rule(label, keyword, before + name + after, 2 * i + 1, score * 0.9))
+            if before or after or label not in NAMES:  # "the json license field": a bare name says too little of these
+                rules.append(Rule(label, keyword, before + name + after, 2 * i + 1, score * 0.9))
     rules += _id_rules()
     for label, keyword, name, versions in ADDRESSES:
         rules.append(Rule(label, keyword, f"{name} (?:{versions})", 2, 1.0))
         rules.append(Rule(label, keyword, name, 3, 0.9))
-    rules += [Rule(label, keyword, pattern, 2 if score > 0.8 else 9, score) for label, keyword, pattern, score in TEXTS]
+    rules += [Rule(label, " ".join(text.split()[:GATE]), text, 2, 0.95) for label, text in NOTICES]
+    rules += [Rule(label, " ".join(text.split()[:GATE]), text, 2, 0.9) for label, text in BODIES]
+    rules += [Rule(label, keyword, pattern, 9, score) for label, keyword, pattern, score in TEXTS]
     return rules
 
 
@@ -396,9 +573,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """docs (key struct, text) as key and the findings of each whole text; each row on its own, no shuffle."""
-    key = docs.select("key").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ", 1)
-    return docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_scan, f"{key}, {FINDINGS}")
+    """docs (key struct, text) as key and the findings of each whole text; each row on its own, no shuffle.
+
+    A null or empty text has no words and no labels, and score 0. Equal rows get equal findings, an
+    empty table none.
+    """
+    schema = StructType([*docs.select("key").schema, *StructType.fromDDL(FINDINGS)])
+    return docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_scan, schema)
 
 
 def op8_licenses(spark, sf_dir: str) -> DataFrame:

@@ -477,6 +477,54 @@ def test_library_license_needs_no_other_keyword(text):
     assert "lgpl" in licenses.scan_text(licenses.Scanner(), text.encode())["labels"].split(",")
 
 
+def test_each_signature_finds_its_own_text_and_no_broken_one():
+    """Every notice and body, in a sentence, gives its label; with any one word changed, that rule finds nothing."""
+    scanner = licenses.Scanner()
+    rnd = random.Random(21)
+    by = {r.pattern: r for r in scanner.rules}
+    for label, text in licenses.NOTICES + licenses.BODIES:
+        rule = by[text]
+        found = licenses.scan_text(scanner, f"Some words; {text.upper()}. More words".encode())
+        assert label in found["labels"].split(",") or any(text != t and (text in t or t in text) for _, t in licenses.NOTICES + licenses.BODIES), (label, text, found["labels"])
+        words = text.split()
+        words[rnd.randrange(len(words))] = "zzz"
+        assert not re.search(f"(?<= ){rule.pattern}(?= )", f" {' '.join(words)} ")
+
+
+def every_rule(rules, text):
+    """Labels and score with every rule tried, without keywords, and plain suppression."""
+    words = f" {' '.join(brute.alnum(text))} " if brute.alnum(text) else ""
+    raw = sorted((r.priority, m.start() - m.end(), i, m.start(), m.end()) for i, r in enumerate(rules) for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", words))
+    stands = []
+    for _, _, i, a, b in raw:
+        if not any((x <= a and b <= y) or (a <= x and y <= b) for x, y, _ in stands):
+            stands.append((a, b, i))
+    base = set(filter(None, brute.licenses(text)[4].split(",")))
+    return ",".join(sorted(base | {rules[i].label for _, _, i in stands})), max([rules[i].score for _, _, i in stands] + [0.63] * bool(base), default=0.0)
+
+
+def test_labels_equal_every_rule_tried(spark, rows, sf_dir):
+    scanner = licenses.Scanner()
+    rnd = random.Random(22)
+    texts = [r["text"] for r in rows if len(r["text"] or "") < 5000]
+    texts += [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 1500 and text like '%icense%'").limit(40).collect()]
+    texts += [" ".join(rnd.choice([t for _, t in licenses.NOTICES + licenses.BODIES]) for _ in range(4)) for _ in range(25)]
+    for text in texts:
+        found = licenses.scan_text(scanner, None if text is None else text.encode())
+        assert (found["labels"], found["score"]) == every_rule(scanner.rules, text), text
+
+
+@pytest.mark.parametrize("text", ["the JSON license field is optional", "all rights reserved", "our terms of use", "a driving license", "he was licensed under age", "vim license key", "license to kill", "intel license server", "python license plate"])
+def test_bare_words_label_nothing(text):
+    assert licenses.scan_text(licenses.Scanner(), text.encode())["labels"] == ""
+
+
+def test_license_scan_takes_any_key(spark):
+    df = spark.createDataFrame([(1, "MIT License", None)], "`a b` long, text string, `c:d` string")
+    got = licenses.scan(df.select(F.struct("a b", "c:d").alias("key"), "text")).first()
+    assert got["key"]["a b"] == 1 and got["labels"] == "mit"
+
+
 def test_license_suppression_equals_plain_rule():
     """What stands: by priority, then length; nothing inside or around what stands."""
     rnd = random.Random(4)
