@@ -25,6 +25,7 @@ BOUNDS = {
     "bigint": (-(1 << 63), (1 << 63) - 1),
 }
 
+# The version 1 identifiers' epoch, their extreme node parts, and microseconds in a unit.
 #: Ticks of 100 ns from the start of the Gregorian calendar (1582-10-15) to 1970.
 UUID_EPOCH = 122192928000000000
 #: The smallest and the largest clock-and-node parts, compared as signed bytes.
@@ -67,12 +68,31 @@ def problem(text: Column, value: Column) -> Column:
 # numbers
 
 
-def plain_number(text: Column) -> Column:
-    """A decimal from digits with optional commas between thousands, point, sign and exponent; else null."""
+def _ungrouped(text: Column) -> Column:
+    """Trimmed, without commas between thousands."""
     t = F.trim(text)
     grouped = t.rlike(r"^[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?$")
-    t = F.when(grouped, F.replace(t, F.lit(","), F.lit(""))).otherwise(t)
-    return t.try_cast("decimal(38,10)")
+    return F.when(grouped, F.replace(t, F.lit(","), F.lit(""))).otherwise(t)
+
+
+def plain_number(text: Column) -> Column:
+    """A decimal from digits with optional commas between thousands, point, sign and exponent; else null."""
+    return _ungrouped(text).try_cast("decimal(38,10)")
+
+
+def exact_number(text: Column, settings: Settings = Settings()) -> Column:
+    """Like number, but null where the decimal's ten places would lose digits, so that a load routes the record aside."""
+    t = _ungrouped(empty_to_null(text))
+    value = number(text, settings)
+    lost = t.rlike(r"\.[0-9]{10}[0-9]*[1-9]") | (t.rlike("^[+-]?[0-9.]+[eE]") & (value.cast("double") != t.try_cast("double")))
+    return F.when(~F.coalesce(lost, F.lit(False)), value)
+
+
+def whole_number(text: Column, settings: Settings = Settings()) -> Column:
+    """A whole number of up to 38 digits; null where there is a fraction."""
+    t = _ungrouped(empty_to_null(text))
+    digits = F.when(t.rlike(r"^[+-]?[0-9]+(\.0*)?$"), t.try_cast("decimal(38,0)"))
+    return F.coalesce(digits, rounded(number(text, settings), "unnecessary").cast("decimal(38,0)"))
 
 
 def number(text: Column, settings: Settings = Settings()) -> Column:
@@ -184,9 +204,10 @@ def timestamp(text: Column, settings: Settings = Settings()) -> Column:
 
 
 def format_timestamp(value: Column) -> Column:
-    """ISO with offset; seconds' fraction only where there is one."""
-    text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
-    return F.replace(text, F.lit(".000"), F.lit(""))
+    """ISO with offset; of the seconds' fraction as many places, none, three or six, as there are."""
+    fraction = F.pmod(F.unix_micros(value), F.lit(1_000_000))
+    form = lambda part: F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss{part}XXX")
+    return F.when(fraction == 0, form("")).when(fraction % 1000 == 0, form(".SSS")).otherwise(form(".SSSSSS"))
 
 
 def date(text: Column, settings: Settings = Settings()) -> Column:
@@ -341,41 +362,103 @@ def format_collection(value: Column) -> Column:
     return F.to_json(value)
 
 
-# geometry: text forms are kept as they are, if they have the right shape
+# geometry and date ranges: text forms are kept as they are, if they have the right shape
 
 GEOMETRY = {
     "point": r"^POINT\s*\(\s*-?[0-9.]+ -?[0-9.]+\s*\)$",
     "linestring": r"^LINESTRING\s*\(\s*-?[0-9.]+ -?[0-9.]+(\s*,\s*-?[0-9.]+ -?[0-9.]+)+\s*\)$",
     "polygon": r"^POLYGON\s*\(\(.*\)\)$",
 }
+_MOMENT = r"[0-9]{4}(-[0-9]{2}(-[0-9]{2}(T[0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,3})?)?)?Z?)?)?)?"
 
 
 def geometry(text: Column, kind: str) -> Column:
+    """Well-known text; a point or line string of GeoJSON is turned into it."""
     t = F.trim(text)
-    return F.when(F.upper(t).rlike(GEOMETRY[kind]), t)
+    parts = F.get_json_object(t, "$.coordinates")
+    pair = r"\[\s*(-?[0-9.]+)\s*,\s*(-?[0-9.]+)\s*\]"
+    flat = F.regexp_replace(F.regexp_replace(parts, pair, "$1 $2"), r"\s*,\s*", ", ")
+    body = {"point": F.concat(F.lit("("), flat, F.lit(")")), "linestring": F.translate(flat, "[]", "()"), "polygon": F.translate(flat, "[]", "()")}[kind]
+    made = F.when(t.startswith("{") & (F.lower(F.get_json_object(t, "$.type")) == kind), F.concat(F.lit(kind.upper() + " "), body)).otherwise(t)
+    return F.when(F.upper(made).rlike(GEOMETRY[kind]), made)
+
+
+def date_range(text: Column) -> Column:
+    """A moment of any precision, or [moment TO moment], either of which may be *."""
+    t = F.trim(text)
+    return F.when(t.rlike(rf"^(\*|{_MOMENT}|\[(\*|{_MOMENT}) TO (\*|{_MOMENT})\])$"), t)
 
 
 # by type name
 
+#: Types whose values Spark's JSON reader takes as they stand.
+_PLAIN = {"ascii", "text", "varchar", "int", "bigint", "smallint", "tinyint", "float", "double", "boolean"}
+
+
+def type_parts(kind: str, udts: dict[str, dict[str, str]] | None = None) -> tuple[str, list[str]]:
+    """(outer name, argument types): frozen is left out; a user-defined type is `udt` with the types of its fields."""
+    from ..schema import split_arguments
+
+    kind = kind.strip()
+    if udts and kind in udts:
+        return "udt", list(udts[kind].values())
+    outer, opened, inner = kind.partition("<")
+    if not opened:
+        return kind.lower(), []
+    if not inner.endswith(">"):
+        raise ValueError(f"no conversion for {kind}")
+    args = split_arguments(inner[:-1])
+    return type_parts(args[0], udts) if outer.strip().lower() == "frozen" else (outer.strip().lower(), args)
 
-def decode(text: Column, kind: str, settings: Settings = Settings()) -> Column:
-    """The value of a text field for a column of a native type, or of list, set or map of native types."""
-    from ..schema import spark_type, split_arguments
 
-    text, base = null_strings(text, settings.null_strings), kind.lower()
-    if base in ("ascii", "text", "varchar"):
+def _whole(raw: Column, made: Column) -> Column:
+    """made, unless one of its members was lost."""
+    return F.when(~F.exists(F.zip_with(raw, made, lambda a, b: a.isNotNull() & b.isNull()), lambda x: x), made)
+
+
+def _nested(text: Column, outer: str, args: list[str], names: list[str], settings: Settings, udts) -> Column:
+    """A collection whose members are converted one by one, from their JSON texts; null if one can't be."""
+    of = lambda x, kind: decode(x, kind, settings, udts)
+    text = empty_to_null(text)
+    if outer in ("list", "set"):
+        raw = F.from_json(_bracketed(text, "[", "]"), "array<string>", _RELAXED)
+        made = _whole(raw, F.transform(raw, lambda x: of(x, args[0])))
+        return made if outer == "list" else F.array_sort(F.array_distinct(made))
+    if outer == "map":
+        raw = F.from_json(_bracketed(text, "{", "}"), "map<string,string>", _RELAXED)
+        keys, values = F.map_keys(raw), F.map_values(raw)
+        return F.map_from_arrays(_whole(keys, F.transform(keys, lambda k: of(k, args[0]))), _whole(values, F.transform(values, lambda v: of(v, args[1]))))
+    by_name = F.from_json(_bracketed(text, "{", "}"), "map<string,string>", _RELAXED)
+    by_place = F.from_json(_bracketed(text, "[", "]"), "array<string>", _RELAXED)
+    if outer == "tuple":
+        raw = F.when(F.size(by_place) == len(args), by_place)
+    else:
+        placed = F.when(F.size(by_place) == len(args), by_place)
+        raw = F.when(F.trim(text).startswith("["), placed).otherwise(F.when(by_name.isNotNull(), F.array(*(F.try_element_at(by_name, F.lit(n)) for n in names))))
+    fields = [of(F.get(raw, i), t) for i, t in enumerate(args)]
+    lost = reduce(lambda a, b: a | b, (F.get(raw, i).isNotNull() & f.isNull() for i, f in enumerate(fields)))
+    return F.when(raw.isNotNull() & ~lost, F.struct(*(f.alias(n) for f, n in zip(fields, names))))
+
+
+def decode(text: Column, kind: str, settings: Settings = Settings(), udts: dict[str, dict[str, str]] | None = None) -> Column:
+    """The value of a text field for a column of any type: native, collection, tuple or user-defined, nested or frozen."""
+    from ..schema import spark_type
+
+    outer, args = type_parts(kind, udts)
+    text = null_strings(text, settings.null_strings)
+    if outer in ("ascii", "text", "varchar"):
         return text
-    if base == "blob":
+    if outer == "blob":
         return blob(text)
     text = empty_to_null(text)
-    if base in BOUNDS or base == "counter":
-        return narrow(number(text, settings), "bigint" if base == "counter" else base, settings.overflow, settings.rounding)
+    if outer in BOUNDS or outer == "counter":
+        return narrow(number(text, settings), "bigint" if outer == "counter" else outer, settings.overflow, settings.rounding)
     simple = {
         "boolean": lambda: boolean(text),
         "float": lambda: real(text, "float", settings.overflow),
         "double": lambda: real(text, "double", settings.overflow),
-        "decimal": lambda: number(text, settings),
-        "varint": lambda: rounded(number(text, settings), "unnecessary").cast("decimal(38,0)"),
+        "decimal": lambda: exact_number(text, settings) if settings.overflow == "reject" else number(text, settings),
+        "varint": lambda: whole_number(text, settings),
         "timestamp": lambda: timestamp(text, settings),
         "date": lambda: date(text, settings),
         "time": lambda: time_of_day(text),
@@ -383,28 +466,65 @@ def decode(text: Column, kind: str, settings: Settings = Settings()) -> Column:
         "timeuuid": lambda: uuid_or_time(text, settings=settings),
         "inet": lambda: inet(text),
         "duration": lambda: duration(text),
+        "daterange": lambda: date_range(text),
+        **{g: lambda g=g: geometry(text, g) for g in GEOMETRY},
     }
-    if base in simple:
-        return simple[base]()
-    outer, _, inner = kind.rstrip(">").partition("<")
-    args = split_arguments(inner)
-    name = lambda t: spark_type(t).simpleString()
-    if outer == "list":
+    if outer in simple:
+        return simple[outer]()
+    name = lambda t: spark_type(t, udts).simpleString()
+    if outer == "vector":
+        return vector_of(text, int(args[1]))
+    plain = all(a.lower() in _PLAIN for a in args)
+    if outer == "list" and plain:
         return list_of(text, name(args[0]))
-    if outer == "set":
+    if outer == "set" and plain:
         return set_of(text, name(args[0]))
-    if outer == "map":
+    if outer == "map" and plain:
         return map_of(text, name(args[0]), name(args[1]))
-    if outer == "tuple":
+    if outer == "tuple" and plain:
         return tuple_of(text, [name(a) for a in args])
-    if outer == "vector":
-        return vector_of(text, int(args[1]))
+    if outer in ("list", "set", "map", "tuple", "udt"):
+        names = list(udts[kind.strip().removeprefix("frozen<").removesuffix(">").strip()]) if outer == "udt" else [f"_{i + 1}" for i in range(len(args))]
+        return _nested(text, outer, args, names, settings, udts)
     raise ValueError(f"no conversion for {kind}")
 
 
-def encode(value: Column, kind: str, settings: Settings = Settings()) -> Column:
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    made = F.to_json(F.array(text))
+    return F.substring(made, F.lit(2), F.length(made) - 2)
+
+
+def _json_text(value: Column, kind: str, settings: Settings, udts) -> Column:
+    """A member of a collection as JSON; a null is the word null."""
+    outer, args = type_parts(kind, udts)
+    if outer in ("list", "set", "map", "tuple", "udt"):
+        text = _format_nested(value, kind, settings, udts)
+    elif outer in BOUNDS or outer in ("float", "double", "decimal", "varint", "counter", "boolean"):
+        text = value.cast("string")
+    else:
+        text = _quoted(encode(value, kind, Settings(binary=settings.binary, date_pattern=settings.date_pattern), udts))
+    return F.coalesce(text, F.lit("null"))
+
+
+def _format_nested(value: Column, kind: str, settings: Settings, udts) -> Column:
+    """A collection, tuple or user-defined value as JSON: tuples as arrays, user-defined values by name."""
+    outer, args = type_parts(kind, udts)
+    of = lambda x, t: _json_text(x, t, settings, udts)
+    if outer in ("list", "set"):
+        return F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: of(x, args[0])), ","), F.lit("]"))
+    if outer == "map":
+        pair = lambda e: F.concat(_quoted(encode(e["key"], args[0], Settings(), udts)), F.lit(":"), of(e["value"], args[1]))
+        return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(value), pair), ","), F.lit("}"))
+    if outer == "tuple":
+        return F.when(value.isNotNull(), F.concat(F.lit("["), F.concat_ws(",", *(of(value[f"_{i + 1}"], t) for i, t in enumerate(args))), F.lit("]")))
+    fields = udts[kind.strip().removeprefix("frozen<").removesuffix(">").strip()]
+    return F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(_quoted(F.lit(n)), F.lit(":"), of(value[n], t)) for n, t in fields.items())), F.lit("}")))
+
+
+def encode(value: Column, kind: str, settings: Settings = Settings(), udts: dict[str, dict[str, str]] | None = None) -> Column:
     """The text of a value; null as the first of the null strings, if there are any."""
-    base = kind.lower()
+    base, args = type_parts(kind, udts)
     if base == "boolean":
         text = format_boolean(value)
     elif base == "timestamp":
@@ -415,7 +535,9 @@ def encode(value: Column, kind: str, settings: Settings = Settings()) -> Column:
         text = format_blob(value, settings.binary)
     elif base in BOUNDS or base in ("counter", "float", "double", "decimal", "varint"):
         text = format_number(value, settings.format_numbers)
-    elif "<" in base or base == "duration":
+    elif base in ("tuple", "udt") or (base in ("list", "set", "map") and not all(a.lower() in _PLAIN for a in args)):
+        text = _format_nested(value, kind, settings, udts)
+    elif args or base == "duration":
         text = F.to_json(value)
     else:
         text = value.cast("string")

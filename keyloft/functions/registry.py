@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators import ring, select
 from . import codecs
 
 REGISTRY: dict[str, Callable[..., Column]] = {
@@ -24,6 +25,16 @@ REGISTRY: dict[str, Callable[..., Column]] = {
     "avg": lambda c: F.avg(c),
     "blobastext": lambda c: F.decode(c, "UTF-8"),
     "textasblob": lambda c: F.encode(c, "UTF-8"),
+    "intasblob": lambda c: F.unhex(F.lpad(F.hex(c.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")),
+    "blobasint": lambda c: F.when(F.octet_length(c) == 4, F.conv(F.concat(F.when(F.hex(c) >= "80000000", "FFFFFFFF").otherwise(""), F.hex(c)), 16, -10).cast("int")),
+    "asciiasblob": lambda c: F.encode(c, "US-ASCII"),
+    "blobasascii": lambda c: F.decode(c, "US-ASCII"),
+    "booleanasblob": lambda c: F.unhex(F.when(c, "01").when(~c, "00")),
+    "blobasboolean": lambda c: F.hex(c) == "01",
+    "token": lambda *c: ring.token(*c),
+    "similarity_cosine": lambda a, b: select.similarity("cosine", a, b),
+    "similarity_dot_product": lambda a, b: select.similarity("dot_product", a, b),
+    "similarity_euclidean": lambda a, b: select.similarity("euclidean", a, b),
     "bigintasblob": lambda c: F.unhex(F.lpad(F.hex(c), 16, "0")),
     "blobasbigint": lambda c: F.conv(F.hex(c), 16, -10).cast("long"),
 }

@@ -6,12 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Positions are ranged over in blocks of so many, so that the rows of one large resource don't meet in one task.
+BLOCK = 1 << 16
+
+
 def position_ranges(df: DataFrame, resource: str, position: str) -> DataFrame:
-    """resource, first, last: maximal runs of consecutive positions."""
-    order = Window.partitionBy(resource).orderBy(position)
-    rows = df.select(resource, position).distinct()
+    """resource, first, last: maximal runs of consecutive positions.
+
+    Runs are found within blocks of positions; only the runs of a resource meet to be joined at the
+    blocks' ends.
+    """
+    order = Window.partitionBy(resource, "_block").orderBy(position)
+    rows = df.select(resource, position).distinct().withColumn("_block", F.floor(F.col(position) / BLOCK))
     grouped = rows.withColumn("_run", F.col(position) - F.row_number().over(order))
-    return grouped.groupBy(resource, "_run").agg(F.min(position).alias("first"), F.max(position).alias("last")).drop("_run")
+    runs = grouped.groupBy(resource, "_block", "_run").agg(F.min(position).alias("first"), F.max(position).alias("last"))
+    # a run that touches neither end of its block is whole; the others, two a block at most, are joined
+    touching = (F.col("first") % BLOCK == 0) | (F.col("last") % BLOCK == BLOCK - 1)
+    runs = runs.withColumn("_touching", touching).drop("_block", "_run")
+    return runs.where("not _touching").drop("_touching").unionByName(merge_ranges(runs.where("_touching").drop("_touching"), resource))
 
 
 def merge_ranges(ranges: DataFrame, resource: str) -> DataFrame:
@@ -42,9 +54,8 @@ def replay(records: DataFrame, done: DataFrame, strategy: str = "retry", complet
     outcomes, skip_complete = STRATEGIES[strategy]
     if skip_complete and complete is not None:
         records = records.join(complete.select(resource).distinct(), resource, "left_anti")
-    block = 1 << 16
     skip = done.where(F.col("outcome").isin(*outcomes)).select(
         F.col(resource).alias("_r"), "first", "last", F.explode(F.sequence(F.shiftright("first", 16), F.shiftright("last", 16))).alias("_b")
     )
-    on = (F.col(resource) == F.col("_r")) & (F.floor(F.col(position) / block) == F.col("_b")) & F.col(position).between(F.col("first"), F.col("last"))
+    on = (F.col(resource) == F.col("_r")) & (F.floor(F.col(position) / BLOCK) == F.col("_b")) & F.col(position).between(F.col("first"), F.col("last"))
     return records.join(skip, on, "left_anti")

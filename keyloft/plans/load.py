@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codecs
 from ..operators import errors, merge
 from ..schema import TableSpec
+from ..scratch import Scratch
 from . import mapping as M
 
 _OWN = ("_resource", "_position", "_error")
@@ -26,15 +28,28 @@ class LoadSettings:
     threshold: errors.Threshold = field(default_factory=errors.Threshold)
     timestamp: int | None = None  # write time of all rows, microseconds
     ttl: int | None = None  # seconds
+    preserve_timestamp: bool = False  # fields writetime(c) go with the inferred ones
+    preserve_ttl: bool = False
 
+    @property
+    def preserve(self) -> tuple[str, ...]:
+        return tuple(n for n, on in (("writetime", self.preserve_timestamp), ("ttl", self.preserve_ttl)) if on)
 
-def _typed(source: Column, target: str, spec: TableSpec, kinds: dict[str, str], settings: codecs.Settings) -> Column:
-    """A field as its column's type; fields that aren't text only change type."""
+
+def _text(source: Column, kind: T.DataType) -> Column:
+    """A field as text: collections and structs as JSON, bytes as base64, text and all else as they read."""
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+        return F.to_json(source)
+    return F.base64(source) if isinstance(kind, T.BinaryType) else source.cast("string")
+
+
+def _typed(text: Column, target: str, spec: TableSpec, settings: codecs.Settings) -> Column:
+    """A field's text as its column's type. A write time is a number of microseconds or a time, a life seconds."""
     if target.startswith("writetime("):
-        return codecs.writetime(codecs.timestamp(source.cast("string"), settings))
+        return F.coalesce(text.try_cast("long"), codecs.writetime(codecs.timestamp(text, settings)))
     if target.startswith("ttl("):
-        return codecs.narrow(codecs.number(source.cast("string"), settings), "int")
-    return codecs.decode(source.cast("string"), spec.types.get(target, "text"), settings)
+        return codecs.narrow(codecs.number(text, settings), "int")
+    return codecs.decode(text, spec.types.get(target, "text"), settings, spec.udts)
 
 
 def bind(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings()) -> DataFrame:
@@ -45,20 +60,26 @@ def bind(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSetti
     """
     fields = [c for c in records.columns if c not in _OWN]
     by_index = all(f.isdigit() for f in fields) and bool(fields)
-    pairs = M.resolve(M.parse(settings.mapping), fields, list(spec.types), by_index)
+    columns = [*spec.types, *(merge.cell(n, c) for n in settings.preserve for c in spec.types if spec.keeps_cell_metadata(c))]
+    pairs = M.resolve(M.parse(settings.mapping), fields, columns, by_index, bool(settings.preserve))
     if settings.allow_missing_fields:
         pairs = [p for p in pairs if not isinstance(p.field, M.Name) or p.field.text in fields or p.field.index is not None]
     named = {p.column.text for p in pairs if isinstance(p.column, M.Name)}
-    M.check_load(pairs, list(spec.types), spec.needed_key(named), None if by_index else fields)
+    M.check_load(pairs, columns, spec.needed_key({c for c in named if c in spec.types}), None if by_index else fields)
     sources = M.load_columns(pairs, fields)
     if not settings.allow_extra_fields and (extra := set(fields) - {p.field.text for p in pairs if isinstance(p.field, M.Name)}):
         raise M.MappingError(f"fields without a column: {sorted(extra)}")
 
-    raw = records.select(*(c for c in _OWN if c in records.columns), *(s.alias(f"raw {t}") for t, s in sources.items()))
-    values = {t: _typed(F.col(f"`raw {t}`"), t, spec, spec.types, settings.codec) for t in sources}
+    raw = records.select(*(c for c in _OWN if c in records.columns), *(v.alias(f"raw {t}") for t, v in sources.items()))
+    texts = {t: _text(F.col(f"`raw {t}`"), raw.schema[f"raw {t}"].dataType) for t in sources}
+    raw = raw.select(*(c for c in raw.columns if c in _OWN), *(v.alias(f"raw {t}") for t, v in texts.items()))
+    values = {t: _typed(F.col(f"`raw {t}`"), t, spec, settings.codec) for t in sources}
     rows = raw.select("*", *(v.alias(t) for t, v in values.items()))
-    text = lambda t: codecs.null_strings(codecs.empty_to_null(F.col(f"`raw {t}`").cast("string")), settings.codec.null_strings)
-    keys = spec.needed_key(named)
+    # an empty text is a value only of types that have one
+    empty = lambda t: codecs.type_parts(spec.types[t], spec.udts)[0] in ("ascii", "text", "varchar", "blob") if t in spec.types else False
+    given = lambda t: F.col(f"`raw {t}`") if empty(t) else codecs.empty_to_null(F.col(f"`raw {t}`"))
+    text = lambda t: codecs.null_strings(given(t), settings.codec.null_strings)
+    keys = spec.needed_key({c for c in named if c in spec.types})
     checks = [F.when(codecs.problem(text(t), F.col(f"`{t}`")), F.lit(f"can't convert {t}")) for t in sources]
     checks += [F.when(F.col(f"`{k}`").isNull(), F.lit(f"no value for key {k}")) for k in keys]
     earlier = [F.col("_error")] if "_error" in raw.columns else []
@@ -79,8 +100,14 @@ def bind(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSetti
 
 
 def load(records: DataFrame, current: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings(), now: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(the table after the load, the rejected records). Raises TooManyErrors beyond the threshold."""
-    rows = bind(records, spec, settings)
+    """(the table after the load, the rejected records). Raises TooManyErrors beyond the threshold.
+
+    Columns that the load doesn't set keep what they hold. Where the table holds columns
+    writetime(c), or times are preserved, an older write loses to the stored cell, and the table
+    after the load holds the times and lives of its cells.
+    """
+    # converted once: the rows are counted from the written table, and go on from there
+    rows = Scratch(records.sparkSession, "load").write(bind(records, spec, settings), "bound")
     errors.guard(rows, settings.threshold)
     good, bad = errors.route(rows)
     columns = [c for c in good.columns if c in spec.types and c not in spec.primary_key]
@@ -89,8 +116,14 @@ def load(records: DataFrame, current: DataFrame, spec: TableSpec, settings: Load
         good, order = good.withColumn("_position", F.monotonically_increasing_id()), ["_position"]
     if spec.counters:
         return merge.increment(current, good, spec, spec.counters), bad
-    if any(c.startswith(("writetime(", "ttl(")) for c in good.columns):
-        last = merge.last_cells(good.withColumn("_at", F.struct(*order)), spec, columns, "_at", now)
+    timed = any(c.startswith(("writetime(", "ttl(")) for c in (*good.columns, *current.columns))
+    if timed:
+        keep = bool(settings.preserve) or any(c.startswith("writetime(") for c in current.columns)
+        if keep and now is not None:  # a row without a time of its own is written now
+            for c in columns:
+                at = merge.cell("writetime", c)
+                good = good.withColumn(at, F.coalesce(F.col(f"`{at}`"), F.lit(now)) if at in good.columns else F.lit(now))
+        last = merge.last_cells(good.withColumn("_at", F.struct(*order)), spec, columns, "_at", now, keep, settings.null_to_unset)
     else:
         last = merge.last_writes(good, spec, order, columns, settings.null_to_unset)
     return merge.upsert(current, last, spec, columns, settings.null_to_unset), bad

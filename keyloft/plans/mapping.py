@@ -230,6 +230,8 @@ def evaluate(side: Name | Call | Literal) -> Column:
         return F.lit(side.value)
     if side.name.lower() in ("writetime", "ttl"):
         return F.col(f"`{side.name.lower()}({side.args[0].text})`")
+    if side.name.lower() == "cast" and len(side.args) == 3 and isinstance(side.args[1], Name) and side.args[1].text.lower() == "as":
+        return evaluate(side.args[0]).try_cast(spark_type(side.args[2].text).simpleString())  # cast(c as int)
     return registry.call(side.name, *map(evaluate, side.args))
 
 

@@ -15,12 +15,16 @@ NATIVE = {
     "boolean": T.BooleanType(),
     "counter": T.LongType(),
     "date": T.DateType(),
+    "daterange": T.StringType(),
     "decimal": T.DecimalType(38, 10),
     "double": T.DoubleType(),
     "duration": T.StructType([T.StructField("months", T.IntegerType()), T.StructField("days", T.IntegerType()), T.StructField("nanos", T.LongType())]),
     "float": T.FloatType(),
     "inet": T.StringType(),
     "int": T.IntegerType(),
+    "linestring": T.StringType(),
+    "point": T.StringType(),
+    "polygon": T.StringType(),
     "smallint": T.ShortType(),
     "text": T.StringType(),
     "time": T.LongType(),  # nanoseconds of the day

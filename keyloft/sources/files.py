@@ -85,7 +85,8 @@ def numbered(df: DataFrame, resource: str = "_resource") -> DataFrame:
     before = F.sum("_n").over(Window.partitionBy(resource).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(resource, "_part", "_low", F.coalesce(before, F.lit(0)).alias("_start"))
     # files share a partition one after the other, so ids of a file within a partition are consecutive
-    placed = kept.join(F.broadcast(starts), [resource, "_part"])
+    # whether that table, a row for each file and task, is small enough to broadcast is for Spark to tell
+    placed = kept.join(starts, [resource, "_part"])
     return placed.withColumn("_position", F.col("_start") + F.col("_id") - F.col("_low") + 1).drop("_part", "_id", "_low", "_start")
 
 
