@@ -16,9 +16,10 @@ import sys
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions import codecs
-from .operators import count, errors, ring
+from .operators import checkpoint, count, errors, ring
 from .plans import load, unload
 from .schema import TableSpec
 from .sources import csv, files
@@ -51,6 +52,12 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--delim", default=",")
         s.add_argument("--header", choices=("true", "false"), default="true")
         s.add_argument("--null-strings", default="")
+        s.add_argument("--quote", default='"')
+        s.add_argument("--escape", default="\\")
+        s.add_argument("--comment")
+        s.add_argument("--compression", default="none")
+        s.add_argument("--preserve-timestamp", action="store_true", help="*=* takes write times along")
+        s.add_argument("--preserve-ttl", action="store_true", help="*=* takes lives along")
         if name == "load":
             s.add_argument("--out", help="where the table after the load goes")
             s.add_argument("--bad", help="where rejected records go")
@@ -59,6 +66,13 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--max-records", type=int)
             s.add_argument("--max-errors", default="100", help="a number, or a share such as 5%%")
             s.add_argument("--dry-run", action="store_true")
+            s.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks; files aren't split")
+            s.add_argument("--allow-missing-fields", action="store_true")
+            s.add_argument("--no-extra-fields", action="store_true")
+            s.add_argument("--checkpoint", help="where the ranges of records dealt with are kept")
+            s.add_argument("--replay", choices=tuple(checkpoint.STRATEGIES), help="leave out what an earlier run's --checkpoint holds")
+            s.add_argument("--timestamp", type=int, help="write time of all rows, in microseconds")
+            s.add_argument("--ttl", type=int, help="life of all rows, in seconds")
     return p
 
 
@@ -70,12 +84,26 @@ def _settings(args: argparse.Namespace) -> codecs.Settings:
     return codecs.Settings(null_strings=tuple(filter(None, args.null_strings.split(","))))
 
 
+def _form(args: argparse.Namespace) -> csv.Csv:
+    load_only = {"multi_line": args.multi_line, "allow_extra": not args.no_extra_fields, "allow_missing": args.allow_missing_fields} if args.command == "load" else {}
+    return csv.Csv(header=args.header == "true", delimiter=args.delim, quote=args.quote, escape=args.escape, comment=args.comment, **load_only)
+
+
 def _read(spark: SparkSession, args: argparse.Namespace, table: DataFrame) -> DataFrame:
-    what = files.Files((args.url,), args.url_list)
+    what = files.Files((args.url,), args.url_list, compression=args.compression)
     if args.connector == "json":
-        return documents.read(spark, what, table.schema, skip=args.skip_records, most=args.max_records)
-    form = csv.Csv(header=args.header == "true", delimiter=args.delim)
-    return csv.read(spark, what, form, args.skip_records, args.max_records, positions=True)
+        records = documents.read(spark, what, table.schema, skip=args.skip_records, most=args.max_records, positions=bool(args.checkpoint))
+    else:
+        records = csv.read(spark, what, _form(args), args.skip_records, args.max_records, positions=True)
+    if args.replay:
+        records = checkpoint.replay(records, spark.read.parquet(args.checkpoint), args.replay)
+    return records
+
+
+def _keep_checkpoint(spark: SparkSession, path: str, results: DataFrame) -> None:
+    """Add the run's ranges to those that are kept; `results` has _resource, _position and _failed."""
+    made = checkpoint.checkpoint(results)
+    made.write.mode("append").parquet(path)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -89,25 +117,32 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 print(*row)
         return errors.EXIT["ok"]
     spec = read_spec(args.spec)
+    preserve = args.preserve_timestamp or args.preserve_ttl
     if args.command == "unload":
         if args.connector == "json":
-            documents.write(unload.documents(table, args.mapping), args.url)
+            documents.write(unload.documents(table, args.mapping, preserve), args.url, compression=args.compression)
         else:
-            csv.write(unload.records(table, spec, args.mapping, _settings(args)), args.url, csv.Csv(header=args.header == "true", delimiter=args.delim))
+            csv.write(unload.records(table, spec, args.mapping, _settings(args), preserve), args.url, _form(args), compression=args.compression)
         return errors.EXIT["ok"]
-    settings = load.LoadSettings(args.mapping, _settings(args), threshold=threshold(args.max_errors))
+    settings = load.LoadSettings(
+        args.mapping, _settings(args), allow_extra_fields=not args.no_extra_fields, allow_missing_fields=args.allow_missing_fields, threshold=threshold(args.max_errors),
+        timestamp=args.timestamp, ttl=args.ttl, preserve_timestamp=args.preserve_timestamp, preserve_ttl=args.preserve_ttl,
+    )
     records = _read(spark, args, table)
     try:
         if args.dry_run:
             bad, _ = load.dry_run(records, spec, settings)
             return errors.EXIT["with_errors" if bad else "ok"]
-        after, rejected = load.load(records, table, spec, settings)
+        bound = load.staged(records, spec, settings)
+        after, rejected = load.merged(bound, table, spec, settings)
     except errors.TooManyErrors as e:
         print(e, file=sys.stderr)
         return errors.EXIT["too_many_errors"]
     after.write.parquet(args.out)
     if args.bad:
         rejected.write.parquet(args.bad)
+    if args.checkpoint:
+        _keep_checkpoint(spark, args.checkpoint, bound.select("_resource", "_position", F.col("_error").isNotNull().alias("_failed")))
     return errors.EXIT["ok" if rejected.isEmpty() else "with_errors"]
 
 

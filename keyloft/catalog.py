@@ -542,3 +542,145 @@ def load_errors(t):
 def row_sizes(t):
     size = codecs.row_size(F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_quantity")).cast("long")
     return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", size.alias("bytes"))
+
+
+@query("""
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def load_partial_columns(t):
+    """A load of the key and one column leaves all other columns alone."""
+    table = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    records = table.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("string"), F.lit("-1").alias("o_totalprice"))
+    return load.load(records, table, ORDERS)[0]
+
+
+_TIMED = TableSpec(("event_id",), types={"event_id": "bigint", "value": "double", "event_type": "text"})
+
+
+def _stored(t):
+    return t("events").select("event_id", "value", "event_type", (F.col("event_id") % 100).alias("writetime(value)"), F.lit(50).cast("long").alias("writetime(event_type)"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 7 >= event_id % 100 THEN -1.0 ELSE value END AS value, event_type,
+CAST(greatest(event_id % 7, event_id % 100) AS BIGINT) AS at FROM events""")
+def older_write_loses(t):
+    """A cell that was written later than the new value stays as it is."""
+    records = t("events").select(F.col("event_id").cast("string"), F.lit("-1").alias("value"), (F.col("event_id") % 7).cast("string").alias("w"))
+    after = load.load(records, _stored(t), _TIMED, load.LoadSettings("event_id, value, w = writetime(value)"))[0]
+    return after.select("event_id", "value", "event_type", F.col("`writetime(value)`").alias("at"))
+
+
+@query("SELECT event_id, value, event_type, CAST(event_id % 100 AS BIGINT) AS value_at, CAST(50 AS BIGINT) AS type_at FROM events")
+def preserve_roundtrip(t):
+    """Unload with write times, load into an empty table: values and times are those of before."""
+    table = _stored(t)
+    path = Scratch(table.sparkSession, "csv").path("preserve")
+    csv.write(unload.records(table, _TIMED, preserve=True), path)
+    records = csv.read(table.sparkSession, files.Files((path,)))
+    after = load.load(records, table.limit(0), _TIMED, load.LoadSettings(preserve_timestamp=True))[0]
+    return after.select("event_id", "value", "event_type", F.col("`writetime(value)`").alias("value_at"), F.col("`writetime(event_type)`").alias("type_at"))
+
+
+_CONTACT = {"phones": "list<frozen<tuple<int, text>>>", "balance": "double"}
+_NESTED = TableSpec(("c_custkey",), types={"c_custkey": "bigint", "contact": "frozen<contact>", "seen": "map<text, frozen<list<timestamp>>>"}, udts={"contact": _CONTACT})
+
+
+@query("""
+SELECT c_custkey, c_nationkey AS code, c_name AS name, c_acctbal AS balance, TIMESTAMP '2020-01-02 03:04:05' AS seen, CAST(2 AS INTEGER) AS n_phones FROM customer""")
+def load_nested_types(t):
+    """Tuples in lists in user-defined values, and lists of times in maps, through delimited files."""
+    phone = lambda n: F.struct(F.col("c_nationkey").cast("int").alias("_1"), n.alias("_2"))
+    at = F.lit("2020-01-02 03:04:05").cast("timestamp")
+    table = t("customer").select(
+        "c_custkey", F.struct(F.array(phone(F.col("c_name")), phone(F.lit('a "q", b'))).alias("phones"), F.col("c_acctbal").alias("balance")).alias("contact"),
+        F.create_map(F.lit("x"), F.array(at)).alias("seen"),
+    )
+    path = Scratch(table.sparkSession, "csv").path("nested")
+    csv.write(unload.records(table, _NESTED), path)
+    after = load.load(csv.read(table.sparkSession, files.Files((path,)), csv.Csv()), table.limit(0), _NESTED)[0]
+    phones = F.col("contact.phones")
+    return after.select(
+        "c_custkey", phones[0]["_1"].alias("code"), phones[0]["_2"].alias("name"), F.col("contact.balance").alias("balance"), F.col("seen")["x"][0].cast("timestamp_ntz").alias("seen"), F.size(phones).alias("n_phones")
+    )
+
+
+@query("SELECT p_partkey, list_sort(list_distinct(string_split(p_name, ' '))) AS words, p_size AS size FROM part")
+def load_json_collections(t):
+    """Arrays and maps of JSON documents load as collections."""
+    spec = TableSpec(("p_partkey",), types={"p_partkey": "bigint", "words": "set<text>", "sizes": "map<text, int>"})
+    table = t("part").select("p_partkey", F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("words"), F.create_map(F.lit("size"), F.col("p_size").cast("int")).alias("sizes"))
+    path = Scratch(table.sparkSession, "json").path("parts")
+    json.write(unload.documents(table), path)
+    records = json.read(table.sparkSession, files.Files((path,)), table.schema)
+    after = load.load(records, table.limit(0), spec)[0]
+    return after.select("p_partkey", "words", F.col("sizes")["size"].alias("size"))
+
+
+@query("""
+SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'can''t convert v' ELSE 'good' END AS outcome, count(*) AS n FROM lineitem GROUP BY 1""")
+def decimal_loss_flagged(t):
+    """A decimal with more places than the column holds goes aside; it isn't cut."""
+    spec = TableSpec(("k",), types={"k": "bigint", "v": "decimal"})
+    text = F.when(F.col("l_linenumber") % 2 == 0, F.lit("0.123456789012345")).otherwise(F.lit("0.12345"))
+    rows = load.bind(t("lineitem").select(F.col("l_orderkey").cast("string").alias("k"), text.alias("v")), spec)
+    return rows.groupBy(F.coalesce("_error", F.lit("good")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) AS BIGINT) + event_id % 1000000 AS micros FROM events")
+def timestamp_roundtrip(t):
+    """Microseconds outlive an unload and a load."""
+    spec = TableSpec(("event_id",), types={"event_id": "bigint", "ts": "timestamp"})
+    table = t("events").select("event_id", F.timestamp_micros(codecs.writetime(F.col("ts").cast("timestamp")) + F.col("event_id") % 1_000_000).alias("ts"))
+    path = Scratch(table.sparkSession, "csv").path("times")
+    csv.write(unload.records(table, spec), path)
+    after = load.load(csv.read(table.sparkSession, files.Files((path,))), table.limit(0), spec)[0]
+    return after.select("event_id", codecs.writetime(F.col("ts")).alias("micros"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN ['red'] ELSE list_sort(list_distinct(list_concat(string_split(p_name, ' '), ['red']))) END AS added,
+CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE string_split(p_name, ' ') END AS same, CAST(2 AS INTEGER) AS put FROM part""")
+def collection_updates_null(t):
+    """A null collection is an empty one."""
+    words = F.when(F.col("p_partkey") % 2 != 0, F.split("p_name", " "))
+    nothing = F.lit(None).cast("array<string>")
+    put = merge.put(F.when(F.col("p_partkey") % 2 != 0, F.create_map(F.lit("a"), F.lit(1))), F.create_map(F.lit("a"), F.lit(2)))
+    return t("part").select("p_partkey", merge.add(words, F.array(F.lit("red"))).alias("added"), merge.append(words, nothing).alias("same"), put["a"].alias("put"))
+
+
+@query("""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 <> 0 THEN o_orderstatus END AS o_orderstatus FROM orders""")
+def csv_mixed_headers(t):
+    """Files with other columns, in another order, are each read by their own header."""
+    table = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    root = Scratch(table.sparkSession, "csv").path("mixed")
+    csv.write(table.where("o_orderkey % 2 <> 0"), f"{root}/a")
+    csv.write(table.where("o_orderkey % 2 = 0").select("o_custkey", "o_orderkey"), f"{root}/b")
+    df = csv.read(table.sparkSession, files.Files((f"{root}/a", f"{root}/b")))
+    return df.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_orderstatus")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS status, o_orderkey % 3 = 1 AS failed FROM orders""")
+def csv_extra_missing(t):
+    """Records with too many fields are read, those with too few are errors, as the defaults have it."""
+    o = t("orders")
+    kind = F.col("o_orderkey") % 3
+    key = F.col("o_orderkey").cast("string")
+    line = F.when(kind == 0, F.concat_ws(",", key, "o_orderstatus")).when(kind == 1, key).otherwise(F.concat_ws(",", key, "o_orderstatus", F.lit('"more, of it"')))
+    path = Scratch(o.sparkSession, "csv").path("ragged")
+    o.select(line.alias("value")).write.text(path)
+    df = csv.read(o.sparkSession, files.Files((path,)), csv.Csv(header=False))
+    return df.select(F.col("0").cast("long").alias("o_orderkey"), F.when(F.col("_error").isNull(), F.col("1")).alias("status"), F.col("_error").isNotNull().alias("failed"))
+
+
+@query("SELECT n_nationkey, n_name, n_nationkey + 1 AS position FROM nation WHERE n_nationkey >= 3 AND n_nationkey < 13")
+def skip_take_compressed(t):
+    """Skipping and taking records of a packed file whose fields hold line breaks."""
+    nation = t("nation")
+    rows = nation.select("n_nationkey", F.concat("n_name", F.lit("\n")).alias("n_name"))
+    path = Scratch(nation.sparkSession, "csv").path("packed")
+    form = csv.Csv(escape='"', multi_line=True)
+    csv.write(rows.orderBy("n_nationkey").coalesce(1), path, form, compression="gzip")
+    df = csv.read(nation.sparkSession, files.Files((path,), compression="gzip"), form, skip=3, most=10)
+    return df.select(F.col("n_nationkey").cast("int"), F.rtrim(F.translate("n_name", "\n", "")).alias("n_name"), F.col("_position").cast("int").alias("position"))

@@ -411,33 +411,45 @@ def type_parts(kind: str, udts: dict[str, dict[str, str]] | None = None) -> tupl
     return type_parts(args[0], udts) if outer.strip().lower() == "frozen" else (outer.strip().lower(), args)
 
 
-def _whole(raw: Column, made: Column) -> Column:
-    """made, unless one of its members was lost."""
-    return F.when(~F.exists(F.zip_with(raw, made, lambda a, b: a.isNotNull() & b.isNull()), lambda x: x), made)
+def _let(value: Column, f) -> Column:
+    """f(value) with value worked out, and written into the plan, once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _each(raw: Column, convert) -> Column:
+    """The converted members of an array of texts; null if one is lost."""
+    lost = lambda r, m: F.exists(F.zip_with(r, m, lambda a, b: a.isNotNull() & b.isNull()), lambda x: x)
+    return _let(raw, lambda r: _let(F.transform(r, convert), lambda m: F.when(~lost(r, m), m)))
 
 
 def _nested(text: Column, outer: str, args: list[str], names: list[str], settings: Settings, udts) -> Column:
     """A collection whose members are converted one by one, from their JSON texts; null if one can't be."""
-    of = lambda x, kind: decode(x, kind, settings, udts)
-    text = empty_to_null(text)
-    if outer in ("list", "set"):
-        raw = F.from_json(_bracketed(text, "[", "]"), "array<string>", _RELAXED)
-        made = _whole(raw, F.transform(raw, lambda x: of(x, args[0])))
-        return made if outer == "list" else F.array_sort(F.array_distinct(made))
-    if outer == "map":
-        raw = F.from_json(_bracketed(text, "{", "}"), "map<string,string>", _RELAXED)
-        keys, values = F.map_keys(raw), F.map_values(raw)
-        return F.map_from_arrays(_whole(keys, F.transform(keys, lambda k: of(k, args[0]))), _whole(values, F.transform(values, lambda v: of(v, args[1]))))
-    by_name = F.from_json(_bracketed(text, "{", "}"), "map<string,string>", _RELAXED)
-    by_place = F.from_json(_bracketed(text, "[", "]"), "array<string>", _RELAXED)
-    if outer == "tuple":
-        raw = F.when(F.size(by_place) == len(args), by_place)
-    else:
-        placed = F.when(F.size(by_place) == len(args), by_place)
-        raw = F.when(F.trim(text).startswith("["), placed).otherwise(F.when(by_name.isNotNull(), F.array(*(F.try_element_at(by_name, F.lit(n)) for n in names))))
-    fields = [of(F.get(raw, i), t) for i, t in enumerate(args)]
-    lost = reduce(lambda a, b: a | b, (F.get(raw, i).isNotNull() & f.isNull() for i, f in enumerate(fields)))
-    return F.when(raw.isNotNull() & ~lost, F.struct(*(f.alias(n) for f, n in zip(fields, names))))
+    of = lambda kind: lambda x: decode(x, kind, settings, udts)
+
+    def made(t: Column) -> Column:
+        if outer in ("list", "set"):
+            members = _each(F.from_json(_bracketed(t, "[", "]"), "array<string>", _RELAXED), of(args[0]))
+            return members if outer == "list" else F.array_sort(F.array_distinct(members))
+        by_name = F.from_json(_bracketed(t, "{", "}"), "map<string,string>", _RELAXED)
+        if outer == "map":
+            return _let(by_name, lambda m: F.map_from_arrays(_each(F.map_keys(m), of(args[0])), _each(F.map_values(m), of(args[1]))))
+        by_place = F.from_json(_bracketed(t, "[", "]"), "array<string>", _RELAXED)
+        raw = _let(by_place, lambda r: F.when(F.size(r) == len(args), r))
+        if outer == "udt":
+            named = _let(by_name, lambda m: F.when(m.isNotNull(), F.array(*(F.try_element_at(m, F.lit(n)) for n in names))))
+            raw = F.when(t.startswith("["), raw).otherwise(named)
+
+        def fields(r: Column) -> Column:
+            one = lambda i, kind: _let(F.get(r, F.lit(i)), lambda x: F.struct(_let(x, of(kind)).alias("v"), x.isNotNull().alias("given")))
+            return F.struct(*(one(i, kind).alias(n) for i, (kind, n) in enumerate(zip(args, names))))
+
+        def whole(f: Column) -> Column:
+            lost = reduce(lambda a, b: a | b, (f[n]["given"] & f[n]["v"].isNull() for n in names))
+            return F.when(~lost, F.struct(*(f[n]["v"].alias(n) for n in names)))
+
+        return _let(raw, lambda r: F.when(r.isNotNull(), _let(fields(r), whole)))
+
+    return _let(F.trim(empty_to_null(text)), made)
 
 
 def decode(text: Column, kind: str, settings: Settings = Settings(), udts: dict[str, dict[str, str]] | None = None) -> Column:

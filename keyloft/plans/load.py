@@ -106,9 +106,18 @@ def load(records: DataFrame, current: DataFrame, spec: TableSpec, settings: Load
     writetime(c), or times are preserved, an older write loses to the stored cell, and the table
     after the load holds the times and lives of its cells.
     """
-    # converted once: the rows are counted from the written table, and go on from there
+    return merged(staged(records, spec, settings), current, spec, settings, now)
+
+
+def staged(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings()) -> DataFrame:
+    """The bound records as a written table, so that they are converted once; raises TooManyErrors beyond the threshold."""
     rows = Scratch(records.sparkSession, "load").write(bind(records, spec, settings), "bound")
     errors.guard(rows, settings.threshold)
+    return rows
+
+
+def merged(rows: DataFrame, current: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings(), now: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the table with the good ones of the bound rows, the bad ones)."""
     good, bad = errors.route(rows)
     columns = [c for c in good.columns if c in spec.types and c not in spec.primary_key]
     order = [c for c in ("_resource", "_position") if c in good.columns]

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import io
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import NATIVE, Files, check_target, numbered, take, whole_files, with_error
+from .files import NATIVE, Files, check_target, numbered, take, unpack, with_error
 
 #: Stands for null while reading, so that empty fields aren't.
 _NO_VALUE = "\x01"
@@ -30,9 +35,11 @@ class Csv:
     trim_trailing: bool = False
     max_columns: int = 512
     max_chars: int = 4096
-    multi_line: bool = True
+    multi_line: bool = False  # quoted line breaks; such files can't be split
     null_value: str | None = None
     empty_value: str = ""
+    allow_extra: bool = True  # a record may have more fields than the header
+    allow_missing: bool = False  # or fewer, which are then null
 
     def options(self) -> dict[str, str]:
         o = {
@@ -53,48 +60,125 @@ def check_header(names: list[str]) -> None:
         raise HeaderError("bad header; " + ", ".join(bad))
 
 
-def _first_fields(spark: SparkSession, paths: list[str], files: Files, form: Csv) -> list[str]:
-    """The fields of the first line of the first file."""
+def _heads(spark: SparkSession, paths: list[str], files: Files, form: Csv) -> list[tuple[list[str], list[str] | None]]:
+    """(fields of the first line, files that begin with it), most files first; None where there is but one kind.
+
+    Only if there are several files with headers are they read for their first lines; a row for each
+    kind of header reaches the driver, and the names of the files that have the rarer ones.
+    """
     options = form.options() | {"header": "false"} | files.options()
-    line = spark.read.options(**options).csv(paths).limit(1).collect()
-    return [str(v or "") for v in line[0]] if line else []
+    lines = spark.read.options(**options).csv(paths)
+    if not form.header or len(lines.inputFiles()) < 2:
+        line = lines.limit(1).collect()
+        return [([str(v or "") for v in line[0]] if line else [], None)]
+    # the widest table of any file, its rows as arrays: a file's first row is its header
+    wide = lines.select(F.array(*(F.coalesce(F.col(f"`{c}`"), F.lit(_NO_VALUE)) for c in lines.columns)).alias("head"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"))
+    firsts = wide.groupBy("file").agg(F.min_by("head", "id").alias("head"))
+    kinds = firsts.groupBy("head").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "head").limit(MOST_HEADERS + 1).collect()
+    if len(kinds) > MOST_HEADERS:
+        raise HeaderError(f"more than {MOST_HEADERS} kinds of header")
+    names = lambda head: [str(x) for x in head[: max((i + 1 for i, x in enumerate(head) if x != _NO_VALUE), default=0)]]
+    if len(kinds) == 1:
+        return [([x.replace(_NO_VALUE, "") for x in names(kinds[0].head)], None)]
+    out = []
+    for k in kinds:
+        held = [r.file for r in firsts.where(F.col("head") == F.array(*map(F.lit, k.head))).select("file").collect()]
+        out.append(([x.replace(_NO_VALUE, "") for x in names(k.head)], held))
+    return out
+
+
+#: Kinds of header in one set of files.
+MOST_HEADERS = 1000
 
 
 def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, most: int | None = None, positions: bool = False) -> DataFrame:
     """All fields as text, with _resource and, if asked for, _position; records that can't be read carry _error.
 
-    Fields are named by the header, else by their place. Small, unsplit reads only come from
-    multi_line, which quoted line breaks need; switch it off for large files without them.
+    Each file has its own header: fields are named by it, else by their place. Records with more or
+    fewer fields than the header are errors unless the form allows them. Files are split between
+    tasks unless quoted line breaks (multi_line) are to be read.
     """
     paths = files.all_paths(spark)
     if files.compression not in NATIVE:
-        return _read_opened(spark, files, form)
-    first = _first_fields(spark, paths, files, form)
-    names = first if form.header else [str(i) for i in range(len(first))]
-    if form.header:
-        check_header(names)
+        return _read_opened(spark, files, form, skip, most, positions)
+    parts = []
+    for first, held in _heads(spark, paths, files, form):
+        names = first if form.header else [str(i) for i in range(len(first))]
+        if form.header:
+            check_header(names)
+        parts.append(_read_alike(spark, held or paths, files if held is None else replace(files, pattern=None, recursive=False), form, names))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    own = ("_resource", "_error")
+    df = df.select(*(F.col(f"`{c}`") for c in df.columns if c not in own), *own)
+    return take(numbered(df), skip, most) if positions or skip or most is not None else df
+
+
+def _read_alike(spark: SparkSession, paths: list[str], files: Files, form: Csv, names: list[str]) -> DataFrame:
+    """Files that share a header."""
     schema = StructType([*(StructField(n, StringType()) for n in names), StructField("_corrupt", StringType())])
     options = form.options() | files.options() | {"columnNameOfCorruptRecord": "_corrupt", "enforceSchema": "true"}
     df = spark.read.schema(schema).options(**options).csv(paths)
     df = df.withColumn("_resource", F.col("_metadata.file_path"))
-    df = with_error(df, "_corrupt", names[0]) if names else df.withColumn("_error", F.col("_corrupt")).drop("_corrupt")
-    if positions or skip or most is not None:
-        df = take(numbered(df), skip, most)
-    return df
-
-
-def _read_opened(spark: SparkSession, files: Files, form: Csv) -> DataFrame:
-    """Files in a compression that Spark's reader lacks, opened whole and cut into lines."""
-    lines = whole_files(spark, files).select("_resource", F.posexplode(F.split(F.regexp_replace("content", "\r\n", "\n"), "\n")).alias("_at", "line")).where("line <> ''")
-    first = lines.where("_at = 0").select("line").first()
-    width = len(first.line.split(form.delimiter)) if first else 0
-    head = [c.strip(form.quote) for c in first.line.split(form.delimiter)] if first and form.header else [str(i) for i in range(width)]
+    if not names:
+        return df.withColumn("_error", F.col("_corrupt")).drop("_corrupt")
+    # quoted parts count as one mark each, so that only delimiters outside of them are counted
+    q, e, d = (re.escape(x) for x in (form.quote, form.escape, form.delimiter))
+    bare = F.regexp_replace("_corrupt", f"{q}(?:[^{q}{e}]|{e}.|{q}{q})*{q}", "q")
+    fields = F.size(F.split(bare, d, -1))
+    fine = [fields > len(names)] if form.allow_extra else []
+    fine += [fields < len(names)] if form.allow_missing else []
+    if fine:
+        df = df.withColumn("_corrupt", F.when(~reduce(lambda a, b: a | b, fine), F.col("_corrupt")))
+    return with_error(df, "_corrupt", names[0])
+
+
+def _records(form: Csv, compression: str, encoding: str, skip: int, most: int | None):
+    """Packed files, one after the other, as rows of names, fields and positions."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        how = {"delimiter": form.delimiter, "quotechar": form.quote, "doublequote": form.escape == form.quote, "escapechar": None if form.escape == form.quote else form.escape, "quoting": csv.QUOTE_NOTNULL}
+        for b in batches:
+            for resource, content in zip(b["path"], b["content"]):
+                lines = io.StringIO(unpack(content, compression).decode(encoding), newline="")
+                if form.comment:
+                    lines = (x for x in lines if not x.startswith(form.comment))
+                rows = (r for r in csv.reader(lines, **how) if r)
+                head = [str(x or "") for x in next(rows, [])] if form.header else None
+                out: list[tuple] = []
+                for at, r in enumerate(rows, 1):
+                    if at > skip and (most is None or at <= skip + most):
+                        out.append((resource, at, head or [str(i) for i in range(len(r))], r))
+                    if len(out) == 10_000:
+                        yield pd.DataFrame(out, columns=["_resource", "_position", "names", "fields"])
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=["_resource", "_position", "names", "fields"])
+
+    return run
+
+
+def _read_opened(spark: SparkSession, files: Files, form: Csv, skip: int, most: int | None, positions: bool) -> DataFrame:
+    """Files in a compression that Spark's reader lacks: each is opened whole in a task, and read record by record."""
+    options = {k: v for k, v in files.options().items() if k != "encoding"}
+    raw = spark.read.format("binaryFile").options(**options).load(files.all_paths(spark)).select("path", "content")
+    schema = "_resource string, _position long, names array<string>, fields array<string>"
+    rows = raw.mapInPandas(_records(form, files.compression, files.encoding, skip, most), schema)
+    heads = rows.select("names").distinct().limit(MOST_HEADERS + 1).collect()
     if form.header:
-        check_header(head)
-        lines = lines.where("_at > 0")
-    ddl = ", ".join(f"`{n}` string" for n in head)
-    options = {k: v for k, v in form.options().items() if k not in ("header", "multiLine", "lineSep")}
-    return lines.select(F.from_csv("line", ddl, options).alias("r"), "_resource", F.lit(None).cast("string").alias("_error")).select("r.*", "_resource", "_error")
+        for h in heads:
+            check_header(h.names)
+        names = list(dict.fromkeys(n for h in heads for n in h.names))
+    else:
+        names = [str(i) for i in range(max((len(h.names) for h in heads), default=0))]
+    width, n = F.size("names"), F.size("fields")
+    error = F.when((n > width) & F.lit(not form.allow_extra), "unreadable: more fields than the header")
+    error = error.when((n < width) & F.lit(not form.allow_missing), "unreadable: fewer fields than the header")
+    place = lambda name: F.array_position("names", name).cast("int")
+    value = lambda name: F.when(place(name) > 0, F.get("fields", place(name) - 1))
+    kept = ["_resource", "_position"] if positions or skip or most is not None else ["_resource"]
+    return rows.select(*(value(x).alias(x) for x in names), *kept, error.alias("_error"))
 
 
 def write(df: DataFrame, path: str, form: Csv = Csv(), files: int | None = None, max_records: int | None = None, compression: str = "none") -> None:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Tables of so many rows may be broadcast.
+BROADCAST_ROWS = 100_000
 #: Compressions that Spark opens by itself; the others are opened file by file in tasks.
 NATIVE = ("none", "gzip", "bzip2", "snappy", "lz4", "deflate")
 OPENED = ("zstd", "xz", "lzma")
@@ -85,8 +87,9 @@ def numbered(df: DataFrame, resource: str = "_resource") -> DataFrame:
     before = F.sum("_n").over(Window.partitionBy(resource).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(resource, "_part", "_low", F.coalesce(before, F.lit(0)).alias("_start"))
     # files share a partition one after the other, so ids of a file within a partition are consecutive
-    # whether that table, a row for each file and task, is small enough to broadcast is for Spark to tell
-    placed = kept.join(starts, [resource, "_part"])
+    # a row for each file and for each task that begins within one; the driver knows how many those are
+    small = len(df.inputFiles()) + df.rdd.getNumPartitions() <= BROADCAST_ROWS
+    placed = kept.join(F.broadcast(starts) if small else starts, [resource, "_part"])
     return placed.withColumn("_position", F.col("_start") + F.col("_id") - F.col("_low") + 1).drop("_part", "_id", "_low", "_start")
 
 

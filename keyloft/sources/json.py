@@ -53,7 +53,7 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"_resource": [resource] * len(rows), "value": rows})
 
 
-def read(spark: SparkSession, files: Files, schema: StructType, form: Json = Json(), skip: int = 0, most: int | None = None) -> DataFrame:
+def read(spark: SparkSession, files: Files, schema: StructType, form: Json = Json(), skip: int = 0, most: int | None = None, positions: bool = False) -> DataFrame:
     """Records by a set schema, with _resource and _error.
 
     Documents that each take one line, and arrays, are read by Spark; documents that span lines are
@@ -67,7 +67,7 @@ def read(spark: SparkSession, files: Files, schema: StructType, form: Json = Jso
         options = form.options() | files.options() | {"multiLine": str(form.mode == "single_document").lower()}
         df = spark.read.schema(wide).options(**options).json(files.all_paths(spark)).withColumn("_resource", F.col("_metadata.file_path"))
     df = with_error(df, "_corrupt", schema.names[0])
-    return take(numbered(df), skip, most) if skip or most is not None else df
+    return take(numbered(df), skip, most) if positions or skip or most is not None else df
 
 
 def write(df: DataFrame, path: str, form: Json = Json(), files: int | None = None, max_records: int | None = None, compression: str = "none") -> None:

@@ -114,6 +114,29 @@ def test_encode_then_decode(run, kind):
     assert run(lambda c: C.encode(C.decode(c, kind), kind), text) == [text]
 
 
+UDTS = {"contact": {"f_tuple": "frozen<tuple<int,text,float,timestamp>>", "f_list": "list<timestamp>"}}
+
+
+@pytest.mark.parametrize(
+    ("kind", "text", "back"),
+    [
+        ("map<text, list<int>>", '{"a":[1,2],"b":[]}', '{"a":[1,2],"b":[]}'),
+        ("list<frozen<set<int>>>", "[[2,1,2],[]]", "[[1,2],[]]"),
+        ("frozen<map<int, text>>", '{"1":"x"}', '{"1":"x"}'),
+        ("list<timestamp>", '["2020-01-02T03:04:05Z","2020-01-02"]', '["2020-01-02T03:04:05Z","2020-01-02T00:00:00Z"]'),
+        ("tuple<int, frozen<list<text>>>", '[1,["a, b","\\"q\\""]]', '[1,["a, b","\\"q\\""]]'),
+        ("frozen<contact>", '{"f_list":["2020-01-02"],"f_tuple":[1,"x",0.5,"2020-01-02"]}', '{"f_tuple":[1,"x",0.5,"2020-01-02T00:00:00Z"],"f_list":["2020-01-02T00:00:00Z"]}'),
+        ("list<frozen<contact>>", '[[[1,"x",0.5,null],[]]]', '[{"f_tuple":[1,"x",0.5,null],"f_list":[]}]'),
+        ("list<list<int>>", '[["x"]]', None), ("map<text, list<timestamp>>", '{"a":["no time"]}', None), ("tuple<int, frozen<list<int>>>", "[1]", None),
+        ("point", '{"type":"Point","coordinates":[1.5,-2]}', "POINT (1.5 -2)"), ("linestring", '{"type":"LineString","coordinates":[[1,2],[3,4]]}', "LINESTRING (1 2, 3 4)"),
+        ("polygon", '{"type":"Polygon","coordinates":[[[1,2],[3,4],[1,2]]]}', "POLYGON ((1 2, 3 4, 1 2))"), ("point", "LINESTRING (1 2, 3 4)", None),
+        ("daterange", "[2001-01-01 TO 2002]", "[2001-01-01 TO 2002]"), ("daterange", "[* TO 2003-11]", "[* TO 2003-11]"), ("daterange", "2001-01-01T00", "2001-01-01T00"), ("daterange", "2001-1", None),
+    ],
+)
+def test_nested_types_there_and_back(run, kind, text, back):
+    assert run(lambda c: C.encode(C.decode(c, kind, udts=UDTS), kind, udts=UDTS), text, None) == [back, None]
+
+
 def test_types():
     assert spark_type("frozen<map<text, list<int>>>").simpleString() == "map<string,array<int>>"
     assert spark_type("tuple<int,text>").simpleString() == "struct<_1:int,_2:string>"

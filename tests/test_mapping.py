@@ -65,6 +65,12 @@ def test_expressions(spark):
         M.unload_map(df, "a = nosuch(k)")
 
 
+def test_casts_tokens_and_similarities(spark):
+    df = spark.createDataFrame([(7, "12", [1.0, 0.0], [1.0, 0.0])], "k int, t string, a array<double>, b array<double>")
+    got = M.unload_map(df, "n = cast(t as int), tok = token(k), s = similarity_cosine(a, b), i = blobAsInt(intAsBlob(k))").first()
+    assert (got.n, got.s, got.i) == (12, 1.0, 7) and 0 <= got.tok < 1 << 60
+
+
 def test_functions(spark):
     row = spark.range(1).select(
         registry.call("toUnixTimestamp", registry.call("minTimeuuid", F.lit("2020-01-02 03:04:05.678"))).alias("ms"),

@@ -133,6 +133,14 @@ def test_thresholds(spark):
     assert not errors.Threshold(ratio=0.2, least=11).exceeded(3, 10) and errors.Threshold(ratio=0.2, least=10).exceeded(3, 10)
 
 
+def test_ranges_over_the_ends_of_blocks(spark):
+    b = checkpoint.BLOCK
+    positions = [*range(5, 9), *range(b - 3, 2 * b + 2), 3 * b, 4 * b - 1, 4 * b, 7 * b + 5]
+    df = spark.createDataFrame([("f", p) for p in positions] + [("g", b - 1)], "r string, p long")
+    expected = [("f", 5, 8), ("f", b - 3, 2 * b + 1), ("f", 3 * b, 3 * b), ("f", 4 * b - 1, 4 * b), ("f", 7 * b + 5, 7 * b + 5), ("g", b - 1, b - 1)]
+    assert rows(checkpoint.position_ranges(df, "r", "p")) == sorted(expected, key=repr)
+
+
 def test_checkpoint_and_replay(spark):
     results = spark.createDataFrame([("f", i, i in (4, 5)) for i in range(1, 9)], "_resource string, _position long, _failed boolean")
     done = checkpoint.checkpoint(results)

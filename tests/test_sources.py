@@ -6,9 +6,10 @@ import lzma
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from keyloft.functions import codecs
-from keyloft.operators import errors
+from keyloft.operators import errors, merge
 from keyloft.plans import load, mapping, unload
 from keyloft.schema import TableSpec
 from keyloft.sources import csv, files, json, std
@@ -165,3 +166,48 @@ def test_stream_loads_new_files(spark, tmp_path):
     run()
     run()
     assert rows(state["table"], "k", "v") == [(1, 1), (2, 20), (3, 30)]
+
+
+@pytest.mark.parametrize(("name", "pack", "kind"), [("a.csv.gz", gzip.compress, "gzip"), ("a.zst", zstandard.compress, "zstd"), ("a.xz", lzma.compress, "xz")])
+def test_packed_files_skip_take_and_quote(spark, tmp_path, name, pack, kind):
+    """Skipped and taken records, quoted line breaks, ragged records, and null apart from empty, in every compression."""
+    text = 'k,v\n1,"a\nb"\n2,\n3,""\n4,x,extra\n5\n'
+    what = files.Files((put(tmp_path, name, pack(text.encode())),), compression=kind)
+    df = csv.read(spark, what, csv.Csv(escape='"', multi_line=True), positions=True)
+    assert rows(df, "_position", "k", "v")[:4] == [(1, "1", "a\nb"), (2, "2", None), (3, "3", ""), (4, "4", "x")]
+    assert [(r.k, bool(r._error)) for r in df.orderBy("_position").collect()] == [("1", False), ("2", False), ("3", False), ("4", False), ("5", True)]
+    assert rows(csv.read(spark, what, csv.Csv(escape='"', multi_line=True), skip=1, most=2), "k") == [("2",), ("3",)]
+    strict = csv.read(spark, what, csv.Csv(escape='"', multi_line=True, allow_extra=False, allow_missing=True))
+    assert {r.k: bool(r._error) for r in strict.collect()} == {"1": False, "2": False, "3": False, "4": True, "5": False}
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    put(tmp_path, "a.csv", "k,a\n1,x\n")
+    put(tmp_path, "b.csv", "b,a,k\nB,A,9\n")
+    df = csv.read(spark, files.Files((str(tmp_path),)), positions=True)
+    assert rows(df, "k", "a", "b", "_position") == [("1", "x", None, 1), ("9", "A", "B", 1)]
+    put(tmp_path, "c.csv", "k,k\n1,x\n")
+    with pytest.raises(csv.HeaderError):
+        csv.read(spark, files.Files((str(tmp_path),)))
+
+
+def test_load_respects_times_and_other_columns(spark):
+    spec = TableSpec(("k",), types={"k": "int", "v": "int", "w": "text"})
+    current = spark.createDataFrame([(1, 10, "a", 100, None), (2, 20, "b", 100, 60)], "k int, v int, w string, `writetime(v)` long, `ttl(v)` int")
+    records = spark.createDataFrame([("1", "11", "99"), ("2", "21", "101"), ("3", "31", "5")], "k string, v string, t string")
+    after, bad = load.load(records, current, spec, load.LoadSettings("k, v, t = writetime(v)"))
+    assert rows(after, *after.columns) == [(1, 10, "a", 100, None), (2, 21, "b", 101, None), (3, 31, None, 5, None)] and after.columns == current.columns and bad.isEmpty()
+    again, _ = load.load(unload.records(current, spec, preserve=True), current.limit(0), spec, load.LoadSettings(preserve_timestamp=True, preserve_ttl=True))
+    assert rows(again, *current.columns) == rows(current, *current.columns)
+    assert unload.records(current, spec).columns == ["k", "v", "w"]
+    cleared = merge.delete_columns(current, records.where("k = 2").select(F.col("k").cast("int")), ["k"], ["v"])
+    assert rows(cleared, "k", "v", "w", "`writetime(v)`") == [(1, 10, "a", 100), (2, None, "b", None)]
+
+
+def test_load_keeps_every_digit(spark):
+    spec = TableSpec(("k",), types={"k": "int", "d": "decimal", "n": "varint", "t": "timestamp"})
+    records = spark.createDataFrame([("1", "0.1234567890", "9" * 38, "2020-01-02T03:04:05.678901Z"), ("2", "0.12345678901", "1", "2020-01-02"), ("3", "1e-12", "1.5", "2020-01-02"), ("4", "1.50e3", "2.0", "2020-01-02")], "k string, d string, n string, t string")
+    table, bad = load.load(records, spark.createDataFrame([], "k int, d decimal(38,10), n decimal(38,0), t timestamp"), spec)
+    assert [(r.k, str(r.d.normalize()), int(r.n)) for r in table.orderBy("k").collect()] == [(1, "0.123456789", int("9" * 38)), (4, "1.5E+3", 2)]
+    assert sorted(r._error for r in bad.collect()) == ["can't convert d", "can't convert d"]
+    assert unload.records(table.where("k = 1"), spec).first().t == "2020-01-02T03:04:05.678901Z"
