@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, join_hot
 
-
-SALTS = 16
+#: Nodes with more neighbours than this are broadcast where a round joins them back, 20,000 of them at most.
+HUB = 256
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root for each node of links (a, b: long); root is the smallest node that it reaches.
 
     Alternating large-star and small-star rounds: every node is pointed at the smallest of its
-    neighbours until nothing changes, in about log(n) rounds. Each round is a written table. The
-    minimum is taken before the shuffle, and the neighbours of a node that has many are dealt over
-    SALTS tasks where it is joined back.
+    neighbours until nothing changes, in about log(n) rounds. Each half round is a written table. The
+    minimum is taken before the shuffle, and joined back so that no task meets all neighbours of a hub.
     """
     e = scratch.write(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links0"
@@ -27,18 +26,19 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         k += 1
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: neighbours above a node go to the smallest of its neighbourhood
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        up = e.select(F.col("v").alias("u"), F.col("u").alias("x"), F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int").alias("s"))  # x > u
-        dealt = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        large = up.join(dealt, ["u", "s"]).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v")  # a row for each link at most
+        low = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")), f"low{k}")
+        up = e.select(F.col("v").alias("u"), F.col("u").alias("x"))  # x > u
+        large = join_hot(up, low, ["u"], scratch, f"hubs{k}", HUB).select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = scratch.write(large, f"large{k}")  # a row for each link at most
         # small star: neighbours below a node, and the node, go to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        dealt = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        moved = large.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(dealt, ["u", "s"])  # a node may have many below it
+        least = scratch.write(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), f"least{k}")
+        moved = join_hot(large, least, ["u"], scratch, f"tops{k}", HUB)  # a node may have many below it
         small = (
-            moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+            moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
         nxt = scratch.write(small, f"links{k}")
+        for name in ("low", "hubs", "large", "least", "tops"):
+            scratch.drop(f"{name}{k}")
         if k > 1:
             scratch.drop(f"links{k - 1}")
         now = _state(nxt)

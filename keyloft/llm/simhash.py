@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, load
-from .components import components
+from .common import Scratch, join_hot, load
+from .components import HUB, components
 
 RADIUS = 3
 SEED = 42
@@ -238,21 +238,14 @@ def grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
     prints = scratch.write(
         docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_prints, docs.select("key").schema.add("fp", "long")), "prints"
     )
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min("key.doc_id").alias("low")), "distinct")
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min("key.doc_id").alias("low"), F.count("*").alias("n")), "distinct")
     found = scratch.write(links(distinct.select("fp"), scratch), "found")
     roots = components(found, scratch)
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.write(rooted, "rooted")
-    ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = scratch.write(_dealt_join(rooted, ids).select("fp", "root", "component_id"), "ids")
-    return _dealt_join(prints, by_fp, "fp").select("key", "fp", "root", "component_id")
-
-
-def _dealt_join(left: DataFrame, right: DataFrame, key: str = "root", salts: int = 16) -> DataFrame:
-    """left join right on key, a hot key's rows dealt over tasks; right has one row for each key."""
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = F.xxhash64("key.doc_id") if key == "fp" else F.xxhash64("fp")
-    return left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int")).join(right, [key, "_salt"]).drop("_salt")
+    ids = scratch.write(rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n")), "ids")
+    by_fp = scratch.write(join_hot(rooted, ids, ["root"], scratch, "hot_roots", HUB).select("fp", "root", "component_id", "n"), "by_fp")
+    return join_hot(prints, by_fp, ["fp"], scratch, "hot_fps", HUB).select("key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, by: str = "component_id") -> DataFrame:
