@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .functions import codecs
 from .operators import batch, checkpoint, count, errors, merge, ring, select
@@ -684,3 +685,186 @@ def skip_take_compressed(t):
     csv.write(rows.orderBy("n_nationkey").coalesce(1), path, form, compression="gzip")
     df = csv.read(nation.sparkSession, files.Files((path,), compression="gzip"), form, skip=3, most=10)
     return df.select(F.col("n_nationkey").cast("int"), F.rtrim(F.translate("n_name", "\n", "")).alias("n_name"), F.col("_position").cast("int").alias("position"))
+
+
+# further conversions
+
+
+@query("""
+WITH v AS (SELECT o_orderkey, o_orderkey % 4 AS k, CAST(o_orderkey % 1000 AS DOUBLE) + 0.25 AS q FROM orders)
+SELECT o_orderkey, CASE WHEN k = 0 THEN q END AS exact, CASE k WHEN 0 THEN q WHEN 1 THEN 0.1234567890123 WHEN 2 THEN 1e39 ELSE -1e39 END AS wide,
+CASE k WHEN 0 THEN q WHEN 1 THEN CAST(CAST(0.1234567890123 AS FLOAT) AS DOUBLE) WHEN 2 THEN 3.4028234663852886e38 ELSE -3.4028234663852886e38 END AS clamped FROM v""")
+def reals(t):
+    """A text that isn't the shortest one of a float is rejected, or clamped to the largest magnitude."""
+    k = F.col("o_orderkey") % 4
+    text = F.when(k == 0, F.concat((F.col("o_orderkey") % 1000).cast("string"), F.lit(".25"))).when(k == 1, "0.1234567890123").when(k == 2, "1e39").otherwise("-1e39")
+    return t("orders").select(
+        "o_orderkey", codecs.real(text, "float").cast("double").alias("exact"), codecs.real(text, "double").alias("wide"), codecs.real(text, "float", "truncate").cast("double").alias("clamped")
+    )
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS plain, format('{:,}', o_orderkey) AS whole, format('{:,}', o_orderkey) || '.5' AS half FROM orders")
+def format_numbers(t):
+    k = F.col("o_orderkey")
+    return t("orders").select(
+        "o_orderkey", codecs.format_number(k).alias("plain"), codecs.format_number(k, True).alias("whole"), codecs.format_number(k.cast("decimal(20,1)") + F.lit("0.5").cast("decimal(2,1)"), True).alias("half")
+    )
+
+
+@query("""
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE -5 END AS INTEGER) AS n, CASE o_orderkey % 3 WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS b FROM orders""")
+def bool_numbers(t):
+    k = F.col("o_orderkey")
+    return t("orders").select("o_orderkey", codecs.boolean_to_number(k % 2 == 0, (10, -5)).alias("n"), codecs.number_to_boolean(k % 3).alias("b"))
+
+
+@query("""
+SELECT event_id, CAST(ts AS DATE) AS day, CAST(epoch_us(ts) % 86400000000 AS BIGINT) * 1000 AS time, CAST(epoch_us(ts) - epoch_us(ts) % 86400000000 AS BIGINT) AS midnight,
+CAST(epoch_us(ts) % 86400000000 AS BIGINT) + 946684800000000 AS that_day FROM events""")
+def temporal_casts(t):
+    at = F.col("ts").cast("timestamp")
+    day, time = (codecs.convert(at, "timestamp", kind) for kind in ("date", "time"))
+    later = codecs.Settings(epoch="2000-01-01T00:00:00Z")
+    return t("events").select(
+        "event_id", day.alias("day"), time.alias("time"), codecs.writetime(codecs.convert(day, "date", "timestamp")).alias("midnight"),
+        codecs.writetime(codecs.convert(time, "time", "timestamp", later)).alias("that_day"),
+    )
+
+
+@query(f"""
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN '00000000-0000-1000-8080-808080808080'
+WHEN 1 THEN substr({_TICKS}, 8, 8) || '-' || substr({_TICKS}, 4, 4) || '-1' || substr({_TICKS}, 1, 3) || '-8000-010000000000' END AS u, TRUE AS random_is_of_time FROM events""")
+def uuid_or_time(t):
+    at, k = F.col("ts").cast("timestamp"), F.col("event_id") % 3
+    text = F.when(k == 0, "00000000-0000-1000-8080-808080808080").when(k == 1, codecs.format_timestamp(at)).otherwise("x")
+    df = t("events").select("event_id", at.alias("at"), codecs.uuid_or_time(text, "fixed").alias("u"), codecs.timeuuid(at, "random").alias("r"))
+    return df.select("event_id", "u", (codecs.uuid(F.col("r")).isNotNull() & (codecs.timeuuid_time(F.col("r")) == F.col("at"))).alias("random_is_of_time"))
+
+
+@query("""
+SELECT o_orderkey, o_orderkey * 1000000 AS micros, DATE '1970-01-01' + CAST(o_orderkey // 86400 AS INTEGER) AS day, CASE o_orderkey WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS b,
+CAST(o_orderkey AS VARCHAR) AS s, o_orderkey * 1000000 AS of_uuid FROM orders""")
+def numbers_to_others(t):
+    to = lambda kind: codecs.convert(F.col("o_orderkey"), "bigint", kind, codecs.Settings(unit="seconds"))
+    return t("orders").select(
+        "o_orderkey", codecs.writetime(to("timestamp")).alias("micros"), to("date").alias("day"), to("boolean").alias("b"), to("text").alias("s"),
+        codecs.writetime(codecs.timeuuid_time(to("timeuuid"))).alias("of_uuid"),
+    )
+
+
+@query("""
+SELECT p_partkey, [CAST(p_partkey AS VARCHAR), CAST(p_size AS VARCHAR)] AS texts, list_sort(list_distinct([p_partkey, CAST(p_size AS BIGINT)])) AS members,
+CAST(p_partkey AS VARCHAR) AS one, CAST(p_size AS DOUBLE) AS two, CASE WHEN p_size <= 10 THEN [CAST(p_size AS TINYINT)] END AS small,
+CAST(p_size AS DOUBLE) AS size, CAST(NULL AS VARCHAR) AS absent, CAST(p_size AS VARCHAR) AS entry FROM part""")
+def collections_between(t):
+    """Lists, sets and maps as each other, as tuples and as user-defined values; a member out of range loses the whole."""
+    udts = {"made": {"size": "double", "absent": "text"}}
+    sizes = F.array("p_partkey", F.col("p_size").cast("bigint"))
+    large = F.array(F.col("p_size") + F.when(F.col("p_size") > 10, 1000).otherwise(0)).cast("array<bigint>")
+    held = F.create_map(F.lit("size"), F.col("p_size").cast("int"))
+    df = t("part").select(
+        "p_partkey", codecs.convert(sizes, "list<bigint>", "list<text>").alias("texts"), codecs.convert(sizes, "list<bigint>", "set<varint>").cast("array<bigint>").alias("members"),
+        codecs.convert(sizes, "list<bigint>", "tuple<text, double>").alias("pair"), codecs.convert(large, "list<bigint>", "list<tinyint>").alias("small"),
+        codecs.convert(held, "map<text, int>", "frozen<made>", udts=udts).alias("made"), codecs.convert(held, "map<text, int>", "map<text, text>").alias("m"),
+    )
+    return df.select(
+        "p_partkey", "texts", "members", F.col("pair._1").alias("one"), F.col("pair._2").alias("two"), "small", F.col("made.size").alias("size"), F.col("made.absent").alias("absent"),
+        F.col("m")["size"].alias("entry"),
+    )
+
+
+@query("""
+SELECT p_partkey, CAST(0 AS INTEGER) AS empty_list, CAST(0 AS INTEGER) AS empty_map, CASE p_partkey % 3 WHEN 0 THEN [CAST(p_size AS FLOAT), 2.5] END AS v FROM part""")
+def empty_collections_vectors(t):
+    """`[]` and `{}` are empty, not null; a vector is null where it has another length or is no array."""
+    size, k = F.col("p_size").cast("string"), F.col("p_partkey") % 3
+    text = F.when(k == 0, F.concat(F.lit("["), size, F.lit(", 2.5]"))).when(k == 1, F.concat(F.lit("["), size, F.lit("]"))).otherwise('{"a": 1}')
+    return t("part").select(
+        "p_partkey", F.size(codecs.decode(F.lit("[]"), "list<int>")).alias("empty_list"), F.size(codecs.decode(F.lit("{}"), "map<text, frozen<list<int>>>")).alias("empty_map"),
+        codecs.decode(text, "vector<float, 2>").alias("v"),
+    )
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 2 WHEN 0 THEN o_custkey * 1000000000 + 500000000 ELSE -(o_custkey * 1000000000 + 250000000) END AS nanos, TRUE AS mapped FROM orders""")
+def duration_fractions(t):
+    """Fractions of a second in ISO durations, and IPv4 addresses within IPv6."""
+    cust = F.col("o_custkey").cast("string")
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("PT"), cust, F.lit(".5S"))).otherwise(F.concat(F.lit("-PT"), cust, F.lit(".25S")))
+    return t("orders").select("o_orderkey", codecs.duration(text)["nanos"].alias("nanos"), (codecs.inet(F.lit("::ffff:1.2.3.4")) == "::ffff:1.2.3.4").alias("mapped"))
+
+
+# further loads and unloads
+
+_STATUS = TableSpec(("o_orderkey",), types={"o_orderkey": "bigint", "o_orderstatus": "text", "again": "text", "mark": "blob"})
+
+
+def _texts(t):
+    return t("orders").select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus")
+
+
+def _nothing(spec: TableSpec, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], StructType([StructField(c, spec.spark_type(c)) for c in spec.types]))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderstatus AS again, 'x' AS mark FROM orders")
+def load_indexed(t):
+    """Fields by place, one for two columns, and a function as a source."""
+    records = _texts(t).toDF("0", "1", "2")
+    settings = load.LoadSettings("0 = o_orderkey, 2 = o_orderstatus, 2 = again, textAsBlob('x') = mark")
+    after = load.load(records, _nothing(_STATUS, records.sparkSession), _STATUS, settings)[0]
+    return after.withColumn("mark", F.decode("mark", "UTF-8"))
+
+
+@query("""
+SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'no value for key o_orderkey' WHEN o_orderkey % 4 = 1 THEN 'can''t convert o_orderkey' ELSE 'good' END AS outcome, count(*) AS n FROM orders GROUP BY 1""")
+def load_null_keys(t):
+    """Records without a key, or with one that can't be read, go aside."""
+    k = F.col("o_orderkey").cast("bigint") % 4
+    records = _texts(t).select(F.when(k == 0, "").when(k == 1, "?").otherwise(F.col("o_orderkey")).alias("o_orderkey"), "o_orderstatus")
+    rows = load.bind(records, _STATUS, load.LoadSettings("o_orderkey, o_orderstatus"))
+    return rows.groupBy(F.coalesce("_error", F.lit("good")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, value, CAST(5 AS BIGINT) AS written, CAST(60 AS INTEGER) AS life FROM events")
+def load_ttl_timestamp(t):
+    """One write time and one life for all rows; keys, counters and open collections have none."""
+    spec = TableSpec(("event_id",), types={"event_id": "bigint", "value": "double", "tags": "set<text>"})
+    records = t("events").select(F.col("event_id").cast("string"), F.col("value").cast("string"), F.lit("[1]").alias("tags"))
+    rows = load.bind(records, spec, load.LoadSettings(timestamp=5, ttl=60))
+    assert not {c for c in rows.columns if c.endswith(("(event_id)", "(tags)"))}
+    return rows.select("event_id", "value", F.col("`writetime(value)`").alias("written"), F.col("`ttl(value)`").alias("life"))
+
+
+@query("SELECT c_custkey AS id, CAST(trunc(c_acctbal) AS INTEGER) AS whole FROM customer")
+def unload_cast(t):
+    return mapping.unload_map(t("customer"), "id = c_custkey, whole = cast(c_acctbal as int)")
+
+
+@query("SELECT event_id, CAST(event_id % 100 AS BIGINT) AS w FROM events")
+def unload_writetime(t):
+    return mapping.unload_map(_stored(t), "event_id, w = writetime(value)")
+
+
+@query(f"""
+SELECT c_custkey AS id, CAST(-c_nationkey AS INTEGER) AS i, c_name AS s, c_custkey AS g, c_acctbal > 0 AS b, {_token_sql("CAST(c_custkey AS VARCHAR)")} AS tok
+FROM customer""")
+def unload_blob_functions(t):
+    table = t("customer").withColumn("minus", (-F.col("c_nationkey")).cast("int")).withColumn("rich", F.col("c_acctbal") > 0)
+    fields = "i = blobAsInt(intAsBlob(minus)), s = blobAsText(textAsBlob(c_name)), g = blobAsBigint(bigintAsBlob(c_custkey)), b = blobAsBoolean(booleanAsBlob(rich))"
+    return mapping.unload_map(table, f"id = c_custkey, {fields}, tok = token(c_custkey)")
+
+
+@query("""
+SELECT event_id, CAST((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 3 AS BIGINT) AS batch FROM events""")
+def batch_bytes(t):
+    """A batch closes with the row that brings it to the bound: here the third of 40 bytes."""
+    rows = t("events").select("event_id", "user_id", "ts", F.lit(40).alias("size"))
+    return batch.by_bytes(rows, ["user_id"], ["ts", "event_id"], "size", 100).select("event_id", "batch")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus, o_custkey FROM orders")
+def delete_columns(t):
+    """Single columns of rows are deleted; the rows and their other columns stay."""
+    rows = t("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    return merge.delete_columns(rows, rows.where("o_orderkey % 3 = 0"), ["o_orderkey"], ["o_orderstatus"])

@@ -30,6 +30,8 @@ BOUNDS = {
 UUID_EPOCH = 122192928000000000
 #: The smallest and the largest clock-and-node parts, compared as signed bytes.
 UUID_NODE = {"min": "8080-808080808080", "max": "7f7f-7f7f7f7f7f7f"}
+#: Clock zero on a node that is no network card: equal times have equal identifiers.
+UUID_NODE |= {"fixed": "8000-010000000000"}
 
 UNITS = {"days": 86_400_000_000, "hours": 3_600_000_000, "minutes": 60_000_000, "seconds": 1_000_000, "milliseconds": 1_000, "microseconds": 1}
 
@@ -242,6 +244,43 @@ def from_writetime(micros: Column) -> Column:
     return F.timestamp_micros(micros)
 
 
+DAY = UNITS["days"]
+
+
+def temporal(value: Column, source: str, target: str, settings: Settings = Settings()) -> Column:
+    """A timestamp, date or time (nanoseconds of the day) as another of them, by the settings' zone.
+
+    A date is its midnight, and a time that time of the epoch's day.
+    """
+    if source == target:
+        return value
+    epoch_day = F.floor(F.unix_micros(F.lit(settings.epoch).cast("timestamp")) / DAY) * DAY
+    local = {
+        "timestamp": lambda: F.unix_micros(F.from_utc_timestamp(value, settings.time_zone)),
+        "date": lambda: F.unix_date(value).cast("long") * DAY,
+        "time": lambda: epoch_day + F.floor(value / 1000),
+    }[source]()
+    return {
+        "timestamp": lambda: F.to_utc_timestamp(F.timestamp_micros(local), settings.time_zone),
+        "date": lambda: F.date_from_unix_date(F.floor(local / DAY).cast("int")),
+        "time": lambda: F.pmod(local, F.lit(DAY)) * 1000,
+    }[target]()
+
+
+def from_number(value: Column, target: str, settings: Settings = Settings()) -> Column:
+    """A number as a time (so many units since the epoch), an identifier of that time, a boolean or a text."""
+    at = lambda: from_units(value.cast("long"), settings)
+    return {
+        "timestamp": at,
+        "date": lambda: temporal(at(), "timestamp", "date", settings),
+        "time": lambda: temporal(at(), "timestamp", "time", settings),
+        "uuid": lambda: timeuuid(at()),
+        "timeuuid": lambda: timeuuid(at()),
+        "boolean": lambda: number_to_boolean(value),
+        "text": lambda: format_number(value, settings.format_numbers),
+    }[target]()
+
+
 # identifiers
 
 
@@ -251,10 +290,11 @@ def uuid(text: Column) -> Column:
 
 
 def timeuuid(value: Column, node: str = "min") -> Column:
-    """The version 1 identifier of a timestamp with the smallest or the largest node part."""
+    """The version 1 identifier of a timestamp with the smallest, the largest, a fixed or (for each row) a random node part."""
     ticks = F.lpad(F.lower(F.hex(F.unix_micros(value) * 10 + F.lit(UUID_EPOCH))), 15, "0")
     low, middle, high = F.substring(ticks, 8, 8), F.substring(ticks, 4, 4), F.substring(ticks, 1, 3)
-    return F.concat(low, F.lit("-"), middle, F.lit("-1"), high, F.lit("-" + UUID_NODE[node]))
+    rest = F.substring(F.uuid(), 20, 17) if node == "random" else F.lit(UUID_NODE[node])
+    return F.concat(low, F.lit("-"), middle, F.lit("-1"), high, F.lit("-"), rest)
 
 
 def uuid_or_time(text: Column, node: str = "min", settings: Settings = Settings()) -> Column:
@@ -269,9 +309,9 @@ def timeuuid_time(text: Column) -> Column:
 
 
 def inet(text: Column) -> Column:
-    """An IPv4 or IPv6 literal; names are not looked up."""
+    """An IPv4 or IPv6 literal, or an IPv4 one within IPv6; names are not looked up."""
     t = F.lower(F.trim(text))
-    four = t.rlike(r"^((25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$")
+    four = t.rlike(r"^(::ffff:)?((25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$")
     six = t.rlike("^[0-9a-f:]+$") & (F.size(F.split(t, ":")) <= 8) & (t.contains("::") | (F.size(F.split(t, ":")) == 8)) & ~t.rlike("[0-9a-f]{5}|:::")
     return F.when(four | six, t)
 
@@ -296,7 +336,7 @@ def duration(text: Column) -> Column:
     """struct<months, days, nanos> from 1y2mo3w4d5h6m7s8ms9us10ns or ISO P1Y2M3DT4H5M6S; a sign holds for all parts."""
     t = F.trim(text)
     short = t.rlike(r"^-?([0-9]+(ns|us|µs|ms|mo|y|w|d|h|m|s))+$")
-    iso = t.rlike(r"^-?P(?=.)([0-9]+Y)?([0-9]+M)?([0-9]+W)?([0-9]+D)?(T([0-9]+H)?([0-9]+M)?([0-9]+S)?)?$")
+    iso = t.rlike(r"^-?P(?=.)([0-9]+Y)?([0-9]+M)?([0-9]+W)?([0-9]+D)?(T([0-9]+H)?([0-9]+M)?([0-9]+([.][0-9]{1,9})?S)?)?$")
     s = F.regexp_extract
     get = lambda pattern: F.coalesce(s(t, pattern, 1).try_cast("long"), F.lit(0))
     sign = F.when(t.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
@@ -304,9 +344,10 @@ def duration(text: Column) -> Column:
     date_, clock = "^[^T]*?([0-9]+){}", "T.*?([0-9]+){}"
     months = F.when(iso, get(date_.format("Y")) * 12 + get(date_.format("M"))).otherwise(get("([0-9]+)y") * 12 + get("([0-9]+)mo"))
     days = F.when(iso, get(date_.format("W")) * 7 + get(date_.format("D"))).otherwise(get("([0-9]+)w") * 7 + get("([0-9]+)d"))
-    seconds = F.when(iso, get(clock.format("H")) * 3600 + get(clock.format("M")) * 60 + get(clock.format("S")))
+    seconds = F.when(iso, get(clock.format("H")) * 3600 + get(clock.format("M")) * 60 + get("T.*?([0-9]+)([.][0-9]+)?S"))
     seconds = seconds.otherwise(get("([0-9]+)h") * 3600 + word("m") * 60 + word("s"))
-    small = F.when(iso, F.lit(0)).otherwise(get("([0-9]+)ms") * 1_000_000 + get("([0-9]+)[uµ]s") * 1000 + get("([0-9]+)ns"))
+    fraction = F.rpad(s(t, "[.]([0-9]{1,9})S$", 1), 9, "0").try_cast("long")
+    small = F.when(iso, F.coalesce(fraction, F.lit(0))).otherwise(get("([0-9]+)ms") * 1_000_000 + get("([0-9]+)[uµ]s") * 1000 + get("([0-9]+)ns"))
     made = F.struct((sign * months).cast("int").alias("months"), (sign * days).cast("int").alias("days"), (sign * (seconds * 1_000_000_000 + small)).cast("long").alias("nanos"))
     return F.when(short | iso, made)
 
@@ -556,6 +597,43 @@ def encode(value: Column, kind: str, settings: Settings = Settings(), udts: dict
     return F.coalesce(text, F.lit(settings.null_strings[0])) if settings.null_strings else text
 
 
+_NUMBERS = {*BOUNDS, "counter", "float", "double", "decimal", "varint"}
+_TIMES = {"timestamp", "date", "time"}
+
+
+def convert(value: Column, source: str, target: str, settings: Settings = Settings(), udts: dict[str, dict[str, str]] | None = None) -> Column:
+    """A typed value as another type; a collection member by member, null if one of them can't be.
+
+    Lists and sets become lists, sets and vectors, and by place tuples and user-defined values of as many
+    fields; maps become maps, and by name user-defined values. Numbers and times go through no text.
+    """
+    (a, xs), (b, ys) = type_parts(source, udts), type_parts(target, udts)
+    of = lambda x, y: lambda v: convert(v, x, y, settings, udts)
+    if (a, xs) == (b, ys):
+        return value
+    if a in _TIMES and b in _TIMES:
+        return temporal(value, a, b, settings)
+    if a in _NUMBERS and b in (*_TIMES, "uuid", "timeuuid", "boolean"):
+        return from_number(value, b, settings)
+    if a == "boolean" and b in _NUMBERS:
+        return decode(boolean_to_number(value).cast("string"), b, settings)
+    if a in ("list", "set", "vector") and b in ("list", "set", "vector"):
+        made = _each(value, of(xs[0], ys[0]))
+        if b == "vector":
+            return F.when(F.size(made) == int(ys[1]), made)
+        return made if b == "list" else F.array_sort(F.array_distinct(made))
+    if a == "map" and b == "map":
+        return _let(value, lambda m: F.map_from_arrays(_each(F.map_keys(m), of(xs[0], ys[0])), _each(F.map_values(m), of(xs[1], ys[1]))))
+    if b in ("tuple", "udt") and a in ("list", "set", "map"):
+        names = [f"_{i + 1}" for i in range(len(ys))] if b == "tuple" else list(udts[target.strip().removeprefix("frozen<").removesuffix(">").strip()])
+        member = (lambda i: F.try_element_at(value, F.lit(names[i]))) if a == "map" else (lambda i: F.get(value, F.lit(i)))
+        fields = [convert(member(i), xs[-1], y, settings, udts) for i, y in enumerate(ys)]
+        lost = reduce(lambda p, q: p | q, (problem(member(i), f) for i, f in enumerate(fields)))
+        fits = value.isNotNull() if a == "map" else F.size(value) == len(ys)
+        return F.when(fits & ~lost, F.struct(*(f.alias(n) for f, n in zip(fields, names))))
+    return decode(encode(value, source, settings, udts), target, settings, udts)
+
+
 def all_decoded(columns: Sequence[Column]) -> Column:
     """Whether no conversion of a row lost a value."""
     return ~reduce(lambda a, b: a | b, columns, F.lit(False))

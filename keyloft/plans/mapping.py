@@ -192,7 +192,10 @@ def _repeated(names: Sequence[str]) -> list[str]:
 
 
 def check_load(pairs: Sequence[Pair], columns: Sequence[str], primary_key: Sequence[str], fields: Sequence[str] | None = None) -> None:
-    """One field may feed many columns, but a column has one source; the key must be set."""
+    """One field may feed many columns, but a column has one source; the key must be set.
+
+    A write time or a life goes with a column that is set and in no key; one of `*` with those that have none of their own.
+    """
     names = [p.column.text for p in pairs if isinstance(p.column, Name)]
     if twice := _repeated(names):
         raise MappingError(f"columns set twice: {twice}")
@@ -204,6 +207,17 @@ def check_load(pairs: Sequence[Pair], columns: Sequence[str], primary_key: Seque
         raise MappingError(f"no such fields: {absent}")
     if bad := [str(p.column) for p in pairs if not isinstance(p.column, Name) and not (isinstance(p.column, Call) and p.column.name.lower() in ("writetime", "ttl"))]:
         raise MappingError(f"a load can't set {bad}")
+    marks = [(p.column.name.lower(), p.column.args[0].text) for p in pairs if isinstance(p.column, Call)]
+    for mark, c in marks:
+        own = {x for m, x in marks if m == mark}
+        if c == "*" and not set(names) - set(primary_key) - own:
+            raise MappingError(f"{mark}(*) has no column left")
+        if c == "*" and any(n.startswith(f"{mark}(") for n in columns):
+            raise MappingError(f"{mark}(*) beside preserved ones")
+        if c in primary_key:
+            raise MappingError(f"{mark}({c}): a key column has none")
+        if c != "*" and c not in names:
+            raise MappingError(f"{mark}({c}): the load doesn't set {c}")
 
 
 def check_unload(pairs: Sequence[Pair], columns: Sequence[str]) -> None:

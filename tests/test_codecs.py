@@ -147,3 +147,26 @@ def test_types():
     assert spec.primary_key == ("p", "c") and spec.counters == ("n",)
     assert [c for c in spec.types if spec.keeps_cell_metadata(c)] == ["v", "s"]
     assert spec.needed_key({"p", "s"}) == ("p",) and spec.needed_key({"p", "c", "v"}) == ("p", "c")
+
+
+def test_convert_loses_no_member_silently(spark):
+    df = spark.sql("select array(1, null, 300) l, map('a', 1) m, cast(null as array<int>) n, array() e")
+    got = df.select(
+        C.convert(F.col("l"), "list<int>", "list<text>").alias("texts"), C.convert(F.col("l"), "list<int>", "list<tinyint>").alias("small"),
+        C.convert(F.col("l"), "list<int>", "tuple<int, int>").alias("short"), C.convert(F.col("n"), "list<int>", "set<text>").alias("none"),
+        C.convert(F.col("n"), "list<int>", "tuple<int>").alias("none_tuple"), C.convert(F.col("m"), "map<text, int>", "map<text, blob>").alias("bad"),
+        C.convert(F.col("e").cast("array<int>"), "list<int>", "set<bigint>").alias("empty"),
+    ).first()
+    assert got.texts == ["1", None, "300"] and got.empty == []
+    assert got.small is got.short is got.none is got.none_tuple is got.bad is None
+
+
+def test_temporal_by_zone(spark):
+    settings = C.Settings(time_zone="Asia/Tokyo")
+    df = spark.sql("select timestamp '2020-01-01 20:00:00 UTC' t")
+    got = df.select(
+        C.temporal(F.col("t"), "timestamp", "date", settings).cast("string").alias("d"), C.temporal(F.col("t"), "timestamp", "time", settings).alias("n"),
+        F.unix_micros(C.temporal(F.lit("2020-01-02").cast("date"), "date", "timestamp", settings)).alias("back"),
+    ).first()
+    assert (got.d, got.n) == ("2020-01-02", 5 * 3600 * 10**9)
+    assert got.back == 1577890800 * 10**6  # 2020-01-01 15:00 UTC

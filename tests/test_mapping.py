@@ -78,3 +78,20 @@ def test_functions(spark):
         registry.call("blobAsText", registry.call("textAsBlob", F.lit("é"))).alias("t"),
     ).first()
     assert (row.ms, row.n, row.t) == (1577934245678, -5, "é")
+
+
+@pytest.mark.parametrize("text", [
+    "k, v, t = writetime(k)",  # a key has no write time
+    "k, t = writetime(v)",  # v isn't set
+    "k, v, t = writetime(v), s = writetime(*)",  # nothing is left for *
+])
+def test_write_times_that_no_column_takes(text):
+    with pytest.raises(M.MappingError):
+        M.check_load(M.resolve(M.parse(text), ["k", "v", "t", "s"], ["k", "v"]), ["k", "v"], ("k",))
+
+
+def test_write_time_of_all_others():
+    pairs = M.resolve(M.parse("k, v, w, t = writetime(v), s = writetime(*)"), ["k", "v", "w", "t", "s"], ["k", "v", "w"])
+    M.check_load(pairs, ["k", "v", "w"], ("k",))
+    with pytest.raises(M.MappingError):
+        M.check_load(pairs, ["k", "v", "w", "writetime(v)", "writetime(w)"], ("k",))
