@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .functions import codecs
-from .operators import batch, checkpoint, count, errors, merge, ring, select
+from .operators import batch, checkpoint, count, errors, merge, metrics, ring, select
 from .plans import load, mapping, unload
 from .schema import TableSpec
 from .scratch import Scratch
 from .sources import csv, files, json
+from .streaming import load_stream as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -868,3 +869,92 @@ def delete_columns(t):
     """Single columns of rows are deleted; the rows and their other columns stay."""
     rows = t("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
     return merge.delete_columns(rows, rows.where("o_orderkey % 3 = 0"), ["o_orderkey"], ["o_orderstatus"])
+
+
+# further files
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderkey % 2 = 0 AS in_folder FROM orders")
+def read_url_list(t):
+    """Paths from a list with comments, into folders, by a name pattern, written with a compression."""
+    table = t("orders").select("o_orderkey", "o_orderstatus")
+    root = Scratch(table.sparkSession, "csv").path("listed")
+    csv.write(table.where("o_orderkey % 2 <> 0"), f"{root}/a")
+    csv.write(table.where("o_orderkey % 2 = 0"), f"{root}/b/inner", compression="bzip2")
+    table.limit(1).select(F.lit("not,to,be,read").alias("value")).coalesce(1).write.text(f"{root}/b/notes")  # part-*.txt
+    lines = table.sparkSession.createDataFrame([("# what to read",), (f"{root}/a",), ("",), (f"  {root}/b",)], "value string")
+    lines.coalesce(1).write.text(f"{root}/list")
+    df = csv.read(table.sparkSession, files.Files(url_file=f"{root}/list", pattern="*.csv*", recursive=True))
+    return df.select(F.col("o_orderkey").cast("long"), "o_orderstatus", F.col("_resource").contains("/inner/").alias("in_folder"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 4 <> 3 THEN c_name END AS name, CASE WHEN c_custkey % 4 <> 3 THEN c_nationkey END AS nation, c_custkey % 4 = 3 AS failed FROM customer""")
+def json_relaxed(t):
+    """Comments, single quotes and names without quotes; what is no document is an error."""
+    key, name, nation = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string")
+    kind = F.col("c_custkey") % 4
+    line = (
+        F.when(kind == 0, F.concat(F.lit('{"k": '), key, F.lit(', "name": "'), name, F.lit('", /* of */ "nation": '), nation, F.lit("}")))
+        .when(kind == 1, F.concat(F.lit("{'k': "), key, F.lit(", 'name': '"), name, F.lit("', 'nation': "), nation, F.lit("}")))
+        .when(kind == 2, F.concat(F.lit("{k: "), key, F.lit(', name: "'), name, F.lit('", nation: '), nation, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"k" "'), key, F.lit('"}')))
+    )
+    customer = t("customer")
+    path = Scratch(customer.sparkSession, "json").path("relaxed")
+    customer.select(line.alias("value")).write.text(path)
+    schema = StructType.fromDDL("k long, name string, nation int")
+    df = json.read(customer.sparkSession, files.Files((path,)), schema, json.Json(comments=True, single_quotes=True, unquoted_names=True))
+    failed = F.col("_error").isNotNull()
+    key = F.when(failed, F.regexp_extract("_error", '"([0-9]+)"}$', 1).try_cast("long")).otherwise(F.col("k"))
+    return df.select(key.alias("c_custkey"), F.when(~failed, F.col("name")).alias("name"), F.when(~failed, F.col("nation")).cast("int").alias("nation"), failed.alias("failed"))
+
+
+@query("SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status FROM orders")
+def json_array(t):
+    """Files that each hold one array, with nulls left out."""
+    table = t("orders").select("o_orderkey", "o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("status"))
+    path = Scratch(table.sparkSession, "json").path("array")
+    form = json.Json(mode="single_document", keep_nulls=False)
+    json.write(table, path, form, compression="gzip")
+    return json.read(table.sparkSession, files.Files((path,)), table.schema, form).select(*table.columns)
+
+
+@query("SELECT count(*) AS n, CAST(sum(CASE WHEN l_linenumber % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed, CAST(sum(length(l_returnflag)) AS BIGINT) AS size FROM lineitem")
+def run_figures(t):
+    """Rows, errors and bytes, counted while the rows are written."""
+    rows = t("lineitem").select("l_returnflag", F.when(F.col("l_linenumber") % 5 == 0, "bad").alias("_error"))
+    df, seen = metrics.observed(rows, error="_error", size=F.octet_length("l_returnflag"))
+    Scratch(rows.sparkSession, "figures").write(df, "rows")
+    found = seen.get
+    return rows.sparkSession.createDataFrame([(found["rows"], found["errors"], found["bytes"])], "n long, failed long, size long")
+
+
+@query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def windowed_counts(t):
+    """The streams' counts by day and type, over a table that is complete."""
+    found = streams.counted(t("events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", "event_type")
+    return found.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "event_type", "n")
+
+
+@query("""
+SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id""")
+def stream_load(t):
+    """Files that arrive in a folder, merged batch by batch into a table; the last write to a key wins."""
+    events = t("events")
+    spark = events.sparkSession
+    spec = TableSpec(("user_id",), types={"user_id": "bigint", "event_type": "text", "event_id": "bigint"})
+    scratch = Scratch(spark, "stream")
+    root, names = scratch.path("arrived"), ("user_id", "event_type", "event_id", "writetime(event_type)", "writetime(event_id)")
+    rows = events.select("user_id", "event_type", "event_id", F.col("event_id").alias(names[3]), F.col("event_id").alias(names[4])).select(*(F.col(f"`{n}`").cast("string") for n in names))
+    rows.repartition(2).write.option("header", True).csv(root)
+    held = {"table": _nothing(spec, spark)}
+
+    def save(table: DataFrame, number: int) -> None:
+        held["table"] = scratch.write(table, f"state{number}")
+
+    schema = StructType([StructField(n, StringType()) for n in names])
+    records = streams.read_folder(spark, root, schema, csv.Csv(), files_per_batch=1)
+    settings = load.LoadSettings(preserve_timestamp=True)
+    streams.load_stream(records, spec, lambda: held["table"], save, scratch.path("progress"), settings).awaitTermination()
+    return held["table"].select("user_id", "event_type", "event_id")

@@ -9,9 +9,9 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from .files import Files, check_target, numbered, take, whole_files, with_error
+from .files import OPENED, Files, check_target, numbered, take, whole_files, with_error
 
 
 @dataclass(frozen=True)
@@ -57,12 +57,19 @@ def read(spark: SparkSession, files: Files, schema: StructType, form: Json = Jso
     """Records by a set schema, with _resource and _error.
 
     Documents that each take one line, and arrays, are read by Spark; documents that span lines are
-    cut apart file by file.
+    cut apart file by file, and so are files of a compression that Spark doesn't open.
     """
     wide = StructType([*schema, *StructType.fromDDL("_corrupt string")])
     if form.mode == "multi_document" and not form.one_per_line:
         texts = whole_files(spark, files).mapInPandas(_cut, "_resource string, value string")
         df = texts.select("_resource", F.from_json("value", wide, form.options()).alias("r")).select("r.*", "_resource")
+    elif files.compression in OPENED:
+        texts = whole_files(spark, files)
+        if form.mode == "single_document":
+            records = F.from_json("content", ArrayType(wide), form.options())
+        else:
+            records = F.transform(F.filter(F.split("content", "\r?\n"), lambda v: F.trim(v) != ""), lambda v: F.from_json(v, wide, form.options()))
+        df = texts.select("_resource", F.explode(records).alias("r")).select("r.*", "_resource")
     else:
         options = form.options() | files.options() | {"multiLine": str(form.mode == "single_document").lower()}
         df = spark.read.schema(wide).options(**options).json(files.all_paths(spark)).withColumn("_resource", F.col("_metadata.file_path"))

@@ -7,6 +7,7 @@ import lzma
 import pytest
 import zstandard
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from keyloft.functions import codecs
 from keyloft.operators import errors, merge
@@ -211,3 +212,12 @@ def test_load_keeps_every_digit(spark):
     assert [(r.k, str(r.d.normalize()), int(r.n)) for r in table.orderBy("k").collect()] == [(1, "0.123456789", int("9" * 38)), (4, "1.5E+3", 2)]
     assert sorted(r._error for r in bad.collect()) == ["can't convert d", "can't convert d"]
     assert unload.records(table.where("k = 1"), spec).first().t == "2020-01-02T03:04:05.678901Z"
+
+
+@pytest.mark.parametrize("mode", ["multi_document", "single_document"])
+def test_json_that_spark_does_not_open(spark, tmp_path, mode):
+    text = '{"a": 1}\n\n{"a" 2}\n{"a": 3}\n' if mode == "multi_document" else '[{"a": 1}, {"a": 3}]'
+    (tmp_path / "x.json.xz").write_bytes(lzma.compress(text.encode()))
+    df = json.read(spark, files.Files((str(tmp_path),), compression="xz"), StructType.fromDDL("a int"), json.Json(mode=mode))
+    rows = [(r.a, r._error is not None) for r in df.collect()]
+    assert sorted(rows, key=str) == sorted([(1, False), (3, False), *([(None, True)] if mode == "multi_document" else [])], key=str)
