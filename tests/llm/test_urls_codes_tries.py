@@ -198,12 +198,12 @@ def found_trie(spark, rows, most):
     return sorted(tuple(-1 if v is None else v for v in r) for r in tries.trie(convs, scratch, most).collect())
 
 
-@pytest.mark.parametrize("most", [8192, 12, 0])
+@pytest.mark.parametrize("most", [8192, 12])
 def test_trie_against_plain(spark, most):
     rng = random.Random(most)
     rows = []
     for c in [*range(60), 10**12, 10**12 + 3, 77]:
-        for t in range(rng.choice([0, 1, 3, 6, 12])):
+        for t in range(rng.choice([0, 1, 3, 6])):
             rows.append((c, t, rng.choice(["user", "bot"]), rng.choice(["hi", "é", ""]) if t > 1 else "start"))
     assert found_trie(spark, rows, most) == plain_trie(rows)
 
