@@ -13,6 +13,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,7 +135,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             bad, _ = load.dry_run(records, spec, settings)
             return errors.EXIT["with_errors" if bad else "ok"]
         bound = load.staged(records, spec, settings)
-        after, rejected = load.merged(bound, table, spec, settings)
+        after, rejected = load.merged(bound, table, spec, settings, now=time.time_ns() // 1000)
     except errors.TooManyErrors as e:
         print(e, file=sys.stderr)
         return errors.EXIT["too_many_errors"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -13,7 +13,7 @@ from .operators import batch, checkpoint, count, errors, merge, metrics, ring, s
 from .plans import load, mapping, unload
 from .schema import TableSpec
 from .scratch import Scratch
-from .sources import csv, files, json
+from .sources import blocks, csv, files, json, packed
 from .streaming import load_stream as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -958,3 +958,156 @@ def stream_load(t):
     settings = load.LoadSettings(preserve_timestamp=True)
     streams.load_stream(records, spec, lambda: held["table"], save, scratch.path("progress"), settings).awaitTermination()
     return held["table"].select("user_id", "event_type", "event_id")
+
+
+# loads whose records meet
+
+
+@query("""
+WITH r AS (SELECT CAST(o_orderkey % 10 AS BIGINT) AS k, o_orderkey AS pos FROM orders)
+SELECT k, max(pos) AS from_frame, max(pos) AS from_files FROM r GROUP BY k""")
+def load_last_record_wins(t):
+    """Of many records with one key the last holds: of a frame in 16 parts, and of a file that several tasks read."""
+    spec = TableSpec(("k",), types={"k": "bigint", "pos": "bigint"})
+    ordered = t("orders").select((F.col("o_orderkey") % 10).cast("string").alias("k"), F.col("o_orderkey").cast("string").alias("pos"), F.col("o_orderkey").alias("o"))
+    spark = ordered.sparkSession
+    frame = ordered.repartitionByRange(16, "o").sortWithinPartitions("o").drop("o")
+    path = Scratch(spark, "csv").path("last")
+    csv.write(ordered.orderBy("o").coalesce(1).drop("o"), path)
+    found = [load.load(r, _nothing(spec, spark), spec)[0] for r in (frame, csv.read(spark, files.Files((path,)), block=16_384))]
+    return found[0].select("k", F.col("pos").alias("from_frame")).join(found[1].select("k", F.col("pos").alias("from_files")), "k")
+
+
+@query("""
+SELECT user_id, event_id, value, max(CASE WHEN event_id % 3 = 0 THEN event_id END) OVER (PARTITION BY user_id) AS top FROM events
+UNION ALL SELECT user_id + 100000000 AS user_id, NULL AS event_id, NULL AS value, max(event_id) AS top FROM events GROUP BY user_id""")
+def load_static(t):
+    """A static column is loaded by partition key alone: for all rows of the partition, also where there are none."""
+    spec = TableSpec(("user_id",), (("event_id", "asc"),), {"user_id": "bigint", "event_id": "bigint", "value": "double", "top": "bigint"}, frozenset({"top"}))
+    rows = t("events").select("user_id", "event_id", "value")
+    empty = _nothing(spec, rows.sparkSession)
+    text = lambda df: df.select(*(F.col(c).cast("string") for c in df.columns))
+    with_rows = load.load(text(rows.withColumn("top", F.when(F.col("event_id") % 3 == 0, F.col("event_id"))).orderBy("event_id")), empty, spec)[0]
+    others = rows.orderBy("event_id").select((F.col("user_id") + 100_000_000).alias("user_id"), F.col("event_id").alias("top"))
+    return load.load(text(others), with_rows, spec, load.LoadSettings("user_id, top"))[0].select("user_id", "event_id", "value", "top")
+
+
+@query("SELECT user_id, CAST(sum(event_id % 10) AS BIGINT) + 5 AS seen, CAST(5 AS BIGINT) AS clicked FROM events GROUP BY user_id")
+def load_one_counter(t):
+    """A load of one of two counters adds to it and leaves the other alone."""
+    spec = TableSpec(("user_id",), types={"user_id": "bigint", "seen": "counter", "clicked": "counter"})
+    current = t("events").select("user_id").distinct().select("user_id", F.lit(5).cast("long").alias("seen"), F.lit(5).cast("long").alias("clicked"))
+    records = t("events").select(F.col("user_id").cast("string"), (F.col("event_id") % 10).cast("string").alias("seen"))
+    return load.load(records, current, spec, load.LoadSettings("user_id, seen"))[0]
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN value WHEN event_id % 4 <> 1 THEN -1.0 END AS value, CASE WHEN event_id % 4 = 0 THEN 100 ELSE 200 END AS at FROM events""")
+def expired_write_hides(t):
+    """A newer write whose life is over leaves no value, not the older one; a write that is older loses as ever."""
+    kind = F.col("event_id") % 4
+    stored = t("events").select("event_id", "value", F.lit(100).cast("long").alias("writetime(value)"), F.lit(None).cast("int").alias("ttl(value)"))
+    at, life = F.when(kind == 0, 50).otherwise(200), F.when(kind == 1, 1).when(kind == 2, 60)
+    records = t("events").select(F.col("event_id").cast("string"), F.lit("-1").alias("value"), at.cast("string").alias("w"), life.cast("string").alias("l"))
+    spec = TableSpec(("event_id",), types={"event_id": "bigint", "value": "double"})
+    after = load.load(records, stored, spec, load.LoadSettings("event_id, value, w = writetime(value), l = ttl(value)"), now=5_000_000)[0]
+    return after.select("event_id", "value", F.col("`writetime(value)`").cast("int").alias("at"))
+
+
+# delimited files that are hard to read
+
+
+def _odd_text(c: str) -> Column:
+    """A text with line breaks, quotes, backslashes, delimiters and outer spaces; some empty, some null."""
+    n, k = F.col(c), F.col(c) % 9
+    mixed = F.concat(F.lit(' "a,\\'), n.cast("string"), F.lit('"\nb\r\n"",c\\" '))
+    return F.when(k == 0, "").when(k == 1, F.lit(None)).when(k == 2, F.lit("  ")).when(k == 3, F.lit('"')).when(k == 4, F.lit("\n")).when(k == 5, F.lit('\\"')).when(k == 6, F.lit("x\\")).otherwise(mixed)
+
+
+_ODD_SQL = r"""CASE o_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '  ' WHEN 3 THEN '"' WHEN 4 THEN chr(10) WHEN 5 THEN '\"' WHEN 6 THEN 'x\'
+ELSE ' "a,\' || o_orderkey || '"' || chr(10) || 'b' || chr(13) || chr(10) || '"",c\" ' END"""
+
+
+@query(f"SELECT o_orderkey, {_ODD_SQL} AS v, FALSE AS failed FROM orders")
+def csv_text_roundtrip(t):
+    """Any text comes back as it was, by the default settings of both ways."""
+    table = t("orders").select("o_orderkey", _odd_text("o_orderkey").alias("v"))
+    path = Scratch(table.sparkSession, "csv").path("texts")
+    csv.write(table, path)
+    back = csv.read(table.sparkSession, files.Files((path,)))
+    return back.select(F.col("o_orderkey").cast("long"), "v", F.col("_error").isNotNull().alias("failed"))
+
+
+@query(f"""
+SELECT o_orderkey, {_ODD_SQL} AS v, CAST(row_number() OVER (ORDER BY o_orderkey, o_custkey, o_totalprice) AS BIGINT) AS position, TRUE AS split FROM orders""")
+def csv_quoted_breaks(t):
+    """One file in many splits, whose records run over many lines and over the splits' ends."""
+    orders = t("orders")
+    path = Scratch(orders.sparkSession, "csv").path("breaks")
+    form = csv.Csv(escape='"')
+    ordered = orders.orderBy("o_orderkey", "o_custkey", "o_totalprice").select("o_orderkey", _odd_text("o_orderkey").alias("v"))
+    csv.write(ordered.coalesce(1), path, form)
+    back = csv.read(orders.sparkSession, files.Files((path,)), form, positions=True, block=4096)
+    splits = blocks.block_count(orders.sparkSession, files.Files((path,)), 4096)
+    return back.select(F.col("o_orderkey").cast("long"), "v", F.col("_position").alias("position"), F.lit(splits >= 4).alias("split"))
+
+
+@query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN o_orderstatus END AS o_orderstatus FROM orders")
+def csv_wider_file(t):
+    """A small file with a column more than the large one: the column isn't lost."""
+    orders = t("orders")
+    root = Scratch(orders.sparkSession, "csv").path("wider")
+    narrow, wide = orders.select("o_orderkey", "o_custkey"), orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    csv.write(narrow.where("o_orderkey % 10 <> 0").coalesce(1), f"{root}/a")
+    csv.write(wide.where("o_orderkey % 10 = 0").coalesce(1), f"{root}/b")
+    df = csv.read(orders.sparkSession, files.Files((f"{root}/a", f"{root}/b")))
+    return df.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_orderstatus")
+
+
+@query("""
+WITH k AS (SELECT unnest(['plain', 'zstd', 'xz']) AS packing)
+SELECT packing, n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'none' WHEN 2 THEN 'pad' ELSE n_name END AS v, n_nationkey % 4 = 3 AND n_nationkey > 10 AS failed FROM nation, k""")
+def packed_options(t):
+    """Null and empty values, trims, comments and limits hold for packed files as for plain ones."""
+    nation = t("nation")
+    spark = nation.sparkSession
+    k = F.col("n_nationkey") % 4
+    value = F.when(k == 0, "NULL").when(k == 1, '""').when(k == 2, "  pad ").otherwise(F.concat("n_name", F.when(F.col("n_nationkey") > 10, F.lit("x" * 40)).otherwise("")))
+    lines = nation.select(F.concat(F.col("n_nationkey").cast("string"), F.lit("|"), value, F.when(k == 2, F.lit("\n# a comment|of three|fields")).otherwise("")).alias("value"))
+    form = csv.Csv(header=False, delimiter="|", comment="#", null_value="NULL", empty_value="none", trim_leading=True, trim_trailing=True, max_chars=40)
+    scratch, made = Scratch(spark, "csv"), None
+    lines.coalesce(1).write.text(scratch.path("plain"))
+    for packing in ("zstd", "xz"):
+        packed.write(lines.coalesce(1), scratch.path(packing), packing)
+    for packing in ("plain", "zstd", "xz"):
+        df = csv.read(spark, files.Files((scratch.path(packing),), compression="none" if packing == "plain" else packing), form)
+        failed = F.col("_error").isNotNull()
+        key = F.coalesce("0", F.regexp_extract("_error", "([0-9]+)[|]", 1)).cast("int")
+        v = F.when(failed, F.regexp_extract("_error", "[|]([A-Z_0-9]+)", 1)).otherwise(F.col("1"))
+        df = df.select(F.lit(packing).alias("packing"), key.alias("n_nationkey"), v.alias("v"), failed.alias("failed"))
+        made = df if made is None else made.unionByName(df)
+    return made
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS cust, o_orderkey % 10 = 0 AS failed FROM orders""")
+def json_concatenated(t):
+    """Relaxed documents over several lines, in one file of many splits; each bad one between good ones is one error."""
+    orders = t("orders")
+    spark = orders.sparkSession
+    key, cust, k = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderkey") % 10
+    document = (
+        F.when(k == 0, F.concat(F.lit('{"k" "'), key, F.lit('"}')))
+        .when(k < 4, F.concat(F.lit("{ // with } in it\n k: "), key, F.lit(",\n 'status': '"), F.col("o_orderstatus"), F.lit("',\n deep: {cust: ["), cust, F.lit(", 1]}\n}")))
+        .when(k < 7, F.concat(F.lit('/* { */ {"status": "'), F.col("o_orderstatus"), F.lit('", "note": "}\\"{",\n"k": '), key, F.lit(', "deep": {"cust": [\n'), cust, F.lit("]}}")))
+        .otherwise(F.concat(F.lit('{"k": '), key, F.lit(', "status": "'), F.col("o_orderstatus"), F.lit('", "deep": {"cust": ['), cust, F.lit("]}}")))
+    )
+    path = Scratch(spark, "json").path("concatenated")
+    separate = F.when(k % 2 == 1, F.lit(" ")).otherwise(F.lit("\n"))
+    orders.coalesce(1).select(F.concat(document, separate).alias("value")).write.option("lineSep", " ").text(path)
+    schema = StructType.fromDDL("k long, status string, deep struct<cust: array<long>>")
+    form = json.Json(one_per_line=False, comments=True, single_quotes=True, unquoted_names=True)
+    df = json.read(spark, files.Files((path,)), schema, form, block=4096)
+    failed = F.col("_error").isNotNull()
+    key = F.when(failed, F.regexp_extract("_error", '"([0-9]+)"}$', 1).try_cast("long")).otherwise(F.col("k"))
+    return df.select(key.alias("o_orderkey"), "status", F.col("deep.cust")[0].alias("cust"), failed.alias("failed"))

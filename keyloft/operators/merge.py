@@ -62,7 +62,8 @@ def last_cells(writes: DataFrame, spec: TableSpec, columns: Sequence[str], posit
 def upsert(current: DataFrame, writes: DataFrame, spec: TableSpec, columns: Sequence[str], null_to_unset: bool = True) -> DataFrame:
     """current, with all its columns, with writes (one row per key) laid over it.
 
-    Where both sides have writetime(c), a cell that was written later than the new value stays.
+    Where both sides have writetime(c), a cell that was written later than the new value stays. A write
+    whose time is there but whose value is null, as its life is over, hides an older value.
     """
     key = list(spec.primary_key)
     times = {c: [n for n in (cell("writetime", c), cell("ttl", c)) if n in writes.columns] for c in columns}
@@ -74,9 +75,9 @@ def upsert(current: DataFrame, writes: DataFrame, spec: TableSpec, columns: Sequ
     made = {}
     for c in columns:
         wins = F.coalesce(F.col("_is"), F.lit(False))
-        if null_to_unset:
-            wins = wins & fresh(c).isNotNull()
         at = cell("writetime", c)
+        if null_to_unset:
+            wins = wins & fresh(at if at in writes.columns else c).isNotNull()
         if at in writes.columns and at in current.columns:
             wins = wins & (fresh(at).isNull() | old(at).isNull() | (fresh(at) >= old(at)))
         for n in (c, *times[c]):
@@ -108,9 +109,10 @@ def delete(current: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def increment(current: DataFrame, deltas: DataFrame, spec: TableSpec, counters: Sequence[str]) -> DataFrame:
-    """Counters with all deltas of a key added; a key without a row begins at 0. Nulls add nothing."""
+    """Counters with all deltas of a key added; a key without a row begins at 0. Nulls, and counters that deltas lack, add nothing."""
     cols = [*spec.primary_key, *counters]
-    both = current.select(*cols).unionByName(deltas.select(*cols))
+    side = lambda df: df.select(*spec.primary_key, *(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("long").alias(c) for c in counters))
+    both = side(current).unionByName(side(deltas)).select(*cols)
     return both.groupBy(*spec.primary_key).agg(*(F.sum(F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in counters))
 
 

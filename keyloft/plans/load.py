@@ -60,6 +60,8 @@ def bind(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSetti
     """
     fields = [c for c in records.columns if c not in _OWN]
     by_index = all(f.isdigit() for f in fields) and bool(fields)
+    if "_position" not in records.columns:  # the order of the records that came in, before anything is written or shuffled
+        records = records.withColumn("_position", F.monotonically_increasing_id())
     columns = [*spec.types, *(merge.cell(n, c) for n in settings.preserve for c in spec.types if spec.keeps_cell_metadata(c))]
     pairs = M.resolve(M.parse(settings.mapping), fields, columns, by_index, bool(settings.preserve))
     if settings.allow_missing_fields:
@@ -117,25 +119,54 @@ def staged(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSet
 
 
 def merged(rows: DataFrame, current: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings(), now: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(the table with the good ones of the bound rows, the bad ones)."""
+    """(the table with the good ones of the bound rows, the bad ones).
+
+    Of writes to one cell at one time the last record's holds, by file and position. A static column's
+    write holds for all rows of its partition; one of a partition without rows is a row without
+    clustering values. Counters that aren't loaded stay.
+    """
     good, bad = errors.route(rows)
     columns = [c for c in good.columns if c in spec.types and c not in spec.primary_key]
+    if "_position" not in good.columns:
+        if "_resource" in good.columns:
+            raise ValueError("records of files need their positions, or no write is the last one")
+        good = good.withColumn("_position", F.monotonically_increasing_id())
     order = [c for c in ("_resource", "_position") if c in good.columns]
-    if not order:
-        good, order = good.withColumn("_position", F.monotonically_increasing_id()), ["_position"]
     if spec.counters:
         return merge.increment(current, good, spec, spec.counters), bad
-    timed = any(c.startswith(("writetime(", "ttl(")) for c in (*good.columns, *current.columns))
-    if timed:
-        keep = bool(settings.preserve) or any(c.startswith("writetime(") for c in current.columns)
-        if keep and now is not None:  # a row without a time of its own is written now
-            for c in columns:
-                at = merge.cell("writetime", c)
-                good = good.withColumn(at, F.coalesce(F.col(f"`{at}`"), F.lit(now)) if at in good.columns else F.lit(now))
-        last = merge.last_cells(good.withColumn("_at", F.struct(*order)), spec, columns, "_at", now, keep, settings.null_to_unset)
-    else:
-        last = merge.last_writes(good, spec, order, columns, settings.null_to_unset)
-    return merge.upsert(current, last, spec, columns, settings.null_to_unset), bad
+    shared = [c for c in columns if c in spec.static]
+    if not spec.static & {*columns, *current.columns} or not spec.clustering:
+        return _laid_over(good, current, spec, columns, order, settings, now), bad
+    # rows and partitions are two tables, each with its own last writes
+    whole = TableSpec(spec.partition_key, types=spec.types, udts=spec.udts)
+    own = lambda c: [n for n in (c, merge.cell("writetime", c), merge.cell("ttl", c)) if n in current.columns]
+    held = [n for c in sorted(spec.static) for n in own(c)]
+    partitions = current.groupBy(*spec.partition_key).agg(*(F.max(f"`{n}`").alias(n) for n in held)) if held else current.select(*spec.partition_key).distinct()
+    if shared:
+        partitions = _laid_over(good, partitions, whole, shared, order, settings, now)
+    keys = [c for c, _ in spec.clustering]
+    plain = current.drop(*held).where(F.col(f"`{keys[0]}`").isNotNull())
+    if all(k in good.columns for k in keys):
+        plain = _laid_over(good, plain, spec, [c for c in columns if c not in shared], order, settings, now)
+    both = plain.join(partitions, list(spec.partition_key), "full")
+    first = [c for c in current.columns if c in both.columns]
+    return both.select(*(f"`{c}`" for c in (*first, *(c for c in both.columns if c not in first)))), bad
+
+
+def _laid_over(good: DataFrame, current: DataFrame, spec: TableSpec, columns: list[str], order: list[str], settings: LoadSettings, now: int | None) -> DataFrame:
+    """current with the last writes of good to these columns."""
+    timed = any(merge.cell(n, c) in df.columns for n in ("writetime", "ttl") for c in columns for df in (good, current))
+    if not timed:
+        return merge.upsert(current, merge.last_writes(good, spec, order, columns, settings.null_to_unset), spec, columns, settings.null_to_unset)
+    keep = bool(settings.preserve) or any(c.startswith("writetime(") for c in current.columns)
+    if keep and now is not None:  # a row without a time of its own is written now
+        for c in columns:
+            at = merge.cell("writetime", c)
+            good = good.withColumn(at, F.coalesce(F.col(f"`{at}`"), F.lit(now)) if at in good.columns else F.lit(now))
+    # the times tell an expired write, which hides what was there, from none
+    last = merge.last_cells(good.withColumn("_at", F.struct(*order)), spec, columns, "_at", now, True, settings.null_to_unset)
+    after = merge.upsert(current, last, spec, columns, settings.null_to_unset)
+    return after if keep else after.drop(*(n for c in columns for n in (merge.cell("writetime", c), merge.cell("ttl", c)) if n not in current.columns))
 
 
 def dry_run(records: DataFrame, spec: TableSpec, settings: LoadSettings = LoadSettings()) -> tuple[int, int]:

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import io
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import NATIVE, Files, check_target, numbered, take, unpack, with_error
+from . import blocks
+from .files import BROADCAST_ROWS, Files, check_target, take
 
 #: Stands for null while reading, so that empty fields aren't.
 _NO_VALUE = "\x01"
@@ -35,7 +31,7 @@ class Csv:
     trim_trailing: bool = False
     max_columns: int = 512
     max_chars: int = 4096
-    multi_line: bool = False  # quoted line breaks; such files can't be split
+    multi_line: bool = True  # quoted line breaks; False: a record is a line, read in one pass
     null_value: str | None = None
     empty_value: str = ""
     allow_extra: bool = True  # a record may have more fields than the header
@@ -60,125 +56,197 @@ def check_header(names: list[str]) -> None:
         raise HeaderError("bad header; " + ", ".join(bad))
 
 
-def _heads(spark: SparkSession, paths: list[str], files: Files, form: Csv) -> list[tuple[list[str], list[str] | None]]:
-    """(fields of the first line, files that begin with it), most files first; None where there is but one kind.
+class _Cutter:
+    """Lines to records of one file or block; a record goes on while a quoted field is open."""
 
-    Only if there are several files with headers are they read for their first lines; a row for each
-    kind of header reaches the driver, and the names of the files that have the rarer ones.
-    """
-    options = form.options() | {"header": "false"} | files.options()
-    lines = spark.read.options(**options).csv(paths)
-    if not form.header or len(lines.inputFiles()) < 2:
-        line = lines.limit(1).collect()
-        return [([str(v or "") for v in line[0]] if line else [], None)]
-    # the widest table of any file, its rows as arrays: a file's first row is its header
-    wide = lines.select(F.array(*(F.coalesce(F.col(f"`{c}`"), F.lit(_NO_VALUE)) for c in lines.columns)).alias("head"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"))
-    firsts = wide.groupBy("file").agg(F.min_by("head", "id").alias("head"))
-    kinds = firsts.groupBy("head").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "head").limit(MOST_HEADERS + 1).collect()
-    if len(kinds) > MOST_HEADERS:
-        raise HeaderError(f"more than {MOST_HEADERS} kinds of header")
-    names = lambda head: [str(x) for x in head[: max((i + 1 for i, x in enumerate(head) if x != _NO_VALUE), default=0)]]
-    if len(kinds) == 1:
-        return [([x.replace(_NO_VALUE, "") for x in names(kinds[0].head)], None)]
-    out = []
-    for k in kinds:
-        held = [r.file for r in firsts.where(F.col("head") == F.array(*map(F.lit, k.head))).select("file").collect()]
-        out.append(([x.replace(_NO_VALUE, "") for x in names(k.head)], held))
-    return out
+    def __init__(self, scanner: "Records", quoted: bool):
+        self.s, self.quoted, self.held, self.size, self.broken = scanner, quoted, [], 0, False
+
+    def feed(self, line: bytes) -> list[bytes]:
+        s = self.s
+        if not self.quoted and not self.held and (not line.strip() or (s.comment and line.startswith(s.comment))):
+            return []
+        if self.size <= s.most:  # what lies beyond is an error whatever it holds
+            self.held.append(line)
+            self.size += len(line) + 1
+        self.quoted = s.ends_quoted(line, self.quoted)
+        if self.quoted and s.spanning:
+            return []
+        text = s.newline.join(self.held)
+        self.held, self.size = [], 0
+        # a line's end of two bytes; within quotes both stay
+        text = text[:-1] if s.newline == b"\n" and text.endswith(b"\r") else text
+        self.broken, self.quoted = self.quoted, False  # an open quote, where records don't span lines
+        return [text]
+
+    def rest(self) -> bytes | None:
+        return self.s.newline.join(self.held) if self.held or self.quoted else None
+
+
+class _Tally:
+    """What a block does to the state that it begins in."""
+
+    def __init__(self, scanner: "Records", quoted: bool):
+        self.s, self.quoted, self.ended, self.seen = scanner, quoted, 0, False
+
+    def feed(self, lines: list[bytes]) -> None:
+        self.seen = True
+        s = self.s
+        for line in lines:
+            if not self.quoted and (s.quote not in line or (s.comment and line.startswith(s.comment))):
+                continue
+            self.quoted = s.ends_quoted(line, self.quoted)
+            self.ended |= not self.quoted
+
+    def result(self) -> tuple[bool, bool]:
+        return self.quoted, self.ended
+
+
+class Records:
+    """Records of delimited files for sources.blocks: the state is whether a quoted field is open."""
+
+    begin = 0
+
+    def __init__(self, form: Csv, encoding: str = "UTF-8", spanning: bool = True):
+        raw = lambda x: x.encode(encoding) if x else b""
+        self.encoding, self.spanning = encoding, spanning
+        self.newline, self.quote, self.delimiter, self.comment = raw(form.newline) or b"\n", raw(form.quote), raw(form.delimiter), raw(form.comment)
+        q, e = re.escape(self.quote), re.escape(raw(form.escape))
+        inner = rb"(?:[^" + q + rb"]|" + q + q + rb")*+" if q == e or not e else rb"(?:[^" + q + e + rb"]|" + e + rb".)*+"
+        self.closing = re.compile(inner + q, re.S) if q else None
+        self.blank = re.compile(rb"[ \t]*" if form.trim_leading else b"")
+        self.most = max(form.max_chars * form.max_columns, 1 << 20)
+
+    def ends_quoted(self, line: bytes, quoted: bool) -> bool:
+        """Whether a quoted field is open at the line's end, if one is (or isn't) at its begin."""
+        if not self.quote or (not quoted and self.quote not in line):
+            return False
+        at = 0
+        while True:
+            if not quoted:
+                at = self.blank.match(line, at).end()
+                quoted = line.startswith(self.quote, at)
+                at += len(self.quote) if quoted else 0
+            if quoted:
+                closed = self.closing.match(line, at)
+                if not closed:
+                    return True
+                at, quoted = closed.end(), False
+            at = line.find(self.delimiter, at)
+            if at < 0:
+                return False
+            at += len(self.delimiter)
+
+    def inside(self, state: int) -> bool:
+        return bool(state)
+
+    def guesses(self) -> list[int]:
+        return [0, 1]
+
+    def feeder(self, state: int) -> _Cutter:
+        return _Cutter(self, bool(state))
+
+    def tally(self, state: int) -> _Tally:
+        return _Tally(self, bool(state))
+
+    def after(self, state: int, ends: list[tuple[int, int]]) -> tuple[int, bool]:
+        quoted, ended = ends[state]
+        return quoted, bool(ended)
 
 
 #: Kinds of header in one set of files.
 MOST_HEADERS = 1000
 
 
-def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, most: int | None = None, positions: bool = False) -> DataFrame:
-    """All fields as text, with _resource and, if asked for, _position; records that can't be read carry _error.
+def _parsed(text: Column, width: int, form: Csv) -> Column:
+    """A record's fields c0, c1, ... by Spark's parser; `_corrupt` where there are more or fewer."""
+    schema = ", ".join([*(f"c{i} string" for i in range(width)), "_corrupt string"])
+    options = {k: v for k, v in form.options().items() if k not in ("lineSep", "comment", "header", "multiLine")}
+    return F.from_csv(text, schema, options | {"columnNameOfCorruptRecord": "_corrupt", "maxCharsPerColumn": "-1", "maxColumns": str(max(form.max_columns, width) + 1)})
 
-    Each file has its own header: fields are named by it, else by their place. Records with more or
-    fewer fields than the header are errors unless the form allows them. Files are split between
-    tasks unless quoted line breaks (multi_line) are to be read.
-    """
-    paths = files.all_paths(spark)
-    if files.compression not in NATIVE:
-        return _read_opened(spark, files, form, skip, most, positions)
-    parts = []
-    for first, held in _heads(spark, paths, files, form):
-        names = first if form.header else [str(i) for i in range(len(first))]
-        if form.header:
-            check_header(names)
-        parts.append(_read_alike(spark, held or paths, files if held is None else replace(files, pattern=None, recursive=False), form, names))
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    own = ("_resource", "_error")
-    df = df.select(*(F.col(f"`{c}`") for c in df.columns if c not in own), *own)
-    return take(numbered(df), skip, most) if positions or skip or most is not None else df
-
-
-def _read_alike(spark: SparkSession, paths: list[str], files: Files, form: Csv, names: list[str]) -> DataFrame:
-    """Files that share a header."""
-    schema = StructType([*(StructField(n, StringType()) for n in names), StructField("_corrupt", StringType())])
-    options = form.options() | files.options() | {"columnNameOfCorruptRecord": "_corrupt", "enforceSchema": "true"}
-    df = spark.read.schema(schema).options(**options).csv(paths)
-    df = df.withColumn("_resource", F.col("_metadata.file_path"))
-    if not names:
-        return df.withColumn("_error", F.col("_corrupt")).drop("_corrupt")
-    # quoted parts count as one mark each, so that only delimiters outside of them are counted
-    q, e, d = (re.escape(x) for x in (form.quote, form.escape, form.delimiter))
-    bare = F.regexp_replace("_corrupt", f"{q}(?:[^{q}{e}]|{e}.|{q}{q})*{q}", "q")
-    fields = F.size(F.split(bare, d, -1))
-    fine = [fields > len(names)] if form.allow_extra else []
-    fine += [fields < len(names)] if form.allow_missing else []
-    if fine:
-        df = df.withColumn("_corrupt", F.when(~reduce(lambda a, b: a | b, fine), F.col("_corrupt")))
-    return with_error(df, "_corrupt", names[0])
-
-
-def _records(form: Csv, compression: str, encoding: str, skip: int, most: int | None):
-    """Packed files, one after the other, as rows of names, fields and positions."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-
-        how = {"delimiter": form.delimiter, "quotechar": form.quote, "doublequote": form.escape == form.quote, "escapechar": None if form.escape == form.quote else form.escape, "quoting": csv.QUOTE_NOTNULL}
-        for b in batches:
-            for resource, content in zip(b["path"], b["content"]):
-                lines = io.StringIO(unpack(content, compression).decode(encoding), newline="")
-                if form.comment:
-                    lines = (x for x in lines if not x.startswith(form.comment))
-                rows = (r for r in csv.reader(lines, **how) if r)
-                head = [str(x or "") for x in next(rows, [])] if form.header else None
-                out: list[tuple] = []
-                for at, r in enumerate(rows, 1):
-                    if at > skip and (most is None or at <= skip + most):
-                        out.append((resource, at, head or [str(i) for i in range(len(r))], r))
-                    if len(out) == 10_000:
-                        yield pd.DataFrame(out, columns=["_resource", "_position", "names", "fields"])
-                        out = []
-                if out:
-                    yield pd.DataFrame(out, columns=["_resource", "_position", "names", "fields"])
-
-    return run
-
-
-def _read_opened(spark: SparkSession, files: Files, form: Csv, skip: int, most: int | None, positions: bool) -> DataFrame:
-    """Files in a compression that Spark's reader lacks: each is opened whole in a task, and read record by record."""
-    options = {k: v for k, v in files.options().items() if k != "encoding"}
-    raw = spark.read.format("binaryFile").options(**options).load(files.all_paths(spark)).select("path", "content")
-    schema = "_resource string, _position long, names array<string>, fields array<string>"
-    rows = raw.mapInPandas(_records(form, files.compression, files.encoding, skip, most), schema)
-    heads = rows.select("names").distinct().limit(MOST_HEADERS + 1).collect()
+
+def _names(spark: SparkSession, heads: dict[str, bytes], form: Csv, encoding: str) -> dict[str, tuple[str, ...]]:
+    """Each file's field names, or its number of fields where there is no header."""
+    texts = {h: h.decode(encoding, "replace") for h in set(heads.values())}
+    if len(texts) > MOST_HEADERS and form.header:
+        raise HeaderError(f"more than {MOST_HEADERS} kinds of header")
+    fields = dict.fromkeys(texts.values())
     if form.header:
-        for h in heads:
-            check_header(h.names)
-        names = list(dict.fromkeys(n for h in heads for n in h.names))
+        for r in spark.createDataFrame([(t,) for t in fields], "t string").select("t", _parsed(F.col("t"), form.max_columns, form).alias("r"), (_fields(F.col("t"), form)).alias("n")).collect():
+            fields[r.t] = tuple(str(r.r[i] or "") for i in range(min(r.n, form.max_columns)))
+            check_header(list(fields[r.t]))
+    else:
+        rows = spark.createDataFrame([(t,) for t in fields], "t string").select("t", _fields(F.col("t"), form).alias("n")).collect() if fields else []
+        fields = {r.t: tuple(str(i) for i in range(r.n)) for r in rows}
+    return {f: fields[texts[h]] for f, h in heads.items()}
+
+
+def _plain(path: str) -> str:
+    """Spark writes local paths with one slash or three."""
+    return re.sub("^file:/+", "file:/", path)
+
+
+def _fields(text: Column, form: Csv) -> Column:
+    """How many fields a record has: quoted parts count as one mark each, so that only delimiters outside of them are counted."""
+    q, e, d = (re.escape(x) for x in (form.quote, form.escape, form.delimiter))
+    bare = F.regexp_replace(text, f"(?s){q}(?:[^{q}{e}]|{e}.|{q}{q})*{q}", "q") if q else text
+    return F.size(F.split(bare, d, -1))
+
+
+def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, most: int | None = None, positions: bool = False, block: int | None = None) -> DataFrame:
+    """All fields as text, with _resource, _position and _error, which records that can't be read carry.
+
+    _position orders the records of a file; with positions=True, or where records are skipped or
+    taken, it counts them from 1.
+
+    Each file has its own header, its first record: fields are named by it, else by their place.
+    Records with more or fewer fields than the header are errors unless the form allows them, and so
+    are fields of more than max_chars and records of more than max_columns, whose fields are null.
+    Quoted fields may hold line breaks, also in files that are split between tasks; with
+    multi_line=False a record is a line. A quote that is never closed makes an error of its record.
+    Packed files are read with the same options. block: bytes of a split, else Spark's setting.
+    """
+    utf = files.encoding if not files.opened_whole else "UTF-8"  # what is opened whole comes as UTF-8
+    scanner = Records(form, utf, form.multi_line)
+    heads = _names(spark, blocks.heads(spark, files, scanner), form, utf)
+    kinds = sorted(set(heads.values()), key=lambda k: (-len(k), k))
+    if form.header or not kinds:
+        names = list(dict.fromkeys(n for k in kinds for n in k))
+    else:  # as many fields as the widest first record
+        kinds = kinds[:1]
+        names = list(kinds[0])
+    rows = blocks.records(spark, files, scanner, form.multi_line, block)
+    if len(kinds) > 1:
+        of_file = spark.createDataFrame([(_plain(f), kinds.index(k)) for f, k in heads.items()], "_file string, _kind int")
+        rows = rows.withColumn("_file", F.regexp_replace("_resource", "^file:/+", "file:/"))
+        rows = rows.join(F.broadcast(of_file) if len(heads) <= BROADCAST_ROWS else of_file, "_file")
     else:
-        names = [str(i) for i in range(max((len(h.names) for h in heads), default=0))]
-    width, n = F.size("names"), F.size("fields")
-    error = F.when((n > width) & F.lit(not form.allow_extra), "unreadable: more fields than the header")
-    error = error.when((n < width) & F.lit(not form.allow_missing), "unreadable: fewer fields than the header")
-    place = lambda name: F.array_position("names", name).cast("int")
-    value = lambda name: F.when(place(name) > 0, F.get("fields", place(name) - 1))
-    kept = ["_resource", "_position"] if positions or skip or most is not None else ["_resource"]
-    return rows.select(*(value(x).alias(x) for x in names), *kept, error.alias("_error"))
+        rows = rows.withColumn("_kind", F.lit(0))
+    if positions or skip or most is not None:
+        rows = blocks.placed(rows, 0 if form.header else 1)
+        rows = take(rows.where("_position > 0"), skip, most)
+    else:  # no two records of a file begin so few bytes apart
+        rows = (rows.where("_block <> 0 or _index <> 0") if form.header else rows).withColumn("_position", F.col("_block") + F.col("_index"))
+    width = max(map(len, kinds), default=0)
+    many = (F.length("text") - F.length(F.replace("text", F.lit(form.delimiter), F.lit("")))) / len(form.delimiter) >= form.max_columns
+    wide = F.when(many, _fields(F.col("text"), form) > form.max_columns).otherwise(False)
+    rows = rows.withColumn("_wide", wide).withColumn("_r", _parsed(F.when(~F.col("_wide"), F.col("text")), width, form))
+    n = F.when(F.col("_r._corrupt").isNull(), width).otherwise(_fields(F.col("text"), form))
+    per_kind = F.element_at(F.array(*(F.lit(len(k)) for k in kinds)), F.col("_kind") + 1) if kinds else F.lit(0)
+    long = F.length("text") > form.max_chars
+    if width:
+        long = long & (F.greatest(F.lit(0), *(F.length(f"_r.c{i}") for i in range(width))) > form.max_chars)
+    wrong = F.lit(False)
+    wrong = wrong if form.allow_extra else wrong | (n > per_kind)
+    wrong = wrong if form.allow_missing else wrong | (n < per_kind)
+    rows = rows.withColumn("_lost", F.col("_wide") | long | F.col("open"))
+    error = F.when(F.col("_lost") | wrong, F.concat(F.lit("unreadable: "), F.left("text", F.lit(form.max_chars))))
+    values = []
+    for name in names:
+        at = [(k, kind.index(name)) for k, kind in enumerate(kinds) if name in kind]
+        value = F.col(f"_r.c{at[0][1]}") if len({i for _, i in at}) == 1 and len(at) == len(kinds) else F.coalesce(*(F.when(F.col("_kind") == k, F.col(f"_r.c{i}")) for k, i in at))
+        values.append(F.when(~F.col("_lost"), value).alias(name))
+    return rows.select(*values, "_resource", "_position", error.alias("_error"))
 
 
 def write(df: DataFrame, path: str, form: Csv = Csv(), files: int | None = None, max_records: int | None = None, compression: str = "none") -> None:
@@ -186,5 +254,6 @@ def write(df: DataFrame, path: str, form: Csv = Csv(), files: int | None = None,
     check_target(df.sparkSession, path)
     df = df.repartition(files) if files else df
     options = {"sep": form.delimiter, "quote": form.quote, "escape": form.escape, "header": str(form.header).lower(), "nullValue": form.null_value or "", "emptyValue": '""', "compression": compression}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     options |= {"maxRecordsPerFile": str(max_records)} if max_records else {}
     df.write.options(**options).csv(path)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import bz2
+import codecs
 import gzip
+import io
 import lzma
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,11 @@ class Files:
         lines = (F.trim("value").alias("v"),)
         return [r.v for r in spark.read.text(self.url_file).select(*lines).where("v <> '' and not v like '#%'").collect()]
 
+    @property
+    def opened_whole(self) -> bool:
+        """Whether Spark's readers of lines can't be used: for a compression that they lack, or a line's end of several bytes."""
+        return self.compression not in NATIVE or self.encoding.upper().startswith(("UTF-16", "UTF-32"))
+
     def options(self) -> dict[str, str]:
         o = {"recursiveFileLookup": str(self.recursive).lower(), "encoding": self.encoding}
         return o | ({"pathGlobFilter": self.pattern} if self.pattern else {})
@@ -66,6 +74,54 @@ def whole_files(spark: SparkSession, files: Files) -> DataFrame:
     return raw.mapInPandas(run, "_resource string, content string")
 
 
+def _unpacked(data: bytes, compression: str) -> Iterator[bytes]:
+    """The unpacked content, a piece at a time."""
+    if compression == "zstd":
+        import zstandard
+
+        with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as r:
+            while piece := r.read(1 << 20):
+                yield piece
+    elif compression in ("xz", "lzma"):
+        with lzma.open(io.BytesIO(data)) as r:
+            while piece := r.read(1 << 20):
+                yield piece
+    else:
+        yield unpack(data, compression)
+
+
+def opened_lines(spark: SparkSession, files: Files, newline: bytes, first: bool = False) -> DataFrame:
+    """file, start (0), line: as UTF-8, the lines of files that are unpacked or decoded in a task each, as a stream.
+
+    Only a file's packed bytes are held at once. first: no more than the lines of its first piece of 1 MB that ends one.
+    """
+    compression, encoding = files.compression, files.encoding
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, data in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                decoder = None if encoding.upper() in ("UTF-8", "ASCII") else codecs.getincrementaldecoder(encoding)()
+                left = b""
+                for piece in _unpacked(data, compression):
+                    left += decoder.decode(piece).encode() if decoder else piece
+                    *lines, left = left.split(newline)
+                    if lines:
+                        yield _line_rows(path, lines)
+                        if first:
+                            break
+                else:
+                    if left:
+                        yield _line_rows(path, [left])
+
+    options = {k: v for k, v in files.options().items() if k != "encoding"}
+    raw = spark.read.format("binaryFile").options(**options).load(files.all_paths(spark)).select("path", "content")
+    return raw.mapInArrow(run, "file string, start long, line binary")
+
+
+def _line_rows(path: str, lines: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), pa.array([0] * len(lines), pa.int64()), pa.array(lines, pa.binary())], ["file", "start", "line"])
+
+
 def with_error(df: DataFrame, corrupt: str, field: str) -> DataFrame:
     """df with _error in place of the reader's column of unreadable records.
 
