@@ -29,13 +29,13 @@ PRIOR = 50
 #: The most that a source's own quantiles weigh. As (1 - OWN) * REACH is over 1, the usual source's median is
 #: never outside a fence, even of a source that is mostly junk.
 OWN = 0.8
-#: rate: where both quartiles are zero, as most texts have none, the fence is this.
-LEAST = {"symbol_rate": 0.02, "dup_line_rate": 0.1, "word_length": 0.0}
+#: Rates that are zero in most texts, and what each would be if the thing occurred once in a text.
+ONCE = {"symbol_rate": "symbol_once", "dup_line_rate": "dup_line_once"}
 #: rate: how many times the usual source's upper fence a source's own may be.
 BOUND = {"symbol_rate": 5.0, "dup_line_rate": 2.0, "word_length": 1.25}
 #: Only this rate has a lower fence.
 LOW = ("word_length",)
-RATES = tuple(LEAST)
+RATES = tuple(BOUND)
 _BLANKS = "\t\n\x0b\x0c\r"
 _Z = 1.645  # dup_line_rate: the least rate that so few lines prove, one-sided at 95 %
 
@@ -98,13 +98,15 @@ def measures(docs: DataFrame) -> DataFrame:
         "rec", "n_words", "word_chars", "n_symbols", long(repeated, "n_repeat_words"), long(F.size("lines"), "n_lines"),
         long(F.size("lines") - F.size(F.array_distinct("lines")), "n_dup_lines"),
     )
-    some = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+    some = lambda a, b: F.when(F.col(b) > 0, (F.col(a) if isinstance(a, str) else a) / F.col(b))
     return m.withColumns(
         {
             "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
             "symbol_rate": some("n_symbols", "word_chars"),
             "dup_line_rate": _proven(F.col("n_dup_lines"), F.col("n_lines")),
             "word_length": some("word_chars", "n_words"),
+            "symbol_once": some(F.lit(1), "word_chars"),
+            "dup_line_once": _proven(F.lit(1), F.col("n_lines")),
         }
     ).drop("n_lines")
 
@@ -143,7 +145,7 @@ def _merged(sketch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def sketches(measured: DataFrame) -> DataFrame:
     """lang, source, rate, bin, n from the rows that pass the base rules; a hot group's rows meet as partial counts."""
-    values = F.array(*(F.struct(F.lit(r).alias("rate"), _bin(F.col(r)).alias("bin")) for r in RATES))
+    values = F.array(*(F.struct(F.lit(r).alias("rate"), _bin(F.col(r)).alias("bin")) for r in (*RATES, *ONCE.values())))
     rows = measured.where(~F.col("base_failed")).select("lang", "source", F.inline(values), F.lit(1).alias("n"))
     return _merged(rows, ["lang", "source", "rate"])
 
@@ -180,13 +182,51 @@ def _upper(of) -> Column:
     return of("middle") + REACH * (of("high") - of("middle"))
 
 
+def _rare(sketch: DataFrame, scratch: Scratch) -> DataFrame:
+    """lang, source, rate, high: the fences of rates that are zero in most texts.
+
+    The less usual it is that a source's rate is above zero, the nearer its fence lies to the middle,
+    in logarithms, between what one occurrence makes in its usual text and the upper quartile of its
+    rates above zero; the more usual, the nearer to that quartile's fence among these rates alone.
+    """
+    keys = ["lang", "source", "rate"]
+    rare = sketch.where(F.col("rate").isin(*ONCE))
+    once = sketch.where(F.col("rate").isin(*ONCE.values())).replace({v: k for k, v in ONCE.items()}, subset=["rate"])
+    share = rare.groupBy(*keys).agg(F.sum("n").alias("n"), (F.sum(F.when(F.col("bin") > 0, F.col("n")).otherwise(0)) / F.sum("n")).alias("share"))
+    above = quantiles(rare.where("bin > 0"), keys, (0.5, 0.75)).select(*keys, F.col("q0").alias("middle"), F.col("q1").alias("high"))
+    one = quantiles(once, keys, (0.5,)).select(*keys, F.col("q0").alias("once"))
+    # groupings take null for a key like any other
+    parts = share.unionByName(above, allowMissingColumns=True).unionByName(one, allowMissingColumns=True)
+    stats = parts.groupBy(*keys).agg(*(F.max(c).alias(c) for c in ("n", "share", "middle", "high", "once")))
+    edge = F.least(F.log("middle") + REACH * (F.log("high") - F.log("middle")), F.lit(0.0))  # no rate is over 1
+    own = (1 - F.col("share")) * (F.log("once") + F.log("high")) / 2 + F.col("share") * edge
+    groups = scratch.write(stats.select(*keys, "n", own.alias("own")), "rare")
+
+    def usual(by: list[str], name: str) -> DataFrame:
+        """The median of the sources' fences, a source's rows counting up to PRIOR."""
+        found = _merged(groups.where("own is not null").select(*by, "rate", _bin(F.exp("own")).alias("bin"), F.least("n", F.lit(PRIOR)).alias("n")), [*by, "rate"])
+        return quantiles(found, [*by, "rate"], (0.5,)).select(*by, "rate", F.col("n").alias(f"n_{name}"), F.log("q0").alias(name))
+
+    def drawn(n: str, own: str, above: str) -> Column:
+        w = OWN * F.col(n) / (F.col(n) + F.lit(float(PRIOR)))
+        return F.coalesce(w * F.col(own) + (1 - w) * F.col(above), F.col(above))
+
+    langs = join_small(groups.select("lang", "rate").distinct(), usual(["lang"], "of_lang"), ["lang", "rate"], F.xxhash64("lang"))
+    langs = join_small(langs, usual([], "of_all"), ["rate"], F.xxhash64("lang"))
+    langs = scratch.write(langs.select("lang", "rate", drawn("n_of_lang", "of_lang", "of_all").alias("above")), "rare_langs")
+    table = join_small(groups, langs, ["lang", "rate"], F.xxhash64("source"))
+    bound = F.create_map(*(F.lit(x) for k in ONCE for x in (k, math.log(BOUND[k]))))[F.col("rate")]
+    return table.select(*keys, F.exp(F.least(drawn("n", "own", "above"), F.col("above") + bound)).alias("high"), F.lit(None).cast("double").alias("low"))
+
+
 def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     """lang, source and an upper (lower) fence for each rate: one row per group (null is a group).
 
     Documents that fail the base rules don't count. A group all of whose documents fail has none;
-    they are rejected anyway.
+    they are rejected anyway. A rate that is nowhere above zero has none either.
     """
-    sketch = scratch.write(sketches(measured), "sketches")
+    everything = scratch.write(sketches(measured), "sketches")
+    sketch = everything.where(~F.col("rate").isin(*ONCE, *ONCE.values()))
     groups = quantiles(sketch, ["lang", "source", "rate"], TAILS).toDF("lang", "source", "rate", "n", *_STATS)
     groups = scratch.write(groups, "groups")
     tagged = lambda df, tag: df.toDF(*(c if c in ("lang", "rate") else f"{c}{tag}" for c in df.columns))
@@ -196,11 +236,10 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     table = join_small(groups, langs, ["lang", "rate"], F.xxhash64("source"))
     above = lambda s: F.col(f"{s}_lang")
     drawn = _drawn(F.col("n"), F.col, above)
-    by_rate = lambda values: F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[F.col("rate")]
-    least, bound = by_rate(LEAST), by_rate(BOUND)
-    high = F.least(F.greatest(_upper(drawn.get), least), bound * F.greatest(_upper(above), least))
+    bound = F.create_map(*(F.lit(x) for kv in BOUND.items() for x in kv))[F.col("rate")]
+    high = F.least(_upper(drawn.get), bound * _upper(above))
     low = drawn["middle"] - REACH * (drawn["middle"] - drawn["low"])
-    table = table.select("lang", "source", "rate", high.alias("high"), low.alias("low"))
+    table = table.select("lang", "source", "rate", high.alias("high"), low.alias("low")).unionByName(_rare(everything, scratch))
     pick = lambda r, c: F.max(F.when(F.col("rate") == r, F.col(c)))
     return table.groupBy("lang", "source").agg(*(pick(r, "high").alias(f"{r}_max") for r in RATES), *(pick(r, "low").alias(f"{r}_min") for r in LOW))
 

@@ -13,10 +13,11 @@ from keyloft.llm.common import Scratch
 
 
 def kept_by_quality(rows):
-    """The verdicts by plain sorted values, each known up to its bin."""
+    """The verdicts by plain sorted values, each known up to its bin; fences of its own, written from the rule and not from the code."""
+    reach, prior, own_most, at_most = 8, 50, 0.8, {"symbols": 5, "dups": 2, "length": 1.25}
 
     def edge(x):
-        return quality.TINY * quality.STEP ** math.ceil(math.log(x / quality.TINY) / math.log(quality.STEP)) if x > quality.TINY else 0.0
+        return 1e-6 * 1.005 ** math.ceil(math.log(x / 1e-6) / math.log(1.005)) if x > 1e-6 else 0.0
 
     def quantile(values, q):
         """values: (value, weight)."""
@@ -33,38 +34,59 @@ def kept_by_quality(rows):
 
     def rates(r):
         n, chars, symbols, dups, _, failed = brute.quality(r["text"])
-        lines = sum(1 for x in (r["text"] or "").split("\n") if brute.WORDS.search(x))
-        return failed, {"symbol_rate": symbols / max(chars, 1), "dup_line_rate": proven(dups, max(lines, 1)), "word_length": chars / max(n, 1)}
+        lines = max(1, sum(1 for x in (r["text"] or "").split("\n") if brute.WORDS.search(x)))
+        return failed, {"symbols": (symbols / max(chars, 1), 1 / max(chars, 1)), "dups": (proven(dups, lines), proven(1, lines)), "length": (chars / max(n, 1), None)}
+
+    weight = lambda n: min(n, prior)
+    part = lambda n: own_most * n / (n + prior)
 
     def usual(groups):
         """(rows, quartiles) of the median source of (rows, quartiles)."""
-        weight = lambda n: min(n, quality.PRIOR)
         return sum(weight(n) for n, _ in groups), [quantile([(t[i], weight(n)) for n, t in groups], 0.5) for i in range(3)]
 
     def drawn(n, own, above):
-        w = quality.OWN * n / (n + quality.PRIOR)
+        w = part(n)
         middle, apart = w * own[1] + (1 - w) * above[1], (1 - w) * abs(own[1] - above[1])
         wide = [w * abs(own[i] - own[1]) + (1 - w) * abs(above[i] - above[1]) + apart for i in (0, 2)]
         return middle - wide[0], middle, middle + wide[1]
 
     measured = [(r, *rates(r)) for r in rows]
+    groups = defaultdict(list)
+    for i, (r, failed, x) in enumerate(measured):
+        if not failed:
+            groups[r["lang"], r["source"]].append((i, x))
     outside = set()
-    for rate in quality.RATES:
-        values = defaultdict(list)
-        for r, failed, x in measured:
-            if not failed:
-                values[r["lang"], r["source"]].append((x[rate], 1))
-        groups = {g: (len(v), [quantile(v, q) for q in quality.TAILS]) for g, v in values.items()}
-        everywhere = usual(list(groups.values()))[1] if groups else None
-        for i, (r, failed, x) in enumerate(measured):
-            if not failed:
-                above = drawn(*usual([t for g, t in groups.items() if g[0] == r["lang"]]), everywhere)
-                low, middle, high = drawn(*groups[r["lang"], r["source"]], above)
-                least = quality.LEAST[rate]
-                upper = lambda t: max(t[1] + quality.REACH * (t[2] - t[1]), least)
-                most = min(upper((low, middle, high)), quality.BOUND[rate] * upper(above))
-                if x[rate] > most or (rate in quality.LOW and x[rate] < middle - quality.REACH * (middle - low)):
-                    outside.add(i)
+    # word length: eight times as far from the median as the quartiles
+    found = {g: (len(v), [quantile([(x["length"][0], 1) for _, x in v], q) for q in (0.25, 0.5, 0.75)]) for g, v in groups.items()}
+    everywhere = usual(list(found.values()))[1] if found else None
+    for g, v in groups.items():
+        above = drawn(*usual([t for o, t in found.items() if o[0] == g[0]]), everywhere)
+        low, middle, high = drawn(*found[g], above)
+        most = min(middle + reach * (high - middle), at_most["length"] * (above[1] + reach * (above[2] - above[1])))
+        outside |= {i for i, x in v if not middle - reach * (middle - low) <= x["length"][0] <= most}
+    # symbols and repeated lines: zero in most texts
+    for rate in ("symbols", "dups"):
+        own = {}
+        for g, v in groups.items():
+            positive = [(x[rate][0], 1) for _, x in v if edge(x[rate][0]) > 0]
+            share = len(positive) / len(v)
+            if positive:
+                middle, high = (math.log(quantile(positive, q)) for q in (0.5, 0.75))
+                once = math.log(quantile([(x[rate][1], 1) for _, x in v], 0.5))
+                own[g] = (1 - share) * (once + high) / 2 + share * min(0, middle + reach * (high - middle))
+        if not own:
+            continue
+        median = lambda gs: (sum(weight(len(groups[g])) for g in gs), math.log(quantile([(math.exp(own[g]), weight(len(groups[g]))) for g in gs], 0.5)))
+        everywhere = median(own)[1]
+        for g, v in groups.items():
+            same = [o for o in own if o[0] == g[0]]
+            above = everywhere
+            if same:
+                n, of_lang = median(same)
+                above = part(n) * of_lang + (1 - part(n)) * everywhere
+            high = part(len(v)) * own[g] + (1 - part(len(v))) * above if g in own else above
+            most = math.exp(min(high, above + math.log(at_most[rate])))
+            outside |= {i for i, x in v if x[rate][0] > most}
     return [r for i, (r, failed, _) in enumerate(measured) if not failed and i not in outside]
 
 
