@@ -523,14 +523,17 @@ class Scanner:
         return out
 
 
+#: The base phrases between blanks; a look-ahead takes no blank, so that phrases may share one.
+_PHRASES = re.compile(f" ({'|'.join(BASE)})(?= )")
+
+
 def base_places(words: str) -> list[tuple[int, str]]:
-    """(start, label) of every place of a base phrase."""
-    out = []
-    for phrase, label in BASE.items():
-        at = words.find(f" {phrase} ")
-        while at >= 0:
-            out.append((words.count(" ", 0, at), label))
-            at = words.find(f" {phrase} ", at + 1)
+    """(start, label) of every place of a base phrase, in one pass. No phrase can begin within another."""
+    out, at, word = [], 0, 0
+    for m in _PHRASES.finditer(words):
+        word += words.count(" ", at, m.start())
+        at = m.start()
+        out.append((word, BASE[m[1]]))
     return out
 
 
