@@ -25,12 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, load
+from .common import Scratch, join_hot, load
 
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS = 10
 ADD = 0.1
 CHUNK = 16 << 20  # bytes of text that share a dictionary
+MOST_TASKS = 4096  # in which chunks are put together
 MARK = "▁".encode()  # begins a word
 _PARTS = "chunk long, doc_id long, held_out boolean, n_tokens long, ids array<int>, counts array<int>, word binary, at int, n long"
 
@@ -196,7 +197,7 @@ def _scoring(logs: dict[bytes, float], base_of: tuple[int, int]):
             words, c = batch.column("word"), batch.column("c").to_numpy()
             score = [lattice(w, pieces) / math.log(10) for w in words.to_numpy(zero_copy_only=False).tolist()]
             yield pa.RecordBatch.from_arrays(
-                [words, pa.array(c > 0), pa.array(np.log10(c + ADD) - down), pa.array(score, pa.float64())], ["word", "known", "base", "lat"]
+                [words, pa.array(c > 0), pa.array(np.log10(c + ADD) - down), pa.array(score, pa.float64()), batch.column("n")], ["word", "known", "base", "lat", "n"]
             )
 
     return run
@@ -238,7 +239,7 @@ def score(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, folds
         docs.select(F.col("doc_id").cast("long"), held, F.col("text").cast("binary").alias("text")).mapInArrow(_chunks, _PARTS), "parts"
     )
     entries = parts.where("word is not null").select("chunk", "word", "at", "n")
-    counted = scratch.write(entries.groupBy("word").agg(F.sum("n").alias("c")), "counted")
+    counted = scratch.write(entries.groupBy("word").agg(F.sum("n").alias("c"), F.count("*").alias("n")), "counted")
     trained = parts.where("word is null and not held_out").count()
     words, kinds = counted.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     n, v = (words or 0) + trained, kinds + (trained > 0)
@@ -247,13 +248,15 @@ def score(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, folds
     logs, end = weights({i: x for i, x in pieces}, trained, vocabulary)
     # an own number of tasks: the rows are few bytes but much work
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = scratch.write(counted.repartition(tasks, "word").mapInArrow(_scoring(logs, (n, v)), "word binary, known boolean, base double, lat double"), "scored")
-    looked = entries.select("chunk", "word", "at").join(scored, "word").select(F.col("chunk").alias("in_chunk"), "at", "known", "base", "lat")
+    scored = scratch.write(counted.repartition(tasks, "word").mapInArrow(_scoring(logs, (n, v)), "word binary, known boolean, base double, lat double, n long"), "scored")
+    # a frequent word has a row in every chunk
+    found = join_hot(entries.select("chunk", "word", "at"), scored, ["word"], scratch, "hot")
+    looked = found.select(F.col("chunk").alias("in_chunk"), "at", "known", "base", "lat")
     rows = parts.where("word is null").select("chunk", "doc_id", "held_out", "n_tokens", "ids", "counts")
     ending = (trained > 0, math.log10(trained + ADD) - math.log10(n + ADD * (v + 1)), end / math.log(10))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    # as many tasks as chunks, so that a task has a few of them however many there are
-    chunks = max(1, parts.select("chunk").distinct().count())
+    # as many tasks as chunks, up to MOST_TASKS with several chunks each, one after the other
+    chunks = min(max(1, parts.select("chunk").distinct().count()), MOST_TASKS)
     rows, looked = rows.repartition(chunks, "chunk"), looked.repartition(chunks, "in_chunk")
     found = rows.groupBy("chunk").cogroup(looked.groupBy("in_chunk")).applyInArrow(_adding(ending), schema)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
