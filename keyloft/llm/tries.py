@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, join_hot, load
 
-#: A subtrie of more turns than this, repeats included, is split by the next turn; subtries of so many together are built in one task.
-MOST_TURNS = 8192
+#: A subtrie of more turns than this, repeats included, is split by the next turn.
+MOST_TURNS = 2048
+#: Subtries of about so many turns together are built at once.
+TOGETHER = 1024
 #: Ids of a node's conversations that are joined into one text before the node's hash runs over them.
 CHUNK = 10_000
 #: Nodes with more conversations than this are broadcast where their conversations are told how large they are.
@@ -233,7 +235,7 @@ def trie(convs: DataFrame, scratch: Scratch, most: int = MOST_TURNS) -> DataFram
         large.append(split)
         active = tagged.where("kind = 3").select("conv_id", "steps", "node", F.array_append("path", F.col("node")).alias("path"), F.col("least").alias("above"))
     union = lambda dfs: reduce(DataFrame.unionByName, dfs)
-    tails, subtries = _tails(union(single)), _subtries(union(small), scratch, most)
+    tails, subtries = _tails(union(single)), _subtries(union(small), scratch)
     return _splits(union(large), union(ends), union(grown), tails, subtries, scratch)
 
 
@@ -250,11 +252,11 @@ def _tails(single: DataFrame) -> DataFrame:
     )
 
 
-def _subtries(small: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+def _subtries(small: DataFrame, scratch: Scratch) -> DataFrame:
     """Nodes of the subtries that are built whole, with path at their tops."""
     small = scratch.write(small, "small")
     turns = small.agg(F.sum(F.size("steps"))).first()[0] or 0
-    buckets = turns // max(most, 1) + 1
+    buckets = turns // TOGETHER + 1
     left = F.slice("steps", F.col("depth").cast("int"), F.size("steps"))
     rows = small.select("node", "depth", "above", "conv_id", left["d"].alias("ds"), left["b"].alias("bs"), F.pmod(F.xxhash64("node"), F.lit(buckets)).alias("bucket"))
     built = scratch.write(rows.groupBy("bucket").applyInPandas(_build, f"{_NODE}, node binary"), "subtries")
