@@ -15,6 +15,7 @@ from .schema import TableSpec
 from .scratch import Scratch
 from .sources import blocks, csv, files, json, packed
 from .streaming import load_stream as streams
+from .table import KeyedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -948,16 +949,11 @@ def stream_load(t):
     root, names = scratch.path("arrived"), ("user_id", "event_type", "event_id", "writetime(event_type)", "writetime(event_id)")
     rows = events.select("user_id", "event_type", "event_id", F.col("event_id").alias(names[3]), F.col("event_id").alias(names[4])).select(*(F.col(f"`{n}`").cast("string") for n in names))
     rows.repartition(2).write.option("header", True).csv(root)
-    held = {"table": _nothing(spec, spark)}
-
-    def save(table: DataFrame, number: int) -> None:
-        held["table"] = scratch.write(table, f"state{number}")
-
+    table = KeyedTable.create(spark, scratch.path("table"), spec, buckets=16)
     schema = StructType([StructField(n, StringType()) for n in names])
     records = streams.read_folder(spark, root, schema, csv.Csv(), files_per_batch=1)
-    settings = load.LoadSettings(preserve_timestamp=True)
-    streams.load_stream(records, spec, lambda: held["table"], save, scratch.path("progress"), settings).awaitTermination()
-    return held["table"].select("user_id", "event_type", "event_id")
+    streams.load_into(records, table, "arrivals", scratch.path("progress"), load.LoadSettings(preserve_timestamp=True)).awaitTermination()
+    return table.read().select("user_id", "event_type", "event_id")
 
 
 # loads whose records meet
@@ -1111,3 +1107,23 @@ def json_concatenated(t):
     failed = F.col("_error").isNotNull()
     key = F.when(failed, F.regexp_extract("_error", '"([0-9]+)"}$', 1).try_cast("long")).otherwise(F.col("k"))
     return df.select(key.alias("o_orderkey"), "status", F.col("deep.cust")[0].alias("cust"), failed.alias("failed"))
+
+
+# a keyed table in buckets
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_custkey % 5 = 1 THEN -1.0 ELSE o_totalprice END AS o_totalprice, CAST(3 AS BIGINT) AS version,
+TRUE AS old_version_stays FROM orders WHERE o_custkey % 5 <> 2""")
+def bucketed_merge(t):
+    """An initial load, a merge and a delete, each of which rewrites the buckets that it touches; older versions stay readable."""
+    spec = TableSpec(("o_custkey",), (("o_orderkey", "asc"),), {"o_custkey": "bigint", "o_orderkey": "bigint", "o_totalprice": "double"})
+    rows = t("orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    text = lambda df: df.select(*(F.col(c).cast("string") for c in df.columns))
+    spark = rows.sparkSession
+    table = KeyedTable.create(spark, Scratch(spark, "bucketed").path("orders"), spec, buckets=32)
+    table.load(text(rows))
+    table.load(text(rows.where("o_custkey % 5 = 1").withColumn("o_totalprice", F.lit(-1.0))))
+    table.delete(rows.where("o_custkey % 5 = 2"), ["o_custkey"])
+    stays = table.read(1).agg(F.min("o_totalprice") > 0).first()[0] and table.read(1).count() == rows.count()
+    return table.read().select("o_orderkey", "o_totalprice", F.lit(table.manifest().version).cast("long").alias("version"), F.lit(stays).alias("old_version_stays"))

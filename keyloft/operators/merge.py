@@ -24,7 +24,8 @@ def last_writes(writes: DataFrame, spec: TableSpec, order: Sequence[str], column
     def last(c: str) -> Column:
         return F.max_by(c, F.when(F.col(c).isNotNull(), when)) if null_to_unset else F.max_by(c, when)
 
-    return writes.groupBy(*spec.primary_key).agg(*(last(c).alias(c) for c in columns))
+    grouped = writes.groupBy(*spec.primary_key)
+    return grouped.agg(*(last(c).alias(c) for c in columns)) if columns else writes.select(*spec.primary_key).distinct()
 
 
 def cell(name: str, column: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ..plans.load import LoadSettings, load
 from ..schema import TableSpec
 from ..sources.csv import Csv
+from ..table import KeyedTable
 
 
 def read_folder(spark: SparkSession, path: str, schema: StructType, form: Csv = Csv(), files_per_batch: int | None = None) -> DataFrame:
@@ -40,6 +41,21 @@ def load_stream(
     return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def load_into(records: DataFrame, table: KeyedTable, name: str, checkpoint: str, settings: LoadSettings = LoadSettings(), bad: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Merge each batch into a keyed table: only the buckets that it touches are read and written.
+
+    The table's manifest holds the last batch of each stream by name, so a batch that Spark repeats
+    after a failure is merged once.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        rejected = table.load(batch, settings, batch=(name, number))
+        if bad is not None:
+            bad(rejected, number)
+
+    return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def counted(records: DataFrame, column: str, window: str, by: str, late: str = "1 hour") -> DataFrame:
     """Rows per time window and key, closed once later times pass by `late`."""
     return records.withWatermark(column, late).groupBy(F.window(column, window), by).agg(F.count(F.lit(1)).alias("n"))
