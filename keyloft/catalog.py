@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .functions import codecs
-from .operators import batch, checkpoint, count, errors, merge, metrics, ring, select
+from .operators import batch, cells, checkpoint, count, errors, merge, metrics, ring, select
 from .plans import load, mapping, unload
 from .schema import TableSpec
 from .scratch import Scratch
@@ -488,18 +488,23 @@ def replay(t):
 # rings
 
 
-@query("SELECT CAST(i.range AS INTEGER) AS range_id, i.range * 36028797018963968 - 1 AS start, (i.range + 1) * 36028797018963968 - 1 AS \"end\", CAST(36028797018963968 AS BIGINT) AS size FROM range(32) i")
+def _shares_sql(bits: int) -> str:
+    return f"""
+WITH c AS (SELECT {_ORDER_TOKEN} >> {60 - bits} AS r, count(*) AS n FROM orders GROUP BY 1), i AS (SELECT CAST(range AS INTEGER) AS i FROM range({1 << bits})),
+f AS (SELECT i.i AS range_id, coalesce(c.n, 0) AS n FROM i LEFT JOIN c ON c.r = i.i)
+SELECT range_id, range_id * {1 << (60 - bits)} - 1 AS start, (range_id + 1) * {1 << (60 - bits)} - 1 AS "end", n, round(CAST(n AS DOUBLE) * 100.0 / (SELECT sum(n) FROM f), 2) AS pct FROM f"""
+
+
+@query(_shares_sql(4))
 def split_ring(t):
-    parts = ring.split(RING, 32)
-    ring.check(parts)
-    frame = ring.frame(t("nation").sparkSession, parts)
-    return frame.select("range_id", "start", "end", (F.col("end") - F.col("start")).alias("size"))
+    """Rows of orders in each of the ranges that a ring of eight is split into."""
+    return count.count_ranges(t("orders"), ["o_orderkey"], ring.split(ring.even_ring(8, HOSTS, 3), 16))
 
 
-@query("SELECT CAST(i.range AS INTEGER) AS range_id, i.range * 288230376151711744 - 1 AS start, (i.range + 1) * 288230376151711744 - 1 AS \"end\" FROM range(4) i")
+@query(_shares_sql(2))
 def cluster_ring(t):
-    whole = [ring.Range(r.start, r.end, HOSTS) for r in ring.split(RING, 32)]
-    return ring.frame(t("nation").sparkSession, ring.cluster(whole, 4)).select("range_id", "start", "end")
+    """Rows of orders in each of the ranges that neighbours on the same host are joined to."""
+    return count.count_ranges(t("orders"), ["o_orderkey"], ring.cluster(ring.even_ring(16, ("one",), 1), 4))
 
 
 # whole runs
@@ -1127,3 +1132,130 @@ def bucketed_merge(t):
     table.delete(rows.where("o_custkey % 5 = 2"), ["o_custkey"])
     stays = table.read(1).agg(F.min("o_totalprice") > 0).first()[0] and table.read(1).count() == rows.count()
     return table.read().select("o_orderkey", "o_totalprice", F.lit(table.manifest().version).cast("long").alias("version"), F.lit(stays).alias("old_version_stays"))
+
+
+# deletions with times, collections by element
+
+_CELLS = TableSpec(("user_id",), (("event_id", "asc"),), {"user_id": "bigint", "event_id": "bigint", "value": "double", "event_type": "text"})
+
+
+@query("""
+SELECT user_id, event_id, CASE WHEN event_id % 4 NOT IN (1, 2) THEN value END AS value, CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type
+FROM events WHERE event_id % 7 <> 0 AND NOT (event_id % 4 IN (1, 2) AND event_id % 5 = 0)""")
+def tombstones_win(t):
+    """Of equal times a deletion wins, a later one too, an earlier one doesn't; a row deletion takes all cells up to its time. In any order."""
+    e = t("events").select("user_id", "event_id", "value", "event_type")
+    k = F.col("event_id") % 4
+    values = cells.written(e, _CELLS, ["value", "event_type"], 100)
+    of_value = cells.deleted_cells(e.where(k != 0), _CELLS, ["value"], F.when(k == 1, 100).when(k == 2, 101).otherwise(99))
+    of_type = cells.deleted_cells(e.where("event_id % 5 = 0"), _CELLS, ["event_type"], F.lit(200))
+    of_rows = cells.deleted_rows(e.where("event_id % 7 in (0, 1)"), _CELLS, F.when(F.col("event_id") % 7 == 0, 100).otherwise(99))
+    merged = cells.merged(cells.merged(of_rows, of_type, spec=_CELLS), cells.merged(of_value, values, spec=_CELLS), spec=_CELLS)
+    return cells.live(merged, _CELLS)
+
+
+@query("""
+WITH d AS (SELECT user_id, min(event_id) AS a, max(event_id) AS z, min(event_id) + (max(event_id) - min(event_id)) // 3 AS m FROM events GROUP BY user_id)
+SELECT e.user_id, event_id, value FROM events e JOIN d USING (user_id)
+WHERE NOT (event_id >= a AND event_id < m AND event_id % 100 <= 50) AND NOT (event_id > z - 20 AND event_id % 100 <= 10)""")
+def range_tombstones(t):
+    """Slices of partitions deleted up to a time, with and without their bounds, and without a bound; they overlap."""
+    e = t("events").select("user_id", "event_id", "value")
+    state = cells.merged(cells.written(e, _CELLS, ["value"], F.col("event_id") % 100), spec=_CELLS)
+    a, z = F.min("event_id"), F.max("event_id")
+    d = e.groupBy("user_id").agg(a.alias("a"), (z - 20).alias("from"), (a + F.floor((z - a) / 3)).alias("m"))
+    none = F.lit(None).cast("long")
+    first = d.select("user_id", F.col("a").alias("low"), F.col("m").alias("high"), F.lit(True).alias("low_in"), F.lit(False).alias("high_in"), F.lit(50).alias("t"))
+    again = d.select("user_id", F.col("a").alias("low"), F.col("a").alias("high"), F.lit(True).alias("low_in"), F.lit(True).alias("high_in"), F.lit(3).alias("t"))
+    last = d.select("user_id", F.col("from").alias("low"), none.alias("high"), F.lit(False).alias("low_in"), F.lit(False).alias("high_in"), F.lit(10).alias("t"))
+    return cells.live(cells.shadowed(state, first.unionByName(again).unionByName(last), _CELLS), _CELLS).select("user_id", "event_id", "value")
+
+
+@query("""
+WITH w AS (SELECT user_id, event_type, max_by(event_id, event_id) AS v FROM events GROUP BY 1, 2)
+SELECT user_id, CAST(NULL AS VARCHAR) AS none, list(event_type || '=' || CAST(v AS VARCHAR) ORDER BY event_type) AS entries
+FROM w WHERE v % 3 <> 0 GROUP BY user_id""")
+def map_entry_updates(t):
+    """m[k] = v for each event, the last of an entry holds; m[k] = null deletes it."""
+    e = t("events").select("user_id", "event_type", "event_id")
+    value = F.when(F.col("event_id") % 3 != 0, F.col("event_id"))
+    halves = [cells.merged_elements(cells.elements(h, ["user_id"], F.col("event_type"), value, F.col("event_id")), key=["user_id"]) for h in (e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"))]
+    maps = cells.as_map(cells.merged_elements(*halves, key=["user_id"]), ["user_id"])
+    entries = F.transform(F.map_entries("value"), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string")))
+    return maps.select("user_id", F.element_at("value", "x").cast("string").alias("none"), entries.alias("entries"))
+
+
+@query("""
+WITH l AS (SELECT user_id, list(event_id ORDER BY event_id % 2 = 0, CASE WHEN event_id % 2 = 1 THEN -event_id ELSE event_id END) AS l FROM events GROUP BY user_id),
+x AS (SELECT user_id, unnest(l) AS v, unnest(range(len(l))) AS i FROM l)
+SELECT user_id, list(CASE WHEN i = 0 THEN -1 ELSE v END ORDER BY i) AS l FROM x WHERE i <> 1 GROUP BY user_id""")
+def list_positions(t):
+    """Elements put to the front (odd ids) or to the end, then l[0] = -1 and delete l[1]."""
+    e = t("events").select("user_id", F.array("event_id").alias("vs"), "event_id")
+    key = ["user_id"]
+    odd = e.where("event_id % 2 = 1")
+    state = cells.merged_elements(cells.appended(e.where("event_id % 2 = 0"), key, "vs", F.col("event_id")), cells.appended(odd, key, "vs", F.col("event_id"), front=True), key=key)
+    users = e.select("user_id").distinct()
+    at = users.select("user_id", F.lit(0).alias("i"), F.lit(-1).cast("long").alias("v")).unionByName(users.select("user_id", F.lit(1).alias("i"), F.lit(None).cast("long").alias("v")))
+    changes, _ = cells.set_at(state, key, at, F.lit(1 << 60))
+    return cells.as_list(cells.merged_elements(state, changes, key=key), key).select("user_id", F.col("value").alias("l"))
+
+
+# ranges of positions over several runs
+
+
+def _runs(t):
+    """Two runs over events: the first sees every record but those of one type's later half, the second mends some of the bad ones."""
+    e = t("events").select(F.col("event_type").alias("_resource"), F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("long").alias("_position"), "event_id")
+    first = checkpoint.checkpoint(e.where("event_id % 11 <> 0").withColumn("_failed", F.col("event_id") % 5 == 0))
+    second = checkpoint.checkpoint(e.where("event_id % 5 = 0 or event_id % 22 = 0").withColumn("_failed", F.col("event_id") % 10 == 0))
+    return e, checkpoint.merge_checkpoints(first, second)
+
+
+_RUNS_SQL = """e AS (SELECT event_type AS r, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS p, event_id AS i FROM events),
+o AS (SELECT r, p, i, CASE WHEN i % 5 = 0 OR i % 22 = 0 THEN CASE WHEN i % 10 = 0 THEN 'bad' ELSE 'ok' END WHEN i % 11 <> 0 THEN 'ok' END AS outcome FROM e)"""
+
+
+@query(f"""
+WITH {_RUNS_SQL}, g AS (SELECT *, p - row_number() OVER (PARTITION BY r, outcome ORDER BY p) AS g FROM o WHERE outcome IS NOT NULL)
+SELECT r AS resource, outcome, CAST(min(p) AS BIGINT) AS "first", CAST(max(p) AS BIGINT) AS "last" FROM g GROUP BY r, outcome, g""")
+def checkpoint_merge(t):
+    """Ranges of two runs made one: a position that the second run mended is no longer bad."""
+    return _runs(t)[1].withColumnRenamed("_resource", "resource")
+
+
+@query(f"""
+WITH {_RUNS_SQL}, c AS (SELECT r FROM o GROUP BY r HAVING count(*) = count(outcome)), s AS (SELECT unnest(['resume', 'retry', 'retry_all']) AS strategy)
+SELECT strategy, i AS event_id FROM o, s
+WHERE (strategy = 'resume' AND outcome IS NULL) OR (strategy = 'retry' AND coalesce(outcome, '') <> 'ok' AND r NOT IN (SELECT r FROM c)) OR (strategy = 'retry_all' AND coalesce(outcome, '') <> 'ok')""")
+def replay_complete(t):
+    """What each strategy reads again after both runs; a resource is complete when its ranges reach its end."""
+    e, done = _runs(t)
+    whole = checkpoint.complete(done, e.groupBy("_resource").agg(F.count("*").alias("n")))
+    parts = [checkpoint.replay(e, done, s, whole).select(F.lit(s).alias("strategy"), "event_id") for s in checkpoint.STRATEGIES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# conversions at the edges
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN CAST('1e-40' AS DOUBLE) WHEN 3 THEN 1e-300 WHEN 4 THEN 0.0 WHEN 5 THEN 1.5e300 WHEN 6 THEN NULL ELSE -0.00001 END AS d,
+o_orderkey % 8 IN (2, 4, 7) AS fits_float FROM orders""")
+def reals_tiny(t):
+    """Reals that would become zero or lose a digit are rejected however small they are; the others are kept."""
+    k = F.col("o_orderkey") % 8
+    text = (
+        F.when(k == 0, "1e-400").when(k == 1, "1.00000000000000000000001e-30").when(k == 2, "1e-40").when(k == 3, "0." + "0" * 299 + "1").when(k == 4, "0.000e-50")
+        .when(k == 5, "15e299").when(k == 6, "123456789012345678901").otherwise("-1e-5")
+    )
+    return t("orders").select("o_orderkey", codecs.real(text, "double").alias("d"), codecs.real(text, "float").isNotNull().alias("fits_float"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN '1::2' WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN '::' WHEN 4 THEN '1:2:3:4:5:6:7::' WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL ELSE '::ffff:1.2.3.4' END AS ip FROM orders""")
+def inet_bad(t):
+    """One gap of zeros at most, eight groups without it, no colon alone at an end."""
+    texts = ["1::2", "1::2::3", "1:2:3", "::", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "::FFFF:1.2.3.4"]
+    text = F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % 9).cast("int") + 1)
+    return t("orders").select("o_orderkey", codecs.inet(text).alias("ip"))

@@ -142,6 +142,22 @@ def narrow(value: Column, kind: str, overflow: str = "reject", rounding: str = "
     return F.when(whole < low_, low_).when(whole > high_, high_).otherwise(whole).cast("decimal(20,0)").cast(kind)
 
 
+_SCIENTIFIC = r"^[+-]?(?=[.]?[0-9])([0-9]*)[.]?([0-9]*)(?:[eE]([+-]?[0-9]{1,9}))?$"
+
+
+def _same_number(a: Column, b: Column) -> Column:
+    """Whether two decimal texts are the same number: by sign, digits without outer zeros and place of the point, however small or large."""
+
+    def form(t: Column) -> Column:
+        part = lambda i: F.regexp_extract(t, _SCIENTIFIC, i)
+        digits = F.concat(part(1), part(2))
+        bare = F.regexp_replace(digits, "^0+", "")
+        point = F.length(part(1)) - F.length(digits) + F.length(bare) + F.coalesce(part(3).try_cast("int"), F.lit(0))
+        return F.when(bare == "", F.lit("0")).otherwise(F.concat(F.when(t.startswith("-"), "-").otherwise(""), F.regexp_replace(bare, "0+$", ""), F.lit("e"), point.cast("string")))
+
+    return form(a) == form(b)
+
+
 def real(text: Column, kind: str, overflow: str = "reject") -> Column:
     """float or double from text. reject: null unless the shortest text of the value is the same number.
 
@@ -152,9 +168,8 @@ def real(text: Column, kind: str, overflow: str = "reject") -> Column:
     value = d.cast(kind)
     special = F.lower(t).isin("nan", "infinity", "+infinity", "-infinity", "inf", "-inf", "+inf")
     if overflow == "reject":
-        same = value.cast("string").try_cast("decimal(38,18)") == t.try_cast("decimal(38,18)")
-        tiny_or_huge = t.try_cast("decimal(38,18)").isNull() & (value.cast("double") == d) & ~d.isin(float("inf"), float("-inf"))
-        return F.when(special | same | tiny_or_huge, value)
+        lost = t.rlike(_SCIENTIFIC) & ~_same_number(value.cast("string"), t)
+        return F.when(special | (~lost & (value.cast("double") == d) & ~d.isin(float("inf"), float("-inf"))) | (t.rlike(_SCIENTIFIC) & ~lost), value)
     most = 3.4028234663852886e38 if kind == "float" else 1.7976931348623157e308
     inside = F.when(~special & (d > most), F.lit(most)).when(~special & (d < -most), F.lit(-most)).otherwise(d)
     return inside.cast(kind)
@@ -312,7 +327,9 @@ def inet(text: Column) -> Column:
     """An IPv4 or IPv6 literal, or an IPv4 one within IPv6; names are not looked up."""
     t = F.lower(F.trim(text))
     four = t.rlike(r"^(::ffff:)?((25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$")
-    six = t.rlike("^[0-9a-f:]+$") & (F.size(F.split(t, ":")) <= 8) & (t.contains("::") | (F.size(F.split(t, ":")) == 8)) & ~t.rlike("[0-9a-f]{5}|:::")
+    groups, gaps = F.size(F.array_remove(F.split(t, ":"), "")), (F.length(t) - F.length(F.replace(t, F.lit("::"), F.lit("")))) / 2
+    right = ((gaps == 0) & (groups == 8)) | ((gaps == 1) & (groups <= 7))  # one gap of zeros at most
+    six = t.rlike("^[0-9a-f:]+$") & right & ~t.rlike("[0-9a-f]{5}|:::|^:[^:]|[^:]:$")
     return F.when(four | six, t)
 
 

@@ -59,3 +59,57 @@ def replay(records: DataFrame, done: DataFrame, strategy: str = "retry", complet
     )
     on = (F.col(resource) == F.col("_r")) & (F.floor(F.col(position) / BLOCK) == F.col("_b")) & F.col(position).between(F.col("first"), F.col("last"))
     return records.join(skip, on, "left_anti")
+
+
+# sets of ranges
+
+#: Ranges are cut into spans of so many positions, so that the ranges of one large resource are swept by many tasks.
+SPAN = 1 << 24
+
+
+def _swept(left: DataFrame, right: DataFrame, resource: str) -> DataFrame:
+    """resource, first, last, a, b: pieces of the line and whether each of the two sets covers them."""
+    side = lambda df, a: df.select(resource, "first", "last", F.lit(a).alias("a"), F.lit(1 - a).alias("b")).where("first <= last")
+    both = side(left, 1).unionByName(side(right, 0))
+    cut = both.withColumn("_s", F.explode(F.sequence(F.floor(F.col("first") / SPAN), F.floor(F.col("last") / SPAN))))
+    cut = cut.withColumn("first", F.greatest("first", F.col("_s") * SPAN)).withColumn("last", F.least("last", (F.col("_s") + 1) * SPAN - 1))
+    event = lambda at, sign: cut.select(resource, "_s", at.alias("at"), (F.col("a") * sign).alias("a"), (F.col("b") * sign).alias("b"))
+    events = event(F.col("first"), 1).unionByName(event(F.col("last") + 1, -1)).groupBy(resource, "_s", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    order = Window.partitionBy(resource, "_s").orderBy("at")
+    running = events.select(resource, F.col("at").alias("first"), (F.lead("at").over(order) - 1).alias("last"), *((F.sum(c).over(order) > 0).alias(c) for c in "ab"))
+    return running.where("last is not null and first <= last")
+
+
+def union(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
+    """resource, first, last: positions in one set or the other."""
+    return merge_ranges(_swept(left, right, resource).where("a or b").select(resource, "first", "last"), resource)
+
+
+def difference(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
+    """Positions in the first set and not in the second."""
+    return merge_ranges(_swept(left, right, resource).where("a and not b").select(resource, "first", "last"), resource)
+
+
+def intersection(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
+    return merge_ranges(_swept(left, right, resource).where("a and b").select(resource, "first", "last"), resource)
+
+
+def complement(ranges: DataFrame, sizes: DataFrame, resource: str = "_resource") -> DataFrame:
+    """Positions from 1 to each resource's size (resource, n) that no range holds."""
+    return difference(sizes.select(resource, F.lit(1).cast("long").alias("first"), F.col("n").cast("long").alias("last")), ranges, resource)
+
+
+def merge_checkpoints(earlier: DataFrame, later: DataFrame, resource: str = "_resource") -> DataFrame:
+    """resource, outcome, first, last after a further run: its outcomes hold where both have one, so that a mended position is no longer bad."""
+    of = lambda df, outcome: df.where(F.col("outcome") == outcome).select(resource, "first", "last")
+    out = []
+    for outcome, other in (("ok", "bad"), ("bad", "ok")):
+        kept = difference(of(earlier, outcome), of(later, other), resource)
+        out.append(union(kept, of(later, outcome), resource).withColumn("outcome", F.lit(outcome)))
+    return out[0].unionByName(out[1]).select(resource, "outcome", "first", "last")
+
+
+def complete(done: DataFrame, sizes: DataFrame, resource: str = "_resource") -> DataFrame:
+    """The resources all of whose positions, 1 to n in sizes, have an outcome; an empty resource is complete."""
+    missing = complement(done.select(resource, "first", "last"), sizes, resource)
+    return sizes.select(resource).join(missing.select(resource).distinct(), resource, "left_anti")
