@@ -11,6 +11,7 @@ types, static, udts.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
 import sys
 import time
@@ -34,6 +35,10 @@ def read_spec(path: str) -> TableSpec:
     )
 
 
+#: What --codec can set.
+_CODEC = tuple(f.name for f in dataclasses.fields(codecs.Settings) if f.name != "null_strings")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="keyloft", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="command", required=True)
@@ -53,6 +58,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--delim", default=",")
         s.add_argument("--header", choices=("true", "false"), default="true")
         s.add_argument("--null-strings", default="")
+        s.add_argument("--codec", action="append", default=[], metavar="NAME=VALUE", help="how values are written: " + ", ".join(_CODEC))
         s.add_argument("--quote", default='"')
         s.add_argument("--escape", default="\\")
         s.add_argument("--comment")
@@ -82,7 +88,14 @@ def threshold(text: str) -> errors.Threshold:
 
 
 def _settings(args: argparse.Namespace) -> codecs.Settings:
-    return codecs.Settings(null_strings=tuple(filter(None, args.null_strings.split(","))))
+    """The codecs' settings from --null-strings and --codec; words are parted by commas."""
+    given = {"null_strings": tuple(filter(None, args.null_strings.split(",")))}
+    for item in args.codec:
+        name, found, value = item.partition("=")
+        if not found or name not in _CODEC:
+            raise SystemExit(f"unknown codec option {item}; there are {', '.join(_CODEC)}")
+        given[name] = tuple(value.lower().split(",")) if name.endswith("_words") else value == "true" if name == "format_numbers" else value
+    return codecs.Settings(**given)
 
 
 def _form(args: argparse.Namespace) -> csv.Csv:

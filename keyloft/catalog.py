@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions import codecs
-from .operators import batch, cells, checkpoint, count, errors, merge, metrics, ring, select
+from .functions import bignum, codecs, locales
+from .operators import aggregates, batch, cells, checkpoint, count, errors, merge, metrics, ring, select
 from .plans import load, mapping, unload
 from .schema import TableSpec
 from .scratch import Scratch
@@ -1259,3 +1259,63 @@ def inet_bad(t):
     texts = ["1::2", "1::2::3", "1:2:3", "::", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "::FFFF:1.2.3.4"]
     text = F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % 9).cast("int") + 1)
     return t("orders").select("o_orderkey", codecs.inet(text).alias("ip"))
+
+
+# numbers of any length, locales, aggregates of the user's own
+
+
+@query("""
+WITH n AS (SELECT o_orderkey, o_orderkey % 3 - 1 AS s FROM orders)
+SELECT o_orderkey, CASE WHEN s = 0 THEN '0' ELSE CASE WHEN s < 0 THEN '-' ELSE '' END || o_orderkey || repeat('7', 55) || '.25' END AS back, s * o_orderkey > 500 AS above, s * o_orderkey > -500 AS above_minus,
+s = 0 AS fits, CASE WHEN s = 0 THEN '0' ELSE CASE WHEN s < 0 THEN '-' ELSE '' END || o_orderkey || repeat('7', 55) END AS whole FROM n WHERE o_orderkey NOT IN (0, 500)""")
+def varint_any_length(t):
+    """Numbers of some sixty digits: parsed, compared, told from those that fit, and to bytes and back."""
+    k, s = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 3 - 1
+    sign = F.when(s < 0, "-").otherwise("")
+    tail = "7" * 55
+    text = F.when(s == 0, "-0.000e7").otherwise(F.concat(sign, F.lit("00"), k, F.lit(tail + ".2500")))
+    whole = F.when(s == 0, "0").otherwise(F.concat(sign, k, F.lit(tail)))
+    n = bignum.parse(text)
+    pivot = lambda p: bignum.sortable(bignum.parse(F.lit(p + tail + ".25")))
+    rows = t("orders").where("o_orderkey not in (0, 500)").select("o_orderkey", n.alias("n"), bignum.parse(whole).alias("w"))
+    return rows.select(
+        "o_orderkey", bignum.text(F.col("n")).alias("back"), (bignum.sortable(F.col("n")) > pivot("500")).alias("above"), (bignum.sortable(F.col("n")) > pivot("-500")).alias("above_minus"),
+        bignum.narrow(F.col("n"), "bigint").isNotNull().alias("fits"), bignum.text(bignum.from_bytes(bignum.to_bytes(F.col("w")))).alias("whole"),
+    )
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS fr, CAST(o_orderdate AS DATE) AS de, TRUE AS same FROM orders")
+def locale_dates(t):
+    """Dates by a pattern with the names of months in two languages, written and read back."""
+    d = F.col("o_orderdate").cast("date")
+    text = {p: locales.format_date(d, pattern, p) for p, pattern in (("fr-FR", "d MMMM yyyy"), ("de-DE", "d. MMM yyyy"))}
+    rows = t("orders").select("o_orderkey", text["fr-FR"].alias("f"), text["de-DE"].alias("g"), d.alias("d"))
+    settings = codecs.Settings(date_pattern="d MMMM yyyy", locale="fr-FR")
+    fr, de = codecs.decode(F.col("f"), "date", settings), locales.date(F.col("g"), "d. MMM yyyy", "de-DE")
+    name = F.element_at(F.array(*map(F.lit, "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split())), F.month("d"))
+    return rows.select("o_orderkey", fr.alias("fr"), de.alias("de"), F.contains("f", name).alias("same"))
+
+
+@query("SELECT o_orderkey, CAST(round(o_totalprice, 2) AS DOUBLE) AS v, CAST(floor(o_totalprice) AS BIGINT) AS whole FROM orders")
+def locale_numbers(t):
+    """Numbers with the marks of a locale: 1.234,56."""
+    english = F.format_number("o_totalprice", 2)
+    german = F.translate(english, ",.", ".,")
+    settings = codecs.Settings(locale="de-DE")
+    whole = F.translate(F.format_number(F.floor("o_totalprice"), 0), ",", ".")
+    return t("orders").select("o_orderkey", codecs.decode(german, "decimal", settings).cast("double").alias("v"), codecs.decode(whole, "bigint", settings).alias("whole"))
+
+
+aggregates.register("spread", aggregates.Aggregate(
+    "least double, most double, n long", "double", lambda: (None, None, 0),
+    lambda s, v: s if v is None else (v if s[0] is None else min(s[0], v), v if s[1] is None else max(s[1], v), s[2] + 1),
+    lambda a, b: (min((x for x in (a[0], b[0]) if x is not None), default=None), max((x for x in (a[1], b[1]) if x is not None), default=None), a[2] + b[2]),
+    lambda s: None if s[2] < 2 else s[1] - s[0],
+))
+
+
+@query("SELECT CASE WHEN l_linenumber < 5 THEN 'hot' ELSE l_returnflag END AS g, CASE WHEN count(l_extendedprice) > 1 THEN max(l_extendedprice) - min(l_extendedprice) END AS spread FROM lineitem GROUP BY 1")
+def user_aggregate(t):
+    """A user's aggregate over groups of which one has most rows."""
+    rows = t("lineitem").select(F.when(F.col("l_linenumber") < 5, "hot").otherwise(F.col("l_returnflag")).alias("g"), "l_extendedprice")
+    return aggregates.aggregated(rows, ["g"], "spread", ["l_extendedprice"], "spread")

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import locales
+
 # Words that stand for true and false, and the numbers they convert to.
 TRUE_WORDS = ("1", "y", "t", "yes", "true")
 FALSE_WORDS = ("0", "n", "f", "no", "false")
@@ -50,6 +52,9 @@ class Settings:
     epoch: str = "1970-01-01T00:00:00Z"
     binary: str = "base64"  # or hex
     format_numbers: bool = False
+    locale: str | None = None  # such as fr-FR: names of months and days in the patterns, and the marks of numbers
+    true_words: tuple[str, ...] = TRUE_WORDS
+    false_words: tuple[str, ...] = FALSE_WORDS
 
 
 def null_strings(text: Column, words: Sequence[str]) -> Column:
@@ -101,9 +106,10 @@ def number(text: Column, settings: Settings = Settings()) -> Column:
     """A decimal: a number as such, else a time as units since the epoch, else 1 or 0 for a word."""
     t = empty_to_null(F.trim(text))
     word = F.lower(t)
-    truth = F.when(word.isin(*TRUE_WORDS), F.lit(1)).when(word.isin(*FALSE_WORDS), F.lit(0))
+    truth = F.when(word.isin(*settings.true_words), F.lit(1)).when(word.isin(*settings.false_words), F.lit(0))
     time = units_since_epoch(timestamp(t, settings), settings)
-    return F.coalesce(plain_number(t), time.cast("decimal(38,10)"), truth.cast("decimal(38,10)"))
+    figure = locales.number(t, settings.locale) if settings.locale else plain_number(t)
+    return F.coalesce(figure, time.cast("decimal(38,10)"), truth.cast("decimal(38,10)"))
 
 
 def rounded(value: Column, mode: str, scale: int = 0) -> Column:
@@ -208,6 +214,8 @@ def number_to_boolean(value: Column, pair: tuple[float, float] = (1, 0)) -> Colu
 def timestamp(text: Column, settings: Settings = Settings()) -> Column:
     """A date, with or without a time after T or a space, with or without a zone; settings' pattern instead if given."""
     t = F.trim(text)
+    if settings.timestamp_pattern and settings.locale:
+        return locales.timestamp(t, settings.timestamp_pattern, settings.locale, settings.time_zone)
     if settings.timestamp_pattern:
         return F.try_to_timestamp(t, F.lit(settings.timestamp_pattern))
     shape = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?))?\s*(Z|[+-][0-9]{2}:?[0-9]{2}|[A-Z]{3,4})?$"
@@ -228,6 +236,8 @@ def format_timestamp(value: Column) -> Column:
 
 
 def date(text: Column, settings: Settings = Settings()) -> Column:
+    if settings.locale:
+        return locales.date(text, settings.date_pattern, settings.locale)
     return F.to_date(F.try_to_timestamp(F.trim(text), F.lit(settings.date_pattern)))
 
 
@@ -524,7 +534,7 @@ def decode(text: Column, kind: str, settings: Settings = Settings(), udts: dict[
     if outer in BOUNDS or outer == "counter":
         return narrow(number(text, settings), "bigint" if outer == "counter" else outer, settings.overflow, settings.rounding)
     simple = {
-        "boolean": lambda: boolean(text),
+        "boolean": lambda: boolean(text, settings.true_words, settings.false_words),
         "float": lambda: real(text, "float", settings.overflow),
         "double": lambda: real(text, "double", settings.overflow),
         "decimal": lambda: exact_number(text, settings) if settings.overflow == "reject" else number(text, settings),
@@ -596,11 +606,14 @@ def encode(value: Column, kind: str, settings: Settings = Settings(), udts: dict
     """The text of a value; null as the first of the null strings, if there are any."""
     base, args = type_parts(kind, udts)
     if base == "boolean":
-        text = format_boolean(value)
+        words = (settings.true_words[0], settings.false_words[0])
+        text = format_boolean(value, words)
+    elif base == "timestamp" and settings.timestamp_pattern:
+        text = locales.format_timestamp(value, settings.timestamp_pattern, settings.locale or "en-US", settings.time_zone)
     elif base == "timestamp":
         text = format_timestamp(value)
     elif base == "date":
-        text = F.date_format(value, settings.date_pattern)
+        text = locales.format_date(value, settings.date_pattern, settings.locale) if settings.locale else F.date_format(value, settings.date_pattern)
     elif base == "blob":
         text = format_blob(value, settings.binary)
     elif base in BOUNDS or base in ("counter", "float", "double", "decimal", "varint"):
