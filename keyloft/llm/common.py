@@ -71,7 +71,17 @@ def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Sc
     return left.join(F.broadcast(top.drop("n")), list(keys)).unionByName(rest)
 
 
-__all__ = ["ALNUM", "SPACE", "WORD", "Scratch", "join_hot", "join_small", "load", "ranked"]
+def without(rows: DataFrame, gone: DataFrame, key: str, bound: int = 1_000_000) -> DataFrame:
+    """rows whose key, a long, isn't in gone, a row for each key.
+
+    While gone has `bound` rows at most it is broadcast and the rows stay where they are; beyond that
+    both sides are shuffled.
+    """
+    small = gone.limit(bound + 1).count() <= bound
+    return rows.join(F.broadcast(gone) if small else gone, key, "left_anti")
+
+
+__all__ = ["ALNUM", "SPACE", "WORD", "Scratch", "join_hot", "join_small", "load", "ranked", "without"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import ALNUM, Scratch, load
+from .common import ALNUM, Scratch, load, without
 
 SPAN = 10
 GRAM = 5
@@ -290,7 +290,8 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "decontaminate")
     stored = scratch.write(docs.select(F.struct("*").alias("rec")).withColumn("n", F.monotonically_increasing_id()), "stored_rows")
     found = contamination(stored.select(F.struct("n").alias("key"), F.col("rec.text").alias("text")), items, scratch)
-    return stored.join(found.where("contaminated").select("key.n"), "n", "left_anti").select("rec.*")
+    gone = scratch.write(found.where("contaminated").select("key.n"), "gone")
+    return without(stored, gone, "n").select("rec.*")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

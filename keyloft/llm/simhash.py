@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, join_hot, load
+from .common import Scratch, join_hot, load, without
 from .components import HUB, components
 
 RADIUS = 3
@@ -257,7 +257,7 @@ def keep_one(docs: DataFrame, by: str = "component_id") -> DataFrame:
     keeps one row of its own. Of equal rows one stays; an empty table stays empty.
 
     Rows get a number with which they are stored; all grouping is over numbers, and the texts are
-    moved once, at the end.
+    moved once, at the end, or not at all while few rows go.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     stored = scratch.write(docs.select(F.struct("*").alias("rec")).withColumn("n", F.monotonically_increasing_id()), "stored")
@@ -266,7 +266,8 @@ def keep_one(docs: DataFrame, by: str = "component_id") -> DataFrame:
     first = found.where(F.col("key.doc_id").eqNullSafe(F.col("component_id")))
     apart = F.col("root") if by == "root" else F.when(F.col("component_id").isNull(), F.col("root"))
     one = first.groupBy("component_id", apart.alias("apart")).agg(F.min(F.struct("fp", "key.crc", "key.n")).alias("m")).select(F.col("m.n").alias("n"))
-    return stored.join(one, "n", "left_semi").select("rec.*")
+    gone = scratch.write(found.select("key.n").join(one, "n", "left_anti"), "gone")
+    return without(stored, gone, "n").select("rec.*")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

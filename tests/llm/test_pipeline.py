@@ -145,3 +145,11 @@ def test_stages_take_empty_tables(spark, sf_dir):
 
 def test_stages_are_named_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontamination", "source_mix", "token_file"]
+
+
+def test_rows_without_others_alike_by_broadcast_and_shuffle(spark):
+    from keyloft.llm.common import without
+
+    rows, gone = spark.range(100).withColumnRenamed("id", "n"), spark.range(0, 100, 3).withColumnRenamed("id", "n")
+    for bound in (1_000_000, 0):
+        assert sorted(r.n for r in without(rows, gone, "n", bound).collect()) == [i for i in range(100) if i % 3]
