@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions import bignum, codecs, locales
+from .functions import bignum, codecs, geo, locales
 from .operators import aggregates, batch, cells, checkpoint, count, errors, merge, metrics, ring, select
 from .plans import load, mapping, unload
 from .schema import TableSpec
@@ -1319,3 +1319,35 @@ def user_aggregate(t):
     """A user's aggregate over groups of which one has most rows."""
     rows = t("lineitem").select(F.when(F.col("l_linenumber") < 5, "hot").otherwise(F.col("l_returnflag")).alias("g"), "l_extendedprice")
     return aggregates.aggregated(rows, ["g"], "spread", ["l_extendedprice"], "spread")
+
+
+@query("""
+WITH n AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS s FROM customer)
+SELECT k, CASE k % 3 WHEN 0 THEN 'POINT (' || s || '.5 -1.0)' WHEN 1 THEN 'LINESTRING (0.0 0.0, ' || s || '.0 2.25)' ELSE 'POLYGON ((0.0 0.0, ' || s || '.0 0.0, 0.0 9.0, 0.0 0.0), (1.0 1.0, 2.0 1.0, 1.0 2.0, 1.0 1.0))' END AS text,
+CASE k % 3 WHEN 0 THEN '{"type":"Point","coordinates":[' || s || '.5,-1.0]}' WHEN 1 THEN '{"type":"LineString","coordinates":[[0.0,0.0],[' || s || '.0,2.25]]}'
+ELSE '{"type":"Polygon","coordinates":[[[0.0,0.0],[' || s || '.0,0.0],[0.0,9.0],[0.0,0.0]],[[1.0,1.0],[2.0,1.0],[1.0,2.0],[1.0,1.0]]]}' END AS json,
+CAST(CASE k % 3 WHEN 0 THEN 21 WHEN 1 THEN 41 ELSE 145 END AS INTEGER) AS bytes, CASE k % 3 WHEN 0 THEN '0101000000' WHEN 1 THEN '010200000002000000' ELSE '01030000000200000004000000' END AS head, TRUE AS same FROM n""")
+def geometry_forms(t):
+    """Points, lines and polygons with a hole: from text to bytes and back, and to GeoJSON and back."""
+    k = F.col("c_custkey")
+    s = k.cast("string")
+    text = (
+        F.when(k % 3 == 0, F.concat(F.lit("POINT("), s, F.lit(".5 -1)"))).when(k % 3 == 1, F.concat(F.lit("LineString (0 0,"), s, F.lit("  2.25 )")))
+        .otherwise(F.concat(F.lit("POLYGON ((0 0, "), s, F.lit(" 0, 0 9e0, 0 0), (1 1, 2 1, 1 2, 1 1))")))
+    )
+    rows = t("customer").select(k.alias("k"), geo.from_text(text).alias("shape")).withColumn("b", geo.to_binary(F.col("shape"))).withColumn("j", geo.to_json(F.col("shape")))
+    back, head = geo.from_binary(F.col("b")), F.element_at(F.array(*map(F.lit, (10, 18, 26))), (F.col("k") % 3).cast("int") + 1)
+    return rows.select("k", geo.to_text(back).alias("text"), F.col("j").alias("json"), F.octet_length("b").alias("bytes"), F.left(F.lower(F.hex("b")), head).alias("head"), (geo.from_json(F.col("j")) == F.col("shape")).alias("same"))
+
+
+@query("""
+SELECT event_id, date_trunc('month', ts) AS low, date_trunc('day', ts) + INTERVAL 1 DAY AS high, 'month' AS low_unit, 'day' AS high_unit, TRUE AS inside, FALSE AS around FROM events""")
+def date_range_bounds(t):
+    """A range from a month to a day, as its first moment and the first one after it; the hour of the event lies in it, its year doesn't."""
+    form = lambda p: F.date_format("ts", p)
+    r = geo.date_range(F.concat(F.lit("["), form("yyyy-MM"), F.lit(" TO "), form("yyyy-MM-dd"), F.lit("]")))
+    rows = t("events").withColumn("r", r).withColumn("hour", geo.date_range(form("yyyy-MM-dd'T'HH"))).withColumn("year", geo.date_range(form("yyyy")))
+    time = lambda c: F.col(c).cast("timestamp_ntz")
+    return rows.select(
+        "event_id", time("r.low").alias("low"), time("r.high").alias("high"), "r.low_unit", "r.high_unit", geo.contains(F.col("r"), F.col("hour")).alias("inside"), geo.contains(F.col("r"), F.col("year")).alias("around")
+    )
