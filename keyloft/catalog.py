@@ -1351,3 +1351,26 @@ def date_range_bounds(t):
     return rows.select(
         "event_id", time("r.low").alias("low"), time("r.high").alias("high"), "r.low_unit", "r.high_unit", geo.contains(F.col("r"), F.col("hour")).alias("inside"), geo.contains(F.col("r"), F.col("year")).alias("around")
     )
+
+
+@query("""
+SELECT event_id, CAST(event_id % 100 - 50 AS TINYINT) AS t, CAST(event_id % 1000 - 500 AS SMALLINT) AS s, value AS d, date_trunc('milliseconds', ts) AS at, CAST(ts AS DATE) AS day,
+CAST(-event_id * 1000 AS VARCHAR) AS v, CAST(round(value, 2) AS DOUBLE) AS n FROM events""")
+def blob_functions(t):
+    """Values of each type to bytes and back, by the functions that a mapping may call."""
+    e = t("events").select("event_id", (F.col("event_id") % 100 - 50).cast("byte").alias("t"), (F.col("event_id") % 1000 - 500).cast("short").alias("s"), "value", F.col("ts").cast("timestamp").alias("ts"), (-F.col("event_id") * 1000).alias("v"), F.round("value", 2).cast("decimal(20,4)").alias("n"))
+    pairs = {"t": "tinyint(t)", "s": "smallint(s)", "d": "double(value)", "at": "timestamp(ts)", "day": "date(ts)", "v": "varint(v)", "n": "decimal(n)"}
+    both = {k: (p.split("(")[0], p.split("(")[1][:-1]) for k, p in pairs.items()}
+    rows = mapping.unload_map(e, "event_id, " + ", ".join(f"{k} = blobAs{kind}({kind}AsBlob({c}))" for k, (kind, c) in both.items()))
+    return rows.withColumn("at", F.col("at").cast("timestamp_ntz")).withColumn("n", F.col("n").cast("double"))
+
+
+@query("""
+SELECT event_id, date_trunc('second', ts) AS a, date_trunc('second', ts) - INTERVAL 1 HOUR AS b, 14 AS months FROM events WHERE month(ts) IN (1, 2, 12)""")
+def zone_ids(t):
+    """Times with the name of a zone, in brackets after an offset or alone; durations in ISO's other form."""
+    form = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    rows = t("events").where("month(ts) in (1, 2, 12)")
+    a, b = codecs.timestamp(F.concat(form, F.lit("+00:00[Europe/Paris]"))), codecs.timestamp(F.concat(form, F.lit("[Europe/Paris]")))
+    months = codecs.duration(F.lit("P0001-02-03T04:05:06"))["months"]
+    return rows.select("event_id", a.cast("timestamp_ntz").alias("a"), b.cast("timestamp_ntz").alias("b"), months.alias("months"))

@@ -218,8 +218,9 @@ def timestamp(text: Column, settings: Settings = Settings()) -> Column:
         return locales.timestamp(t, settings.timestamp_pattern, settings.locale, settings.time_zone)
     if settings.timestamp_pattern:
         return F.try_to_timestamp(t, F.lit(settings.timestamp_pattern))
-    shape = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?))?\s*(Z|[+-][0-9]{2}:?[0-9]{2}|[A-Z]{3,4})?$"
-    zone = F.regexp_replace(F.regexp_extract(t, shape, 3), r"^([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    shape = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?))?\s*(Z|[+-][0-9]{2}:?[0-9]{2}|[A-Z]{3,4}|[A-Za-z_]+/[A-Za-z_/]+)?(?:\[([A-Za-z_/]+)\])?$"
+    # an offset tells the time; the zone in brackets after it adds nothing
+    zone = F.regexp_replace(F.coalesce(F.nullif(F.regexp_extract(t, shape, 3), F.lit("")), F.regexp_extract(t, shape, 4)), r"^([+-][0-9]{2})([0-9]{2})$", "$1:$2")
     time = F.regexp_extract(t, shape, 2)
     whole = F.concat(
         F.regexp_extract(t, shape, 1), F.lit("T"), F.when(time == "", F.lit("00:00:00")).when(F.length(time) == 5, F.concat(time, F.lit(":00"))).otherwise(time),
@@ -360,8 +361,11 @@ def format_blob(value: Column, form: str = "base64") -> Column:
 
 
 def duration(text: Column) -> Column:
-    """struct<months, days, nanos> from 1y2mo3w4d5h6m7s8ms9us10ns or ISO P1Y2M3DT4H5M6S; a sign holds for all parts."""
-    t = F.trim(text)
+    """struct<months, days, nanos> from 1y2mo3w4d5h6m7s8ms9us10ns or ISO P1Y2M3DT4H5M6S; a sign holds for all parts.
+
+    Also the ISO form P0001-02-03T04:05:06.
+    """
+    t = F.regexp_replace(F.trim(text), r"^(-?)P([0-9]{4})-([0-9]{2})-([0-9]{2})T([0-9]{2}):([0-9]{2}):([0-9]{2})$", "$1P$2Y$3M$4DT$5H$6M$7S")
     short = t.rlike(r"^-?([0-9]+(ns|us|µs|ms|mo|y|w|d|h|m|s))+$")
     iso = t.rlike(r"^-?P(?=.)([0-9]+Y)?([0-9]+M)?([0-9]+W)?([0-9]+D)?(T([0-9]+H)?([0-9]+M)?([0-9]+([.][0-9]{1,9})?S)?)?$")
     s = F.regexp_extract

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, FloatType
 
 from ..operators import ring, select
-from . import codecs
+from . import bignum, codecs
 
 REGISTRY: dict[str, Callable[..., Column]] = {
     "now": lambda: codecs.timeuuid(F.current_timestamp(), "max"),
@@ -40,6 +43,67 @@ REGISTRY: dict[str, Callable[..., Column]] = {
 }
 
 
+def _signed(kind: str, size: int) -> None:
+    """The two functions of a whole-number type of `size` bytes, highest first."""
+    digits = 2 * size
+    REGISTRY[f"{kind}asblob"] = lambda c: F.unhex(F.right(F.lpad(F.hex(c.cast("long")), 16, "0"), F.lit(digits)))
+    # the sign's digits go before those that are there
+    filled = lambda c: F.concat(F.when(F.hex(c) >= "8" + "0" * (digits - 1), "F" * (16 - digits)).otherwise(""), F.hex(c))
+    REGISTRY[f"blobas{kind}"] = lambda c: F.when(F.octet_length(c) == size, F.conv(filled(c), 16, -10).cast({1: "byte", 2: "short", 8: "long"}[size]))
+
+
+for _kind, _size in (("tinyint", 1), ("smallint", 2), ("counter", 8), ("time", 8)):
+    _signed(_kind, _size)
+
+
+def _decimal_to_bytes(c: Column) -> Column:
+    plain = F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$|\.$", "$1")
+    scale = F.length(F.regexp_extract(plain, r"\.([0-9]+)$", 1))
+    return F.concat(F.unhex(F.lpad(F.hex(scale.cast("long")), 8, "0")), bignum.to_bytes(bignum.parse(F.replace(plain, F.lit("."), F.lit("")))))
+
+
+def _bytes_to_decimal(c: Column) -> Column:
+    scale = F.conv(F.hex(F.substring(c, 1, 4)), 16, 10).cast("int")
+    whole = bignum.from_bytes(F.substring(c, 5, 1 << 30))
+    moved = F.struct(whole["sign"].alias("sign"), F.when(whole["sign"] == 0, 0).otherwise(whole["point"] - scale).cast("long").alias("point"), whole["digits"].alias("digits"))
+    return F.when(F.octet_length(c) > 4, bignum.text(moved))
+
+
+def _real_to_bytes(form: str):
+    @F.arrow_udf(BinaryType())
+    def pack(values: pa.Array) -> pa.Array:
+        size = np.dtype(form).itemsize
+        data = values.fill_null(0).to_numpy(zero_copy_only=False).astype(form).tobytes()
+        return pa.array([None if n else data[i * size : (i + 1) * size] for i, n in enumerate(values.is_null().to_pylist())], pa.binary())
+
+    return pack
+
+
+def _bytes_to_real(form: str):
+    @F.arrow_udf(DoubleType() if form == ">f8" else FloatType())
+    def unpack(data: pa.Array) -> pa.Array:
+        size = np.dtype(form).itemsize
+        return pa.array([None if b is None or len(b) != size else float(np.frombuffer(b, form)[0]) for b in data.to_pylist()], pa.float64() if size == 8 else pa.float32())
+
+    return unpack
+
+
+REGISTRY |= {
+    "varcharasblob": REGISTRY["textasblob"], "blobasvarchar": REGISTRY["blobastext"],
+    "doubleasblob": lambda c: _real_to_bytes(">f8")(c.cast("double")), "blobasdouble": lambda c: _bytes_to_real(">f8")(c),
+    "floatasblob": lambda c: _real_to_bytes(">f4")(c.cast("float")), "blobasfloat": lambda c: _bytes_to_real(">f4")(c),
+    # milliseconds; days from 2^31 on
+    "timestampasblob": lambda c: REGISTRY["bigintasblob"](F.unix_millis(c.cast("timestamp"))), "blobastimestamp": lambda c: F.timestamp_millis(REGISTRY["blobasbigint"](F.when(F.octet_length(c) == 8, c))),
+    "dateasblob": lambda c: F.unhex(F.lpad(F.hex(F.unix_date(c.cast("date")).cast("long") + (1 << 31)), 8, "0")), "blobasdate": lambda c: F.when(F.octet_length(c) == 4, F.date_from_unix_date((F.conv(F.hex(c), 16, 10).cast("long") - (1 << 31)).cast("int"))),
+    "uuidasblob": lambda c: F.unhex(F.replace(codecs.uuid(c.cast("string")), F.lit("-"), F.lit(""))),
+    "blobasuuid": lambda c: F.when(F.octet_length(c) == 16, F.regexp_replace(F.lower(F.hex(c)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")),
+    "varintasblob": lambda c: bignum.to_bytes(bignum.parse(c.cast("string"))), "blobasvarint": lambda c: bignum.text(bignum.from_bytes(c)),
+    # the scale in four bytes, then the number without its point
+    "decimalasblob": _decimal_to_bytes, "blobasdecimal": _bytes_to_decimal,
+}
+REGISTRY |= {"timeuuidasblob": REGISTRY["uuidasblob"], "blobastimeuuid": REGISTRY["blobasuuid"]}
+
+
 def _time(value: Column) -> Column:
     """A timestamp from a timestamp, a date, or the text of a time identifier."""
     text = value.cast("string")
