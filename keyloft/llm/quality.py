@@ -185,9 +185,11 @@ def _upper(of) -> Column:
 def _rare(sketch: DataFrame, scratch: Scratch) -> DataFrame:
     """lang, source, rate, high: the fences of rates that are zero in most texts.
 
-    The less usual it is that a source's rate is above zero, the nearer its fence lies to the middle,
-    in logarithms, between what one occurrence makes in its usual text and the upper quartile of its
-    rates above zero; the more usual, the nearer to that quartile's fence among these rates alone.
+    The less usual it is that a source's rate is above zero, and the farther the upper quartile of its
+    rates above zero is from what one occurrence makes in its usual text, the nearer its fence lies to
+    the middle, in logarithms, between the two. The more usual it is, or the nearer they are, as then
+    most of these texts show no more than an occurrence, the nearer to the fence that the quartiles of
+    the rates above zero have among themselves.
     """
     keys = ["lang", "source", "rate"]
     rare = sketch.where(F.col("rate").isin(*ONCE))
@@ -199,7 +201,8 @@ def _rare(sketch: DataFrame, scratch: Scratch) -> DataFrame:
     parts = share.unionByName(above, allowMissingColumns=True).unionByName(one, allowMissingColumns=True)
     stats = parts.groupBy(*keys).agg(*(F.max(c).alias(c) for c in ("n", "share", "middle", "high", "once")))
     edge = F.least(F.log("middle") + REACH * (F.log("high") - F.log("middle")), F.lit(0.0))  # no rate is over 1
-    own = (1 - F.col("share")) * (F.log("once") + F.log("high")) / 2 + F.col("share") * edge
+    apart = (1 - F.col("share")) * (1 - F.least(F.col("once") / F.col("high"), F.lit(1.0)))
+    own = apart * (F.log("once") + F.log("high")) / 2 + (1 - apart) * edge
     groups = scratch.write(stats.select(*keys, "n", own.alias("own")), "rare")
 
     def usual(by: list[str], name: str) -> DataFrame:

@@ -71,9 +71,11 @@ def kept_by_quality(rows):
             positive = [(x[rate][0], 1) for _, x in v if edge(x[rate][0]) > 0]
             share = len(positive) / len(v)
             if positive:
-                middle, high = (math.log(quantile(positive, q)) for q in (0.5, 0.75))
-                once = math.log(quantile([(x[rate][1], 1) for _, x in v], 0.5))
-                own[g] = (1 - share) * (once + high) / 2 + share * min(0, middle + reach * (high - middle))
+                middle, high = (quantile(positive, q) for q in (0.5, 0.75))
+                once = quantile([(x[rate][1], 1) for _, x in v], 0.5)
+                apart = (1 - share) * (1 - min(1, once / high))
+                middle, high, once = map(math.log, (middle, high, once))
+                own[g] = apart * (once + high) / 2 + (1 - apart) * min(0, middle + reach * (high - middle))
         if not own:
             continue
         median = lambda gs: (sum(weight(len(groups[g])) for g in gs), math.log(quantile([(math.exp(own[g]), weight(len(groups[g]))) for g in gs], 0.5)))
