@@ -1048,8 +1048,9 @@ def csv_quoted_breaks(t):
     form = csv.Csv(escape='"')
     ordered = orders.orderBy("o_orderkey", "o_custkey", "o_totalprice").select("o_orderkey", _odd_text("o_orderkey").alias("v"))
     csv.write(ordered.coalesce(1), path, form)
-    back = csv.read(orders.sparkSession, files.Files((path,)), form, positions=True, block=4096)
-    splits = blocks.block_count(orders.sparkSession, files.Files((path,)), 4096)
+    block = max(4096, orders.count() // 2)  # bytes: some seventy splits
+    back = csv.read(orders.sparkSession, files.Files((path,)), form, positions=True, block=block)
+    splits = blocks.block_count(orders.sparkSession, files.Files((path,)), block)
     return back.select(F.col("o_orderkey").cast("long"), "v", F.col("_position").alias("position"), F.lit(splits >= 4).alias("split"))
 
 
@@ -1108,7 +1109,7 @@ def json_concatenated(t):
     orders.coalesce(1).select(F.concat(document, separate).alias("value")).write.option("lineSep", " ").text(path)
     schema = StructType.fromDDL("k long, status string, deep struct<cust: array<long>>")
     form = json.Json(one_per_line=False, comments=True, single_quotes=True, unquoted_names=True)
-    df = json.read(spark, files.Files((path,)), schema, form, block=4096)
+    df = json.read(spark, files.Files((path,)), schema, form, block=max(4096, orders.count() // 2))
     failed = F.col("_error").isNotNull()
     key = F.when(failed, F.regexp_extract("_error", '"([0-9]+)"}$', 1).try_cast("long")).otherwise(F.col("k"))
     return df.select(key.alias("o_orderkey"), "status", F.col("deep.cust")[0].alias("cust"), failed.alias("failed"))

@@ -174,8 +174,11 @@ def real(text: Column, kind: str, overflow: str = "reject") -> Column:
     value = d.cast(kind)
     special = F.lower(t).isin("nan", "infinity", "+infinity", "-infinity", "inf", "-inf", "+inf")
     if overflow == "reject":
-        lost = t.rlike(_SCIENTIFIC) & ~_same_number(value.cast("string"), t)
-        return F.when(special | (~lost & (value.cast("double") == d) & ~d.isin(float("inf"), float("-inf"))) | (t.rlike(_SCIENTIFIC) & ~lost), value)
+        finite = (value.cast("double") == d) & ~d.isin(float("inf"), float("-inf"))
+        shortest = value.cast("string")
+        # most texts are the shortest ones; the others are compared digit by digit
+        exact = _let(F.struct(t.alias("t"), shortest.alias("v"), finite.alias("f")), lambda x: F.when(x["t"].rlike(_SCIENTIFIC), _same_number(x["v"], x["t"])).otherwise(x["f"]))
+        return F.when(special | (shortest == t), value).when(exact, value)
     most = 3.4028234663852886e38 if kind == "float" else 1.7976931348623157e308
     inside = F.when(~special & (d > most), F.lit(most)).when(~special & (d < -most), F.lit(-most)).otherwise(d)
     return inside.cast(kind)
