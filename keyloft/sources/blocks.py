@@ -8,6 +8,7 @@ state, and the pieces of records that lie on both sides of a block's end are put
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -76,16 +77,41 @@ class Block:
     owner: int | None
 
 
-def _lines(spark: SparkSession, paths: list[str], files: Files, newline: bytes, block: int | None) -> DataFrame:
-    """file, start, line (bytes): the lines of each block in order."""
-    if block:  # a session of its own, as the size of blocks is no option of a read
-        zone = spark.conf.get("spark.sql.session.timeZone")
-        spark = spark.newSession()
-        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
-        spark.conf.set("spark.sql.session.timeZone", zone)
+def _bytes(setting: str) -> int:
+    """A setting such as 4m or 134217728b."""
+    number, unit = re.fullmatch(r"\s*([0-9]+)\s*([kmgtp]?)(?:i?b)?\s*", setting.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def _block_size(spark: SparkSession, paths: list[str], files: Files) -> int:
+    """Bytes of a block as Spark would choose them for these files: a share for each core, within its settings."""
+    options = {k: v for k, v in files.options().items() if k != "encoding"}
+    total = spark.read.format("binaryFile").options(**options).load(paths).agg(F.sum("length").alias("n")).first().n or 0
+    least, most = (_bytes(spark.conf.get(f"spark.sql.files.{c}")) for c in ("openCostInBytes", "maxPartitionBytes"))
+    return max(1, min(most, max(least, -(-total // spark.sparkContext.defaultParallelism))))
+
+
+def _lines(spark: SparkSession, paths: list[str], files: Files, newline: bytes, block: int | None, fixed: bool = True) -> DataFrame:
+    """file, start, line (bytes): the lines of each block in order.
+
+    Spark plans anew for each pass, with blocks of other sizes where a filter leaves some of the
+    files or executors come and go. fixed: every pass has the same blocks, of `block` bytes or what
+    Spark would choose now.
+    """
+    session = spark
+    if block or fixed:  # a session of its own for the scan, as the size of blocks is no option of a read
+        session = spark.newSession()
+        for k, v in spark.conf.getAll.items():
+            if spark.conf.isModifiable(k):
+                session.conf.set(k, v)
+        session.conf.set("spark.sql.files.maxPartitionBytes", block or _block_size(spark, paths, files))
+        # no share for each core: a file is cut at multiples of the size above, or not at all if it is shorter
+        session.conf.set("spark.sql.files.minPartitionNum", 1)
     options = {k: v for k, v in files.options().items() if k != "encoding"}
-    text = spark.read.options(lineSep=newline.decode(), **options).text(paths)
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    text = session.read.options(lineSep=newline.decode(), **options).text(paths)
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    # the rows belong to the caller's session
+    return lines if session is spark else spark.createDataFrame([], "file string, start long, line binary").union(lines)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], list[bytes]]]:
@@ -205,7 +231,7 @@ def records(spark: SparkSession, files: Files, scanner: Scanner, spanning: bool
     paths = files.all_paths(spark)
     if files.opened_whole:
         return _joined(opened_lines(spark, files, scanner.newline).mapInArrow(_cut(scanner, {}, None), CUT), None, scanner)
-    lines = _lines(spark, paths, files, scanner.newline, block)
+    lines = _lines(spark, paths, files, scanner.newline, block, spanning)
     if not spanning:
         return _joined(lines.mapInArrow(_cut(scanner, {}, False), CUT), None, scanner)
     # a row for each block that Spark plans to read

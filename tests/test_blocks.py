@@ -39,6 +39,22 @@ def test_csv_cut_alike_in_any_blocks(spark, tmp_path, escape, newline, seed):
     assert [t for t, _ in whole] == [t.decode() for t in plain]
 
 
+def test_passes_have_the_same_blocks(spark, tmp_path):
+    """Of two files, one alone has records over its blocks' ends; the pass over that file reads the blocks that the first pass saw."""
+    for name, n in (("a", 300), ("b", 40)):
+        write(tmp_path, f"{name}.csv", ("k,v\n" + "".join(f'{i},"{"x" * 30}\n{i}"\n' for i in range(n))).encode())
+    what = files.Files((str(tmp_path),))
+    for cost in ("1", "1k"):
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        try:
+            rows = csv.read(spark, what).collect()
+            assert blocks.block_count(spark, what) > 3
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted((int(r.k or -1), r.v, r._error) for r in rows) == sorted((i, f"{'x' * 30}\n{i}", None) for n in (300, 40) for i in range(n))
+    assert [blocks._bytes(s) for s in ("7", "4m", "134217728b", "1KB")] == [7, 4 << 20, 128 << 20, 1024]
+
+
 def test_open_quote_is_an_error(spark, tmp_path):
     """Of the record alone where a record is a line, else of all that the quote holds; the good ones before stay."""
     what = write(tmp_path, "a.csv", b'k,v\n1,"a\n2,b\n3,c\n')
