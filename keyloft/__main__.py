@@ -76,6 +76,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks; files aren't split")
             s.add_argument("--allow-missing-fields", action="store_true")
             s.add_argument("--no-extra-fields", action="store_true")
+            s.add_argument("--fields", type=int, help="without a header: how many fields a record has")
             s.add_argument("--checkpoint", help="where the ranges of records dealt with are kept")
             s.add_argument("--replay", choices=tuple(checkpoint.STRATEGIES), help="leave out what an earlier run's --checkpoint holds")
             s.add_argument("--timestamp", type=int, help="write time of all rows, in microseconds")
@@ -99,7 +100,7 @@ def _settings(args: argparse.Namespace) -> codecs.Settings:
 
 
 def _form(args: argparse.Namespace) -> csv.Csv:
-    load_only = {"multi_line": args.multi_line, "allow_extra": not args.no_extra_fields, "allow_missing": args.allow_missing_fields} if args.command == "load" else {}
+    load_only = {"multi_line": args.multi_line, "allow_extra": not args.no_extra_fields, "allow_missing": args.allow_missing_fields, "fields": args.fields} if args.command == "load" else {}
     return csv.Csv(header=args.header == "true", delimiter=args.delim, quote=args.quote, escape=args.escape, comment=args.comment, **load_only)
 
 

@@ -678,7 +678,7 @@ def csv_extra_missing(t):
     line = F.when(kind == 0, F.concat_ws(",", key, "o_orderstatus")).when(kind == 1, key).otherwise(F.concat_ws(",", key, "o_orderstatus", F.lit('"more, of it"')))
     path = Scratch(o.sparkSession, "csv").path("ragged")
     o.select(line.alias("value")).write.text(path)
-    df = csv.read(o.sparkSession, files.Files((path,)), csv.Csv(header=False))
+    df = csv.read(o.sparkSession, files.Files((path,)), csv.Csv(header=False, fields=2))
     return df.select(F.col("0").cast("long").alias("o_orderkey"), F.when(F.col("_error").isNull(), F.col("1")).alias("status"), F.col("_error").isNotNull().alias("failed"))
 
 

@@ -36,6 +36,7 @@ class Csv:
     empty_value: str = ""
     allow_extra: bool = True  # a record may have more fields than the header
     allow_missing: bool = False  # or fewer, which are then null
+    fields: int | None = None  # without a header: how many fields a record has, else as many as the widest first record of a file
 
     def options(self) -> dict[str, str]:
         o = {
@@ -199,7 +200,8 @@ def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, mo
     _position orders the records of a file; with positions=True, or where records are skipped or
     taken, it counts them from 1.
 
-    Each file has its own header, its first record: fields are named by it, else by their place.
+    Each file has its own header, its first record: fields are named by it, else by their place. Without
+    a header, say by form.fields how many fields are needed if records differ in their number.
     Records with more or fewer fields than the header are errors unless the form allows them, and so
     are fields of more than max_chars and records of more than max_columns, whose fields are null.
     Quoted fields may hold line breaks, also in files that are split between tasks; with
@@ -208,12 +210,13 @@ def read(spark: SparkSession, files: Files, form: Csv = Csv(), skip: int = 0, mo
     """
     utf = files.encoding if not files.opened_whole else "UTF-8"  # what is opened whole comes as UTF-8
     scanner = Records(form, utf, form.multi_line)
-    heads = _names(spark, blocks.heads(spark, files, scanner), form, utf)
+    known = form.fields if not form.header else None
+    heads = {} if known else _names(spark, blocks.heads(spark, files, scanner), form, utf)
     kinds = sorted(set(heads.values()), key=lambda k: (-len(k), k))
-    if form.header or not kinds:
+    if form.header or not (kinds or known):
         names = list(dict.fromkeys(n for k in kinds for n in k))
-    else:  # as many fields as the widest first record
-        kinds = kinds[:1]
+    else:  # no record tells for the others how many there are, if they differ; which are first depends on how the files were written
+        kinds = [tuple(map(str, range(known)))] if known else kinds[:1]
         names = list(kinds[0])
     rows = blocks.records(spark, files, scanner, form.multi_line, block)
     if len(kinds) > 1:

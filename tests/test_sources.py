@@ -44,6 +44,17 @@ def test_csv_without_header_by_place(spark, tmp_path):
     assert rows(df, "0", "1") == [("1", "x"), ("2", "y")]
 
 
+def test_number_of_fields_without_header(spark, tmp_path):
+    """It is the same for every file, whatever a file's first record has."""
+    put(tmp_path, "a.csv", '1,x,more\n2,y\n3\n')
+    put(tmp_path, "b.csv", '4\n5,z\n')
+    df = csv.read(spark, files.Files((str(tmp_path),)), csv.Csv(header=False, fields=2))
+    assert df.columns == ["0", "1", "_resource", "_position", "_error"]
+    assert sorted((r["0"], r["1"], r["_error"] is None) for r in df.collect() if r["1"]) == [("1", "x", True), ("2", "y", True), ("5", "z", True)]
+    assert sorted(r["_error"] for r in df.where("_error is not null").collect()) == ["unreadable: 3", "unreadable: 4"]
+    assert csv.read(spark, files.Files((put(tmp_path, "none", ""),)), csv.Csv(header=False, fields=2)).columns[:2] == ["0", "1"]
+
+
 @pytest.mark.parametrize("head", ["a,a\n1,2\n", "a,\n1,2\n"])
 def test_bad_headers(spark, tmp_path, head):
     with pytest.raises(csv.HeaderError):
