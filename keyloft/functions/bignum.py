@@ -114,3 +114,28 @@ def to_bytes(n: Column) -> Column:
 
 def from_bytes(data: Column) -> Column:
     return parse(_whole(data))
+
+
+def text_to_bytes(t: Column) -> Column:
+    """to_bytes(parse(t)); a text of digits alone, the usual one, goes there as it is."""
+    other = _once(parse(t), lambda n: F.when(is_whole(n), text(n, 1 << 30)))
+    return _bytes(F.when(t.rlike("^[+-]?[0-9]+$"), t).otherwise(other))
+
+
+#: Characters of a number that need no look at whether it is written with an exponent.
+_SHORT = 900
+
+
+def bytes_to_text(data: Column, scale: Column | None = None) -> Column:
+    """text(from_bytes(data)), its point moved `scale` digits to the left; numbers of few digits aren't parsed."""
+
+    def written(x: Column) -> Column:
+        whole, s = x["whole"], x["scale"]
+        digits = F.ltrim(whole, F.lit("-"))
+        padded = F.lpad(digits, F.greatest(F.length(digits), s + 1), F.lit("0"))
+        fraction = F.rtrim(F.right(padded, s), F.lit("0"))
+        plain = F.concat(F.when(whole.startswith("-"), "-").otherwise(""), F.left(padded, F.length(padded) - s), F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""))
+        moved = lambda n: F.struct(n["sign"].alias("sign"), F.when(n["sign"] == 0, 0).otherwise(n["point"] - s).cast("long").alias("point"), n["digits"].alias("digits"))
+        return F.when((F.length(whole) <= _SHORT) & s.between(0, _SHORT - F.length(whole)), plain).otherwise(text(_once(parse(whole), moved)))
+
+    return _once(F.struct(_whole(data).alias("whole"), (F.lit(0) if scale is None else scale).alias("scale")), written)

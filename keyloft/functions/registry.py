@@ -59,14 +59,12 @@ for _kind, _size in (("tinyint", 1), ("smallint", 2), ("counter", 8), ("time", 8
 def _decimal_to_bytes(c: Column) -> Column:
     plain = F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$|\.$", "$1")
     scale = F.length(F.regexp_extract(plain, r"\.([0-9]+)$", 1))
-    return F.concat(F.unhex(F.lpad(F.hex(scale.cast("long")), 8, "0")), bignum.to_bytes(bignum.parse(F.replace(plain, F.lit("."), F.lit("")))))
+    return F.concat(F.unhex(F.lpad(F.hex(scale.cast("long")), 8, "0")), bignum.text_to_bytes(F.replace(plain, F.lit("."), F.lit(""))))
 
 
 def _bytes_to_decimal(c: Column) -> Column:
     scale = F.conv(F.hex(F.substring(c, 1, 4)), 16, 10).cast("int")
-    whole = bignum.from_bytes(F.substring(c, 5, 1 << 30))
-    moved = F.struct(whole["sign"].alias("sign"), F.when(whole["sign"] == 0, 0).otherwise(whole["point"] - scale).cast("long").alias("point"), whole["digits"].alias("digits"))
-    return F.when(F.octet_length(c) > 4, bignum.text(moved))
+    return F.when(F.octet_length(c) > 4, bignum.bytes_to_text(F.substring(c, 5, 1 << 30), scale))
 
 
 def _real_to_bytes(form: str):
@@ -83,7 +81,9 @@ def _bytes_to_real(form: str):
     @F.arrow_udf(DoubleType() if form == ">f8" else FloatType())
     def unpack(data: pa.Array) -> pa.Array:
         size = np.dtype(form).itemsize
-        return pa.array([None if b is None or len(b) != size else float(np.frombuffer(b, form)[0]) for b in data.to_pylist()], pa.float64() if size == 8 else pa.float32())
+        found = [b if b is not None and len(b) == size else None for b in data.to_pylist()]
+        values = np.frombuffer(b"".join(b or bytes(size) for b in found), form).astype(form[1:])
+        return pa.array(values, pa.float64() if size == 8 else pa.float32(), mask=np.array([b is None for b in found], bool), from_pandas=False)
 
     return unpack
 
@@ -97,7 +97,7 @@ REGISTRY |= {
     "dateasblob": lambda c: F.unhex(F.lpad(F.hex(F.unix_date(c.cast("date")).cast("long") + (1 << 31)), 8, "0")), "blobasdate": lambda c: F.when(F.octet_length(c) == 4, F.date_from_unix_date((F.conv(F.hex(c), 16, 10).cast("long") - (1 << 31)).cast("int"))),
     "uuidasblob": lambda c: F.unhex(F.replace(codecs.uuid(c.cast("string")), F.lit("-"), F.lit(""))),
     "blobasuuid": lambda c: F.when(F.octet_length(c) == 16, F.regexp_replace(F.lower(F.hex(c)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")),
-    "varintasblob": lambda c: bignum.to_bytes(bignum.parse(c.cast("string"))), "blobasvarint": lambda c: bignum.text(bignum.from_bytes(c)),
+    "varintasblob": lambda c: bignum.text_to_bytes(c.cast("string")), "blobasvarint": lambda c: bignum.bytes_to_text(c),
     # the scale in four bytes, then the number without its point
     "decimalasblob": _decimal_to_bytes, "blobasdecimal": _bytes_to_decimal,
 }

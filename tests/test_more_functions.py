@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyloft.__main__ import main
-from keyloft.functions import bignum, codecs, locales
+from keyloft.functions import bignum, codecs, locales, registry
 from keyloft.operators import aggregates
 
 
@@ -78,3 +78,19 @@ def test_codec_options_of_commands(spark, tmp_path):
     assert next((tmp_path / "u").glob("part-*")).read_text().split("\n")[1].startswith("1;14 août 2020;oui;")
     with pytest.raises(SystemExit):
         main(["unload", "--table", out, "--url", str(tmp_path / "v"), "--spec", str(spec), "--codec", "nonsense=1"], spark)
+
+
+def test_numbers_as_bytes_in_few_steps(spark):
+    """Plain digits go there and back as they are, others as by parsing them; what makes a value isn't written out again for each of its uses."""
+    texts = ["0", "-0", "+5", "007", "1,234", "1e3", "1.5", "x", "", None, "1" * 900, "-" + "1" * 1000, "1" * 1001]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    n = bignum.parse(F.col("t"))
+    both = df.select("i", bignum.to_bytes(n).alias("a"), registry.call("varintAsBlob", F.col("t")).alias("b"))
+    both = both.select("*", bignum.text(bignum.from_bytes(F.col("a"))).alias("c"), registry.call("blobAsVarint", F.col("b")).alias("d")).collect()
+    assert all((r.a, r.c) == (r.b, r.d) for r in both) and sum(r.a is not None for r in both) == 9
+    for value, form, most in (("varint", "string", 30), ("decimal", "decimal(20,4)", 60)):
+        back = registry.call(f"blobAs{value}", registry.call(f"{value}AsBlob", F.col("t").try_cast(form)))
+        plan = df.select(back.alias("v"))._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("rlike") + plan.count("regexp_") <= most
+    cells = spark.sql("select explode(array(x'0000000005', x'0000000300', x'00000003EC', x'0000000204D2', x'0000000064', x'00000401', x'000010000A')) b")
+    assert [r.v for r in cells.select(registry.call("blobAsDecimal", F.col("b")).alias("v")).collect()] == ["5", "0", "-0.02", "12.34", "100", None, "1E-4095"]
