@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StringType, StructType
 
+from .bignum import _once as once
+
 # The kinds' names in GeoJSON and their numbers in the binary form.
 JSON_NAMES = {"point": "Point", "linestring": "LineString", "polygon": "Polygon"}
 BINARY = {"point": 1, "linestring": 2, "polygon": 3}
@@ -152,19 +154,37 @@ _UNITS = ("year", "month", "day", "hour", "minute", "second", "millisecond")
 _MOMENT = r"([0-9]{4})(?:-([0-9]{2})(?:-([0-9]{2})(?:T([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:[.]([0-9]{1,3}))?)?)?Z?)?)?)?"
 
 
-def _moment(text: Column) -> tuple[Column, Column, Column]:
-    """(begin, end, unit) of the time that a text such as `2020-02` stands for; nulls for any other text."""
-    part = lambda i: F.regexp_extract(text, f"^{_MOMENT}$", i)
-    unit = F.lit(_UNITS[0])
-    for i, name in enumerate(_UNITS[1:], 2):
-        unit = F.when(part(i) != "", F.lit(name)).otherwise(unit)
-    two = lambda i, none: F.when(part(i) == "", none).otherwise(part(i))
-    whole = F.concat(part(1), F.lit("-"), two(2, "01"), F.lit("-"), two(3, "01"), F.lit("T"), two(4, "00"), F.lit(":"), two(5, "00"), F.lit(":"), two(6, "00"), F.lit("."), F.rpad(part(7), 3, "0"), F.lit("Z"))
-    begin = F.when(text.rlike(f"^{_MOMENT}$"), whole).try_cast("timestamp")
-    months = F.when(unit == "year", F.add_months(begin.cast("date"), 12)).when(unit == "month", F.add_months(begin.cast("date"), 1))
-    span = F.element_at(F.create_map(*(F.lit(x) for kv in zip(_UNITS[2:], (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000)) for x in kv)), unit)
-    end = F.coalesce(months.cast("timestamp"), F.timestamp_micros(F.unix_micros(begin) + span))
-    return begin, end, F.when(begin.isNotNull(), unit)
+#: What a text leaves out of its time; its own length tells the unit.
+_REST = "0000-01-01T00:00:00.000"
+_LENGTHS = (4, 7, 10, 13, 16, 19)
+_SPANS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000)
+
+
+def _first_of(cases: list[tuple[Column, object]]) -> Column:
+    chosen = F
+    for condition, value in cases:
+        chosen = chosen.when(condition, value)
+    return chosen
+
+
+def _moment(text: Column) -> Column:
+    """begin, end, unit of the time that a text such as `2020-02` stands for; nulls for any other text."""
+    bare = F.when(text.rlike(f"^{_MOMENT}$"), F.rtrim(text, F.lit("Z")))
+
+    def begun(t: Column) -> Column:
+        size = F.length(t)
+        whole = F.concat(t, F.substr(F.lit(_REST), size + 1), F.lit("Z"))
+        unit = _first_of([(size == n, name) for n, name in zip(_LENGTHS, _UNITS)]).otherwise(_UNITS[-1])
+        return F.struct(whole.try_cast("timestamp").alias("begin"), unit.alias("unit"))
+
+    def ended(x: Column) -> Column:
+        begin, unit = x["begin"], x["unit"]
+        months = _first_of([(unit == "year", F.add_months(begin.cast("date"), 12)), (unit == "month", F.add_months(begin.cast("date"), 1))])
+        span = _first_of([(unit == u, n) for u, n in zip(_UNITS[2:], _SPANS)])
+        end = F.coalesce(months.cast("timestamp"), F.timestamp_micros(F.unix_micros(begin) + span))
+        return F.struct(begin.alias("begin"), end.alias("end"), F.when(begin.isNotNull(), unit).alias("unit"))
+
+    return once(once(bare, begun), ended)
 
 
 def date_range(text: Column) -> Column:
@@ -173,13 +193,18 @@ def date_range(text: Column) -> Column:
     From `2020-02`, `[2020-02 TO 2021]`, `[* TO 2020-02-03T04]` or `*`; null for any other text, or if
     the end lies before the begin. Years and months are those of UTC.
     """
-    t = F.trim(text)
     shape = r"^\[\s*(\S+)\s+TO\s+(\S+)\s*\]$"
-    two = t.rlike(shape)
-    low, high = (F.when(two, F.regexp_extract(t, shape, i)).otherwise(t) for i in (1, 2))
-    (begin, _, low_unit), (_, end, high_unit) = _moment(low), _moment(high)
-    fine = ((low == "*") | begin.isNotNull()) & ((high == "*") | end.isNotNull()) & F.coalesce(begin < end, F.lit(True))
-    return F.when(fine, F.struct(begin.alias("low"), end.alias("high"), low_unit.alias("low_unit"), high_unit.alias("high_unit")))
+    sides = lambda t: F.when(t.rlike(shape), F.split(F.regexp_replace(t, shape, "$1 $2"), " ")).otherwise(F.array(t, t))
+
+    def read(s: Column) -> Column:
+        return F.struct(s[0].alias("low"), s[1].alias("high"), _moment(s[0]).alias("a"), _moment(s[1]).alias("b"))
+
+    def made(x: Column) -> Column:
+        (begin, low_unit), (end, high_unit) = (x["a"]["begin"], x["a"]["unit"]), (x["b"]["end"], x["b"]["unit"])
+        fine = ((x["low"] == "*") | begin.isNotNull()) & ((x["high"] == "*") | end.isNotNull()) & F.coalesce(begin < end, F.lit(True))
+        return F.when(fine, F.struct(begin.alias("low"), end.alias("high"), low_unit.alias("low_unit"), high_unit.alias("high_unit")))
+
+    return once(once(once(F.trim(text), sides), read), made)
 
 
 def contains(outer: Column, inner: Column) -> Column:

@@ -44,3 +44,17 @@ def test_bad_date_ranges(spark):
     assert spark.createDataFrame([(t,) for t in texts], "t string").where(geo.date_range(F.col("t")).isNotNull()).count() == 0
     two = spark.range(1).select(geo.contains(geo.date_range(F.lit("*")), geo.date_range(F.lit("2020"))), geo.contains(geo.date_range(F.lit("2020")), geo.date_range(F.lit("*"))))
     assert tuple(two.first()) == (True, False)
+
+
+def test_date_ranges_in_few_steps(spark):
+    """Each side is matched once, whatever is made of it."""
+    texts = ["2020-02", "[2020 TO 2020-12-31T23:59:59.12Z]", "[* TO 2019]", "[2021 TO 2020]", "2020-02-30", "2020-02Z", "*", None]
+    r = geo.date_range(F.col("t"))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", r.alias("r"))
+    got = [x.r for x in df.select("i", F.col("r").cast("string").alias("r")).orderBy("i").collect()]
+    assert got == [
+        "{2020-02-01 00:00:00, 2020-03-01 00:00:00, month, month}", "{2020-01-01 00:00:00, 2020-12-31 23:59:59.121, year, millisecond}", "{null, 2020-01-01 00:00:00, null, year}",
+        None, None, None, "{null, null, null, null}", None,
+    ]
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("rlike") + plan.count("regexp_") <= 8
