@@ -1207,10 +1207,19 @@ def list_positions(t):
 
 def _runs(t):
     """Two runs over events: the first sees every record but those of one type's later half, the second mends some of the bad ones."""
-    e = t("events").select(F.col("event_type").alias("_resource"), F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("long").alias("_position"), "event_id")
-    first = checkpoint.checkpoint(e.where("event_id % 11 <> 0").withColumn("_failed", F.col("event_id") % 5 == 0))
-    second = checkpoint.checkpoint(e.where("event_id % 5 = 0 or event_id % 22 = 0").withColumn("_failed", F.col("event_id") % 10 == 0))
-    return e, checkpoint.merge_checkpoints(first, second)
+    rows = t("events").select(F.col("event_type").alias("_resource"), F.shiftright("event_id", 16).alias("_block"), "event_id")
+    scratch = Scratch(rows.sparkSession, "runs")
+    # rows are counted within blocks of ids, so that those of one type don't meet in one task
+    counts = rows.groupBy("_resource", "_block").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_resource").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col("_resource").alias("_r"), F.col("_block").alias("_b"), F.coalesce(before, F.lit(0)).alias("_start"))
+    index = F.row_number().over(Window.partitionBy("_resource", "_block").orderBy("event_id"))
+    placed = rows.withColumn("_index", index).join(starts, F.col("_resource").eqNullSafe(F.col("_r")) & F.col("_block").eqNullSafe(F.col("_b")))
+    e = scratch.write(placed.select("_resource", (F.col("_start") + F.col("_index")).alias("_position"), "event_id"), "records")
+    # what a run leaves behind is a table
+    first = scratch.write(checkpoint.checkpoint(e.where("event_id % 11 <> 0").withColumn("_failed", F.col("event_id") % 5 == 0)), "first")
+    second = scratch.write(checkpoint.checkpoint(e.where("event_id % 5 = 0 or event_id % 22 = 0").withColumn("_failed", F.col("event_id") % 10 == 0)), "second")
+    return e, scratch.write(checkpoint.merge_checkpoints(first, second), "done")
 
 
 _RUNS_SQL = """e AS (SELECT event_type AS r, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS p, event_id AS i FROM events),

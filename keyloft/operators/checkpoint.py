@@ -26,13 +26,13 @@ def position_ranges(df: DataFrame, resource: str, position: str) -> DataFrame:
     return runs.where("not _touching").drop("_touching").unionByName(merge_ranges(runs.where("_touching").drop("_touching"), resource))
 
 
-def merge_ranges(ranges: DataFrame, resource: str) -> DataFrame:
+def merge_ranges(ranges: DataFrame, *resource: str) -> DataFrame:
     """Ranges that overlap or adjoin made one."""
-    order = Window.partitionBy(resource).orderBy("first", "last")
+    order = Window.partitionBy(*resource).orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(before.isNull() | (F.col("first") > before + 1), 1).otherwise(0)
     numbered = ranges.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(order))
-    return numbered.groupBy(resource, "_run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_run")
+    return numbered.groupBy(*resource, "_run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_run")
 
 
 def checkpoint(results: DataFrame, resource: str = "_resource", position: str = "_position", failed: str = "_failed") -> DataFrame:
@@ -49,22 +49,27 @@ STRATEGIES = {"resume": (("ok", "bad"), True), "retry": (("ok",), True), "retry_
 def replay(records: DataFrame, done: DataFrame, strategy: str = "retry", complete: DataFrame | None = None, resource: str = "_resource", position: str = "_position") -> DataFrame:
     """The records that a rerun must read.
 
-    Ranges are turned into blocks of positions, so that the lookup is an equality join.
+    Records and ranges meet by block of positions and are swept in order: a record is done if a range
+    that begins at or before it reaches it.
     """
     outcomes, skip_complete = STRATEGIES[strategy]
     if skip_complete and complete is not None:
         records = records.join(complete.select(resource).distinct(), resource, "left_anti")
     skip = done.where(F.col("outcome").isin(*outcomes)).select(
-        F.col(resource).alias("_r"), "first", "last", F.explode(F.sequence(F.shiftright("first", 16), F.shiftright("last", 16))).alias("_b")
+        resource, F.col("first").cast("long").alias("_at"), F.col("last").cast("long").alias("_last"), F.explode(F.sequence(F.shiftright(F.col("first").cast("long"), 16), F.shiftright(F.col("last").cast("long"), 16))).alias("_block")
     )
-    on = (F.col(resource) == F.col("_r")) & (F.floor(F.col(position) / BLOCK) == F.col("_b")) & F.col(position).between(F.col("first"), F.col("last"))
-    return records.join(skip, on, "left_anti")
+    rows = records.withColumn("_at", F.col(position).cast("long")).withColumn("_block", F.floor(F.col(position) / BLOCK).cast("long")).withColumn("_record", F.lit(True))
+    order = Window.partitionBy(resource, "_block").orderBy("_at", F.col("_record").asc_nulls_first())
+    reach = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = rows.unionByName(skip, allowMissingColumns=True).withColumn("_reach", reach)
+    left = F.col("_reach").isNull() | (F.col("_reach") < F.col("_at")) | F.col(resource).isNull()
+    return swept.where(F.col("_record") & left).select(*records.columns)
 
 
 # sets of ranges
 
 #: Ranges are cut into spans of so many positions, so that the ranges of one large resource are swept by many tasks.
-SPAN = 1 << 24
+SPAN = 1 << 20
 
 
 def _swept(left: DataFrame, right: DataFrame, resource: str) -> DataFrame:
@@ -80,18 +85,27 @@ def _swept(left: DataFrame, right: DataFrame, resource: str) -> DataFrame:
     return running.where("last is not null and first <= last")
 
 
+def _merged(pieces: DataFrame, resource: str) -> DataFrame:
+    """Ranges none of which lies in two spans, made one: within spans, then those that touch a span's end."""
+    pieces = pieces.select(resource, "first", "last", F.floor(F.col("first") / SPAN).alias("_s"))
+    runs = merge_ranges(pieces, resource, "_s")
+    touching = (F.pmod("first", F.lit(SPAN)) == 0) | (F.pmod("last", F.lit(SPAN)) == SPAN - 1)
+    runs = runs.withColumn("_s", F.when(~touching, F.col("_s")))
+    return merge_ranges(runs, resource, "_s").drop("_s")
+
+
 def union(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
     """resource, first, last: positions in one set or the other."""
-    return merge_ranges(_swept(left, right, resource).where("a or b").select(resource, "first", "last"), resource)
+    return _merged(_swept(left, right, resource).where("a or b"), resource)
 
 
 def difference(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
     """Positions in the first set and not in the second."""
-    return merge_ranges(_swept(left, right, resource).where("a and not b").select(resource, "first", "last"), resource)
+    return _merged(_swept(left, right, resource).where("a and not b"), resource)
 
 
 def intersection(left: DataFrame, right: DataFrame, resource: str = "_resource") -> DataFrame:
-    return merge_ranges(_swept(left, right, resource).where("a and b").select(resource, "first", "last"), resource)
+    return _merged(_swept(left, right, resource).where("a and b"), resource)
 
 
 def complement(ranges: DataFrame, sizes: DataFrame, resource: str = "_resource") -> DataFrame:

@@ -153,3 +153,14 @@ def test_checkpoint_and_replay(spark):
     assert len(left("retry_all")) == 6
     merged = checkpoint.merge_ranges(spark.createDataFrame([("f", 1, 3), ("f", 4, 5), ("f", 2, 2), ("f", 9, 9)], "_resource string, first long, last long"), "_resource")
     assert rows(merged) == [("f", 1, 5), ("f", 9, 9)]
+
+
+def test_replay_compares_no_record_with_every_range(spark):
+    """Records and ranges are swept in order; records without a resource or a position are read again."""
+    records = spark.createDataFrame([("f", p) for p in (1, 2, 3, 65_535, 65_536, 200_000, None)] + [(None, 2), ("g", 2)], "_resource string, _position long")
+    done = spark.createDataFrame([("f", "ok", 2, 2), ("f", "ok", 65_536, 150_000), ("f", "bad", 200_000, 200_000), ("f", "ok", 3, 65_535), (None, "ok", 1, 9)], "_resource string, outcome string, first long, last long")
+    left = checkpoint.replay(records, done, "retry_all")
+    assert "Join" not in left._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda r: (r[0] or "", r[1] or 0)
+    assert sorted(map(tuple, left.collect()), key=key) == [(None, 2), ("f", None), ("f", 1), ("f", 200_000), ("g", 2)]
+    assert sorted(map(tuple, checkpoint.replay(records, done, "resume").collect()), key=key) == [(None, 2), ("f", None), ("f", 1), ("g", 2)]
