@@ -87,9 +87,8 @@ class WordEncoder:
         new = {w for w, x in zip(base, found) if x is None}
         new.update(t for t, x in zip(tail, ends) if x is None)
         if new:
-            if len(self.known) + len(new) > REMEMBER:  # forget all, and learn all of this batch
-                self.known = {"": b""}
-                new = {*base, *tail} - self.known.keys()
+            if len(self.known) + len(new) > REMEMBER:  # forget all but the words of this batch
+                self.known = {"": b""} | {w: x for w, x in zip(base + tail, found + ends) if x is not None}
             self._learn(list(new))
             get = self.known.__getitem__
             found, ends = list(map(get, base)), list(map(get, tail))

@@ -672,3 +672,21 @@ def test_query(spark, sf_dir, name):
         for e in brute.base_scores(rows):
             g = by[e[0]]
             assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == e[1:5] and abs(g["base_score"] - e[5]) < 1e-6 * abs(e[5])
+
+
+def test_words_of_a_batch_stay_known_when_others_are_forgotten(monkeypatch):
+    """A word that is known isn't learned again in the batch that fills the memory, and ids don't change."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from keyloft.llm import tokens
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    texts = [pa.array([f"same words here, {x} and {x}b"]) for x in ("one", "two", "three", "four", "Fünf!", "五")]
+    plain = [tokens.WordEncoder(path)(t)[0].tolist() for t in texts]
+    monkeypatch.setattr(tokens, "REMEMBER", 9)
+    encoder, learned = tokens.WordEncoder(path), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
+    assert [encoder(t)[0].tolist() for t in texts] == plain
+    assert learned.count("same") == 1 and learned.count("words") == 1 and len(encoder.known) <= 10
