@@ -690,3 +690,23 @@ def test_words_of_a_batch_stay_known_when_others_are_forgotten(monkeypatch):
     monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
     assert [encoder(t)[0].tolist() for t in texts] == plain
     assert learned.count("same") == 1 and learned.count("words") == 1 and len(encoder.known) <= 10
+
+
+def test_latin_words_are_encoded_without_the_normalizer():
+    """Words of Latin letters skip the tokenizer's normalizer and pattern; any letter up to U+02FF gives the same ids."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    whole, encoder = Tokenizer.from_file(path), tokens.WordEncoder(path)
+    seen, encode = [], encoder.encode
+    encoder.encode = lambda texts, **k: (seen.extend(texts), encode(texts, **k))[1]
+    texts = [p + chr(c) + s for c in range(0x300) for p in ("", "ab", "É") for s in ("", "ñç", "Xyz.", "x,##", "'s", "́")]
+    texts += ["Straße, STRASSE; straße...", "ÀÉÎÕÜ ŁÓDŹ ĳ ĲSSEL ſ Ⱥ İstanbul ıI", "", " ", "don't 12% ***"]
+    ids, n = encoder(pa.array(texts))
+    expected = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == list(map(len, expected)) and ids.tolist() == [i for e in expected for i in e]
+    seen.clear()
+    encoder(pa.array(["Quite unheardof words, entirely ungewöhnliche Wörter... and çà ŁÓDŹ!!"]))
+    assert not any(w.isalpha() for text in seen for w in text.split())
