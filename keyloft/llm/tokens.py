@@ -25,7 +25,7 @@ VOCABULARY = "word_bpe_49k.json"
 END = 2
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
-#: Words whose ids a worker remembers at most; it forgets all when there are more.
+#: Words whose ids a worker remembers at most; it forgets all but the batch's when there are more.
 REMEMBER = 400_000
 STEP = 8 << 20  # bytes of text worked on at a time
 
@@ -116,7 +116,7 @@ class WordEncoder:
         # white space at an end of a text gives an empty word, which has no ids
         ids = self._ids(distinct)
         # a list of ids has 32-bit offsets, so these fit
-        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        size = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4).astype(np.int32)
         start = np.cumsum(size, dtype=np.int32) - size
         values = np.frombuffer(b"".join(ids), np.uint32)
         n = size[at]
